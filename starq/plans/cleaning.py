@@ -15,10 +15,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starq import schemas as s
-from starq.functions.scalars import (
-    canonical_domain, canonical_value, lookup, number, parse_bool_or_false, strip,
+from starq.functions.scalars import canonical_value, number, parse_bool_or_false, strip
+from starq.plans.quality import (
+    comparable, parent_values, quoted, row_identifier, sql_map, sql_number, sql_row_identifier, sql_strip, sure, typed,
 )
-from starq.plans.quality import parent_values, row_identifier
 from starq.plans.rules import QUALIFYING_PROGRESSION, RULES, TableRules
 
 ACTION_FIELDS = (
@@ -162,23 +162,31 @@ def check_order(table: str, rules: Mapping[str, TableRules] = RULES) -> list[str
     return ids + [f"fk_{table}_{f.column}_to_{f.parent}_{f.parent_column}" for f in r.references]
 
 
-# --- expressions ---------------------------------------------------------------------------------------------------
+# --- SQL text of log entries ---------------------------------------------------------------------------------------
 
 
-def as_log_text(c: Column, data_type: T.DataType) -> Column:
+def as_log_text(column: str, data_type: T.DataType) -> str:
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-    return c.cast("string")
+        return f"date_format({column}, \"yyyy-MM-dd'T'HH:mm:ss\")"
+    return f"cast({column} as string)"
 
 
-def action(**fields) -> Column:
-    """A log entry as a struct; fields left out are NULL."""
+def action(**fields: str) -> str:
+    """A log entry as a struct of SQL expressions; fields left out are NULL."""
 
-    def value(name: str) -> Column:
-        v = fields.get(name)
-        return (v if isinstance(v, Column) else F.lit(v)).cast("int" if name == "outlier_consensus_score" else "string")
+    def value(name: str) -> str:
+        kind = "int" if name == "outlier_consensus_score" else "string"
+        return f"cast({fields.get(name, 'null')} as {kind})"
 
-    return F.struct(*[value(f).alias(f) for f in ACTION_FIELDS])
+    return "named_struct(" + ", ".join(f"'{f}', {value(f)}" for f in ACTION_FIELDS) + ")"
+
+
+def when(condition: str, value: str) -> str:
+    return f"case when {condition} then {value} end"
+
+
+def first_of(candidates: Sequence[str]) -> str:
+    return f"coalesce({', '.join(candidates)})"
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -210,14 +218,12 @@ def canonical_row_id(text: Column) -> Column:
     )
 
 
-def own_row_id(df: DataFrame, key: str) -> Column:
+def own_row_id(types: Mapping[str, T.DataType], key: str) -> str:
     """Canonical id of a row of the raw table (matches `canonical_row_id` of its issues)."""
-    if key not in df.columns:
-        return row_identifier(df, [])
-    c = F.col(key)
-    integral = isinstance(df.schema[key].dataType, T.IntegralType)
-    named = F.concat(F.lit(f"{key}="), c.cast("string") if integral else canonical_value(c))
-    return F.when(c.isNotNull(), named).otherwise(row_identifier(df, [key]))
+    plain = sql_row_identifier(list(types), [key] if key in types else [])
+    if key not in types or isinstance(types[key], T.IntegralType):
+        return plain
+    return f"case when {key} is not null then concat('{key}=', {comparable(key, 'canonical')}) else {plain} end"
 
 
 # --- marks: what the assessments say about a row -------------------------------------------------------------------
@@ -285,16 +291,167 @@ def outlier_marks(flags: DataFrame) -> DataFrame:
 
 @dataclass
 class _Log:
-    """Ordered candidates; the first that holds for a row is the one logged."""
+    """Ordered candidates as SQL text; the first that holds for a row is the one logged."""
+
+    texts: list[str] = field(default_factory=list)
+    values: dict[str, list[str]] = field(default_factory=dict)
+    flags: dict[str, list[tuple[str, str]]] = field(default_factory=dict)
+    drops: list[tuple[str, str]] = field(default_factory=list)
+
+    def all_actions(self) -> list[str]:
+        flags = [[when(*e) for e in entries] for entries in self.flags.values()]
+        return [*self.texts, *[first_of(v) for v in (*self.values.values(), *flags)]]
+
+    def dropped(self) -> str:
+        return "(" + (" or ".join(c for c, _ in self.drops) or "false") + ")"
+
+
+class _Resolver:
+    """Collects what happens to the rows of one table, in the order it is applied."""
+
+    def __init__(self, table: str, types: Mapping[str, T.DataType]):
+        self.table, self.types = table, types
+        self.log = _Log()
+        self.replaced: dict[str, list[tuple[str, str]]] = {}
+        self.flag_of = s.AREA_FLAGS.get(table, {})
+        self.base = {"table_name": quoted(table), "row_identifier": "_name"}
+
+    def text(self, c: str) -> None:
+        old, new = f"_old_{c}", sql_strip(f"_old_{c}")
+        self.log.texts += [
+            when(f"{new} <> {old}", action(
+                **self.base, source="'general_cleaning'", target_column=quoted(c), check_id="'CR_COMMON_1'",
+                issue_code="'LEADING_OR_TRAILING_SPACES'", cleaning_action="'STANDARDIZE'", old_value=old, new_value=new,
+                reason="'Trimmed leading or trailing spaces from a textual value.'",
+            )),
+            when(f"{new} = ''", action(
+                **self.base, source="'general_cleaning'", target_column=quoted(c), check_id="'CR_COMMON_2'",
+                issue_code="'EMPTY_STRING'", cleaning_action="'SET_NULL'", old_value=new,
+                reason="'Converted an empty textual value into NULL.'",
+            )),
+        ]
 
-    texts: list[Column] = field(default_factory=list)
-    values: dict[str, list[Column]] = field(default_factory=dict)
-    flags: dict[str, list[Column]] = field(default_factory=dict)
-    drops: list[Column] = field(default_factory=list)
+    def flag(self, condition: str, area: str | None, **fields: str) -> None:
+        name = self.flag_of.get(area)
+        if name:
+            entry = action(
+                **self.base, quality_flag_column=quoted(name), information_area=quoted(area),
+                cleaning_action="'ADD_FLAG'", old_value="'False'", new_value="'True'", **fields,
+            )
+            self.log.flags.setdefault(name, []).append((f"({condition} and not {name})", entry))
 
-    def all_actions(self) -> list[Column]:
-        first = [F.coalesce(*v) for v in (*self.values.values(), *self.flags.values()) if v]
-        return [*self.texts, *first]
+    def drop(self, condition: str, **fields: str) -> None:
+        self.log.drops.append((condition, action(**self.base, cleaning_action="'DROP_ROW'", **fields)))
+
+    def set_null(self, condition: str, column: str, reason: str, area: str | None, **fields: str) -> None:
+        hit = f"({condition} and {column} is not null)"
+        self.replaced.setdefault(column, []).append((hit, f"cast(null as {self.types[column].simpleString()})"))
+        entry = action(
+            **self.base, target_column=quoted(column), cleaning_action="'SET_NULL'", reason=quoted(reason),
+            old_value=as_log_text(column, self.types[column]), **fields,
+        )
+        self.log.values.setdefault(column, []).append(when(hit, entry))
+        note = quoted(f"{area} is affected after setting an invalid value to NULL.")
+        self.flag(hit, area, target_column=quoted(column), reason=note, **fields)
+
+    def standardize(self, condition: str, column: str, value: str, reason: str, **fields: str) -> None:
+        same = sure(f"{comparable(column, 'canonical')} = {comparable(value, 'canonical')}")
+        hit = f"({condition} and {value} is not null and not {same})"
+        self.replaced.setdefault(column, []).append((hit, value))
+        entry = action(
+            **self.base, target_column=quoted(column), cleaning_action="'STANDARDIZE'", reason=quoted(reason),
+            old_value=column, new_value=value, **fields,
+        )
+        self.log.values.setdefault(column, []).append(when(hit, entry))
+
+    def issue(self, check_id: str, columns: Sequence[str]) -> None:
+        code = f"try_element_at(_issues, {quoted(check_id)})"
+        marked = f"({code} is not null)"
+        fields = {"source": quoted(DQA), "check_id": quoted(check_id), "issue_code": code}
+        d = DECISIONS.get(self.table, {}).get(check_id)
+        if drops_row(check_id):
+            self.drop(marked, reason=quoted(DROP_REASON), **fields)
+        elif d is None or any(c not in columns for c in d.columns):
+            # A check outside the tables above still drops rows on a key or reference issue.
+            codes = ", ".join(quoted(c) for c in DROP_CODES)
+            self.drop(sure(f"{code} in ({codes})"), reason=quoted(DROP_REASON), **fields)
+        elif d.kind == "flag":
+            self.flag(marked, d.area, reason=quoted(d.reason), **fields)
+        elif d.kind == "null":
+            for c in d.columns:
+                self.set_null(marked, c, d.reason, d.area, **fields)
+        elif d.kind == "null_invalid":
+            for c in d.columns:
+                low = f"not {sure(f'{sql_number(c)} >= {d.minimum}')}"
+                self.set_null(f"({marked} and {low})", c, d.reason, d.area, **fields)
+        elif d.kind == "domain":
+            self._domain(d, marked, fields)
+        elif d.kind == "code_text":
+            code_column, text_column = d.columns
+            value = f"try_element_at({sql_map(s.TRACK_STATUS_MESSAGES)}, try_cast({sql_number(code_column)} as int))"
+            self.standardize(
+                marked, text_column, value, "Track status message reconstructed from the numerical status code.", **fields
+            )
+            self.set_null(
+                f"({marked} and {value} is null)", text_column,
+                "Unknown track status message set to NULL because the status code could not reconstruct it.", None, **fields,
+            )
+
+    def _domain(self, d: Decision, marked: str, fields: Mapping[str, str]) -> None:
+        c = d.columns[0]
+        letters = f"regexp_replace(lower({sql_strip(c)}), '[^a-z0-9]', '')"
+        value = f"try_element_at({sql_map({''.join(x for x in v.lower() if x.isalnum()): v for v in d.allowed})}, {letters})"
+        self.standardize(marked, c, value, f"Standardized {c} to a known domain value.", **fields)
+        unknown = f"({marked} and {c} is not null and {value} is null)"
+        if d.unknown == "drop":
+            self.drop(unknown, reason=quoted(f"Unknown {c} value cannot be mapped to the allowed domain."), **fields)
+        else:
+            reason = f"Unknown {c} value was set to NULL because it cannot be mapped deterministically."
+            self.set_null(unknown, c, reason, d.area, **fields)
+
+    def missing(self) -> None:
+        area = s.DROP_AREA[self.table]
+        gone = sure(f"map_contains_key(_missing, {quoted(area)})")
+        what = "lap time" if self.table == "lap" else "classification"
+        alive = f"not {self.log.dropped()} and not {gone}"
+        self.drop(
+            gone, source=quoted(MISSING), information_area=quoted(area),
+            reason=quoted(f"Rows with missing {what} information are removed from the cleaned {self.table} table."),
+        )
+        for a in self.flag_of:
+            found = f"try_element_at(_missing, {quoted(a)})"
+            self.flag(
+                f"{alive} and {found} is not null", a, source=quoted(MISSING), target_column=f"{found}.columns",
+                missing_class=f"{found}.classes",
+                reason=quoted(f"Focused missing value output indicates that {a} is incomplete or unreliable."),
+            )
+
+    def outliers(self) -> None:
+        strong = sure("_strong")
+        alive = f"not {self.log.dropped()} and not {strong}"
+        self.drop(
+            strong, source=quoted(OUTLIER), outlier_metric="'lap_time_ms'", outlier_consensus_score="2",
+            reason="'Rows with strong consensus lap_time_ms outliers are removed because lap time is the core performance measure.'",
+        )
+        for a in (_SECTOR, _SPEED):
+            found = f"try_element_at(_outliers, {quoted(a)})"
+            self.flag(
+                f"{alive} and {found} is not null", a, source=quoted(OUTLIER), outlier_metric=f"{found}.metrics",
+                outlier_consensus_score=f"{found}.agreement",
+                reason=quoted(f"Outlier detection indicates that {a} may be unreliable."),
+            )
+
+    def settled(self, c: str) -> str:
+        if c in self.log.flags:
+            active = " or ".join(sure(condition) for condition, _ in self.log.flags[c])
+            return f"({c} or {active}) as {c}"
+        if c not in self.replaced:
+            return c
+        cases = " ".join(f"when {condition} then {value}" for condition, value in self.replaced[c])
+        return f"case {cases} else {c} end as {c}"
+
+
+_NO_ACTION = f"cast(null as {ACTION_TYPE.simpleString()})"
 
 
 def resolve_table(
@@ -307,170 +464,44 @@ def resolve_table(
 ) -> DataFrame:
     """Cleaned columns plus `_rid`, `_actions` (changes) and `_drop` (first drop entry or NULL)."""
     key = s.PRIMARY_KEY.get(table, "")
-    raw = df.withColumn("_rid", own_row_id(df, key))
-    frame = raw
+    types = {f.name: f.dataType for f in df.schema.fields}
+    columns = list(types)
+    frame = df.withColumn("_rid", F.expr(own_row_id(types, key)))
     if issues is not None:
         frame = frame.join(issue_marks(issues, table), "_rid", "left")
     if missing is not None and table in s.DROP_AREA:
         frame = frame.join(missing_marks(missing, table), "_rid", "left")
     if outliers is not None and table == "lap":
         frame = frame.join(outlier_marks(outliers), "_rid", "left")
+    marks = [c for c in frame.columns if c not in columns and c != "_rid"]
+
+    texts = [c for c, t in types.items() if isinstance(t, T.StringType)]
+    flags = list(s.AREA_FLAGS.get(table, {}).values())
+    tidy = with_quality_flags(
+        frame.selectExpr(
+            *[f"nullif({sql_strip(c)}, '') as {c}" if c in texts else c for c in columns],
+            *[f"{c} as _old_{c}" for c in texts], *marks,
+        ),
+        table,
+    )
+    named = tidy.withColumn("_name", row_identifier(columns, [key] if key else []))
 
-    # text before, text after
-    before = {c: F.col(f"_old_{c}") for c in text_columns(df)}
-    frame = frame.withColumns({f"_old_{c}": F.col(c) for c in before}) if before else frame
-    frame = with_quality_flags(trimmed(frame, list(before)), table)
-    rid = row_identifier(frame.select(*df.columns), [key] if key else [])
-    frame = frame.withColumn("_name", rid)
-    base = {"table_name": table, "row_identifier": F.col("_name")}
-    types = {f.name: f.dataType for f in df.schema.fields}
-    log = _Log()
-
-    for c, old in before.items():
-        new = strip(old)
-        log.texts.append(
-            F.when(new != old, action(
-                **base, source="general_cleaning", target_column=c, check_id="CR_COMMON_1",
-                issue_code="LEADING_OR_TRAILING_SPACES", cleaning_action="STANDARDIZE", old_value=old, new_value=new,
-                reason="Trimmed leading or trailing spaces from a textual value.",
-            ))
-        )
-        log.texts.append(
-            F.when(new == "", action(
-                **base, source="general_cleaning", target_column=c, check_id="CR_COMMON_2", issue_code="EMPTY_STRING",
-                cleaning_action="SET_NULL", old_value=new, reason="Converted an empty textual value into NULL.",
-            ))
-        )
-
-    replaced: dict[str, list[tuple[Column, Column]]] = {}
-    flag_of = s.AREA_FLAGS.get(table, {})
-
-    def flag(when: Column, area: str | None, **fields) -> None:
-        name = flag_of.get(area)
-        if name:
-            entry = action(
-                **base, quality_flag_column=name, information_area=area, cleaning_action="ADD_FLAG",
-                old_value="False", new_value="True", **fields,
-            )
-            log.flags.setdefault(name, []).append(F.when(when & ~F.col(name), entry))
-
-    def drop(when: Column, **fields) -> None:
-        log.drops.append(F.when(when, action(**base, cleaning_action="DROP_ROW", **fields)))
-
-    def set_null(when: Column, column: str, reason: str, area: str | None, **fields) -> None:
-        hit = when & F.col(column).isNotNull()
-        replaced.setdefault(column, []).append((hit, F.lit(None).cast(types[column])))
-        entry = action(
-            **base, target_column=column, cleaning_action="SET_NULL", reason=reason,
-            old_value=as_log_text(F.col(column), types[column]), **fields,
-        )
-        log.values.setdefault(column, []).append(F.when(hit, entry))
-        flag(hit, area, target_column=column, reason=f"{area} is affected after setting an invalid value to NULL.", **fields)
-
-    def standardize(when: Column, column: str, value: Column, reason: str, **fields) -> None:
-        hit = when & value.isNotNull() & ~F.coalesce(canonical_value(F.col(column)) == canonical_value(value), F.lit(False))
-        replaced.setdefault(column, []).append((hit, value.cast(types[column])))
-        entry = action(
-            **base, target_column=column, cleaning_action="STANDARDIZE", reason=reason,
-            old_value=F.col(column), new_value=value, **fields,
-        )
-        log.values.setdefault(column, []).append(F.when(hit, entry))
-
-    if issues is not None:
+    r = _Resolver(table, types)
+    for c in texts:
+        r.text(c)
+    if "_issues" in marks:
         for check_id in check_order(table, rules):
-            code = F.try_element_at("_issues", F.lit(check_id))
-            marked = F.coalesce(F.map_contains_key("_issues", check_id), F.lit(False))
-            fields = {"source": DQA, "check_id": check_id, "issue_code": code}
-            if drops_row(check_id):
-                drop(marked, reason=DROP_REASON, **fields)
-                continue
-            d = DECISIONS.get(table, {}).get(check_id)
-            if d is None or any(c not in df.columns for c in d.columns):
-                # A check outside the tables above still drops rows on a key or reference issue.
-                drop(marked & F.coalesce(code.isin(*DROP_CODES), F.lit(False)), reason=DROP_REASON, **fields)
-                continue
-            if d.kind == "flag":
-                flag(marked, d.area, reason=d.reason, **fields)
-            elif d.kind in ("null", "null_invalid"):
-                for c in d.columns:
-                    bad = marked
-                    if d.kind == "null_invalid":
-                        bad = marked & ~F.coalesce(number(F.col(c)) >= d.minimum, F.lit(False))
-                    set_null(bad, c, d.reason, d.area, **fields)
-            elif d.kind == "domain":
-                c = d.columns[0]
-                value = canonical_domain(F.col(c), d.allowed)
-                standardize(marked, c, value, f"Standardized {c} to a known domain value.", **fields)
-                unknown = marked & F.col(c).isNotNull() & value.isNull()
-                if d.unknown == "drop":
-                    drop(unknown, reason=f"Unknown {c} value cannot be mapped to the allowed domain.", **fields)
-                else:
-                    set_null(
-                        unknown, c, f"Unknown {c} value was set to NULL because it cannot be mapped deterministically.",
-                        d.area, **fields,
-                    )
-            elif d.kind == "code_text":
-                code_column, text_column = d.columns
-                value = lookup(number(F.col(code_column)).try_cast("int"), s.TRACK_STATUS_MESSAGES)
-                standardize(
-                    marked, text_column, value, "Track status message reconstructed from the numerical status code.",
-                    **fields,
-                )
-                set_null(
-                    marked & value.isNull(), text_column,
-                    "Unknown track status message set to NULL because the status code could not reconstruct it.", None,
-                    **fields,
-                )
-
-    def dropped() -> Column:
-        return F.coalesce(*log.drops).isNotNull() if log.drops else F.lit(False)
-
-    if "_missing" in frame.columns:
-        area = s.DROP_AREA[table]
-        gone = F.coalesce(F.map_contains_key("_missing", area), F.lit(False))
-        what = "lap time" if table == "lap" else "classification"
-        alive = ~dropped() & ~gone
-        drop(
-            gone, source=MISSING, information_area=area,
-            reason=f"Rows with missing {what} information are removed from the cleaned {table} table.",
-        )
-        for a in flag_of:
-            found = F.try_element_at("_missing", F.lit(a))
-            flag(
-                alive & found.isNotNull(), a, source=MISSING, target_column=found["columns"],
-                missing_class=found["classes"],
-                reason=f"Focused missing value output indicates that {a} is incomplete or unreliable.",
-            )
-    if "_outliers" in frame.columns:
-        strong = F.coalesce("_strong", F.lit(False))
-        alive = ~dropped() & ~strong
-        drop(
-            strong, source=OUTLIER, outlier_metric="lap_time_ms", outlier_consensus_score=2,
-            reason="Rows with strong consensus lap_time_ms outliers are removed because lap time is the core performance measure.",
-        )
-        for a in (_SECTOR, _SPEED):
-            found = F.try_element_at("_outliers", F.lit(a))
-            flag(
-                alive & found.isNotNull(), a, source=OUTLIER, outlier_metric=found["metrics"],
-                outlier_consensus_score=found["agreement"],
-                reason=f"Outlier detection indicates that {a} may be unreliable.",
-            )
-
-    def settled(c: str) -> Column:
-        if c in log.flags:
-            return (F.col(c) | F.coalesce(*log.flags[c]).isNotNull()).alias(c)
-        if c not in replaced:
-            return F.col(c)
-        chain = reduce(lambda w, r: w.when(r[0], r[1]), replaced[c][1:], F.when(*replaced[c][0]))
-        return chain.otherwise(F.col(c)).alias(c)
-
-    columns = [*df.columns, *[f for f in flag_of.values() if f not in df.columns]]
-    actions = log.all_actions() or [F.lit(None).cast(ACTION_TYPE)]
-    return frame.select(
-        *[settled(c) for c in columns],
-        F.col("_name").alias("_rid"),
-        F.array_compact(F.array(*actions)).alias("_actions"),
-        (F.coalesce(*log.drops) if log.drops else F.lit(None).cast(ACTION_TYPE)).alias("_drop"),
+            r.issue(check_id, columns)
+    if "_missing" in marks:
+        r.missing()
+    if "_outliers" in marks:
+        r.outliers()
+    drops = first_of([when(*d) for d in r.log.drops]) if r.log.drops else _NO_ACTION
+    return named.selectExpr(
+        *[r.settled(c) for c in [*columns, *[f for f in flags if f not in columns]]],
+        "_name as _rid",
+        f"array_compact(array({', '.join(r.log.all_actions() or [_NO_ACTION])})) as _actions",
+        f"{drops} as _drop",
     )
 
 
@@ -491,30 +522,29 @@ def cascade(
     out: dict[str, DataFrame] = {}
     for table in [t for t in order if t in resolved] + [t for t in resolved if t not in order]:
         df = resolved[table]
-        entries = [F.col("_drop")]
+        entries = ["_drop"]
         plain = df.columns
         for column, parent, parent_column in references.get(table, ()):
             if parent not in out or column not in df.columns or parent_column not in out[parent].columns:
                 continue
             alive = out[parent].where(F.col("_drop").isNull())
-            known, as_key = parent_values(alive, parent_column, df.schema[column].dataType)
+            known, form = parent_values(alive, parent_column, df.schema[column].dataType)
             hit = f"_has_{column}"
             known = known.select(F.col("_key").alias(f"_key_{column}"), F.lit(True).alias(hit))
-            df = df.withColumn(f"_key_{column}", as_key(F.col(column))).join(known, f"_key_{column}", "left")
+            df = df.withColumn(f"_key_{column}", F.expr(typed(column, form))).join(known, f"_key_{column}", "left")
             entries.append(
-                F.when(
-                    F.col(column).isNotNull() & F.col(hit).isNull(),
-                    action(
-                        source=DQA, table_name=table, row_identifier=F.col("_rid"),
-                        check_id=f"post_cleaning_fk_{table}_{column}_to_{parent}_{parent_column}",
-                        issue_code="BROKEN_FOREIGN_KEY_AFTER_CLEANING", cleaning_action="DROP_ROW",
-                        reason=f"Row removed because {table}.{column} no longer references a valid "
-                        f"{parent}.{parent_column} after previous cleaning actions.",
+                when(f"{column} is not null and {hit} is null", action(
+                    source=quoted(DQA), table_name=quoted(table), row_identifier="_rid",
+                    check_id=quoted(f"post_cleaning_fk_{table}_{column}_to_{parent}_{parent_column}"),
+                    issue_code="'BROKEN_FOREIGN_KEY_AFTER_CLEANING'", cleaning_action="'DROP_ROW'",
+                    reason=quoted(
+                        f"Row removed because {table}.{column} no longer references a valid "
+                        f"{parent}.{parent_column} after previous cleaning actions."
                     ),
-                )
+                ))
             )
         if len(entries) > 1:
-            df = df.withColumn("_drop", F.coalesce(*entries)).select(*plain)
+            df = df.withColumn("_drop", F.expr(first_of(entries))).select(*plain)
         out[table] = stage(df)
     return out
 

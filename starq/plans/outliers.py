@@ -135,7 +135,7 @@ def detect(
     laps: DataFrame, metrics: Sequence[str] = OUTLIER_METRICS, floor: int = FLOOR, share: float = SHARE
 ) -> Outliers:
     """Outlier flags and the summary per session and metric of already clean laps."""
-    rid = row_identifier(laps, ["lap_id"]).alias("row_identifier")
+    rid = row_identifier(laps.columns, ["lap_id"]).alias("row_identifier")
     laps = laps.where(F.col("session_id").isNotNull())
     metrics = [m for m in metrics if m in laps.columns]
     values = long_metrics(laps, ["session_id", rid], metrics)

@@ -7,14 +7,13 @@ keys, so a key that fills a third of a table is one row after the map side.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from starq.functions.scalars import canonical_value, lookup, number, score, score_status, strip, whole_text
+from starq.functions.scalars import lookup, score, score_status
 from starq.operators.joins import missing_columns
-from starq.operators.keys import duplicated_keys
 from starq.plans.rules import RULES, Check, Reference, Required, TableRules
 from starq.schemas import QUALITY_DIMENSIONS
 
@@ -29,107 +28,113 @@ _COUNTS = "table_name string, dimension string, check_id string, check_descripti
 _TABLE_ROW = "__table__"
 
 
-# --- row-level predicates: (applicable, failing) -------------------------------------------------------------------
+# --- row-level predicates as SQL text: (applicable, failing) -------------------------------------------------------
 
 
-def _sure(c: Column) -> Column:
+def quoted(text: str) -> str:
+    """A SQL string literal (raw, so patterns keep their backslashes)."""
+    if "'" not in text:
+        return f"r'{text}'"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sure(condition: str) -> str:
     """Two-valued: an unknown comparison counts as false."""
-    return F.coalesce(c, F.lit(False))
+    return f"coalesce({condition}, false)"
+
+
+def sql_strip(c: str) -> str:
+    return rf"regexp_replace(cast({c} as string), r'^\s+|\s+$', '')"
+
+
+def sql_number(c: str) -> str:
+    return f"nullif(try_cast({c} as double), double('NaN'))"
 
 
-def _starts_with_pattern(c: Column, pattern: str) -> Column:
-    return strip(c).rlike(f"^(?:{pattern})")
+def _any(conditions: Iterable[str]) -> str:
+    return "(" + " or ".join(conditions) + ")"
 
 
-def value_ok(c: Column, check: Check) -> Column:
+def _all(conditions: Iterable[str]) -> str:
+    return "(" + " and ".join(conditions) + ")"
+
+
+def value_ok(c: str, check: Check) -> str:
     """Whether a present value satisfies a validity rule."""
     if check.kind == "domain":
-        allowed = check.options["allowed"]
-        return _sure(strip(c).isin(*allowed)) | _sure(whole_text(c).isin(*allowed))
+        allowed = ", ".join(quoted(a) for a in check.options["allowed"])
+        whole = f"cast(try_cast({sql_number(c)} as bigint) as string)"
+        return _any([sure(f"{sql_strip(c)} in ({allowed})"), sure(f"{whole} in ({allowed})")])
     if check.kind == "range":
-        v = number(c)
-        ok = v.isNotNull()
+        v = sql_number(c)
+        limits = [f"{v} is not null"]
         if "min" in check.options:
-            ok &= v >= float(check.options["min"])
+            limits.append(f"{v} >= {float(check.options['min'])}D")
         if "max" in check.options:
-            ok &= v <= float(check.options["max"])
-        return _sure(ok)
-    if check.kind == "url":
-        return _sure(_starts_with_pattern(c, "https?://"))
-    if check.kind == "regex":
-        return _sure(_starts_with_pattern(c, check.options["pattern"]))
+            limits.append(f"{v} <= {float(check.options['max'])}D")
+        return sure(_all(limits))
+    if check.kind in ("url", "regex"):
+        pattern = "https?://" if check.kind == "url" else check.options["pattern"]
+        return sure(f"{sql_strip(c)} rlike {quoted(f'^(?:{pattern})')}")
     raise ValueError(f"unsupported validity rule: {check.kind}")
 
 
-def _validity(check: Check) -> tuple[Column, Column]:
-    applicable, failing = F.lit(False), F.lit(False)
-    for name in check.columns:
-        present = F.col(name).isNotNull()
-        applicable |= present
-        failing |= present & ~value_ok(F.col(name), check)
-    return applicable, failing
+def validity(check: Check) -> tuple[str, str]:
+    applicable = _any(f"{c} is not null" for c in check.columns)
+    return applicable, _any(f"({c} is not null and not {value_ok(c, check)})" for c in check.columns)
+
 
+def _dates_in_order(o) -> tuple[str, str]:
+    both = f"({o['start']} is not null and {o['end']} is not null)"
+    return both, f"{both} and {sure(f'{o['start']} > {o['end']}')}"
 
-def _dates_in_order(o) -> tuple[Column, Column]:
-    start, end = F.col(o["start"]), F.col(o["end"])
-    both = start.isNotNull() & end.isNotNull()
-    return both, both & _sure(start > end)
 
+def _dates_in_year(o) -> tuple[str, str]:
+    year = sql_number(o["year"])
+    applicable = f"({year} is not null and {_any(f'{d} is not null' for d in o['dates'])})"
+    return applicable, f"{applicable} and {_any(sure(f'year({d}) <> {year}') for d in o['dates'])}"
 
-def _dates_in_year(o) -> tuple[Column, Column]:
-    year = number(F.col(o["year"]))
-    present, wrong = F.lit(False), F.lit(False)
-    for name in o["dates"]:
-        present |= F.col(name).isNotNull()
-        wrong |= _sure(F.year(name) != year)
-    applicable = year.isNotNull() & present
-    return applicable, applicable & wrong
 
+def _date_near_parent(o) -> tuple[str, str]:
+    day = f"to_date({o['date']})"
+    applicable = f"({day} is not null and _parent_min is not null)"
+    early = f"datediff(_parent_max, {day}) > {o['days_before']}"
+    return applicable, f"{applicable} and {_any([sure(early), sure(f'datediff({day}, _parent_min) > 0')])}"
 
-def _date_near_parent(o) -> tuple[Column, Column]:
-    day = F.to_date(o["date"])
-    applicable = day.isNotNull() & F.col("_parent_min").isNotNull()
-    early = F.datediff(F.col("_parent_max"), day) > o["days_before"]
-    late = F.datediff(day, F.col("_parent_min")) > 0
-    return applicable, applicable & (_sure(early) | _sure(late))
 
+def _parts_sum_to_total(o) -> tuple[str, str]:
+    parts = [sql_number(p) for p in o["parts"]]
+    total = sql_number(o["total"])
+    applicable = _all([f"{c} is not null" for c in (total, *parts)] + [f"{c} is null" for c in o["unless"]])
+    return applicable, f"{applicable} and {sure(f'abs({' + '.join(parts)} - {total}) > {o['tolerance']}')}"
 
-def _parts_sum_to_total(o) -> tuple[Column, Column]:
-    total = number(F.col(o["total"]))
-    parts = [number(F.col(p)) for p in o["parts"]]
-    applicable = total.isNotNull()
-    for p in parts:
-        applicable &= p.isNotNull()
-    for name in o["unless"]:
-        applicable &= F.col(name).isNull()
-    return applicable, applicable & _sure(F.abs(sum(parts[1:], parts[0]) - total) > o["tolerance"])
 
+def _age_between(o) -> tuple[str, str]:
+    born = o["born"]
+    too_young = f"{o['first_year']} - year({born}) < {o['youngest']}"
+    too_old = f"{o['last_year']} - year({born}) > {o['oldest']}"
+    return f"({born} is not null)", _any([sure(too_young), sure(too_old)])
 
-def _age_between(o) -> tuple[Column, Column]:
-    year = F.year(o["born"])
-    applicable = year.isNotNull()
-    too_young = F.lit(o["first_year"]) - year < o["youngest"]
-    too_old = F.lit(o["last_year"]) - year > o["oldest"]
-    return applicable, applicable & _sure(too_young | too_old)
 
+def _difference_at_most(o) -> tuple[str, str]:
+    left, right = sql_number(o["left"]), sql_number(o["right"])
+    applicable = f"({left} is not null and {right} is not null)"
+    return applicable, f"{applicable} and {sure(f'abs({left} - {right}) > {o['limit']}')}"
 
-def _difference_at_most(o) -> tuple[Column, Column]:
-    left, right = number(F.col(o["left"])), number(F.col(o["right"]))
-    applicable = left.isNotNull() & right.isNotNull()
-    return applicable, applicable & _sure(F.abs(left - right) > o["limit"])
 
+def sql_map(entries: Mapping) -> str:
+    return "map(" + ", ".join(f"{k if isinstance(k, int) else quoted(k)}, {quoted(v)}" for k, v in entries.items()) + ")"
 
-def _code_matches_text(o) -> tuple[Column, Column]:
-    applicable = F.col(o["code"]).isNotNull() & F.col(o["text"]).isNotNull()
-    expected = lookup(number(F.col(o["code"])).try_cast("int"), o["mapping"])
-    return applicable, applicable & ~_sure(strip(F.col(o["text"])) == expected)
 
+def _code_matches_text(o) -> tuple[str, str]:
+    applicable = f"({o['code']} is not null and {o['text']} is not null)"
+    expected = f"try_element_at({sql_map(o['mapping'])}, try_cast({sql_number(o['code'])} as int))"
+    return applicable, f"{applicable} and not {sure(f'{sql_strip(o['text'])} = {expected}')}"
 
-def _segments_in_order(o) -> tuple[Column, Column]:
-    wrong = F.lit(False)
-    for before, after in zip(o["segments"], o["segments"][1:]):
-        wrong |= F.col(after).isNotNull() & F.col(before).isNull()
-    return F.lit(True), wrong
+
+def _segments_in_order(o) -> tuple[str, str]:
+    pairs = zip(o["segments"], o["segments"][1:])
+    return "true", _any(f"({after} is not null and {before} is null)" for before, after in pairs)
 
 
 # name -> (columns the options name, predicate builder)
@@ -145,61 +150,80 @@ CUSTOM_CHECKS = {
 }
 
 
-def row_identifier(df: DataFrame, key: Sequence[str]) -> Column:
+def sql_row_identifier(columns: Sequence[str], key: Sequence[str]) -> str:
     """'pk=value', or a hash of the row when a part of the key is missing."""
-    fallback = F.concat(F.lit("row_index="), F.xxhash64(*df.columns).cast("string"))
-    if not key or missing_columns(df, key):
+    fallback = f"concat('row_index=', cast(xxhash64({', '.join(columns)}) as string))"
+    if not key or any(k not in columns for k in key):
         return fallback
-    complete = F.lit(True)
-    for k in key:
-        complete &= F.col(k).isNotNull()
-    named = F.concat_ws(";", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in key])
-    return F.when(complete, named).otherwise(fallback)
+    named = "concat_ws(';', " + ", ".join(f"concat('{k}=', cast({k} as string))" for k in key) + ")"
+    return f"case when {_all(f'{k} is not null' for k in key)} then {named} else {fallback} end"
+
+
+def row_identifier(columns: Sequence[str], key: Sequence[str]) -> Column:
+    return F.expr(sql_row_identifier(columns, key))
 
 
 # --- compilation ---------------------------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
-class _RowCheck:
-    """A check decided by one row: counted with the others in one aggregate."""
+class _Counted:
+    """A check that one aggregate per table counts together with the others."""
 
     dimension: str
     check_id: str
     description: str
-    total: Column  # aggregate
-    failed: Column  # aggregate
-    failing: Column  # per row
+    total: str  # aggregate
+    failed: str | None  # aggregate, or None when the keyed passes count it
+
+
+@dataclass(frozen=True)
+class _Keyed:
+    """A check decided by comparing a key with other rows: uniqueness or reference."""
+
+    check_id: str
     code: str
-    text: Column
+    text: str
+    key: str  # array of text, NULL when the row is not concerned
+    parent: str = ""
+
+
+@dataclass(frozen=True)
+class _Parent:
+    name: str
+    keys: DataFrame
 
 
 class _Compiler:
+    """The plans of one table's rules. Several references or keys share one scan."""
+
     def __init__(self, table: str, df: DataFrame, tables: Mapping[str, DataFrame], rules: TableRules):
         self.table, self.df, self.tables, self.rules = table, df, tables, rules
-        self.spark = df.sparkSession
-        self.row_checks: list[_RowCheck] = []
-        self.counts: list[DataFrame] = []
-        self.issues: list[DataFrame] = []
-        self.structural: list[tuple] = []  # dimension, check_id, description, failed, total
+        self.plain = df.columns
+        self.types = {f.name: f.dataType for f in df.schema.fields}
+        self.counted: list[_Counted] = []
+        self.found: list[str] = []  # issue structs of row-level checks
+        self.unique: list[_Keyed] = []
+        self.references: list[_Keyed] = []
+        self.parents: dict[str, _Parent] = {}
+        self.structural: list[tuple] = []
         self.structural_issues: list[tuple] = []
 
     def compile(self) -> None:
         for group in self.rules.required:
             self._required(group)
-        for check in self.rules.validity:
-            self._validity(check)
-        for check in self.rules.consistency:
-            self._custom(check, "Consistency")
-        for check in self.rules.plausibility:
-            self._custom(check, "Accuracy")
-        self._row_level()
         self._unique("primary_key_unique", self.rules.primary_key, "Primary key {} must be unique among complete key values.")
         for n, key in enumerate(self.rules.natural_keys, 1):
             if tuple(key) != tuple(self.rules.primary_key):
                 self._unique(
                     f"natural_key_{n}_unique", key, "Natural key {} should be unique among complete key values."
                 )
+        for check in self.rules.validity:
+            self._validity(check)
+        for check in self.rules.consistency:
+            self._custom(check, "Consistency")
+        for check in self.rules.plausibility:
+            self._custom(check, "Accuracy")
         for reference in self.rules.references:
             self._reference(reference)
 
@@ -209,56 +233,58 @@ class _Compiler:
         if code:
             self.structural_issues.append((self.table, _TABLE_ROW, dimension, check_id, code, text, "red"))
 
+    def _issue(self, dimension: str, check_id: str, failing: str, code: str, text: str) -> None:
+        entry = (
+            f"named_struct('dimension', {quoted(dimension)}, 'check_id', {quoted(check_id)}, "
+            f"'issue_code', {quoted(code)}, 'issue_description', {text})"
+        )
+        self.found.append(f"case when {failing} then {entry} end")
+
     def _required(self, group: Required) -> None:
-        missing = missing_columns(self.df, group.columns)
+        missing = self._missing(group.columns)
         if missing:
-            cells = F.greatest(F.count("*"), F.lit(1)) * len(group.columns)
-            self.row_checks.append(
-                _RowCheck("Completeness", group.check_id, group.description, cells, cells, F.lit(False), "", F.lit(""))
-            )
+            cells = f"greatest(count(*), 1) * {len(group.columns)}"
+            self.counted.append(_Counted("Completeness", group.check_id, group.description, cells, cells))
             self.structural_issues.append(
                 (self.table, _TABLE_ROW, "Completeness", group.check_id, "MISSING_REQUIRED_COLUMN",
                  f"Missing required columns: {missing}", "red")
             )
             return
-        empty = [F.col(c).isNull() for c in group.columns]
-        names = F.array_compact(F.array(*[F.when(e, F.lit(f"'{c}'")) for e, c in zip(empty, group.columns)]))
-        text = F.concat(F.lit("Missing required values in columns: ["), F.array_join(names, ", "), F.lit("]"))
-        any_empty, cells = F.lit(False), F.lit(0)
-        for e in empty:
-            any_empty |= e
-            cells += e.cast("bigint")
-        self.row_checks.append(
-            _RowCheck(
-                "Completeness", group.check_id, group.description, F.count("*") * len(group.columns),
-                F.coalesce(F.sum(cells), F.lit(0)), any_empty, "MISSING_REQUIRED_VALUE", text,
-            )
+        listed = ", ".join(f"""case when {c} is null then "'{c}'" end""" for c in group.columns)
+        text = f"concat('Missing required values in columns: [', array_join(array({listed}), ', '), ']')"
+        present = " + ".join(f"count({c})" for c in group.columns)
+        cells = f"count(*) * {len(group.columns)}"
+        self.counted.append(
+            _Counted("Completeness", group.check_id, group.description, cells, f"{cells} - ({present})")
         )
+        any_empty = _any(f"{c} is null" for c in group.columns)
+        self._issue("Completeness", group.check_id, any_empty, "MISSING_REQUIRED_VALUE", text)
 
-    def _row_check(self, dimension: str, check: Check, applicable: Column, failing: Column, code: str) -> None:
-        self.row_checks.append(
-            _RowCheck(
-                dimension, check.check_id, check.description, F.count_if(applicable), F.count_if(failing), failing,
-                code, F.lit(check.description),
-            )
+    def _missing(self, columns: Sequence[str]) -> list[str]:
+        return [c for c in columns if c not in self.plain]
+
+    def _row_check(self, dimension: str, check: Check, applicable: str, failing: str, code: str) -> None:
+        self.counted.append(
+            _Counted(dimension, check.check_id, check.description, f"count_if({applicable})", f"count_if({failing})")
         )
+        self._issue(dimension, check.check_id, failing, code, quoted(check.description))
 
     def _validity(self, check: Check) -> None:
-        missing = missing_columns(self.df, check.columns)
+        missing = self._missing(check.columns)
         if missing:
             self._structural(
                 "Validity", check.check_id, check.description, 1, 1, "MISSING_VALIDITY_COLUMN",
                 f"Missing columns for validity check: {missing}",
             )
             return
-        self._row_check("Validity", check, *_validity(check), "INVALID_VALUE")
+        self._row_check("Validity", check, *validity(check), "INVALID_VALUE")
 
     def _custom(self, check: Check, dimension: str) -> None:
         needed, build = CUSTOM_CHECKS[check.options["function"]]
         options = dict(check.options)
         if "unless" in options:
-            options["unless"] = [c for c in options["unless"] if c in self.df.columns]
-        if missing_columns(self.df, needed(options)) or not self._add_parent_dates(options):
+            options["unless"] = [c for c in options["unless"] if c in self.plain]
+        if self._missing(needed(options)) or not self._add_parent_dates(options):
             self._structural(dimension, check.check_id, check.description, 0, 0)
             return
         self._row_check(dimension, check, *build(options), check.check_id.upper())
@@ -275,88 +301,22 @@ class _Compiler:
         self.df = self.df.join(dates, options["key"], "left")
         return True
 
-    def _row_level(self) -> None:
-        checks = self.row_checks
-        if not checks:
-            return
-        plain = [c for c in self.df.columns if not c.startswith("_parent_")]
-        totals = self.df.agg(
-            *[c.total.cast("bigint").alias(f"t{i}") for i, c in enumerate(checks)],
-            *[c.failed.cast("bigint").alias(f"f{i}") for i, c in enumerate(checks)],
-        )
-        entries = [
-            F.struct(
-                F.lit(self.table).alias("table_name"), F.lit(c.dimension).alias("dimension"),
-                F.lit(c.check_id).alias("check_id"), F.lit(c.description).alias("check_description"),
-                F.col(f"f{i}").alias("failed_count"), F.col(f"t{i}").alias("total_count"),
-            )
-            for i, c in enumerate(checks)
-        ]
-        self.counts.append(totals.select(F.inline(F.array(*entries))))
-        found = [
-            F.when(
-                _sure(c.failing),
-                F.struct(
-                    F.lit(c.dimension).alias("dimension"), F.lit(c.check_id).alias("check_id"),
-                    F.lit(c.code).alias("issue_code"), c.text.alias("issue_description"),
-                ),
-            )
-            for c in checks
-            if c.code
-        ]
-        if found:
-            rid = row_identifier(self.df.select(*plain), self.rules.primary_key)
-            self.issues.append(
-                self.df.select(rid.alias("row_identifier"), F.inline(F.array_compact(F.array(*found)))).select(
-                    F.lit(self.table).alias("table_name"), "*"
-                )
-            )
-
-    def _count_row(self, counted: DataFrame, dimension: str, check_id: str, description: str) -> None:
-        """counted: pre-aggregated rows with `_n` (rows) and `_bad` (whether they fail)."""
-        self.counts.append(
-            counted.agg(
-                F.coalesce(F.sum(F.when(F.col("_bad"), F.col("_n"))), F.lit(0)).alias("failed_count"),
-                F.coalesce(F.sum("_n"), F.lit(0)).alias("total_count"),
-            ).select(
-                F.lit(self.table).alias("table_name"), F.lit(dimension).alias("dimension"),
-                F.lit(check_id).alias("check_id"), F.lit(description).alias("check_description"),
-                "failed_count", "total_count",
-            )
-        )
-
-    def _issue_rows(self, rows: DataFrame, dimension: str, check_id: str, code: str, text: Column) -> None:
-        self.issues.append(
-            rows.select(
-                F.lit(self.table).alias("table_name"),
-                row_identifier(rows, self.rules.primary_key).alias("row_identifier"),
-                F.lit(dimension).alias("dimension"), F.lit(check_id).alias("check_id"),
-                F.lit(code).alias("issue_code"), text.alias("issue_description"),
-            )
-        )
-
     def _unique(self, check_id: str, key: Sequence[str], pattern: str) -> None:
         description = pattern.format(list(key))
-        if not key or missing_columns(self.df, key):
+        if not key or self._missing(key):
             self._structural("Uniqueness", check_id, description, 0, 0)
             return
-        rows = self._plain()
-        counted = rows.dropna(subset=list(key)).groupBy(*key).agg(F.count("*").alias("_n"))
-        self._count_row(counted.select("_n", (F.col("_n") > 1).alias("_bad")), "Uniqueness", check_id, description)
-        copies = rows.join(duplicated_keys(rows, key).drop("_n"), list(key), "left_semi").select(*rows.columns)
-        self._issue_rows(
-            copies, "Uniqueness", check_id, "DUPLICATED_KEY",
-            F.lit(f"Key {list(key)} is duplicated among complete key values."),
-        )
-
-    def _plain(self) -> DataFrame:
-        return self.df.select(*[c for c in self.df.columns if not c.startswith("_parent_")])
+        complete = _all(f"{k} is not null" for k in key)
+        self.counted.append(_Counted("Uniqueness", check_id, description, f"count_if({complete})", None))
+        text = quoted(f"Key {list(key)} is duplicated among complete key values.")
+        value = f"case when {complete} then array({', '.join(f'cast({k} as string)' for k in key)}) end"
+        self.unique.append(_Keyed(check_id, "DUPLICATED_KEY", text, value))
 
     def _reference(self, ref: Reference) -> None:
         check_id = f"fk_{self.table}_{ref.column}_to_{ref.parent}_{ref.parent_column}"
         description = f"{self.table}.{ref.column} must reference {ref.parent}.{ref.parent_column}."
         parent = self.tables.get(ref.parent)
-        if ref.column not in self.df.columns:
+        if ref.column not in self.plain:
             self._structural(
                 "Referential Integrity", check_id, description, 1, 1, "MISSING_CHILD_FK_COLUMN",
                 f"Missing child FK column: {ref.column}",
@@ -368,30 +328,80 @@ class _Compiler:
                 f"Missing parent: {ref.parent}.{ref.parent_column}",
             )
             return
-        rows = self._plain().where(F.col(ref.column).isNotNull())
-        known, key = parent_values(parent, ref.parent_column, rows.schema[ref.column].dataType)
-        values = rows.groupBy(ref.column).agg(F.count("*").alias("_n"))
-        counted = values.withColumn("_key", key(F.col(ref.column))).join(known.withColumn("_hit", F.lit(True)), "_key", "left")
-        self._count_row(
-            counted.select("_n", F.col("_hit").isNull().alias("_bad")), "Referential Integrity", check_id, description
+        child = ref.column
+        form = comparable_form(self.types[child], parent.schema[ref.parent_column].dataType)
+        name = f"{ref.parent}.{ref.parent_column} as {form}"
+        keys = parent.where(f"{ref.parent_column} is not null").selectExpr(
+            f"{quoted(name)} as parent", f"array({comparable(ref.parent_column, form)}) as key"
         )
-        orphans = rows.withColumn("_key", key(F.col(ref.column))).join(known, "_key", "left_anti").select(*rows.columns)
-        text = F.concat(
-            F.lit(f"{ref.column}="), F.col(ref.column).cast("string"),
-            F.lit(f" does not exist in {ref.parent}.{ref.parent_column}."),
+        self.parents[name] = _Parent(name, keys)
+        self.counted.append(_Counted("Referential Integrity", check_id, description, f"count({child})", None))
+        text = f"concat('{child}=', cast({child} as string), ' does not exist in {ref.parent}.{ref.parent_column}.')"
+        value = f"case when {child} is not null then array({comparable(child, form)}) end"
+        self.references.append(_Keyed(check_id, "BROKEN_FOREIGN_KEY", text, value, name))
+
+    def counts(self) -> DataFrame | None:
+        if not self.counted:
+            return None
+        totals = self.df.selectExpr(
+            *[f"cast({c.total} as bigint) as t{i}" for i, c in enumerate(self.counted)],
+            *[f"cast({c.failed or 'null'} as bigint) as f{i}" for i, c in enumerate(self.counted)],
         )
-        self._issue_rows(orphans, "Referential Integrity", check_id, "BROKEN_FOREIGN_KEY", text)
+        entries = [
+            f"named_struct('table_name', {quoted(self.table)}, 'dimension', {quoted(c.dimension)}, 'check_id', "
+            f"{quoted(c.check_id)}, 'check_description', {quoted(c.description)}, 'failed_count', f{i}, 'total_count', t{i})"
+            for i, c in enumerate(self.counted)
+        ]
+        return totals.selectExpr(f"inline(array({', '.join(entries)}))")
 
+    def _flat(self, entries: Sequence[str]) -> DataFrame:
+        rid = sql_row_identifier(self.plain, self.rules.primary_key)
+        flat = self.df.selectExpr(f"{rid} as row_identifier", f"inline(array_compact(array({', '.join(entries)})))")
+        return flat.selectExpr(f"{quoted(self.table)} as table_name", "*")
 
-def parent_values(parent: DataFrame, column: str, child_type: T.DataType):
-    """Distinct parent keys as `_key`, and the child expression to compare with.
+    def row_issues(self) -> DataFrame | None:
+        return self._flat(self.found) if self.found else None
 
-    Equal types compare as they are (no per-row text), others in canonical text.
-    """
-    same = parent.schema[column].dataType == child_type
-    key = (lambda c: strip(c)) if same and isinstance(child_type, T.StringType) else (lambda c: c) if same else canonical_value
-    values = parent.where(F.col(column).isNotNull()).select(key(F.col(column)).alias("_key")).distinct()
-    return values, key
+    def keyed(self, checks: Sequence[_Keyed]) -> DataFrame | None:
+        """One row per row and check that has a key."""
+        entries = [
+            f"case when ({c.key}) is not null then named_struct('check_id', {quoted(c.check_id)}, 'issue_code', "
+            f"{quoted(c.code)}, 'issue_description', {c.text}, 'parent', {quoted(c.parent)}, 'key', {c.key}) end"
+            for c in checks
+        ]
+        return self._flat(entries) if entries else None
+
+
+def comparable_form(child: T.DataType, parent: T.DataType) -> str:
+    """How two key columns are compared: text trimmed, equal types as they are, others canonically."""
+    if child != parent:
+        return "canonical"
+    return "text" if isinstance(child, T.StringType) else "value"
+
+
+def comparable(column: str, form: str) -> str:
+    if form == "text":
+        return sql_strip(column)
+    if form == "value":
+        return f"cast({column} as string)"
+    text, value = sql_strip(column), sql_number(column)
+    return (
+        f"case when {text} rlike r'^-?[0-9]{{1,18}}$' then cast(try_cast({text} as bigint) as string) "
+        f"when {value} = floor({value}) and abs({value}) < 9e15 then cast(try_cast({value} as bigint) as string) "
+        f"when {value} is not null then cast({value} as string) else {text} end"
+    )
+
+
+def parent_values(parent: DataFrame, column: str, child_type: T.DataType) -> tuple[DataFrame, str]:
+    """Distinct parent keys as `_key`, and the form in which a child has to be compared."""
+    form = comparable_form(child_type, parent.schema[column].dataType)
+    values = parent.where(f"{column} is not null").selectExpr(f"{typed(column, form)} as _key").distinct()
+    return values, form
+
+
+def typed(column: str, form: str) -> str:
+    """As `comparable`, but equal types keep their type (cheaper to join on)."""
+    return column if form == "value" else comparable(column, form)
 
 
 @dataclass(frozen=True)
@@ -408,13 +418,33 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame | None:
     return out
 
 
+_EXACT = ["table_name", "check_id", "key"]
+
+
+def _duplicates(keyed: DataFrame) -> DataFrame:
+    """Keys that several rows of a table share, with their number."""
+    return keyed.groupBy(*_EXACT).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
+
+
+def _orphans(keyed: DataFrame, parents: DataFrame) -> DataFrame:
+    """Key values of children without a parent, with the number of rows that hold them.
+
+    Counted before the join: a value held by a third of the rows is one row here.
+    """
+    values = keyed.groupBy(*_EXACT, "parent").agg(F.count("*").alias("_n"))
+    return values.join(parents, ["parent", "key"], "left_anti").select(*_EXACT, "_n")
+
+
 def assess(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
     rules: Mapping[str, TableRules] = RULES,
     dimensions: Sequence[str] = QUALITY_DIMENSIONS,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Assessment:
-    counts, issues, structural, structural_issues = [], [], [], []
+    """Run a rule catalogue. `stage` (see `starq.session.stage`) may keep the check
+    results and the issues, which several later outputs are derived from."""
+    structural, structural_issues, compiled = [], [], []
     for table, table_rules in rules.items():
         df = tables.get(table)
         if df is None:
@@ -425,37 +455,61 @@ def assess(
             continue
         compiler = _Compiler(table, df, tables, table_rules)
         compiler.compile()
-        counts += compiler.counts
-        issues += compiler.issues
+        compiled.append(compiler)
         structural += compiler.structural
         structural_issues += compiler.structural_issues
+
+    def gather(frames: Iterable[DataFrame | None]) -> DataFrame | None:
+        return _union(f for f in frames if f is not None)
+
+    keys = gather(c.keyed(c.unique) for c in compiled)
+    references = gather(c.keyed(c.references) for c in compiled)
+    bad = []  # (keyed rows, the failing keys among them, dimension)
+    if keys is not None:
+        bad.append((keys, _duplicates(keys), "Uniqueness"))
+    if references is not None:
+        parents = _union({n: p.keys for c in compiled for n, p in c.parents.items()}.values())
+        bad.append((references, _orphans(references, parents), "Referential Integrity"))
+
+    counts = gather(c.counts() for c in compiled)
+    if counts is not None and bad:
+        failed = _union(b.select("table_name", "check_id", "_n") for _, b, _ in bad)
+        failed = failed.groupBy("table_name", "check_id").agg(F.sum("_n").alias("_failed"))
+        # One row per check of the catalogue.
+        counts = counts.join(F.broadcast(failed), ["table_name", "check_id"], "left").withColumn(
+            "failed_count", F.coalesce("failed_count", "_failed", F.lit(0))
+        ).drop("_failed")
     if structural:
-        counts.append(spark.createDataFrame(structural, _COUNTS))
-    counted = _union(counts)
+        declared = spark.createDataFrame(structural, _COUNTS)
+        counts = declared if counts is None else counts.unionByName(declared)
     passed = F.col("total_count") - F.col("failed_count")
     results = (
-        counted.withColumn("passed_count", passed)
+        counts.withColumn("passed_count", passed)
         .withColumn("score", score(passed, F.col("total_count")))
         .withColumn("status", score_status(F.col("score")))
         .select(*CHECK_COLUMNS)
     )
-    all_issues = _union(issues)
+    results = stage(results)
+
     parts = []
-    if all_issues is not None:
-        parts.append(_with_severity(all_issues, results))
+    by_score = gather(c.row_issues() for c in compiled)
+    if by_score is not None:
+        parts.append(_with_severity(by_score, results))
+    for rows, failing, dimension in bad:
+        found = rows.join(failing.select(*_EXACT), _EXACT, "left_semi")
+        parts.append(found.withColumns({"dimension": F.lit(dimension), "severity": F.lit("red")}).select(*ISSUE_COLUMNS))
     schema = ", ".join(f"{c} string" for c in ISSUE_COLUMNS)
     if structural_issues or not parts:
         parts.append(spark.createDataFrame(structural_issues, schema))
-    issue_rows = _union(parts)
-    return Assessment(results, issue_rows, scorecard(results, issue_rows, dimensions))
+    issues = stage(_union(parts))
+    return Assessment(results, issues, scorecard(results, issues, dimensions))
 
 
 def _with_severity(issues: DataFrame, results: DataFrame) -> DataFrame:
-    """Duplicates and broken references are red, other issues by their check's score."""
-    always_red = F.col("issue_code").isin("DUPLICATED_KEY", "BROKEN_FOREIGN_KEY")
+    """Issues of row-level checks take their severity from the score of the check."""
     # One row per check of the catalogue.
     scores = F.broadcast(results.select("table_name", "check_id", "score"))
-    severity = F.when(always_red | (F.col("score") < 0.80), "red").otherwise("yellow")
+    severity = F.when(F.col("score") < 0.80, "red").otherwise("yellow")
     return (
         issues.join(scores, ["table_name", "check_id"], "left").withColumn("severity", severity).select(*ISSUE_COLUMNS)
     )

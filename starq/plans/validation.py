@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starq import schemas as s
 from starq.operators.joins import missing_columns
-from starq.plans.quality import parent_values
+from starq.plans.quality import parent_values, typed
 from starq.plans.warehouse import CONTEXT_DIMENSIONS, LAP_CONTEXT, RESULT_CONTEXT
 
 # --- constraints ---------------------------------------------------------------------------------------------------
@@ -86,9 +86,10 @@ def violations(c: Constraint, tables: Mapping[str, DataFrame]) -> DataFrame | No
         parent = tables.get(c.parent)
         if parent is None or c.parent_column not in parent.columns:
             return None
-        known, key = parent_values(parent, c.parent_column, df.schema[c.columns[0]].dataType)
-        child = df.where(F.col(c.columns[0]).isNotNull()).groupBy(c.columns[0]).agg(F.count("*").alias("_n"))
-        orphans = child.withColumn("_key", key(F.col(c.columns[0]))).join(known, "_key", "left_anti")
+        child = c.columns[0]
+        known, form = parent_values(parent, c.parent_column, df.schema[child].dataType)
+        values = df.where(F.col(child).isNotNull()).groupBy(child).agg(F.count("*").alias("_n"))
+        orphans = values.withColumn("_key", F.expr(typed(child, form))).join(known, "_key", "left_anti")
         counted = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"))
     return counted.select(
         F.lit(c.name).alias("constraint_name"), F.lit(c.kind).alias("constraint_type"),

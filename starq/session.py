@@ -52,3 +52,9 @@ def materialize(df, label: str = "stage"):
     path = fresh_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage(df, label: str = "stage"):
+    """Keep a result that several plans read: in the shared folder where the
+    cluster names one, else in the executors' storage."""
+    return materialize(df, label) if shared_dir(df.sparkSession) else df.persist()
