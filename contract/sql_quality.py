@@ -230,9 +230,9 @@ def with_quality(body: str, tables=VIEWS, views=VIEWS) -> str:
     """Definitions `checks` and `issues` of the given tables, then the query."""
     return f"""WITH {sql_views(*views)},
 counts AS MATERIALIZED ({counts_sql(tables)}),
-scored AS ({SCORED.format('counts')}),
+check_scores AS ({SCORED.format('counts')}),
 checks AS (SELECT table_name, dimension, check_id, check_description, passed_count, failed_count, total_count, score,
-                  {STATUS.format('score')} AS status FROM scored),
+                  {STATUS.format('score')} AS status FROM check_scores),
 found AS MATERIALIZED ({issues_sql(tables)}),
 issues AS (SELECT f.*, CASE WHEN issue_code IN ('DUPLICATED_KEY', 'BROKEN_FOREIGN_KEY') OR row_identifier = '__table__'
                             OR c.score < 0.80 THEN 'red' ELSE 'yellow' END AS severity
