@@ -119,14 +119,12 @@ SELECT 'customer', (SELECT count(*) FROM customer), count(*) FROM c UNION ALL SE
 SELECT 'lineitem', (SELECT count(*) FROM lineitem), count(*) FROM l""")
 def _(spark, sf):
     order = ("nation", "customer", "orders", "lineitem")
-    no_drop = F.lit(None).cast(cleaning.ACTION_TYPE)
-    frames = {t: base(spark, sf, t).withColumns({"_rid": F.lit(t), "_drop": no_drop}) for t in order}
-    reason = F.expr(cleaning.action(table_name="'nation'", cleaning_action="'DROP_ROW'", reason="'out of scope'"))
-    frames["nation"] = frames["nation"].withColumn("_drop", F.when(F.col("n_regionkey") == 2, reason))
-    out = cleaning.cascade(frames, _TREE, order)
+    frames = {t: base(spark, sf, t).withColumns({"_rid": F.lit(t), "_drop": F.lit(None).cast("int")}) for t in order}
+    frames["nation"] = frames["nation"].withColumn("_drop", F.when(F.col("n_regionkey") == 2, 0))
+    out = cleaning.cascade({t: cleaning.Resolved(df, ({"reason": "out of scope"},)) for t, df in frames.items()}, _TREE, order)
     counts = [
-        df.agg(F.count("*").alias("rows_before"), F.count_if(F.col("_drop").isNull()).alias("rows_after")).select(
-            F.lit(t).alias("table_name"), "rows_before", "rows_after") for t, df in out.items()]
+        r.frame.agg(F.count("*").alias("rows_before"), F.count_if(F.col("_drop").isNull()).alias("rows_after")).select(
+            F.lit(t).alias("table_name"), "rows_before", "rows_after") for t, r in out.items()]
     return reduce(DataFrame.unionByName, counts)
 
 

@@ -95,11 +95,11 @@ def _price_scores(spark, sf):
 
 
 def _rounded(df, *names):
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    return df.withColumns({n: F.round(n, 9) for n in names})
 
 
 @query("ol_iqr", _PRICES + scored_definitions("prices", "brand") + """
-SELECT brand, count(*) AS tested, round(max(iqr_lower_bound), 6) AS lower_bound, round(max(iqr_upper_bound), 6) AS upper_bound,
+SELECT brand, count(*) AS tested, round(max(iqr_lower_bound), 9) AS lower_bound, round(max(iqr_upper_bound), 9) AS upper_bound,
        count(*) FILTER (WHERE iqr_flag) AS outliers FROM scored GROUP BY 1""")
 def _(spark, sf):
     out = _price_scores(spark, sf).groupBy("brand").agg(
@@ -109,7 +109,7 @@ def _(spark, sf):
 
 
 @query("ol_modz", _PRICES + scored_definitions("prices", "brand") + """
-SELECT brand, round(max(smedian), 6) AS median, round(max(smad), 6) AS mad, round(max(modified_z_score), 6) AS max_z,
+SELECT brand, round(max(smedian), 9) AS median, round(max(smad), 9) AS mad, round(max(modified_z_score), 9) AS max_z,
        count(*) FILTER (WHERE modified_z_flag) AS outliers FROM scored GROUP BY 1""")
 def _(spark, sf):
     out = _price_scores(spark, sf).groupBy("brand").agg(
@@ -119,7 +119,7 @@ def _(spark, sf):
 
 
 _FLAG_COLUMNS = ", ".join(
-    f"round({c}, 6) AS {c}" if c in OUTLIER_VALUES else c for c in outliers.OUTLIER_COLUMNS)
+    f"round({c}, 9) AS {c}" if c in OUTLIER_VALUES else c for c in outliers.OUTLIER_COLUMNS)
 
 
 @query("ol_consensus", with_outliers(f"\nSELECT {_FLAG_COLUMNS} FROM outliers"))

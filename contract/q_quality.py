@@ -277,14 +277,14 @@ def _(spark, sf):
     return quality.assess(configure(spark), tables(spark, sf)).check_results
 
 
-_ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in SCORE_COLUMNS)
+_ROUNDED = ", ".join(f"round({c}, 9) AS {c}" for c in SCORE_COLUMNS)
 
 
 @query("dq_scorecard", with_quality("," + scorecard_sql() + f"""
-SELECT table_name, overall_score, status, issue_count, {_ROUNDED.replace('round(timeliness_score, 6)', 'CAST(timeliness_score AS DOUBLE)')} FROM scorecard"""))
+SELECT table_name, overall_score, status, issue_count, {_ROUNDED.replace('round(timeliness_score, 9)', 'CAST(timeliness_score AS DOUBLE)')} FROM scorecard"""))
 def _(spark, sf):
     card = stages(spark, sf).assessment().scorecard
-    return card.withColumns({c: F.round(c, 6) for c in SCORE_COLUMNS})
+    return card.withColumns({c: F.round(c, 9) for c in SCORE_COLUMNS})
 
 
 @query("dq_ri_issues", with_quality(f"\nSELECT {ISSUE} FROM issues WHERE dimension = 'Referential Integrity'"))

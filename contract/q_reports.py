@@ -31,9 +31,9 @@ _COLOR = "CASE WHEN score IS NULL THEN '#e5e7eb' WHEN score >= 0.95 THEN '#79b66
 
 @query("rp_heatmap", _with_card(",\nlong AS (" + " UNION ALL ".join(
     f"SELECT table_name, '{c}' AS dimension, CAST({c} AS DOUBLE) AS score FROM scorecard" for c in r.SCORE_COLUMNS)
-    + f") SELECT table_name, dimension, round(score, 6) AS score, {_COLOR} AS color FROM long"))
+    + f") SELECT table_name, dimension, round(score, 9) AS score, {_COLOR} AS color FROM long"))
 def _(spark, sf):
-    return r.score_matrix(stages(spark, sf).assessment().scorecard).withColumn("score", F.round("score", 6))
+    return r.score_matrix(stages(spark, sf).assessment().scorecard).withColumn("score", F.round("score", 9))
 
 
 def _with_missing_summary(body: str) -> str:
@@ -65,9 +65,9 @@ def _(spark, sf):
 
 @query("rp_outlier_rate", with_outliers("""
 SELECT metric, CAST(sum(tested_values) AS BIGINT) AS tested_values, CAST(sum(consensus_outliers) AS BIGINT) AS consensus_outliers,
-       round(coalesce(sum(consensus_outliers) / nullif(sum(tested_values), 0) * 100, 0), 6) AS consensus_outlier_rate FROM outlier_summary WHERE status = 'completed' GROUP BY 1"""))
+       round(coalesce(sum(consensus_outliers) / nullif(sum(tested_values), 0) * 100, 0), 9) AS consensus_outlier_rate FROM outlier_summary WHERE status = 'completed' GROUP BY 1"""))
 def _(spark, sf):
-    return r.outlier_rates(stages(spark, sf).outliers().summary).withColumn("consensus_outlier_rate", F.round("consensus_outlier_rate", 6))
+    return r.outlier_rates(stages(spark, sf).outliers().summary).withColumn("consensus_outlier_rate", F.round("consensus_outlier_rate", 9))
 
 
 @query("rp_methods", with_outliers("""
@@ -177,7 +177,7 @@ def _(spark, sf):
     _top("top_outlier_sessions", "concat_ws('|', CAST(session_id AS VARCHAR), metric)", "consensus_outliers", "outlier_summary", "consensus_outliers DESC, session_id, metric", 40),
     _sql("outlier_flags_by_interpretation", "interpretation", "count(*)", "outliers", "GROUP BY interpretation"),
     _sql("strong_consensus_by_metric", "metric", "count(*)", "outliers", "WHERE consensus_score >= 2 GROUP BY metric"),
-    _top("sample_strong_consensus_outliers", "concat_ws('|', metric, row_identifier)", "round(value, 6)", "outliers WHERE consensus_score >= 2", "consensus_score DESC, metric, row_identifier", 30)])))
+    _top("sample_strong_consensus_outliers", "concat_ws('|', metric, row_identifier)", "round(value, 9)", "outliers WHERE consensus_score >= 2", "consensus_score DESC, metric, row_identifier", 30)])))
 def _(spark, sf):
     o = stages(spark, sf).outliers()
     s = r.outlier_sections(o.summary, o.flags)
@@ -207,14 +207,14 @@ def _star(spark, sf):
 
 
 def _rounded(df, *names):
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    return df.withColumns({n: F.round(n, 9) for n in names})
 
 
 @query("bq_cumulative_gap", with_star(""",
 p AS (SELECT season_year, round_number, team_id, sum(points) AS points FROM fact_session_result JOIN dim_grand_prix USING (grand_prix_id) WHERE session_type = 'R' GROUP BY ALL),
 g AS (SELECT season_year, round_number, team_id, sum(coalesce(points, 0)) OVER (PARTITION BY season_year, team_id ORDER BY round_number) AS c
       FROM (SELECT DISTINCT season_year, round_number FROM p) r JOIN (SELECT DISTINCT season_year, team_id FROM p) t USING (season_year) LEFT JOIN p USING (season_year, round_number, team_id))
-SELECT season_year, round_number, team_id, round(c, 6) AS cumulative_points, round(max(c) OVER (PARTITION BY season_year, round_number) - c, 6) AS gap_to_leader FROM g"""))
+SELECT season_year, round_number, team_id, round(c, 9) AS cumulative_points, round(max(c) OVER (PARTITION BY season_year, round_number) - c, 9) AS gap_to_leader FROM g"""))
 def _(spark, sf):
     _, results, dims = _star(spark, sf)
     return _rounded(b.points_gap(results, dims["dim_grand_prix"]), "cumulative_points", "gap_to_leader")
@@ -231,8 +231,8 @@ def _(spark, sf):
 
 @query("bq_conversion", with_star(""",
 k AS (SELECT grand_prix_id, driver_id, team_id, min(position) FILTER (WHERE session_type = 'Q') AS q, min(position) FILTER (WHERE session_type = 'R') AS r FROM fact_session_result GROUP BY ALL)
-SELECT team_id, count(*) AS starts, round(avg(CAST(r <= q AS INT)), 6) AS conversion, round(avg(q - r), 6) AS mean_places_gained, round(stddev_samp(r), 6) AS race_consistency,
-       round(stddev_samp(q), 6) AS qualifying_consistency FROM k WHERE q IS NOT NULL AND r IS NOT NULL GROUP BY 1"""))
+SELECT team_id, count(*) AS starts, round(avg(CAST(r <= q AS INT)), 9) AS conversion, round(avg(q - r), 9) AS mean_places_gained, round(stddev_samp(r), 9) AS race_consistency,
+       round(stddev_samp(q), 9) AS qualifying_consistency FROM k WHERE q IS NOT NULL AND r IS NOT NULL GROUP BY 1"""))
 def _(spark, sf):
     _, results, _ = _star(spark, sf)
     return _rounded(b.qualifying_to_race(results), "conversion", "mean_places_gained", "race_consistency", "qualifying_consistency")
@@ -247,8 +247,8 @@ def _(spark, sf):
 
 
 @query("bq_tyre", with_star("""
-SELECT compound, starting_tyre_set_status, tyre_life_class, team_id, count(lap_time_ms) AS timed_laps, round(avg(lap_time_ms), 6) AS avg_lap_ms, min(lap_time_ms) AS min_lap_ms,
-       max(lap_time_ms) AS max_lap_ms, round(avg(sector1_time_ms), 6) AS avg_sector1_ms, round(avg(sector2_time_ms), 6) AS avg_sector2_ms, round(avg(sector3_time_ms), 6) AS avg_sector3_ms,
+SELECT compound, starting_tyre_set_status, tyre_life_class, team_id, count(lap_time_ms) AS timed_laps, round(avg(lap_time_ms), 9) AS avg_lap_ms, min(lap_time_ms) AS min_lap_ms,
+       max(lap_time_ms) AS max_lap_ms, round(avg(sector1_time_ms), 9) AS avg_sector1_ms, round(avg(sector2_time_ms), 9) AS avg_sector2_ms, round(avg(sector3_time_ms), 9) AS avg_sector3_ms,
        max(speed_st) AS max_speed_st FROM fact_lap_performance JOIN dim_tyre_context USING (tyre_context_key) GROUP BY 1, 2, 3, 4"""))
 def _(spark, sf):
     laps, _, dims = _star(spark, sf)
@@ -258,7 +258,7 @@ def _(spark, sf):
 @query("bq_circuit", with_star(""",
 t AS (SELECT grand_prix_id, team_id, avg(lap_time_ms) AS m FROM fact_lap_performance WHERE lap_time_ms IS NOT NULL GROUP BY 1, 2),
 g AS (SELECT *, (m - min(m) OVER (PARTITION BY grand_prix_id)) / min(m) OVER (PARTITION BY grand_prix_id) AS gap FROM t)
-SELECT global_circuit_category, team_id, round(avg(gap), 6) AS mean_relative_gap, count(*) AS events FROM g JOIN dim_grand_prix USING (grand_prix_id) GROUP BY 1, 2"""))
+SELECT global_circuit_category, team_id, round(avg(gap), 9) AS mean_relative_gap, count(*) AS events FROM g JOIN dim_grand_prix USING (grand_prix_id) GROUP BY 1, 2"""))
 def _(spark, sf):
     laps, _, dims = _star(spark, sf)
     return _rounded(b.gap_by_circuit(laps, dims["dim_grand_prix"]), "mean_relative_gap")
@@ -269,7 +269,7 @@ l AS (""" + " UNION ALL ".join(
     f"SELECT f.grand_prix_id, team_id, {i} AS sector, sector{i}_category AS sector_category, avg(sector{i}_time_ms) AS m FROM fact_lap_performance f JOIN dim_grand_prix USING (grand_prix_id) GROUP BY ALL"
     for i in (1, 2, 3)) + """),
 g AS (SELECT *, (m - min(m) OVER w) / min(m) OVER w AS gap FROM l WHERE m IS NOT NULL WINDOW w AS (PARTITION BY grand_prix_id, sector))
-SELECT sector_category, team_id, round(avg(gap), 6) AS mean_relative_gap, count(*) AS sectors FROM g GROUP BY 1, 2"""))
+SELECT sector_category, team_id, round(avg(gap), 9) AS mean_relative_gap, count(*) AS sectors FROM g GROUP BY 1, 2"""))
 def _(spark, sf):
     laps, _, dims = _star(spark, sf)
     return _rounded(b.gap_by_sector(laps, dims["dim_grand_prix"]), "mean_relative_gap")
@@ -280,8 +280,8 @@ def _mean(column, year):
 
 
 @query("bq_yoy", with_star(f"""
-SELECT team_id, session_type, round({_mean('position', 2021)}, 6) AS position_first, round({_mean('position', 2022)}, 6) AS position_second, round({_mean('points', 2021)}, 6) AS points_first,
-       round({_mean('points', 2022)}, 6) AS points_second, round({_mean('position', 2022)} - {_mean('position', 2021)}, 6) AS position_change, round({_mean('points', 2022)} - {_mean('points', 2021)}, 6) AS points_change
+SELECT team_id, session_type, round({_mean('position', 2021)}, 9) AS position_first, round({_mean('position', 2022)}, 9) AS position_second, round({_mean('points', 2021)}, 9) AS points_first,
+       round({_mean('points', 2022)}, 9) AS points_second, round({_mean('position', 2022)} - {_mean('position', 2021)}, 9) AS position_change, round({_mean('points', 2022)} - {_mean('points', 2021)}, 9) AS points_change
 FROM fact_session_result JOIN dim_grand_prix USING (grand_prix_id) GROUP BY 1, 2"""))
 def _(spark, sf):
     _, results, dims = _star(spark, sf)
@@ -292,15 +292,15 @@ def _(spark, sf):
 @query("bq_reliability", with_star(""",
 c AS (SELECT season_year, team_id, result_status_category, count(*) AS results FROM fact_session_result JOIN dim_result_outcome USING (result_outcome_key) JOIN dim_grand_prix USING (grand_prix_id)
       WHERE session_type = 'R' GROUP BY 1, 2, 3)
-SELECT *, round(results / sum(results) OVER (PARTITION BY season_year, team_id), 6) AS share FROM c"""))
+SELECT *, round(results / sum(results) OVER (PARTITION BY season_year, team_id), 9) AS share FROM c"""))
 def _(spark, sf):
     _, results, dims = _star(spark, sf)
     return _rounded(b.reliability(results, dims["dim_result_outcome"], dims["dim_grand_prix"]), "share")
 
 
 @query("bq_measures", with_star("""
-SELECT team_id, session_type, round(sum(points), 6) AS sum_points, round(avg(points), 6) AS avg_points, min(position) AS min_position, max(grid_position) AS max_grid_position,
-       round(avg(q1_ms), 6) AS avg_q1_ms, CAST(sum(laps) AS BIGINT) AS sum_laps FROM fact_session_result GROUP BY 1, 2"""))
+SELECT team_id, session_type, round(sum(points), 9) AS sum_points, round(avg(points), 9) AS avg_points, min(position) AS min_position, max(grid_position) AS max_grid_position,
+       round(avg(q1_ms), 9) AS avg_q1_ms, CAST(sum(laps) AS BIGINT) AS sum_laps FROM fact_session_result GROUP BY 1, 2"""))
 def _(spark, sf):
     _, results, _ = _star(spark, sf)
     wanted = b.measures(("points", "sum"), ("points", "avg"), ("position", "min"), ("grid_position", "max"), ("q1_ms", "avg"), ("laps", "sum"))

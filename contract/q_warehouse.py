@@ -94,13 +94,13 @@ def _(spark, sf):
 
 
 @query("asof_context", with_views("lap weather", w.asof("v_lap", "lap_id", "v_weather", "weather_id", {**w.WEATHER, "weather_id": "weather_id"}, "j") + """
-SELECT lap_id, weather_id, weather_time_ms, round(air_temp, 6) AS air_temp FROM j"""))
+SELECT lap_id, weather_id, weather_time_ms, round(air_temp, 9) AS air_temp FROM j"""))
 def _(spark, sf):
     context = Context(table(spark, sf, "weather"), "time_ms",
                       {"time_ms": "weather_time_ms", "weather_id": "weather_id", "air_temp": "air_temp"}, tie="weather_id")
     lap = table(spark, sf, "lap").select("lap_id", "session_id", "lap_start_time_ms")
     joined = asof_join(lap, ["session_id"], "lap_start_time_ms", [context])
-    return joined.select("lap_id", "weather_id", "weather_time_ms", F.round("air_temp", 6).alias("air_temp"))
+    return joined.select("lap_id", "weather_id", "weather_time_ms", F.round("air_temp", 9).alias("air_temp"))
 
 
 def _lap_context(spark, sf):
@@ -123,11 +123,11 @@ def _(spark, sf):
 
 
 @query("session_weather", with_views("weather", f"""
-w AS ({w.session_weather('v_weather')}) SELECT session_id, rain_flag, round(avg_air_temp, 6) AS avg_air_temp, round(avg_track_temp, 6) AS avg_track_temp, round(avg_wind_speed, 6) AS avg_wind_speed,
+w AS ({w.session_weather('v_weather')}) SELECT session_id, rain_flag, round(avg_air_temp, 9) AS avg_air_temp, round(avg_track_temp, 9) AS avg_track_temp, round(avg_wind_speed, 9) AS avg_wind_speed,
  {w.level('avg_air_temp', 20, 28)} AS avg_air_temp_class, {w.level('avg_track_temp', 30, 42)} AS avg_track_temp_class, {w.level('avg_wind_speed', 2, 5)} AS avg_wind_speed_class FROM w"""))
 def _(spark, sf):
     averages = ("avg_air_temp", "avg_track_temp", "avg_wind_speed")
-    return warehouse.session_weather(table(spark, sf, "weather")).withColumns({n: F.round(n, 6) for n in averages})
+    return warehouse.session_weather(table(spark, sf, "weather")).withColumns({n: F.round(n, 9) for n in averages})
 
 
 # --- dimensions ----------------------------------------------------------------------------------------------------

@@ -26,9 +26,8 @@ ACTION_FIELDS = (
     "missing_class", "information_area", "outlier_metric", "outlier_consensus_score", "cleaning_action", "old_value",
     "new_value", "reason",
 )
-ACTION_TYPE = T.StructType([
-    T.StructField(f, T.IntegerType() if f == "outlier_consensus_score" else T.StringType()) for f in ACTION_FIELDS
-])
+# What differs from row to row; the rest of an entry is one of the table's notes.
+ROW_FIELDS = ("target_column", "missing_class", "outlier_metric", "outlier_consensus_score", "old_value", "new_value")
 DQA, MISSING, OUTLIER = "general_dqa", "missing_values", "outlier_detection"
 
 
@@ -68,7 +67,6 @@ DROP_CHECKS = (
     "result_position_positive", "lap_number_positive", "lap_time_positive", "weather_time_non_negative",
     "track_status_time_non_negative", "track_status_code_domain", "primary_key_unique",
 )
-DROP_CODES = ("BROKEN_FOREIGN_KEY", "DUPLICATED_KEY")
 DROP_REASON = "The DQA issue makes the row structurally unusable or unreliable for the cleaned schema."
 
 # Repairs by table and check, with their logged reasons.
@@ -150,16 +148,23 @@ def drops_row(check_id: str) -> bool:
     return check_id.endswith(DROP_SUFFIXES) or check_id.startswith(DROP_PREFIXES) or check_id in DROP_CHECKS
 
 
-def check_order(table: str, rules: Mapping[str, TableRules] = RULES) -> list[str]:
-    """Check ids of a table in the order in which their issues are applied."""
+def check_order(table: str, rules: Mapping[str, TableRules] = RULES) -> dict[str, str]:
+    """Checks of a table in the order in which their issues are applied, with their issue codes."""
     r = rules[table]
-    ids = [g.check_id for g in r.required]
-    ids += ["primary_key_unique"] if r.primary_key else []
-    ids += [f"natural_key_{n}_unique" for n, k in enumerate(r.natural_keys, 1) if tuple(k) != tuple(r.primary_key)]
-    ids += [c.check_id for c in (*r.validity, *r.consistency, *r.plausibility)]
-    if table == "result" and QUALIFYING_PROGRESSION.check_id not in ids:
-        ids.append(QUALIFYING_PROGRESSION.check_id)
-    return ids + [f"fk_{table}_{f.column}_to_{f.parent}_{f.parent_column}" for f in r.references]
+    ids = {g.check_id: "MISSING_REQUIRED_VALUE" for g in r.required}
+    if r.primary_key:
+        ids["primary_key_unique"] = "DUPLICATED_KEY"
+    for n, key in enumerate(r.natural_keys, 1):
+        if tuple(key) != tuple(r.primary_key):
+            ids[f"natural_key_{n}_unique"] = "DUPLICATED_KEY"
+    ids.update({c.check_id: "INVALID_VALUE" for c in r.validity})
+    ids.update({c.check_id: c.check_id.upper() for c in (*r.consistency, *r.plausibility)})
+    if table == "result":
+        ids.setdefault(QUALIFYING_PROGRESSION.check_id, QUALIFYING_PROGRESSION.check_id.upper())
+    ids.update({f"fk_{table}_{f.column}_to_{f.parent}_{f.parent_column}": "BROKEN_FOREIGN_KEY" for f in r.references})
+    if len(ids) > 63:
+        raise ValueError(f"more than 63 checks of {table} do not fit the bit set of failed checks")
+    return ids
 
 
 # --- SQL text of log entries ---------------------------------------------------------------------------------------
@@ -171,14 +176,27 @@ def as_log_text(column: str, data_type: T.DataType) -> str:
     return f"cast({column} as string)"
 
 
-def action(**fields: str) -> str:
-    """A log entry as a struct of SQL expressions; fields left out are NULL."""
+def _kind(name: str) -> str:
+    return "int" if name == "outlier_consensus_score" else "string"
 
-    def value(name: str) -> str:
-        kind = "int" if name == "outlier_consensus_score" else "string"
-        return f"cast({fields.get(name, 'null')} as {kind})"
 
-    return "named_struct(" + ", ".join(f"'{f}', {value(f)}" for f in ACTION_FIELDS) + ")"
+_ENTRY_TYPE = "struct<note:int," + ",".join(f"{f}:{_kind(f)}" for f in ROW_FIELDS) + ">"
+
+
+def _entry(note: int, fields: Mapping[str, str]) -> str:
+    """A compact log entry: the number of its note and what differs from row to row."""
+    values = ", ".join(f"'{f}', cast({fields.get(f, 'null')} as {_kind(f)})" for f in ROW_FIELDS)
+    return f"named_struct('note', {note}, {values})"
+
+
+def _notes_sql(notes: Sequence[Mapping[str, str]]) -> str:
+    """All notes of a table as one constant array."""
+    def text(note: Mapping[str, str]) -> str:
+        return "named_struct(" + ", ".join(
+            f"'{f}', cast({quoted(note[f]) if f in note else 'null'} as {_kind(f)})" for f in ACTION_FIELDS
+        ) + ")"
+
+    return "array(" + ", ".join(text(n) for n in notes) + ")"
 
 
 def when(condition: str, value: str) -> str:
@@ -212,7 +230,8 @@ def canonical_row_id(text: Column) -> Column:
     name = strip(F.substring_index(clean, "=", 1))
     value = F.regexp_extract(clean, "(?s)^[^=]*=(.*)$", 1)
     return (
-        F.when((clean == "") | (clean == "__table__") | ~clean.contains("="), F.lit(None).cast("string"))
+        F.when(text.rlike("^[a-z_]+=(0|-?[1-9][0-9]{0,17})$"), text)  # the usual form, already canonical
+        .when((clean == "") | (clean == "__table__") | ~clean.contains("="), F.lit(None).cast("string"))
         .when(name == "row_index", clean)
         .otherwise(F.concat(name, F.lit("="), canonical_value(value)))
     )
@@ -227,68 +246,91 @@ def own_row_id(types: Mapping[str, T.DataType], key: str) -> str:
 
 
 # --- marks: what the assessments say about a row -------------------------------------------------------------------
+#
+# One row of bit sets per row id, gathered by plain hash aggregates: bit i of
+# `_issues` stands for the i-th check of the catalogue, bit i of an area's sets
+# for the i-th column of the table.
+
+
+def _bit(position: int) -> str:
+    return f"shiftleft(1L, {position})"
+
+
+def has_bit(bits: str, position: int) -> str:
+    return f"({bits} & {_bit(position)}) <> 0"
+
+
+def _position(column: str, names: Sequence[str]) -> str:
+    """The bit of a name, 0 for unknown names."""
+    cases = " ".join(f"when {quoted(n)} then {_bit(i)}" for i, n in enumerate(names))
+    return f"(case {column} {cases} else 0L end)"
 
 
-def issue_marks(issues: DataFrame, table: str) -> DataFrame:
-    """One row per row id: map of failed check -> issue code."""
-    rid = canonical_row_id(F.col("row_identifier"))
-    # At most one entry per check of the catalogue.
-    entries = F.collect_set(F.struct("check_id", "issue_code"))
+def issue_marks(issues: DataFrame, table: str, checks: Sequence[str]) -> DataFrame:
+    """`_issues`: the failed checks of each row id."""
     return (
         issues.where(strip(F.col("table_name")) == table)
-        .select(rid.alias("_rid"), strip(F.col("check_id")).alias("check_id"), "issue_code")
+        .select(canonical_row_id(F.col("row_identifier")).alias("_rid"), strip(F.col("check_id")).alias("check_id"))
         .where(F.col("_rid").isNotNull())
         .groupBy("_rid")
-        .agg(F.map_from_entries(entries).alias("_issues"))
+        .agg(F.expr(f"bit_or({_position('check_id', checks)})").alias("_issues"))
     )
 
 
-def _sorted_names(c: str) -> Column:
-    return F.array_join(F.array_sort(F.collect_set(c)), "|")
-
-
-def missing_marks(flags: DataFrame, table: str) -> DataFrame:
-    """One row per row id: map of information area -> (columns, classes), both sorted and joined."""
+def missing_marks(flags: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """`_x<i>`, `_s<i>`: columns with an explained / a suspicious null of the i-th area."""
     area = strip(F.col("missing_information_area"))
-    per_area = (
-        flags.where((strip(F.col("table_name")) == table) & area.isin(*s.INFORMATION_AREAS) & (area != "NONE"))
-        .select(
-            canonical_row_id(F.col("row_identifier")).alias("_rid"), area.alias("_area"),
-            strip(F.col("column_name")).alias("column_name"), strip(F.col("missing_class")).alias("missing_class"),
-        )
-        .where(F.col("_rid").isNotNull())
-        .groupBy("_rid", "_area")
-        .agg(_sorted_names("column_name").alias("columns"), _sorted_names("missing_class").alias("classes"))
+    slim = flags.where((strip(F.col("table_name")) == table) & area.isin(*missing_areas(table))).select(
+        canonical_row_id(F.col("row_identifier")).alias("_rid"), area.alias("_area"),
+        strip(F.col("column_name")).alias("_column"), strip(F.col("missing_class")).alias("_class"),
     )
-    entry = F.struct("_area", F.struct("columns", "classes"))
-    return per_area.groupBy("_rid").agg(F.map_from_entries(F.collect_list(entry)).alias("_missing"))
+    sets = []
+    for i, a in enumerate(missing_areas(table)):
+        for prefix, kind in (("_x", "EXPLAINED_NULL"), ("_s", "SUSPICIOUS_NULL")):
+            here = f"_area = {quoted(a)} and _class = {quoted(kind)}"
+            sets.append(F.expr(f"bit_or(case when {here} then {_position('_column', columns)} else 0L end)").alias(f"{prefix}{i}"))
+    return slim.where(F.col("_rid").isNotNull()).groupBy("_rid").agg(*sets)
+
+
+def missing_areas(table: str) -> list[str]:
+    return [s.DROP_AREA[table], *s.AREA_FLAGS[table]]
+
+
+_OUTLIER_AREAS = {_SECTOR: s.SECTOR_METRICS, _SPEED: s.SPEED_METRICS}
 
 
 def outlier_marks(flags: DataFrame) -> DataFrame:
-    """One row per lap: strong lap time outlier, and area -> (metrics, largest agreement)."""
+    """Strong lap time outlier, and per area the metrics (bit set) and the largest agreement."""
     metric, agreement = strip(F.col("metric")), number(F.col("consensus_score")).try_cast("int")
-    area = F.when(metric.isin(*s.SECTOR_METRICS), _SECTOR).when(metric.isin(*s.SPEED_METRICS), _SPEED).otherwise("")
-    per_area = (
-        flags.select(
-            canonical_row_id(F.col("row_identifier")).alias("_rid"), metric.alias("metric"),
-            agreement.alias("agreement"), area.alias("_area"),
-        )
-        .where(F.col("_rid").isNotNull() & (F.col("agreement") >= 1))
-        .groupBy("_rid", "_area")
-        .agg(
-            _sorted_names("metric").alias("metrics"), F.max("agreement").alias("agreement"),
-            F.bool_or((F.col("metric") == "lap_time_ms") & (F.col("agreement") >= 2)).alias("_strong"),
-        )
-    )
-    entry = F.struct("_area", F.struct("metrics", "agreement"))
-    return per_area.groupBy("_rid").agg(
-        F.bool_or("_strong").alias("_strong"), F.map_from_entries(F.collect_list(entry)).alias("_outliers")
-    )
+    slim = flags.select(
+        canonical_row_id(F.col("row_identifier")).alias("_rid"), metric.alias("_metric"), agreement.alias("_agreement")
+    ).where(F.col("_rid").isNotNull() & (F.col("_agreement") >= 1))
+    marks = [F.expr("bool_or(_metric = 'lap_time_ms' and _agreement >= 2)").alias("_strong")]
+    for i, metrics in enumerate(_OUTLIER_AREAS.values()):
+        listed = ", ".join(quoted(m) for m in metrics)
+        marks.append(F.expr(f"bit_or({_position('_metric', sorted(metrics))})").alias(f"_o{i}"))
+        marks.append(F.expr(f"max(case when _metric in ({listed}) then _agreement end)").alias(f"_a{i}"))
+    return slim.groupBy("_rid").agg(*marks)
+
+
+def listed_names(bits: str, names: Sequence[str]) -> str:
+    """The sorted names of a bit set, joined by '|'."""
+    parts = ", ".join(f"case when {has_bit(bits, i)} then {quoted(n)} end" for i, n in sorted(enumerate(names), key=lambda x: x[1]))
+    return f"concat_ws('|', {parts})"
 
 
 # --- resolution of one table ---------------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Resolved:
+    """A table with its decisions: cleaned columns, `_rid`, `_actions` (changes) and
+    `_drop` (note of the first drop, or NULL). `notes` hold what entries have in common."""
+
+    frame: DataFrame
+    notes: tuple[Mapping[str, str], ...]
+
+
 @dataclass
 class _Log:
     """Ordered candidates as SQL text; the first that holds for a row is the one logged."""
@@ -296,14 +338,16 @@ class _Log:
     texts: list[str] = field(default_factory=list)
     values: dict[str, list[str]] = field(default_factory=dict)
     flags: dict[str, list[tuple[str, str]]] = field(default_factory=dict)
-    drops: list[tuple[str, str]] = field(default_factory=list)
+    drops: list[tuple[str, int]] = field(default_factory=list)
 
     def all_actions(self) -> list[str]:
         flags = [[when(*e) for e in entries] for entries in self.flags.values()]
         return [*self.texts, *[first_of(v) for v in (*self.values.values(), *flags)]]
 
-    def dropped(self) -> str:
-        return "(" + (" or ".join(c for c, _ in self.drops) or "false") + ")"
+    def first_drop(self) -> str:
+        if not self.drops:
+            return "cast(null as int)"
+        return "case " + " ".join(f"when {condition} then {note}" for condition, note in self.drops) + " end"
 
 
 class _Resolver:
@@ -314,69 +358,73 @@ class _Resolver:
         self.log = _Log()
         self.replaced: dict[str, list[tuple[str, str]]] = {}
         self.flag_of = s.AREA_FLAGS.get(table, {})
-        self.base = {"table_name": quoted(table), "row_identifier": "_name"}
+        self.notes: list[dict[str, str]] = []
+        self.early: dict[str, str] = {}  # expressions used many times, computed once
+        self.late: dict[str, str] = {}
+
+    def prepare(self, expression: str, late: bool = False) -> str:
+        """A column that holds the expression (late ones may use early ones)."""
+        columns = self.late if late else self.early
+        return columns.setdefault(expression, f"_{'l' if late else 'e'}{len(columns)}")
+
+    def note(self, **fields: str) -> int:
+        self.notes.append({"table_name": self.table, **{k: v for k, v in fields.items() if v is not None}})
+        return len(self.notes) - 1
 
     def text(self, c: str) -> None:
-        old, new = f"_old_{c}", sql_strip(f"_old_{c}")
+        # The tidied column is the trimmed text, or NULL where that is empty.
+        old, new = f"_old_{c}", f"coalesce({c}, '')"
+        trim = self.note(
+            source="general_cleaning", target_column=c, check_id="CR_COMMON_1", issue_code="LEADING_OR_TRAILING_SPACES",
+            cleaning_action="STANDARDIZE", reason="Trimmed leading or trailing spaces from a textual value.",
+        )
+        empty = self.note(
+            source="general_cleaning", target_column=c, check_id="CR_COMMON_2", issue_code="EMPTY_STRING",
+            cleaning_action="SET_NULL", reason="Converted an empty textual value into NULL.",
+        )
         self.log.texts += [
-            when(f"{new} <> {old}", action(
-                **self.base, source="'general_cleaning'", target_column=quoted(c), check_id="'CR_COMMON_1'",
-                issue_code="'LEADING_OR_TRAILING_SPACES'", cleaning_action="'STANDARDIZE'", old_value=old, new_value=new,
-                reason="'Trimmed leading or trailing spaces from a textual value.'",
-            )),
-            when(f"{new} = ''", action(
-                **self.base, source="'general_cleaning'", target_column=quoted(c), check_id="'CR_COMMON_2'",
-                issue_code="'EMPTY_STRING'", cleaning_action="'SET_NULL'", old_value=new,
-                reason="'Converted an empty textual value into NULL.'",
-            )),
+            when(f"{new} <> {old}", _entry(trim, {"old_value": old, "new_value": new})),
+            when(f"{old} is not null and {c} is null", _entry(empty, {"old_value": "''"})),
         ]
 
-    def flag(self, condition: str, area: str | None, **fields: str) -> None:
+    def flag(self, condition: str, area: str | None, row: Mapping[str, str] = {}, **fields: str) -> None:
         name = self.flag_of.get(area)
         if name:
-            entry = action(
-                **self.base, quality_flag_column=quoted(name), information_area=quoted(area),
-                cleaning_action="'ADD_FLAG'", old_value="'False'", new_value="'True'", **fields,
+            note = self.note(
+                quality_flag_column=name, information_area=area, cleaning_action="ADD_FLAG", old_value="False",
+                new_value="True", **fields,
             )
-            self.log.flags.setdefault(name, []).append((f"({condition} and not {name})", entry))
+            self.log.flags.setdefault(name, []).append((f"({condition} and not {name})", _entry(note, row)))
 
     def drop(self, condition: str, **fields: str) -> None:
-        self.log.drops.append((condition, action(**self.base, cleaning_action="'DROP_ROW'", **fields)))
+        self.log.drops.append((condition, self.note(cleaning_action="DROP_ROW", **fields)))
 
     def set_null(self, condition: str, column: str, reason: str, area: str | None, **fields: str) -> None:
         hit = f"({condition} and {column} is not null)"
         self.replaced.setdefault(column, []).append((hit, f"cast(null as {self.types[column].simpleString()})"))
-        entry = action(
-            **self.base, target_column=quoted(column), cleaning_action="'SET_NULL'", reason=quoted(reason),
-            old_value=as_log_text(column, self.types[column]), **fields,
-        )
+        note = self.note(target_column=column, cleaning_action="SET_NULL", reason=reason, **fields)
+        entry = _entry(note, {"old_value": as_log_text(column, self.types[column])})
         self.log.values.setdefault(column, []).append(when(hit, entry))
-        note = quoted(f"{area} is affected after setting an invalid value to NULL.")
-        self.flag(hit, area, target_column=quoted(column), reason=note, **fields)
+        affected = f"{area} is affected after setting an invalid value to NULL."
+        self.flag(hit, area, target_column=column, reason=affected, **fields)
 
     def standardize(self, condition: str, column: str, value: str, reason: str, **fields: str) -> None:
-        same = sure(f"{comparable(column, 'canonical')} = {comparable(value, 'canonical')}")
-        hit = f"({condition} and {value} is not null and not {same})"
+        # Domain values are never numeric, so equal text is the whole comparison.
+        hit = f"({condition} and {value} is not null and not ({column} <=> {value}))"
         self.replaced.setdefault(column, []).append((hit, value))
-        entry = action(
-            **self.base, target_column=quoted(column), cleaning_action="'STANDARDIZE'", reason=quoted(reason),
-            old_value=column, new_value=value, **fields,
-        )
-        self.log.values.setdefault(column, []).append(when(hit, entry))
+        note = self.note(target_column=column, cleaning_action="STANDARDIZE", reason=reason, **fields)
+        self.log.values.setdefault(column, []).append(when(hit, _entry(note, {"old_value": column, "new_value": value})))
 
-    def issue(self, check_id: str, columns: Sequence[str]) -> None:
-        code = f"try_element_at(_issues, {quoted(check_id)})"
-        marked = f"({code} is not null)"
-        fields = {"source": quoted(DQA), "check_id": quoted(check_id), "issue_code": code}
+    def issue(self, position: int, check_id: str, code: str, columns: Sequence[str]) -> None:
+        marked = self.prepare(sure(has_bit("_issues", position)))
+        fields = {"source": DQA, "check_id": check_id, "issue_code": code}
         d = DECISIONS.get(self.table, {}).get(check_id)
         if drops_row(check_id):
-            self.drop(marked, reason=quoted(DROP_REASON), **fields)
+            self.drop(marked, reason=DROP_REASON, **fields)
         elif d is None or any(c not in columns for c in d.columns):
-            # A check outside the tables above still drops rows on a key or reference issue.
-            codes = ", ".join(quoted(c) for c in DROP_CODES)
-            self.drop(sure(f"{code} in ({codes})"), reason=quoted(DROP_REASON), **fields)
+            return
         elif d.kind == "flag":
-            self.flag(marked, d.area, reason=quoted(d.reason), **fields)
+            self.flag(marked, d.area, reason=d.reason, **fields)
         elif d.kind == "null":
             for c in d.columns:
                 self.set_null(marked, c, d.reason, d.area, **fields)
@@ -388,7 +436,9 @@ class _Resolver:
             self._domain(d, marked, fields)
         elif d.kind == "code_text":
             code_column, text_column = d.columns
-            value = f"try_element_at({sql_map(s.TRACK_STATUS_MESSAGES)}, try_cast({sql_number(code_column)} as int))"
+            value = self.prepare(
+                f"try_element_at({sql_map(s.TRACK_STATUS_MESSAGES)}, try_cast({sql_number(code_column)} as int))"
+            )
             self.standardize(
                 marked, text_column, value, "Track status message reconstructed from the numerical status code.", **fields
             )
@@ -399,46 +449,50 @@ class _Resolver:
 
     def _domain(self, d: Decision, marked: str, fields: Mapping[str, str]) -> None:
         c = d.columns[0]
-        letters = f"regexp_replace(lower({sql_strip(c)}), '[^a-z0-9]', '')"
-        value = f"try_element_at({sql_map({''.join(x for x in v.lower() if x.isalnum()): v for v in d.allowed})}, {letters})"
+        known = sql_map({"".join(x for x in v.lower() if x.isalnum()): v for v in d.allowed})
+        value = self.prepare(f"try_element_at({known}, regexp_replace(lower({c}), '[^a-z0-9]', ''))")
         self.standardize(marked, c, value, f"Standardized {c} to a known domain value.", **fields)
         unknown = f"({marked} and {c} is not null and {value} is null)"
         if d.unknown == "drop":
-            self.drop(unknown, reason=quoted(f"Unknown {c} value cannot be mapped to the allowed domain."), **fields)
+            self.drop(unknown, reason=f"Unknown {c} value cannot be mapped to the allowed domain.", **fields)
         else:
             reason = f"Unknown {c} value was set to NULL because it cannot be mapped deterministically."
             self.set_null(unknown, c, reason, d.area, **fields)
 
-    def missing(self) -> None:
+    def missing(self, columns: Sequence[str]) -> None:
         area = s.DROP_AREA[self.table]
-        gone = sure(f"map_contains_key(_missing, {quoted(area)})")
+        gone = self.prepare(sure("(_x0 | _s0) <> 0"))
         what = "lap time" if self.table == "lap" else "classification"
-        alive = f"not {self.log.dropped()} and not {gone}"
+        alive = self.prepare(f"({self.log.first_drop()}) is null and not {gone}", late=True)
         self.drop(
-            gone, source=quoted(MISSING), information_area=quoted(area),
-            reason=quoted(f"Rows with missing {what} information are removed from the cleaned {self.table} table."),
+            gone, source=MISSING, information_area=area,
+            reason=f"Rows with missing {what} information are removed from the cleaned {self.table} table.",
         )
-        for a in self.flag_of:
-            found = f"try_element_at(_missing, {quoted(a)})"
+        for i, a in enumerate(missing_areas(self.table)):
+            explained, suspicious = f"_x{i}", f"_s{i}"
+            classes = [when(f"{bits} <> 0", quoted(kind)) for bits, kind in
+                       ((explained, "EXPLAINED_NULL"), (suspicious, "SUSPICIOUS_NULL"))]
+            row = {
+                "target_column": listed_names(f"({explained} | {suspicious})", columns),
+                "missing_class": f"concat_ws('|', {', '.join(classes)})",
+            }
             self.flag(
-                f"{alive} and {found} is not null", a, source=quoted(MISSING), target_column=f"{found}.columns",
-                missing_class=f"{found}.classes",
-                reason=quoted(f"Focused missing value output indicates that {a} is incomplete or unreliable."),
+                f"{alive} and {sure(f'({explained} | {suspicious}) <> 0')}", a, row, source=MISSING,
+                reason=f"Focused missing value output indicates that {a} is incomplete or unreliable.",
             )
 
     def outliers(self) -> None:
         strong = sure("_strong")
-        alive = f"not {self.log.dropped()} and not {strong}"
+        alive = self.prepare(f"({self.log.first_drop()}) is null and not {strong}", late=True)
         self.drop(
-            strong, source=quoted(OUTLIER), outlier_metric="'lap_time_ms'", outlier_consensus_score="2",
-            reason="'Rows with strong consensus lap_time_ms outliers are removed because lap time is the core performance measure.'",
+            strong, source=OUTLIER, outlier_metric="lap_time_ms", outlier_consensus_score="2",
+            reason="Rows with strong consensus lap_time_ms outliers are removed because lap time is the core performance measure.",
         )
-        for a in (_SECTOR, _SPEED):
-            found = f"try_element_at(_outliers, {quoted(a)})"
+        for i, (a, metrics) in enumerate(_OUTLIER_AREAS.items()):
+            row = {"outlier_metric": listed_names(f"_o{i}", sorted(metrics)), "outlier_consensus_score": f"_a{i}"}
             self.flag(
-                f"{alive} and {found} is not null", a, source=quoted(OUTLIER), outlier_metric=f"{found}.metrics",
-                outlier_consensus_score=f"{found}.agreement",
-                reason=quoted(f"Outlier detection indicates that {a} may be unreliable."),
+                f"{alive} and {sure(f'_o{i} <> 0')}", a, row, source=OUTLIER,
+                reason=f"Outlier detection indicates that {a} may be unreliable.",
             )
 
     def settled(self, c: str) -> str:
@@ -451,7 +505,7 @@ class _Resolver:
         return f"case {cases} else {c} end as {c}"
 
 
-_NO_ACTION = f"cast(null as {ACTION_TYPE.simpleString()})"
+_NO_ENTRY = f"cast(null as {_ENTRY_TYPE})"
 
 
 def resolve_table(
@@ -461,16 +515,17 @@ def resolve_table(
     missing: DataFrame | None = None,
     outliers: DataFrame | None = None,
     rules: Mapping[str, TableRules] = RULES,
-) -> DataFrame:
-    """Cleaned columns plus `_rid`, `_actions` (changes) and `_drop` (first drop entry or NULL)."""
+) -> Resolved:
+    """What the sources say about each row, settled in one pass over the table."""
     key = s.PRIMARY_KEY.get(table, "")
     types = {f.name: f.dataType for f in df.schema.fields}
     columns = list(types)
     frame = df.withColumn("_rid", F.expr(own_row_id(types, key)))
+    checks = check_order(table, rules)
     if issues is not None:
-        frame = frame.join(issue_marks(issues, table), "_rid", "left")
+        frame = frame.join(issue_marks(issues, table, list(checks)), "_rid", "left")
     if missing is not None and table in s.DROP_AREA:
-        frame = frame.join(missing_marks(missing, table), "_rid", "left")
+        frame = frame.join(missing_marks(missing, table, columns), "_rid", "left")
     if outliers is not None and table == "lap":
         frame = frame.join(outlier_marks(outliers), "_rid", "left")
     marks = [c for c in frame.columns if c not in columns and c != "_rid"]
@@ -490,85 +545,95 @@ def resolve_table(
     for c in texts:
         r.text(c)
     if "_issues" in marks:
-        for check_id in check_order(table, rules):
-            r.issue(check_id, columns)
-    if "_missing" in marks:
-        r.missing()
-    if "_outliers" in marks:
+        for position, (check_id, code) in enumerate(checks.items()):
+            r.issue(position, check_id, code, columns)
+    if "_x0" in marks:
+        r.missing(columns)
+    if "_strong" in marks:
         r.outliers()
-    drops = first_of([when(*d) for d in r.log.drops]) if r.log.drops else _NO_ACTION
-    return named.selectExpr(
+    for prepared in (r.early, r.late):
+        if prepared:
+            named = named.selectExpr("*", *[f"{e} as {n}" for e, n in prepared.items()])
+    frame = named.selectExpr(
         *[r.settled(c) for c in [*columns, *[f for f in flags if f not in columns]]],
         "_name as _rid",
-        f"array_compact(array({', '.join(r.log.all_actions() or [_NO_ACTION])})) as _actions",
-        f"{drops} as _drop",
+        f"array_compact(array({', '.join(r.log.all_actions() or [_NO_ENTRY])})) as _actions",
+        f"{r.log.first_drop()} as _drop",
     )
+    return Resolved(frame, tuple(r.notes))
 
 
 # --- cascade -------------------------------------------------------------------------------------------------------
 
 
 def cascade(
-    resolved: Mapping[str, DataFrame],
+    resolved: Mapping[str, Resolved],
     references: Mapping[str, Sequence[tuple[str, str, str]]] = s.FOREIGN_KEYS,
     order: Sequence[str] = s.TABLE_ORDER,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> dict[str, DataFrame]:
+) -> dict[str, Resolved]:
     """Drop rows whose parent is absent or dropped.
 
     The reference graph has no cycles and `order` lists parents first, so one
-    join per edge reaches the fixpoint. Frames carry `_rid` and `_drop`.
+    join per edge reaches the fixpoint.
     """
-    out: dict[str, DataFrame] = {}
+    out: dict[str, Resolved] = {}
     for table in [t for t in order if t in resolved] + [t for t in resolved if t not in order]:
-        df = resolved[table]
-        entries = ["_drop"]
-        plain = df.columns
+        df, notes = resolved[table].frame, list(resolved[table].notes)
+        plain, cases = df.columns, []
         for column, parent, parent_column in references.get(table, ()):
-            if parent not in out or column not in df.columns or parent_column not in out[parent].columns:
+            if parent not in out or column not in df.columns or parent_column not in out[parent].frame.columns:
                 continue
-            alive = out[parent].where(F.col("_drop").isNull())
+            alive = out[parent].frame.where(F.col("_drop").isNull())
             known, form = parent_values(alive, parent_column, df.schema[column].dataType)
             hit = f"_has_{column}"
             known = known.select(F.col("_key").alias(f"_key_{column}"), F.lit(True).alias(hit))
             df = df.withColumn(f"_key_{column}", F.expr(typed(column, form))).join(known, f"_key_{column}", "left")
-            entries.append(
-                when(f"{column} is not null and {hit} is null", action(
-                    source=quoted(DQA), table_name=quoted(table), row_identifier="_rid",
-                    check_id=quoted(f"post_cleaning_fk_{table}_{column}_to_{parent}_{parent_column}"),
-                    issue_code="'BROKEN_FOREIGN_KEY_AFTER_CLEANING'", cleaning_action="'DROP_ROW'",
-                    reason=quoted(
-                        f"Row removed because {table}.{column} no longer references a valid "
-                        f"{parent}.{parent_column} after previous cleaning actions."
-                    ),
-                ))
-            )
-        if len(entries) > 1:
-            df = df.withColumn("_drop", F.expr(first_of(entries))).select(*plain)
-        out[table] = stage(df)
+            cases.append(f"when {column} is not null and {hit} is null then {len(notes)}")
+            notes.append({
+                "source": DQA, "table_name": table, "cleaning_action": "DROP_ROW",
+                "check_id": f"post_cleaning_fk_{table}_{column}_to_{parent}_{parent_column}",
+                "issue_code": "BROKEN_FOREIGN_KEY_AFTER_CLEANING",
+                "reason": f"Row removed because {table}.{column} no longer references a valid "
+                f"{parent}.{parent_column} after previous cleaning actions.",
+            })
+        if cases:
+            df = df.withColumn("_drop", F.expr(f"coalesce(_drop, case {' '.join(cases)} end)")).select(*plain)
+        out[table] = Resolved(stage(df), tuple(notes))
     return out
 
 
 # --- results -------------------------------------------------------------------------------------------------------
 
+_TECHNICAL = ("_rid", "_actions", "_drop")
+
 
 @dataclass(frozen=True)
 class Cleaning:
     """All tables with their decisions; the outputs are projections of them."""
 
-    resolved: dict[str, DataFrame]
+    resolved: dict[str, Resolved]
 
     def table(self, name: str) -> DataFrame:
-        df = self.resolved[name]
-        return df.where(F.col("_drop").isNull()).drop("_rid", "_actions", "_drop")
+        return self.resolved[name].frame.where(F.col("_drop").isNull()).drop(*_TECHNICAL)
 
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.table(t) for t in self.resolved}
 
     def actions(self) -> DataFrame:
-        frames = [
-            df.select(F.inline(F.array_compact(F.concat("_actions", F.array("_drop"))))) for df in self.resolved.values()
-        ]
+        """The log: every change, then the drop of a row."""
+        frames = []
+        for r in self.resolved.values():
+            if not r.notes:
+                continue
+            dropped = f"case when _drop is not null then {_entry('_drop', {})} end"
+            entries = r.frame.selectExpr("_rid", f"inline(array_compact(concat(_actions, array({dropped}))))")
+            noted = entries.selectExpr("*", f"element_at({_notes_sql(r.notes)}, note + 1) as _note")
+            frames.append(noted.selectExpr(*[
+                "_rid as row_identifier" if f == "row_identifier"
+                else f"coalesce({f}, _note.{f}) as {f}" if f in ROW_FIELDS else f"_note.{f} as {f}"
+                for f in ACTION_FIELDS
+            ]))
         return reduce(DataFrame.unionByName, frames)
 
     def rejected(self) -> DataFrame:
@@ -577,12 +642,14 @@ class Cleaning:
         Every dropped row has exactly one reason: the first that applied.
         """
         frames = []
-        for table, df in self.resolved.items():
-            data = [c for c in df.columns if c not in ("_rid", "_actions", "_drop")]
+        for table, r in self.resolved.items():
+            if not r.notes:
+                continue
+            data = [c for c in r.frame.columns if c not in _TECHNICAL]
             frames.append(
-                df.where(F.col("_drop").isNotNull()).select(
+                r.frame.where(F.col("_drop").isNotNull()).select(
                     F.lit(table).alias("table_name"), F.col("_rid").alias("row_identifier"),
-                    F.col("_drop.reason").alias("reasons"),
+                    F.expr(f"element_at({_notes_sql(r.notes)}, _drop + 1).reason").alias("reasons"),
                     F.to_json(F.struct(*data), {"ignoreNullFields": "false"}).alias("row_data_json"),
                 )
             )
@@ -597,8 +664,8 @@ def clean(
     rules: Mapping[str, TableRules] = RULES,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Cleaning:
-    """Clean all tables. `stage` (see `starq.session.materialize`) may write each
-    resolved table once, so that log, rejected rows and tables read it back."""
+    """Clean all tables. `stage` (see `starq.session.stage`) may keep each resolved
+    table, so that log, rejected rows and cleaned tables do not resolve it again."""
     resolved = {
         t: resolve_table(t, df, issues, missing, outliers, rules) for t, df in tables.items()
     }
