@@ -305,3 +305,23 @@ def _star_constraints() -> str:
 @query("dw_constraints", w.with_star("\n" + _star_constraints()))
 def _(spark, sf):
     return validation.verify(stages(spark, sf).warehouse().tables(), validation.star_constraints())
+
+
+@query("laps_by_context", with_views("lap weather track_status", w.asof("v_lap", "lap_id", "v_weather", "weather_id", w.WEATHER, "lap_w") + ",\n"
+       + w.asof("v_lap", "lap_id", "v_track_status", "track_status_id", w.TRACK, "lap_t") + f""",
+work AS (SELECT l.lap_time_ms, coalesce(compound, 'Unknown') AS compound, {w.tyre_set()} AS starting_tyre_set_status, {w.tyre_life()} AS tyre_life_class,
+    {w.level('track_temp', 30, 42)} AS track_temp_class, {w.track_category('track_message', 'track_code')} AS track_status_category
+  FROM v_lap l JOIN lap_w USING (lap_id) JOIN lap_t USING (lap_id)),
+dim AS (SELECT row_number() OVER (ORDER BY compound, starting_tyre_set_status, tyre_life_class) AS tyre_context_key, * FROM (SELECT DISTINCT compound, starting_tyre_set_status, tyre_life_class FROM work))
+SELECT tyre_context_key, track_temp_class, track_status_category, count(*) AS laps, count(lap_time_ms) AS timed_laps, CAST(sum(lap_time_ms) AS BIGINT) AS total_ms, min(lap_time_ms) AS best_ms
+FROM work JOIN dim USING (compound, starting_tyre_set_status, tyre_life_class) GROUP BY 1, 2, 3"""))
+def laps_by_context(spark, sf):
+    """Laps in their weather and track context, keyed by tyre context, summed up."""
+    key, attributes = warehouse.CONTEXT_DIMENSIONS["dim_tyre_context"]
+    lap = table(spark, sf, "lap").select("lap_id", "session_id", "lap_start_time_ms", "lap_time_ms", "compound", "fresh_tyre", "tyre_life")
+    placed = warehouse.with_lap_context(lap, table(spark, sf, "weather"), table(spark, sf, "track_status")).withColumns(
+        {"starting_tyre_set_status": c.tyre_set_status(F.col("fresh_tyre")), "tyre_life_class": c.tyre_life_class(F.col("tyre_life"))})
+    work = warehouse.unknown_filled(placed, attributes)
+    keyed = warehouse.with_dimension_key(work, warehouse.context_dimension(work, attributes, key), attributes, key)
+    return keyed.groupBy(key, "track_temp_class", "track_status_category").agg(
+        F.count("*").alias("laps"), F.count("lap_time_ms").alias("timed_laps"), F.sum("lap_time_ms").alias("total_ms"), F.min("lap_time_ms").alias("best_ms"))
