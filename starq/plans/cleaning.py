@@ -26,8 +26,12 @@ ACTION_FIELDS = (
     "missing_class", "information_area", "outlier_metric", "outlier_consensus_score", "cleaning_action", "old_value",
     "new_value", "reason",
 )
-# What differs from row to row; the rest of an entry is one of the table's notes.
-ROW_FIELDS = ("target_column", "missing_class", "outlier_metric", "outlier_consensus_score", "old_value", "new_value")
+# What differs from row to row; the rest of an entry is one of the table's notes. Names
+# of columns and metrics stay bit sets until the log is written out.
+ROW_FIELDS = {
+    "explained": "bigint", "suspicious": "bigint", "metrics": "bigint", "score": "int", "old_value": "string",
+    "new_value": "string",
+}
 DQA, MISSING, OUTLIER = "general_dqa", "missing_values", "outlier_detection"
 
 
@@ -176,16 +180,12 @@ def as_log_text(column: str, data_type: T.DataType) -> str:
     return f"cast({column} as string)"
 
 
-def _kind(name: str) -> str:
-    return "int" if name == "outlier_consensus_score" else "string"
-
-
-_ENTRY_TYPE = "struct<note:int," + ",".join(f"{f}:{_kind(f)}" for f in ROW_FIELDS) + ">"
+_ENTRY_TYPE = "struct<note:int," + ",".join(f"{f}:{kind}" for f, kind in ROW_FIELDS.items()) + ">"
 
 
-def _entry(note: int, fields: Mapping[str, str]) -> str:
+def _entry(note: int | str, fields: Mapping[str, str]) -> str:
     """A compact log entry: the number of its note and what differs from row to row."""
-    values = ", ".join(f"'{f}', cast({fields.get(f, 'null')} as {_kind(f)})" for f in ROW_FIELDS)
+    values = ", ".join(f"'{f}', cast({fields.get(f, 'null')} as {kind})" for f, kind in ROW_FIELDS.items())
     return f"named_struct('note', {note}, {values})"
 
 
@@ -193,7 +193,7 @@ def _notes_sql(notes: Sequence[Mapping[str, str]]) -> str:
     """All notes of a table as one constant array."""
     def text(note: Mapping[str, str]) -> str:
         return "named_struct(" + ", ".join(
-            f"'{f}', cast({quoted(note[f]) if f in note else 'null'} as {_kind(f)})" for f in ACTION_FIELDS
+            f"'{f}', cast({quoted(note[f]) if f in note else 'null'} as string)" for f in ACTION_FIELDS
         ) + ")"
 
     return "array(" + ", ".join(text(n) for n in notes) + ")"
@@ -308,15 +308,17 @@ def outlier_marks(flags: DataFrame) -> DataFrame:
     marks = [F.expr("bool_or(_metric = 'lap_time_ms' and _agreement >= 2)").alias("_strong")]
     for i, metrics in enumerate(_OUTLIER_AREAS.values()):
         listed = ", ".join(quoted(m) for m in metrics)
-        marks.append(F.expr(f"bit_or({_position('_metric', sorted(metrics))})").alias(f"_o{i}"))
-        marks.append(F.expr(f"max(case when _metric in ({listed}) then _agreement end)").alias(f"_a{i}"))
+        here = f"_metric in ({listed})"
+        bits = f"bit_or(case when {here} then {_position('_metric', s.OUTLIER_METRICS)} else 0L end)"
+        marks.append(F.expr(bits).alias(f"_o{i}"))
+        marks.append(F.expr(f"max(case when {here} then _agreement end)").alias(f"_a{i}"))
     return slim.groupBy("_rid").agg(*marks)
 
 
 def listed_names(bits: str, names: Sequence[str]) -> str:
     """The sorted names of a bit set, joined by '|'."""
     parts = ", ".join(f"case when {has_bit(bits, i)} then {quoted(n)} end" for i, n in sorted(enumerate(names), key=lambda x: x[1]))
-    return f"concat_ws('|', {parts})"
+    return f"nullif(concat_ws('|', {parts}), '')"
 
 
 # --- resolution of one table ---------------------------------------------------------------------------------------
@@ -459,7 +461,7 @@ class _Resolver:
             reason = f"Unknown {c} value was set to NULL because it cannot be mapped deterministically."
             self.set_null(unknown, c, reason, d.area, **fields)
 
-    def missing(self, columns: Sequence[str]) -> None:
+    def missing(self) -> None:
         area = s.DROP_AREA[self.table]
         gone = self.prepare(sure("(_x0 | _s0) <> 0"))
         what = "lap time" if self.table == "lap" else "classification"
@@ -470,14 +472,9 @@ class _Resolver:
         )
         for i, a in enumerate(missing_areas(self.table)):
             explained, suspicious = f"_x{i}", f"_s{i}"
-            classes = [when(f"{bits} <> 0", quoted(kind)) for bits, kind in
-                       ((explained, "EXPLAINED_NULL"), (suspicious, "SUSPICIOUS_NULL"))]
-            row = {
-                "target_column": listed_names(f"({explained} | {suspicious})", columns),
-                "missing_class": f"concat_ws('|', {', '.join(classes)})",
-            }
             self.flag(
-                f"{alive} and {sure(f'({explained} | {suspicious}) <> 0')}", a, row, source=MISSING,
+                f"{alive} and {sure(f'({explained} | {suspicious}) <> 0')}", a,
+                {"explained": explained, "suspicious": suspicious}, source=MISSING,
                 reason=f"Focused missing value output indicates that {a} is incomplete or unreliable.",
             )
 
@@ -488,10 +485,9 @@ class _Resolver:
             strong, source=OUTLIER, outlier_metric="lap_time_ms", outlier_consensus_score="2",
             reason="Rows with strong consensus lap_time_ms outliers are removed because lap time is the core performance measure.",
         )
-        for i, (a, metrics) in enumerate(_OUTLIER_AREAS.items()):
-            row = {"outlier_metric": listed_names(f"_o{i}", sorted(metrics)), "outlier_consensus_score": f"_a{i}"}
+        for i, a in enumerate(_OUTLIER_AREAS):
             self.flag(
-                f"{alive} and {sure(f'_o{i} <> 0')}", a, row, source=OUTLIER,
+                f"{alive} and {sure(f'_o{i} <> 0')}", a, {"metrics": f"_o{i}", "score": f"_a{i}"}, source=OUTLIER,
                 reason=f"Outlier detection indicates that {a} may be unreliable.",
             )
 
@@ -548,7 +544,7 @@ def resolve_table(
         for position, (check_id, code) in enumerate(checks.items()):
             r.issue(position, check_id, code, columns)
     if "_x0" in marks:
-        r.missing(columns)
+        r.missing()
     if "_strong" in marks:
         r.outliers()
     for prepared in (r.early, r.late):
@@ -629,11 +625,18 @@ class Cleaning:
             dropped = f"case when _drop is not null then {_entry('_drop', {})} end"
             entries = r.frame.selectExpr("_rid", f"inline(array_compact(concat(_actions, array({dropped}))))")
             noted = entries.selectExpr("*", f"element_at({_notes_sql(r.notes)}, note + 1) as _note")
-            frames.append(noted.selectExpr(*[
-                "_rid as row_identifier" if f == "row_identifier"
-                else f"coalesce({f}, _note.{f}) as {f}" if f in ROW_FIELDS else f"_note.{f} as {f}"
-                for f in ACTION_FIELDS
-            ]))
+            names = [c for c in r.frame.columns if c not in _TECHNICAL]
+            classes = [when(f"{bits} <> 0", quoted(f"{bits.upper()}_NULL")) for bits in ("explained", "suspicious")]
+            per_row = {
+                "row_identifier": "_rid",
+                "target_column": f"coalesce(_note.target_column, {listed_names('(explained | suspicious)', names)})",
+                "missing_class": f"nullif(concat_ws('|', {', '.join(classes)}), '')",
+                "outlier_metric": f"coalesce(_note.outlier_metric, {listed_names('metrics', s.OUTLIER_METRICS)})",
+                "outlier_consensus_score": "coalesce(score, cast(_note.outlier_consensus_score as int))",
+                "old_value": "coalesce(old_value, _note.old_value)",
+                "new_value": "coalesce(new_value, _note.new_value)",
+            }
+            frames.append(noted.selectExpr(*[f"{per_row.get(f, f'_note.{f}')} as {f}" for f in ACTION_FIELDS]))
         return reduce(DataFrame.unionByName, frames)
 
     def rejected(self) -> DataFrame:
