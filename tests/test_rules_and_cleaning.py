@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starq.functions import scalars as c
 from starq.plans import cleaning, missing, outliers, quality, starqueries, validation
+from starq.session import stage
 from starq.plans.rules import Reference, Required, TableRules
 
 
@@ -66,8 +67,8 @@ def small_tables(spark):
 
 def test_cleaning_invariants(spark):
     tables = small_tables(spark)
-    issues = quality.assess(spark, tables).issues
-    result = cleaning.clean(tables, issues, missing.lap_flags(tables["lap"]))
+    issues = quality.assess(spark, tables, stage=stage).issues
+    result = cleaning.clean(tables, issues, missing.lap_flags(tables["lap"]), stage=stage)
     actions = [r.asDict() for r in result.actions().collect()]
     drops = {}
     for a in actions:
