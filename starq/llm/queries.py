@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starq.llm import anomaly, quality
+import public_tokenizers as tokenizers
+
+from starq.llm import anomaly, bpe, quality
 from starq.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +37,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "path"
     )
+
+
+@query("op7_prefix_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN
+    return bpe.encode(read(spark, sf_dir, "documents"), path, pattern)
