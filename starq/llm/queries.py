@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
 
-from starq.llm import anomaly, bpe, chat, quality
+from starq.llm import anomaly, bpe, chat, quality, sharding
 from starq.llm.common import Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = chat.log_of_turns(turns.unionByName(planted))
     written = Scratch(spark, "chat").write(chat.render(chat.fold(log)), "rendered")
     return chat.digests(written)
+
+
+@query("op6_interleaved_shards")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.interleave(read(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "source",
+    )
