@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starq.llm import stats
-from starq.llm.common import Scratch, plain_documents
+from starq.llm.common import Scratch, bounded_sample, plain_documents
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -29,7 +29,7 @@ TREES = 200
 #: Rows a tree is grown from, and the depth that follows from it.
 TREE_ROWS = 256
 DEPTH = 8
-#: Bound of the labelled-good rows that the trees draw from (lowest hashes of doc_id).
+#: Bound of the labelled-good rows that the trees draw from (chosen by a hash of doc_id, about as many).
 FIT_ROWS = 10_000
 #: Labelled-good rows that the calibrated threshold may give up, at most.
 MAX_GOOD_LOSS = 0.002
@@ -129,7 +129,7 @@ def verdicts(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
         labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
         .join(counts.where(~F.col("base_failed")), "doc_id")
     )
-    good = labelled.where(F.col("quality") == 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).toPandas()
+    good = bounded_sample(labelled.where(F.col("quality") == 1), "doc_id", fit_rows)
     if not len(good):
         return counts.select("*", F.lit(None).cast("double").alias("path"), (~F.col("base_failed")).alias("kept"))
     forest = grow(stats.ratios({c: good[c].to_numpy() for c in stats.COUNTS}))

@@ -50,9 +50,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label, self.paths = prepare(spark), label, {}
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = self.paths[name] = fresh_path(self.spark, f"{self.label}-{name}")
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").option("compression", compression).parquet(path)
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:
@@ -68,3 +68,14 @@ class Scratch:
 def plain_documents(docs: DataFrame, *extra: str) -> DataFrame:
     """doc_id and text only, under those names: other columns never reach an operator."""
     return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
+
+
+def bounded_sample(df: DataFrame, key: str, rows: int):
+    """About `rows` rows, or all if there are no more, as pandas in order of key.
+
+    Chosen by a hash of the key, so each task sends its share only.
+    """
+    total = df.count()
+    if total > rows:
+        df = df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int((1 << 30) * rows / total))
+    return df.toPandas().sort_values(key, ignore_index=True)

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starq.llm import stats
-from starq.llm.common import Scratch, plain_documents
+from starq.llm.common import Scratch, bounded_sample, plain_documents
 
 #: Scores from here on predict label 1.
 CUT = 0.7
-#: Bound of the rows the weights are fitted on (the lowest hashes of doc_id).
+#: Bound of the rows the weights are fitted on (chosen by a hash of doc_id, about as many).
 FIT_ROWS = 20_000
 #: Preference pairs drawn for each row of the larger label.
 PARTNERS = 4
@@ -110,7 +110,7 @@ def fit(counts: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ranki
         labels.where(F.col("quality").isin(0, 1) & ~held_out())
         .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")).join(counts, "doc_id")
     )
-    sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).toPandas()
+    sample = bounded_sample(train, "doc_id", fit_rows)
     ranking = fit_pairs(stats.ratios({c: sample[c].to_numpy() for c in stats.COUNTS}), sample["quality"].to_numpy()) if len(sample) else None
     if ranking is None:
         return None

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
 
-from starq.llm import anomaly, bpe, chat, quality, sharding
-from starq.llm.common import Scratch, read
+from starq.llm import anomaly, bpe, chat, quality, rans, sharding
+from starq.llm.common import Scratch, prepare, read
+from starq.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +63,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "source",
     )
+
+
+@query("op9_rans_token_files")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(prepare(spark), "rans")
+    rans.write(read(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"), path)
+    return rans.read_documents(spark, path)
