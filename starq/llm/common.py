@@ -58,6 +58,10 @@ class Scratch:
     def read(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.paths[name])
 
+    def keep(self, *names: str) -> None:
+        """Drops every table but these."""
+        self.drop(*(n for n in list(self.paths) if n not in names))
+
     def drop(self, *names: str) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for name in names:

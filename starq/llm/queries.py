@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
 
-from starq.llm import anomaly, bpe, chat, quality, rans, sharding
+from starq.llm import anomaly, bpe, chat, jaccard, quality, rans, sharding
 from starq.llm.common import Scratch, prepare, read
 from starq.session import fresh_path
 
@@ -70,3 +70,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(prepare(spark), "rans")
     rans.write(read(spark, sf_dir, "documents"), tokenizers.path("word_bpe_49k.json"), path)
     return rans.read_documents(spark, path)
+
+
+@query("op10_adaptive_jaccard")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))

@@ -57,7 +57,7 @@ def _lines(scan: Scan) -> tuple[np.ndarray, np.ndarray]:
     # A line that a line feed closes ends before it.
     ends = ends - (scan.data[ends - 1] == 10)
     keys = _owned(scan.span_hashes(starts, ends), owner)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     later = np.zeros(len(keys), bool)
     later[order[1:]] = keys[order[1:]] == keys[order[:-1]]
     return np.bincount(owner, minlength=scan.docs), np.bincount(owner, later, scan.docs)
@@ -69,7 +69,7 @@ def count(scan: Scan) -> dict[str, np.ndarray]:
     n_lines, n_dup = _lines(scan)
     owned = _owned(hashes, doc)
     fresh = np.ones(len(hashes), bool)
-    order = np.argsort(owned, kind="stable")
+    order = np.argsort(owned)
     fresh[order[1:]] = owned[order[1:]] != owned[order[:-1]]
     adjacent = np.zeros(len(hashes), bool)
     adjacent[1:] = owned[1:] == owned[:-1]

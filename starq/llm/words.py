@@ -14,6 +14,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 SLICE_BYTES = 1 << 20
+SLICE_DOCS = 1 << 13
 _BASE = 0x9E3779B97F4A7C13  # odd, 3 modulo 8
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -108,6 +109,7 @@ def scans(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Scan]:
     low, n = 0, len(offsets) - 1
     while low < n:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1)
+        high = min(high, low + SLICE_DOCS)
         yield Scan(data, offsets[low : high + 1], low)
         low = high
 
@@ -136,7 +138,7 @@ def ranges(counts: np.ndarray) -> np.ndarray:
 
 def repeated(keys: np.ndarray) -> np.ndarray:
     """Whether each key occurs at least twice."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     same = np.zeros(len(keys) + 1, bool)
     same[1:-1] = ordered[1:] == ordered[:-1]
