@@ -74,6 +74,18 @@ def plain_documents(docs: DataFrame, *extra: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
 
 
+def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is in keys(doc_id, n), joined to keys' columns. n is positive.
+
+    Spark makes a Bloom filter of the keys (of bounded size) and applies it to the
+    scan, so that mostly wanted texts are shuffled. The settings lift its size
+    limits; the comparison marks keys as the selective side.
+    """
+    for name, value in (("applicationSideScanSizeThreshold", "0b"), ("creationSideThreshold", "100g")):
+        docs.sparkSession.conf.set(f"spark.sql.optimizer.runtime.bloomFilter.{name}", value)
+    return docs.join(keys.where("n > 0"), "doc_id")
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int):
     """About `rows` rows, or all if there are no more, as pandas in order of key.
 

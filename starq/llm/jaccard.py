@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starq.llm import words
-from starq.llm.common import Scratch, plain_documents
+from starq.llm.common import Scratch, only, plain_documents
 from starq.llm.components import components
 from starq.llm.words import U64, Scan, mix
 
@@ -268,9 +268,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = kept.where("token < 0").select("doc", F.expr("salt div 16").alias("n"), F.expr("salt % 16").alias("l")).distinct()
     postings = kept.where("token >= 0").select("token", "doc").distinct()
     # Texts that any pair can need, shuffled once.
-    wanted = postings.select(F.col("doc").alias("doc_id")).distinct()
-    near = scratch.write(texts.join(wanted, "doc_id", "left_semi"), "texts")
-    joined = _Join(scratch, near, scratch.write(postings, "postings"), scratch.write(sizes, "sizes"))
+    postings, sizes = scratch.write(postings, "postings"), scratch.write(sizes, "sizes")
+    wanted = scratch.write(postings.groupBy(F.col("doc").alias("doc_id")).agg(F.count(F.lit(1)).alias("n")), "wanted")
+    near = scratch.write(only(texts, wanted).select("doc_id", "text"), "texts")
+    joined = _Join(scratch, near, postings, sizes)
     scratch.drop("kept")
     comp = joined.run()
     scratch.keep("sets", "classes", list(scratch.paths)[-1])

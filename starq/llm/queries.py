@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
 
-from starq.llm import anomaly, bpe, chat, jaccard, quality, rans, sharding
+from starq.llm import anomaly, bpe, chat, jaccard, quality, rans, recompress, sharding
 from starq.llm.common import Scratch, prepare, read
 from starq.session import fresh_path
 
@@ -75,3 +75,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_adaptive_jaccard")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op5_recompression")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.remove_repeats(read(spark, sf_dir, "documents"))
