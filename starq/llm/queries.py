@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
 
-from starq.llm import anomaly, bpe, chat, jaccard, quality, rans, recompress, sharding
+from starq.llm import anomaly, bpe, chat, decontaminate, jaccard, quality, rans, recompress, sharding
 from starq.llm.common import Scratch, prepare, read
 from starq.session import fresh_path
 
@@ -80,3 +80,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_recompression")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+@query("op3_edit_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.quotations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

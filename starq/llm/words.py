@@ -66,11 +66,11 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Scan:
     """Words of consecutive documents. `first` is the first document's row in the batch."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, first: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, first: int, separator: np.ndarray = _SEPARATOR):
         self.first, self.docs = first, len(offsets) - 1
         self.data, self.offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
         size = len(self.data)
-        self.word_byte = ~_SEPARATOR[self.data]
+        self.word_byte = ~separator[self.data]
         begins = np.zeros(size + 1, bool)
         begins[self.offsets] = True
         before = np.zeros(size, bool)
@@ -104,13 +104,13 @@ class Scan:
         return np.diff(total[self.offsets])
 
 
-def scans(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Scan]:
+def scans(column: pa.Array, limit: int = SLICE_BYTES, separator: np.ndarray = _SEPARATOR) -> Iterator[Scan]:
     data, offsets = text_buffers(column)
     low, n = 0, len(offsets) - 1
     while low < n:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1)
         high = min(high, low + SLICE_DOCS)
-        yield Scan(data, offsets[low : high + 1], low)
+        yield Scan(data, offsets[low : high + 1], low, separator)
         low = high
 
 
