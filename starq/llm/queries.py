@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
 
-from starq.llm import anomaly, bpe, chat, decontaminate, jaccard, quality, rans, recompress, sharding
+from starq.llm import anomaly, bpe, chat, decontaminate, jaccard, pii, quality, rans, recompress, sharding
 from starq.llm.common import Scratch, prepare, read
 from starq.session import fresh_path
 
@@ -85,3 +85,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_edit_decontamination")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.quotations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+#: Production runs take the key from their own secret store.
+PII_KEY = "contract-key"
+
+
+@query("op8_pii_surrogates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, PII_KEY, count_as="n_entities")
