@@ -29,7 +29,10 @@ from pyspark.sql import DataFrame
 from starq.llm.common import plain_documents
 
 #: Pieces, and token pairs, remembered per worker; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+PREFIXES = 600_000
+#: Bytes up to which a piece and its prefixes are remembered.
+SHORT = 64
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -40,26 +43,44 @@ class Vocabulary:
         with open(path, "rb") as lines:
             self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes_of = {r: t for t, r in self.rank.items()}
-        self.longest = max(map(len, self.rank))
+        #: Every ending of a token: the token it is itself, or -1. Tells how far back a last token can reach.
+        self.ending = {t[i:]: -1 for t in self.rank for i in range(1, len(t))} | self.rank
         self.pairs: dict[tuple[int, int], bool] = {}
         self.alone: dict[int, bool] = {}
+        #: The last token of the encoding of each short prefix met so far, shared by all pieces.
+        self.last: dict[bytes, int] = {}
 
-    def _merged(self, text: bytes) -> list[bytes]:
-        """The definition: join the adjacent parts of least rank, the leftmost first, until none is a token."""
+    def _keeps(self, text: bytes, border: int) -> bool:
+        """Whether merging by the definition ends in text[:border] and text[border:].
+
+        The definition: join the adjacent parts of least rank, the leftmost first,
+        until no two adjacent parts are a token. A border of 0 asks for one part.
+        """
+        rank, none = self.rank.get, 1 << 60
         parts = [text[i : i + 1] for i in range(len(text))]
-        while len(parts) > 1:
-            ranks = [self.rank.get(a + b, 1 << 60) for a, b in zip(parts, parts[1:])]
+        ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        left = border  # parts before the border
+        while ranks:
             least = min(ranks)
-            if least == 1 << 60:
+            if least == none:
                 break
             i = ranks.index(least)
+            if left and i == left - 1:
+                return False
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+            del ranks[i]
+            if i < left:
+                left -= 1
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], none)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], none)
+        return len(parts) == (2 if border else 1)
 
     def stands(self, token: int) -> bool:
         """Whether the token's bytes encode as that token."""
         if token not in self.alone:
-            self.alone[token] = len(self._merged(self.bytes_of[token])) == 1
+            self.alone[token] = self._keeps(self.bytes_of[token], 0)
         return self.alone[token]
 
     def fits(self, left: int, right: int) -> bool:
@@ -69,9 +90,41 @@ class Vocabulary:
             if len(self.pairs) >= REMEMBERED:
                 self.pairs.clear()
             a, b = self.bytes_of[left], self.bytes_of[right]
-            known = self.pairs[left, right] = self._merged(a + b) == [a, b]
+            known = self.pairs[left, right] = self._keeps(a + b, len(a))
         return known
 
+    def encode(self, text: bytes) -> list[int]:
+        """Tokens of a short piece, from the longest prefix met before."""
+        last, ending, pairs = self.last, self.ending.get, self.pairs.get
+        known = len(text)
+        while known and text[:known] not in last:
+            known -= 1
+        for end in range(known + 1, len(text) + 1):
+            found, begin = [], end - 1
+            token = ending(text[begin:end])
+            while token is not None:
+                if token >= 0:
+                    found.append((begin, token))
+                begin -= 1
+                token = ending(text[begin:end]) if begin >= 0 else None
+            for begin, token in reversed(found):
+                if not begin:
+                    if self.stands(token):
+                        break
+                else:
+                    before = last[text[:begin]]
+                    good = pairs((before, token))
+                    if good or good is None and self.fits(before, token):
+                        break
+            else:
+                raise ValueError("a byte has no token")
+            last[text[:end]] = token
+        out, end = [], len(text)
+        while end:
+            out.append(last[text[:end]])
+            end -= len(self.bytes_of[out[-1]])
+        return out[::-1]
+
 
 class Prefixes:
     """The encodings of all byte prefixes of a growing, editable byte string."""
@@ -84,13 +137,15 @@ class Prefixes:
 
     def append(self, more: bytes) -> None:
         start, self.text = len(self.text), self.text + more
-        voc, rank, last, text = self.vocabulary, self.vocabulary.rank, self.last, self.text
+        voc, last, text = self.vocabulary, self.last, self.text
         for end in range(start + 1, len(text) + 1):
-            for begin in range(max(0, end - voc.longest), end):
-                token = rank.get(text[begin:end])
-                if token is not None and (voc.fits(last[begin], token) if begin else voc.stands(token)):
+            begin, token = end - 1, voc.ending.get(text[end - 1 : end])
+            while token is not None:
+                if token >= 0 and (voc.fits(last[begin], token) if begin else voc.stands(token)):
                     last.append(token)
                     break
+                begin -= 1
+                token = voc.ending.get(text[begin:end]) if begin >= 0 else None
             else:
                 raise ValueError("a byte has no token")
 
@@ -110,29 +165,39 @@ class Prefixes:
 
 
 class Encoder:
-    """Encodes texts piece by piece; remembers ids as decimal text, and the bytes they decode to."""
+    """Encodes texts piece by piece, and remembers a piece's ids as decimal text."""
 
     def __init__(self, path: str, pattern: str):
         self.vocabulary, self.pattern = Vocabulary(path), regex.compile(pattern)
-        self.known: dict[str, tuple[int, bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}
+        self.token = {str(r).encode(): t for t, r in self.vocabulary.rank.items()}
 
     def piece(self, piece: str) -> list[int]:
         text = piece.encode()
         whole = self.vocabulary.rank.get(text)
-        return [whole] if whole is not None else Prefixes(self.vocabulary, text).tokens()
-
-    def _learn(self, piece: str) -> tuple[int, bytes, bytes]:
+        if whole is not None:
+            return [whole]
+        if len(text) > SHORT:
+            return Prefixes(self.vocabulary, text).tokens()
+        if len(self.vocabulary.last) >= PREFIXES:
+            self.vocabulary.last.clear()
+        return self.vocabulary.encode(text)
+
+    def _learn(self, piece: str) -> bytes:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        ids = self.piece(piece)
-        found = len(ids), " ".join(map(str, ids)).encode(), b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
-        if len(piece) <= 64:
+        found = " ".join(map(str, self.piece(piece))).encode()
+        if len(piece) <= SHORT:
             self.known[piece] = found
         return found
 
-    def pieces(self, text: str) -> list[tuple[int, bytes, bytes]]:
+    def encode(self, text: str) -> bytes:
+        """The ids of a text in decimal, joined by one space."""
         known, learn = self.known.get, self._learn
-        return [known(p) or learn(p) for p in self.pattern.findall(text)]
+        return b" ".join([known(p) or learn(p) for p in self.pattern.findall(text)])
+
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.token.__getitem__, ids.split()))
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -151,11 +216,10 @@ def _encode(path: str, pattern: str, with_ids: bool):
         for batch in batches:
             rows: list[list] = [[], [], [], []]
             for text in batch.column("text"):
-                found = tool.pieces(text.as_py())
-                joined = b" ".join([f[1] for f in found])
-                rows[0].append(sum([f[0] for f in found]))
+                joined = tool.encode(text.as_py())
+                rows[0].append(joined.count(b" ") + 1 if joined else 0)
                 rows[1].append(hashlib.sha256(joined).hexdigest())
-                rows[2].append(hashlib.sha256(b"".join([f[2] for f in found])).hexdigest())
+                rows[2].append(hashlib.sha256(tool.decode(joined)).hexdigest())
                 if with_ids:
                     rows[3].append(np.array(joined.split(), "<u4").tobytes())
             columns = [batch.column("doc_id").cast(pa.int64()), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())]

@@ -129,7 +129,7 @@ def test_bpe_prefixes(library):
     alphabet = ["the", "ing", "er", "a", "é", "漢", " ", "  ", "\n", "12", "!?", "<|", "ß", "😀", "'s", "x" * 20]
     for _ in range(400):
         text = "".join(rng.choices(alphabet, k=rng.randrange(30)))
-        assert b" ".join(f[1] for f in tool.pieces(text) if f[0]).decode() == " ".join(map(str, library.encode_ordinary(text)))
+        assert tool.encode(text).decode() == " ".join(map(str, library.encode_ordinary(text)))
     voc, text = tool.vocabulary, b"antidisestablishmentarianism"
     grown = bpe.Prefixes(voc)
     for i in range(len(text)):
