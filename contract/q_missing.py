@@ -88,26 +88,39 @@ def _(spark, sf):
 _PRICES = """WITH prices AS (SELECT p_brand AS brand, l_orderkey, l_linenumber, l_extendedprice AS value FROM lineitem JOIN part ON p_partkey = l_partkey),"""
 
 
-def _price_scores(spark, sf):
+def _price_scores(spark, sf, **options):
     lines = base(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").alias("value"))
     part = base(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
-    return outliers.score_groups(lines.join(part, "l_partkey"), ["brand"])
+    return outliers.score_groups(lines.join(part, "l_partkey"), ["brand"], **options)
 
 
 def _rounded(df, *names):
     return df.withColumns({n: F.round(n, 9) for n in names})
 
 
-@query("ol_iqr", _PRICES + scored_definitions("prices", "brand") + """
+_IQR = _PRICES + scored_definitions("prices", "brand") + """
 SELECT brand, count(*) AS tested, round(max(iqr_lower_bound), 9) AS lower_bound, round(max(iqr_upper_bound), 9) AS upper_bound,
-       count(*) FILTER (WHERE iqr_flag) AS outliers FROM scored GROUP BY 1""")
-def _(spark, sf):
-    out = _price_scores(spark, sf).groupBy("brand").agg(
+       count(*) FILTER (WHERE iqr_flag) AS outliers FROM scored GROUP BY 1"""
+
+
+def _iqr(spark, sf, **options):
+    out = _price_scores(spark, sf, **options).groupBy("brand").agg(
         F.count("*").alias("tested"), F.max("iqr_lower_bound").alias("lower_bound"), F.max("iqr_upper_bound").alias("upper_bound"),
         F.count_if("iqr_flag").alias("outliers"))
     return _rounded(out, "lower_bound", "upper_bound")
 
 
+@query("ol_iqr", _IQR)
+def _(spark, sf):
+    return _iqr(spark, sf)
+
+
+# Brands of more than 50 lines are cut.
+@query("ol_iqr_hot", _IQR)
+def _(spark, sf):
+    return _iqr(spark, sf, limit=50)
+
+
 @query("ol_modz", _PRICES + scored_definitions("prices", "brand") + """
 SELECT brand, round(max(smedian), 9) AS median, round(max(smad), 9) AS mad, round(max(modified_z_score), 9) AS max_z,
        count(*) FILTER (WHERE modified_z_flag) AS outliers FROM scored GROUP BY 1""")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from starq.operators.slicing import FLOOR, SHARE, Slices, plan_slices, with_slice
+from starq.operators.slicing import LIMIT, Slices, plan_slices, with_slice
 
 # Rows that cannot match are dealt over this many window groups of their own.
 _UNMATCHED_SPREAD = 1 << 20
@@ -28,13 +28,15 @@ class Context:
     frame: DataFrame
     time: str
     columns: Mapping[str, str]
-    # Decides between rows of the same group and time: the largest is the latest.
+    # Decides between rows of the same group and time: the largest is the latest. Rows
+    # without it come before all others; rows that still tie are ordered by their columns.
     tie: str | None = None
 
 
 def _prepared(context: Context, keys: Sequence[str], one_per_time: bool) -> DataFrame:
     payload = F.struct(*[F.col(c).alias(out) for c, out in context.columns.items()])
-    tie = F.col(context.tie) if context.tie else F.lit(0)
+    parts = [F.col(context.tie).isNotNull().alias("known"), F.col(context.tie).alias("value")] if context.tie else []
+    tie = F.struct(*parts, payload.alias("row"))
     rows = context.frame.select(*keys, F.col(context.time).alias("_t"), payload.alias("_row"), tie.alias("_tie"))
     rows = rows.dropna(subset=[*keys, "_t"])
     if not one_per_time:
@@ -79,14 +81,13 @@ def asof_join(
     keys: Sequence[str],
     time: str,
     contexts: Sequence[Context],
-    floor: int = FLOOR,
-    share: float = SHARE,
+    limit: int = LIMIT,
 ) -> DataFrame:
     keys = list(keys)
     load = facts.select(*keys, F.col(time).cast("double").alias("_v"))
     for c in contexts:
         load = load.unionByName(c.frame.select(*keys, F.col(c.time).cast("double").alias("_v")))
-    slices = plan_slices(load.dropna(), keys, "_v", floor, share)
+    slices = plan_slices(load, keys, "_v", limit)
 
     row_hash = F.xxhash64(*facts.columns)
     matchable = F.col("_t").isNotNull()

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starq.operators.slicing import SHARE, plan_slices, with_slice
+from starq.operators.slicing import LIMIT, plan_slices, with_slice
 
-# Numbering cuts finer than other windows: ids are cheap to slice.
-NUMBERING_FLOOR = 10_000
+# Rows a set may have to be numbered by one task.
+SMALL_SET = 1_000_000
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -37,7 +37,7 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, order: str, name: str, start: int = 1, floor: int = NUMBERING_FLOOR, share: float = SHARE
+    df: DataFrame, order: str, name: str, start: int = 1, limit: int = LIMIT
 ) -> DataFrame:
     """Consecutive numbers in the order of a unique numeric column.
 
@@ -45,13 +45,13 @@ def number_rows(
     and shifted by the sizes of the slices before it. No window spans the table.
     """
     tagged = df.withColumn("_all", F.lit(0))
-    slices = plan_slices(tagged, ["_all"], order, floor, share)
+    slices = plan_slices(tagged, ["_all"], order, limit)
     if slices.hot is None:
         # Proven above: no more rows than one slice may hold.
         sliced = tagged.withColumn("_slice", F.lit(0))
     else:
         sliced = with_slice(tagged, slices, order)
-    # One row per slice, at most 2 / share of them.
+    # One row per slice, that is per `limit` rows.
     sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
@@ -64,6 +64,12 @@ def number_rows(
 
 
 def number_small(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Numbers 1..n for a set that is small by construction (distinct categories)."""
+    """Numbers 1..n for a set that is small by construction (distinct categories).
+
+    One task numbers them, so the query fails where the set turns out not to be small.
+    """
     everything = Window.partitionBy(F.lit(0)).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.select(F.row_number().over(everything).cast("bigint").alias(name), *df.columns)
+    number = F.row_number().over(everything)
+    message = F.lit(f"{name}: more than {SMALL_SET} rows; use number_rows")
+    checked = F.when(number <= SMALL_SET, number).otherwise(F.raise_error(message).cast("int"))
+    return df.select(checked.cast("bigint").alias(name), *df.columns)

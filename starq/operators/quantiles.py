@@ -14,8 +14,8 @@ def group_quantiles(
 ) -> DataFrame:
     """One row per group: keys, _n (values) and a column per probability.
 
-    Groups below the slicing limit go through the built-in exact `percentile`;
-    its value map is bounded by that limit. Hot groups are ranked instead: equal
+    Groups below the slicing limit (a number of rows) go through the built-in exact
+    `percentile`; its value map is bounded by that limit. Hot groups are ranked instead: equal
     values are counted before the shuffle, slice totals give each slice its
     first rank, and only slices that hold a wanted rank are sorted.
     """

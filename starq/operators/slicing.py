@@ -1,14 +1,16 @@
 """Cutting hot groups into ordered slices.
 
-A window over a group runs in one task, so a group that holds a large share of
-all rows has to be cut first. `plan_slices` finds such groups and their cut
-points, `with_slice` adds a `_slice` number that grows with the ordering value:
-slice 0 holds the smallest values of the group, the last slice the largest.
+A window over a group runs in one task, so a group of more than LIMIT rows has to
+be cut first. `plan_slices` finds such groups and their cut points, `with_slice`
+adds a `_slice` number that grows with the ordering value: slice 0 holds the
+smallest values of the group, the last slice the largest.
 
 The plan is made once, up front, and kept as plain numbers. Every later use (and
-every retried task) therefore cuts at the same points. Its size is bounded by
-the share: at most 1 / SHARE groups can be hot, and all of them together get at
-most 2 / SHARE cut points, whatever the size of the data.
+every retried task) therefore cuts at the same points. LIMIT is a number of rows,
+not a share, so a slice fits one task at any size of the data; the plan holds one
+number per LIMIT rows, a few megabytes for a million million rows. Cut points
+come from a sample of PER_SLICE rows per slice, drawn by Spark; results never
+depend on where the cuts fall.
 """
 
 from __future__ import annotations
@@ -17,11 +19,12 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-# A group is hot above FLOOR rows and above SHARE of all rows.
-FLOOR = 1_000_000
-SHARE = 1e-4
+# Rows that a group, or a slice of one, may bring to a task.
+LIMIT = 1_000_000
+# Sampled rows per slice: slices keep within about a fifth of their planned size.
+PER_SLICE = 100
 
 
 @dataclass(frozen=True)
@@ -39,42 +42,34 @@ class Slices:
         )
 
 
-def plan_slices(
-    df: DataFrame, keys: Sequence[str], value: str, floor: int = FLOOR, share: float = SHARE
-) -> Slices:
+def plan_slices(df: DataFrame, keys: Sequence[str], value: str, limit: int = LIMIT) -> Slices:
     keys = tuple(keys)
-    slim = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    total = slim.count()
-    limit = max(floor, math.ceil(total * share))
-    if total <= limit:
-        return Slices(keys, None)
-    # At most total / limit <= 1 / share rows come back.
+    slim = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna()
+    # At most one row per `limit` rows of data comes back.
     large = slim.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit).collect()
-    large = [r for r in large if all(r[k] is not None for k in keys)]
     if not large:
         return Slices(keys, None)
 
     spark = df.sparkSession
     key_fields = [slim.schema[k] for k in keys]
     groups = spark.createDataFrame(large, T.StructType([*key_fields, T.StructField("_rows", T.LongType())]))
-    parts = math.ceil(max(r["_rows"] for r in large) / limit)
-    quantiles = F.percentile_approx("_v", [i / parts for i in range(1, parts)], max(10_000, 20 * parts))
-    wanted = F.ceil(F.col("_rows") / F.lit(limit))
-    step = F.greatest(F.lit(1), F.floor(F.lit(parts) / wanted))
+    # Every PER_SLICE-th of the sampled values of a group is a cut point.
+    rate = min(1.0, PER_SLICE / limit)
+    sampled = slim.join(F.broadcast(groups), list(keys)).where(F.rand(11) < rate)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_v"))
+    every = max(1, round(rate * limit))
     cuts = (
-        slim.join(F.broadcast(groups), list(keys))
-        .groupBy(*keys, "_rows")
-        .agg(quantiles.alias("_q"))
-        .withColumn("_step", step)
-        .select(*keys, "_rows", F.expr("filter(_q, (x, i) -> (i + 1) % _step = 0)").alias("_q"))
-        .collect()
+        sampled.withColumn("_place", place).where(F.col("_place") % every == 0)
+        .groupBy(*keys, "_rows").agg(F.array_sort(F.collect_list("_v")).alias("_q")).collect()
     )
     rows = []
     for r in cuts:
-        q = sorted(r["_q"])
+        q = r["_q"]
         chunk = max(1, math.isqrt(len(q)))
         chunks = [q[i : i + chunk] for i in range(0, len(q), chunk)]
         rows.append((*[r[k] for k in keys], r["_rows"], len(q), chunk, chunks, [c[-1] for c in chunks]))
+    if not rows:
+        return Slices(keys, None)
     schema = T.StructType(
         [
             *key_fields,

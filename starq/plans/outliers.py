@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starq.functions.scalars import number, parse_bool_or_false, strip
 from starq.operators.joins import require_columns
 from starq.operators.quantiles import group_quantiles
-from starq.operators.slicing import FLOOR, SHARE, join_group_rows, plan_slices
+from starq.operators.slicing import LIMIT, join_group_rows, plan_slices
 from starq.plans.quality import row_identifier
 from starq.schemas import OUTLIER_METRICS
 
@@ -76,7 +76,7 @@ def long_metrics(
 
 def score_groups(
     values: DataFrame, keys: Sequence[str], value: str = "value", smallest: int = SMALLEST_GROUP,
-    floor: int = FLOOR, share: float = SHARE,
+    limit: int = LIMIT,
 ) -> DataFrame:
     """Every value with the statistics, flags and agreement of its group.
 
@@ -84,11 +84,11 @@ def score_groups(
     spread (IQR or MAD of 0) gets no flags and no bounds of that method.
     """
     keys = list(keys)
-    slices = plan_slices(values, keys, value, floor, share)
+    slices = plan_slices(values, keys, value, limit)
     stats = group_quantiles(values, keys, value, {"q1": 0.25, "q3": 0.75, "median": 0.5}, slices)
     with_stats = join_group_rows(values, stats.withColumnRenamed("_n", "tested"), slices, value)
     distance = with_stats.withColumn("_distance", F.abs(F.col(value) - F.col("median")))
-    mads = group_quantiles(distance, keys, "_distance", {"mad": 0.5}, slices_of(distance, keys, slices, floor, share))
+    mads = group_quantiles(distance, keys, "_distance", {"mad": 0.5}, slices_of(distance, keys, slices, limit))
     scored = join_group_rows(distance, mads.drop("_n"), slices, value)
 
     enough = F.col("tested") >= smallest
@@ -116,9 +116,9 @@ def score_groups(
     )
 
 
-def slices_of(distance: DataFrame, keys: Sequence[str], slices, floor: int, share: float):
+def slices_of(distance: DataFrame, keys: Sequence[str], slices, limit: int):
     """Cut points for the distances: needed only where the values were cut, too."""
-    return slices if slices.hot is None else plan_slices(distance, keys, "_distance", floor, share)
+    return slices if slices.hot is None else plan_slices(distance, keys, "_distance", limit)
 
 
 def interpretation(score: Column) -> Column:
@@ -132,14 +132,14 @@ class Outliers:
 
 
 def detect(
-    laps: DataFrame, metrics: Sequence[str] = OUTLIER_METRICS, floor: int = FLOOR, share: float = SHARE
+    laps: DataFrame, metrics: Sequence[str] = OUTLIER_METRICS, limit: int = LIMIT
 ) -> Outliers:
     """Outlier flags and the summary per session and metric of already clean laps."""
     rid = row_identifier(laps.columns, ["lap_id"]).alias("row_identifier")
     laps = laps.where(F.col("session_id").isNotNull())
     metrics = [m for m in metrics if m in laps.columns]
     values = long_metrics(laps, ["session_id", rid], metrics)
-    scored = score_groups(values, ["session_id", "metric"], floor=floor, share=share)
+    scored = score_groups(values, ["session_id", "metric"], limit=limit)
     flags = scored.where(F.col("consensus_score") > 0).withColumn("table_name", F.lit("lap")).select(*OUTLIER_COLUMNS)
     return Outliers(flags, summarize(scored, laps.select("session_id").distinct(), metrics))
 

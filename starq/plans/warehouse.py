@@ -11,7 +11,7 @@ from starq.functions import scalars as c
 from starq.operators.asof import Context, asof_join
 from starq.operators.joins import enrich, require_columns
 from starq.operators.keys import first_per_key, number_rows, number_small
-from starq.operators.slicing import FLOOR, SHARE
+from starq.operators.slicing import LIMIT
 from starq.schemas import AREA_FLAGS
 
 LAP_FLAGS = tuple(AREA_FLAGS["lap"].values())
@@ -185,7 +185,7 @@ def track_context(track_status: DataFrame) -> Context:
 
 
 def with_lap_context(
-    lap: DataFrame, weather: DataFrame, track_status: DataFrame, floor: int = FLOOR, share: float = SHARE
+    lap: DataFrame, weather: DataFrame, track_status: DataFrame, limit: int = LIMIT
 ) -> DataFrame:
     """Weather and track status at the start of each lap, as classes.
 
@@ -193,7 +193,7 @@ def with_lap_context(
     """
     flags = boolean_flags(lap, ("has_weather_information_issue", "has_track_status_information_issue"))
     joined = asof_join(
-        flags, ["session_id"], "lap_start_time_ms", [weather_context(weather), track_context(track_status)], floor, share
+        flags, ["session_id"], "lap_start_time_ms", [weather_context(weather), track_context(track_status)], limit
     )
     return joined.withColumns(
         {
@@ -235,7 +235,7 @@ def _lit_or(df: DataFrame, name: str, build):
     return build(F.col(name)) if name in df.columns else F.lit("Unknown")
 
 
-def lap_work(tables: Mapping[str, DataFrame], floor: int = FLOOR, share: float = SHARE) -> DataFrame:
+def lap_work(tables: Mapping[str, DataFrame], limit: int = LIMIT) -> DataFrame:
     """Laps with every attribute the fact and its dimensions need, and their number."""
     lap = boolean_flags(tables["lap"], LAP_FLAGS)
     # Numbered first, on the narrow source: the order is the source key.
@@ -248,7 +248,7 @@ def lap_work(tables: Mapping[str, DataFrame], floor: int = FLOOR, share: float =
             "tyre_life_class": _lit_or(lap, "tyre_life", c.tyre_life_class),
         }
     )
-    lap = with_lap_context(lap, tables["weather"], tables["track_status"], floor, share)
+    lap = with_lap_context(lap, tables["weather"], tables["track_status"], limit)
     texts = (
         "compound", "lap_type", "starting_tyre_set_status", "tyre_life_class", "air_temp_class", "track_temp_class",
         "wind_speed_class", "track_status_category", "session_type",
@@ -314,11 +314,11 @@ class Warehouse:
 
 
 def build(
-    tables: Mapping[str, DataFrame], stage=lambda df: df, floor: int = FLOOR, share: float = SHARE
+    tables: Mapping[str, DataFrame], stage=lambda df: df, limit: int = LIMIT
 ) -> Warehouse:
     """The whole star. `stage` may write the two work frames once (dimensions and
     facts both read them); see `starq.session.materialize`."""
-    laps, results = stage(lap_work(tables, floor, share)), stage(result_work(tables))
+    laps, results = stage(lap_work(tables, limit)), stage(result_work(tables))
     dimensions = {
         "dim_driver": dim_driver(tables["driver"]),
         "dim_team": dim_team(tables["team"]),

@@ -11,7 +11,7 @@ from starq.operators.quantiles import group_quantiles
 from starq.operators.slicing import join_group_rows, plan_slices, with_slice
 from starq.plans.outliers import score_groups
 
-SMALL = {"floor": 100, "share": 0.01}
+SMALL = {"limit": 100}
 
 
 def skewed(rng, n, ties):
@@ -37,7 +37,7 @@ def expected_asof(facts, context):
 
 
 @pytest.mark.parametrize("ties", [0, 900])
-@pytest.mark.parametrize("options", [{}, SMALL, {"floor": 20, "share": 0.001}])
+@pytest.mark.parametrize("options", [{}, SMALL, {"limit": 20}])
 def test_asof_equals_brute_force(spark, ties, options):
     rng = np.random.default_rng(ties)
     facts = skewed(rng, 3000, ties).astype({"t": "float64"})
@@ -52,6 +52,26 @@ def test_asof_equals_brute_force(spark, ties, options):
     assert got == expected_asof(facts, context)
 
 
+@pytest.mark.parametrize("tie", [None, "cid"])
+def test_asof_ties_do_not_depend_on_slicing(spark, tie):
+    """Rows without a tie value, rows that tie on it, and contexts without one: the same answer, cut or not."""
+    rng = np.random.default_rng(8)
+    facts = spark.createDataFrame(skewed(rng, 400, 200))
+    context = skewed(rng, 300, 150).rename(columns={"id": "payload", "t": "ct"}).assign(cid=lambda d: d["payload"] % 7)
+    right = spark.createDataFrame(context).withColumn("cid", F.when(F.col("payload") % 3 > 0, F.col("cid")))
+
+    def rows(**options):
+        joined = asof_join(facts, ["g"], "t", [Context(right.repartition(9), "ct", {"payload": "payload"}, tie=tie)], **options)
+        return {r["id"]: r["payload"] for r in joined.collect()}
+
+    assert rows() == rows(limit=20) == rows(limit=90)
+    null_ties = spark.createDataFrame([(1, "a", None, 5), (2, "a", None, 5)], "payload long, g string, cid long, ct long")
+    fact = spark.createDataFrame([(1, "a", 9)] * 30, "id long, g string, t long")
+    for options in ({}, {"limit": 10}):
+        joined = asof_join(fact, ["g"], "t", [Context(null_ties, "ct", {"payload": "payload"}, tie="cid")], **options)
+        assert {r["payload"] for r in joined.collect()} == {2}
+
+
 def test_asof_joins_several_contexts_and_keeps_rows(spark):
     rng = np.random.default_rng(5)
     facts = skewed(rng, 1000, 0)
@@ -88,11 +108,11 @@ def test_quantiles_equal_numpy(spark):
 
 def test_hot_group_is_cut_into_bounded_slices(spark):
     df = spark.createDataFrame(skewed(np.random.default_rng(2), 6000, 0))
-    slices = plan_slices(df, ["g"], "t", floor=200, share=0.01)
+    slices = plan_slices(df, ["g"], "t", limit=200)
     sizes = with_slice(df, slices, "t").groupBy("g", "_slice").count().collect()
     assert sum(r["count"] for r in sizes) == 6000
     assert max(r["count"] for r in sizes) <= 500
-    spread = with_slice(df.withColumn("t", F.lit(7)), plan_slices(df.withColumn("t", F.lit(7)), ["g"], "t", floor=200, share=0.01), "t", F.xxhash64("id"))
+    spread = with_slice(df.withColumn("t", F.lit(7)), plan_slices(df.withColumn("t", F.lit(7)), ["g"], "t", limit=200), "t", F.xxhash64("id"))
     assert max(r["count"] for r in spread.groupBy("g", "_slice").count().collect()) <= 700
 
 
@@ -124,11 +144,11 @@ def test_outlier_scores_do_not_depend_on_slicing(spark):
     assert rows() == rows(**SMALL)
 
 
-@pytest.mark.parametrize("floor", [10, 500, 10_000])
-def test_numbers_are_consecutive_in_order(spark, floor):
+@pytest.mark.parametrize("limit", [10, 500, 10_000])
+def test_numbers_are_consecutive_in_order(spark, limit):
     ids = np.random.default_rng(7).permutation(3000) * 7
     df = spark.createDataFrame(pd.DataFrame({"k": ids}))
-    rows = number_rows(df, "k", "n", start=5, floor=floor, share=0.001).collect()
+    rows = number_rows(df, "k", "n", start=5, limit=limit).collect()
     assert [r["n"] for r in sorted(rows, key=lambda r: r["k"])] == list(range(5, 3005))
 
 
