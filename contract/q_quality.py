@@ -49,6 +49,18 @@ def _(spark, sf):
     return run(spark, {"lap": table(spark, sf, "lap")}, rules, "lap").where("check_id = 'need'")
 
 
+# NaN counts as missing, and names may hold blanks.
+@query("dq_nan_and_names", """WITH v AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 7 > 0 THEN l_extendedprice END AS price FROM lineitem),""" + expect(
+    "lines", "Completeness", "need", "v", "'l_orderkey=' || l_orderkey || ';line number=' || l_linenumber", "true", "price IS NULL", "MISSING_REQUIRED_VALUE",
+    "'Missing required values in columns: [''unit price'']'", cells=("count(*) * 2", "count(*) - count(price)")))
+def _(spark, sf):
+    price = F.when(F.col("l_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("l_extendedprice").cast("double"))
+    lines = base(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("line number"), price.alias("unit price"))
+    rules = TableRules(("l_orderkey", "line number"), required=(Required("need", ("line number", "unit price"), "needed"),),
+                       validity=(Check("positive", "range", ("unit price",), "positive", {"min": 0}),))
+    return run(spark, {"lines": lines}, rules, "lines").where("check_id = 'need'")
+
+
 _LINE_KEY = "'l_orderkey=' || l_orderkey || ';l_linenumber=' || l_linenumber"
 
 

@@ -93,16 +93,29 @@ def _(spark, sf):
     return joined.select("result_id", gap.alias("gap_to_leader_ms"))
 
 
-@query("asof_context", with_views("lap weather", w.asof("v_lap", "lap_id", "v_weather", "weather_id", {**w.WEATHER, "weather_id": "weather_id"}, "j") + """
-SELECT lap_id, weather_id, weather_time_ms, round(air_temp, 9) AS air_temp FROM j"""))
-def _(spark, sf):
+_ASOF = with_views("lap weather", w.asof("v_lap", "lap_id", "v_weather", "weather_id", {**w.WEATHER, "weather_id": "weather_id"}, "j") + """
+SELECT lap_id, weather_id, weather_time_ms, round(air_temp, 9) AS air_temp FROM j""")
+
+
+def _asof(spark, sf, **options):
     context = Context(table(spark, sf, "weather"), "time_ms",
                       {"time_ms": "weather_time_ms", "weather_id": "weather_id", "air_temp": "air_temp"}, tie="weather_id")
     lap = table(spark, sf, "lap").select("lap_id", "session_id", "lap_start_time_ms")
-    joined = asof_join(lap, ["session_id"], "lap_start_time_ms", [context])
+    joined = asof_join(lap, ["session_id"], "lap_start_time_ms", [context], **options)
     return joined.select("lap_id", "weather_id", "weather_time_ms", F.round("air_temp", 9).alias("air_temp"))
 
 
+@query("asof_context", _ASOF)
+def _(spark, sf):
+    return _asof(spark, sf)
+
+
+# Every session of more than ten rows is cut, as the hot ones are on large data.
+@query("asof_context_hot", _ASOF)
+def _(spark, sf):
+    return _asof(spark, sf, limit=10)
+
+
 def _lap_context(spark, sf):
     lap = table(spark, sf, "lap").select("lap_id", "session_id", "lap_start_time_ms")
     return warehouse.with_lap_context(lap, table(spark, sf, "weather"), table(spark, sf, "track_status"))
@@ -236,7 +249,7 @@ def _(spark, sf):
     [_REPORT.format("lap", "missing_dimension_key", f"'Column {k} contains missing values.'", "count(*)") + f" FROM v_lap WHERE {k} IS NULL HAVING count(*) > 0"
      for k in ("driver_id", "compound", "team_id")] + [_REPORT.format("lap", "missing_key_column", "'Column season is missing.'", "NULL")])))
 def _(spark, sf):
-    return reduce(DataFrame.unionByName, validation.missing_keys(table(spark, sf, "lap"), "lap", ["driver_id", "compound", "team_id", "season"]))
+    return validation.missing_keys(table(spark, sf, "lap"), "lap", ["driver_id", "compound", "team_id", "season"])
 
 
 @query("val_domain", with_views("lap", _REPORT.format("lap", "invalid_domain", "'Column compound contains values outside [''HARD'', ''SOFT''].'", "count(*)")
@@ -245,10 +258,10 @@ def _(spark, sf):
        + " UNION ALL SELECT 'WARNING', 'lap', 'missing_domain_column', 'Column season is missing.', CAST(NULL AS BIGINT)"))
 def _(spark, sf):
     lap = table(spark, sf, "lap")
-    return reduce(DataFrame.unionByName, [
-        validation.outside_domain(lap, "lap", "compound", ["SOFT", "HARD"]),
-        validation.outside_domain(lap, "lap", "track_status", ["1"], allow_null=True),
-        validation.outside_domain(lap, "lap", "season", ["1"])])
+    return validation.findings({"lap": lap}, [
+        validation.domain_rules(lap, "lap", "compound", ["SOFT", "HARD"]),
+        validation.domain_rules(lap, "lap", "track_status", ["1"], allow_null=True),
+        validation.domain_rules(lap, "lap", "season", ["1"])])
 
 
 @query("val_row_count", """
@@ -272,8 +285,8 @@ def _(spark, sf):
     broken = star["fact_session_result"].withColumns({"season_year": F.lit(2021), "gap_to_leader_ms": F.lit(1).cast("bigint")})
     star = {**star, "fact_session_result": broken, "dim_season": star["dim_team"], "dim_grand_prix": star["dim_grand_prix"].drop("circuit_name", "country")}
     star.pop("dim_team")
-    known = spark.createDataFrame(validation.schema_findings(star), validation.REPORT)
-    return known.unionByName(validation.forbidden_columns(broken, "fact_session_result")).unionByName(validation.qualifying_gaps(broken))
+    plans = [([], validation.schema_findings(star)), validation.forbidden_rules(broken, "fact_session_result"), validation.gap_rules()]
+    return validation.findings(star, plans)
 
 
 @query("val_report", w.with_star("""

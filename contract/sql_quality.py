@@ -5,6 +5,8 @@ Only names and texts come from the library; every predicate is written out here.
 
 from __future__ import annotations
 
+import re
+
 from contract.views import VIEWS, sql_views
 from starq.plans.rules import RULES
 
@@ -31,9 +33,14 @@ _MESSAGES = ("AllClear", "Yellow", "SCDeployed", "Red", "VSCDeployed", "VSCEndin
 _CODES = "{1: 'AllClear', 2: 'Yellow', 4: 'SCDeployed', 5: 'Red', 6: 'VSCDeployed', 7: 'VSCEnding'}"
 EXPECTED_MESSAGE = "CASE status WHEN '1' THEN 'AllClear' WHEN '2' THEN 'Yellow' WHEN '4' THEN 'SCDeployed' WHEN '5' THEN 'Red' WHEN '6' THEN 'VSCDeployed' WHEN '7' THEN 'VSCEnding' END"
 
-# table -> rows the checks read
-BASE = {t: f"v_{t}" for t in VIEWS}
-BASE["session"] = "(SELECT s.*, g.event_date FROM v_session s LEFT JOIN v_grand_prix g USING (grand_prix_id))"
+
+
+def bases(prefix: str) -> dict[str, str]:
+    """table -> rows the checks read"""
+    out = {t: f"{prefix}{t}" for t in VIEWS}
+    out["session"] = f"(SELECT s.*, g.event_date FROM {prefix}session s LEFT JOIN {prefix}grand_prix g USING (grand_prix_id))"
+    return out
+
 
 # table -> [(dimension, check id, applicable, failing among the applicable)]
 ROW_CHECKS = {
@@ -166,57 +173,57 @@ def _complete(columns) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in columns)
 
 
-def counts_sql(tables=VIEWS) -> str:
-    out = []
+def counts_sql(tables=VIEWS, prefix: str = "v_") -> str:
+    out, base = [], bases(prefix)
     for t in tables:
         texts = _descriptions(t)
         for check_id, columns in _required(t):
             cells = f"count(*) * {len(columns)}"
             out.append(_count(t, "Completeness", check_id, texts[check_id], cells,
-                              f"{cells} - " + " - ".join(f"count({c})" for c in columns), BASE[t]))
+                              f"{cells} - " + " - ".join(f"count({c})" for c in columns), base[t]))
         for n, columns in enumerate([[KEYS[t]], *([NATURAL[t]] if t in NATURAL else [])]):
             name = f"natural_key_{n}_unique" if n else "primary_key_unique"
             text = f"Natural key {columns} should be unique among complete key values." if n else \
                 f"Primary key {columns} must be unique among complete key values."
-            source = f"(SELECT count(*) AS n FROM {BASE[t]} WHERE {_complete(columns)} GROUP BY {', '.join(columns)})"
+            source = f"(SELECT count(*) AS n FROM {base[t]} WHERE {_complete(columns)} GROUP BY {', '.join(columns)})"
             out.append(_count(t, "Uniqueness", name, text, "coalesce(sum(n), 0)", "coalesce(sum(n) FILTER (WHERE n > 1), 0)", source))
         for dimension, check_id, applicable, failing in ROW_CHECKS[t]:
             out.append(_count(t, dimension, check_id, texts[check_id], f"count(*) FILTER (WHERE {applicable})",
-                              f"count(*) FILTER (WHERE ({applicable}) AND ({failing}))", BASE[t]))
+                              f"count(*) FILTER (WHERE ({applicable}) AND ({failing}))", base[t]))
         for column in ABSENT.get(t, []):
             out.append(_count(t, "Validity", ABSENT_CHECK[column], texts[ABSENT_CHECK[column]], 1, 1, "(SELECT 1)"))
         for column, parent in REFERENCES.get(t, []):
             text = f"{t}.{column} must reference {parent}.{KEYS[parent]}."
             out.append(_count(t, "Referential Integrity", fk_id(t, column, parent), text, f"count({column})",
                               f"count(*) FILTER (WHERE {column} IS NOT NULL AND p.k IS NULL)",
-                              f"{BASE[t]} c LEFT JOIN (SELECT DISTINCT {KEYS[parent]} AS k FROM v_{parent}) p ON p.k = c.{column}"))
+                              f"{base[t]} c LEFT JOIN (SELECT DISTINCT {KEYS[parent]} AS k FROM {prefix}{parent}) p ON p.k = c.{column}"))
     return "\nUNION ALL ".join(out)
 
 
-def issues_sql(tables=VIEWS) -> str:
+def issues_sql(tables=VIEWS, prefix: str = "v_") -> str:
     """Issues without their severity."""
-    out = []
+    out, base = [], bases(prefix)
     for t in tables:
         texts = _descriptions(t)
         for check_id, columns in _required(t):
             listed = ", ".join(f"CASE WHEN {c} IS NULL THEN '''{c}''' END" for c in columns)
             text = f"'Missing required values in columns: [' || concat_ws(', ', {listed}) || ']'"
-            out.append(_issue(t, "Completeness", check_id, "MISSING_REQUIRED_VALUE", text, BASE[t], f"NOT ({_complete(columns)})"))
+            out.append(_issue(t, "Completeness", check_id, "MISSING_REQUIRED_VALUE", text, base[t], f"NOT ({_complete(columns)})"))
         for n, columns in enumerate([[KEYS[t]], *([NATURAL[t]] if t in NATURAL else [])]):
             name = f"natural_key_{n}_unique" if n else "primary_key_unique"
             text = _text(f"Key {columns} is duplicated among complete key values.")
-            source = f"(SELECT *, count(*) OVER (PARTITION BY {', '.join(columns)}) AS n_copies FROM {BASE[t]} WHERE {_complete(columns)})"
+            source = f"(SELECT *, count(*) OVER (PARTITION BY {', '.join(columns)}) AS n_copies FROM {base[t]} WHERE {_complete(columns)})"
             out.append(_issue(t, "Uniqueness", name, "DUPLICATED_KEY", text, source, "n_copies > 1"))
         for dimension, check_id, applicable, failing in ROW_CHECKS[t]:
             code = "INVALID_VALUE" if dimension == "Validity" else check_id.upper()
-            out.append(_issue(t, dimension, check_id, code, _text(texts[check_id]), BASE[t], f"({applicable}) AND ({failing})"))
+            out.append(_issue(t, dimension, check_id, code, _text(texts[check_id]), base[t], f"({applicable}) AND ({failing})"))
         for column in ABSENT.get(t, []):
             out.append(f"SELECT {_text(t)}, '__table__', 'Validity', {_text(ABSENT_CHECK[column])}, 'MISSING_VALIDITY_COLUMN', "
                        f"{_text(f'Missing columns for validity check: {[column]}')}")
         for column, parent in REFERENCES.get(t, []):
             text = f"'{column}=' || CAST({column} AS VARCHAR) || ' does not exist in {parent}.{KEYS[parent]}.'"
-            out.append(_issue(t, "Referential Integrity", fk_id(t, column, parent), "BROKEN_FOREIGN_KEY", text, BASE[t],
-                              f"{column} IS NOT NULL AND {column} NOT IN (SELECT {KEYS[parent]} FROM v_{parent})"))
+            out.append(_issue(t, "Referential Integrity", fk_id(t, column, parent), "BROKEN_FOREIGN_KEY", text, base[t],
+                              f"{column} IS NOT NULL AND {column} NOT IN (SELECT {KEYS[parent]} FROM {prefix}{parent})"))
     return "\nUNION ALL ".join(out)
 
 
@@ -259,3 +266,14 @@ scorecard AS (SELECT m.table_name, round(({total}) / nullif({present}, 0), 6) AS
 
 
 SCORE_COLUMNS = tuple(_DIMENSIONS)
+
+
+def cleaned_quality() -> str:
+    """Definition `after_scorecard`: the same assessment of the cleaned tables `c_<table>`."""
+    card = scorecard_sql()
+    for name in ("means", "scorecard", "checks", "issues"):
+        card = re.sub(rf"\b{name}\b", f"after_{name}", card)
+    return f"""
+after_counts AS MATERIALIZED ({counts_sql(prefix="c_")}),
+after_checks AS ({SCORED.format("after_counts")}),
+after_issues AS MATERIALIZED ({issues_sql(prefix="c_")}),{card}"""

@@ -17,6 +17,12 @@ TRUE_WORDS = ("true", "1", "t", "yes", "y")
 FALSE_WORDS = ("false", "0", "f", "no", "n")
 
 
+# Every character that counts as white space around a text.
+BLANKS = "".join(
+    map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+)
+
+
 def lookup(key: Column, table: Mapping, default: Column | None = None) -> Column:
     """Constant map lookup with a default for unknown keys."""
     entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
@@ -34,7 +40,7 @@ def contains_any(text: Column, words: Sequence[str]) -> Column:
 
 def strip(c: Column) -> Column:
     """Trim every kind of white space (`trim` alone knows only blanks)."""
-    return F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
+    return F.btrim(c.cast("string"), F.lit(BLANKS))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -93,16 +99,21 @@ def parse_bool_or_false(c: Column) -> Column:
 
 
 def duration_text_to_ms(c: Column) -> Column:
-    """'1 days 02:03:04.5675' -> milliseconds, ties to the even neighbour."""
+    """'1 days 02:03:04.5675' -> milliseconds, ties to the even neighbour.
+
+    A negative duration is written as negative days and a positive rest
+    ('-1 days +23:59:59.5' is half a second less than nothing), or with a sign.
+    """
     text = strip(c)
-    pattern = r"^(?:(-?\d+) days?\s+)?(\d+):(\d+):(\d+(?:\.\d+)?)$"
+    pattern = r"^(?:(-?\d+) days?,?\s+)?([+-]?)(\d+):(\d+):(\d+(?:\.\d+)?)$"
 
     def part(group: int) -> Column:
         return F.coalesce(
             F.nullif(F.regexp_extract(text, pattern, group), F.lit("")).try_cast("decimal(28,9)"), F.lit(0)
         )
 
-    seconds = part(1) * 86400 + part(2) * 3600 + part(3) * 60 + part(4)
+    clock = part(3) * 3600 + part(4) * 60 + part(5)
+    seconds = part(1) * 86400 + F.when(F.regexp_extract(text, pattern, 2) == "-", -clock).otherwise(clock)
     return F.when(text.rlike(pattern), F.bround(seconds * 1000, 0).cast("bigint"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starq.functions.scalars import number, parse_bool_or_false, strip
 from starq.operators.joins import enrich, require_columns
-from starq.plans.quality import row_identifier
+from starq.plans.quality import row_identifier, without_nan
 from starq.schemas import INFORMATION_AREAS, SECTOR_METRICS, SPEED_METRICS
 
 EXPLAINED, SUSPICIOUS = "EXPLAINED_NULL", "SUSPICIOUS_NULL"
@@ -56,6 +56,7 @@ def _entry(column: str, when: Column, missing_class: str, area: str, text: str)
 
 def _flags(df: DataFrame, table: str, key: str, entries: Sequence[Column], keep_explained: bool) -> DataFrame:
     """All flags of a row in one pass over the table."""
+    df = without_nan(df)
     flat = df.select(row_identifier(df.columns, [key]).alias("row_identifier"), F.inline(F.array_compact(F.array(*entries))))
     if not keep_explained:
         explained = (F.col("missing_class") == EXPLAINED) & (F.col("missing_information_area") == "NONE")

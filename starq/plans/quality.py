@@ -1,8 +1,8 @@
 """Data-quality assessment: rules compiled to DataFrame plans.
 
 Per table: one aggregate answers every row-level check, one pass over the rows
-emits their issues. Uniqueness and references are counted on pre-aggregated
-keys, so a key that fills a third of a table is one row after the map side.
+emits their issues, and one more those of keys and references. Keys are grouped in
+their own types, so a key that fills a third of a table is one row after the map side.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from starq.functions.scalars import lookup, score, score_status
+from starq.functions.scalars import BLANKS, lookup, score, score_status
 from starq.operators.joins import missing_columns
 from starq.plans.rules import RULES, Check, Reference, Required, TableRules
 from starq.schemas import QUALITY_DIMENSIONS
+from starq.sources.tables import write_by_value
 
 CHECK_COLUMNS = (
     "table_name", "dimension", "check_id", "check_description", "passed_count", "failed_count", "total_count", "score",
@@ -38,13 +39,24 @@ def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def ident(name: str) -> str:
+    """A column name as SQL text, whatever its characters."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN counts as missing in every rule, so it is missing from here on."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(~F.isnan(F.col(ident(c))), F.col(ident(c))) for c in numbers}) if numbers else df
+
+
 def sure(condition: str) -> str:
     """Two-valued: an unknown comparison counts as false."""
     return f"coalesce({condition}, false)"
 
 
 def sql_strip(c: str) -> str:
-    return rf"regexp_replace(cast({c} as string), r'^\s+|\s+$', '')"
+    return f"btrim(cast({c} as string), {quoted(BLANKS)})"
 
 
 def sql_number(c: str) -> str:
@@ -80,8 +92,9 @@ def value_ok(c: str, check: Check) -> str:
 
 
 def validity(check: Check) -> tuple[str, str]:
-    applicable = _any(f"{c} is not null" for c in check.columns)
-    return applicable, _any(f"({c} is not null and not {value_ok(c, check)})" for c in check.columns)
+    columns = [ident(c) for c in check.columns]
+    applicable = _any(f"{c} is not null" for c in columns)
+    return applicable, _any(f"({c} is not null and not {value_ok(c, check)})" for c in columns)
 
 
 def _dates_in_order(o) -> tuple[str, str]:
@@ -150,13 +163,26 @@ CUSTOM_CHECKS = {
 }
 
 
+# Options of custom checks that name columns (one, or several).
+COLUMN_OPTIONS = (
+    "start", "end", "year", "dates", "date", "parts", "total", "unless", "born", "left", "right", "code", "text", "segments",
+)
+
+
+def _as_idents(options: Mapping) -> dict:
+    def named(value):
+        return ident(value) if isinstance(value, str) else [ident(v) for v in value]
+
+    return {k: named(v) if k in COLUMN_OPTIONS else v for k, v in options.items()}
+
+
 def sql_row_identifier(columns: Sequence[str], key: Sequence[str]) -> str:
     """'pk=value', or a hash of the row when a part of the key is missing."""
-    fallback = f"concat('row_index=', cast(xxhash64({', '.join(columns)}) as string))"
+    fallback = f"concat('row_index=', cast(xxhash64({', '.join(map(ident, columns))}) as string))"
     if not key or any(k not in columns for k in key):
         return fallback
-    named = "concat_ws(';', " + ", ".join(f"concat('{k}=', cast({k} as string))" for k in key) + ")"
-    return f"case when {_all(f'{k} is not null' for k in key)} then {named} else {fallback} end"
+    named = "concat_ws(';', " + ", ".join(f"concat({quoted(f'{k}=')}, cast({ident(k)} as string))" for k in key) + ")"
+    return f"case when {_all(f'{ident(k)} is not null' for k in key)} then {named} else {fallback} end"
 
 
 def row_identifier(columns: Sequence[str], key: Sequence[str]) -> Column:
@@ -179,33 +205,27 @@ class _Counted:
 
 @dataclass(frozen=True)
 class _Keyed:
-    """A check decided by comparing a key with other rows: uniqueness or reference."""
+    """A check decided by comparing a key with other rows: uniqueness, or a reference to a parent."""
 
     check_id: str
+    dimension: str
     code: str
     text: str
-    key: str  # array of text, NULL when the row is not concerned
-    parent: str = ""
-
-
-@dataclass(frozen=True)
-class _Parent:
-    name: str
-    keys: DataFrame
+    keys: tuple[str, ...]  # SQL of the compared values, in their own types
+    applies: str
+    parent: DataFrame | None = None  # its keys, as `_k`
 
 
 class _Compiler:
     """The plans of one table's rules. Several references or keys share one scan."""
 
     def __init__(self, table: str, df: DataFrame, tables: Mapping[str, DataFrame], rules: TableRules):
-        self.table, self.df, self.tables, self.rules = table, df, tables, rules
+        self.table, self.df, self.tables, self.rules = table, without_nan(df), tables, rules
         self.plain = df.columns
         self.types = {f.name: f.dataType for f in df.schema.fields}
         self.counted: list[_Counted] = []
         self.found: list[str] = []  # issue structs of row-level checks
-        self.unique: list[_Keyed] = []
-        self.references: list[_Keyed] = []
-        self.parents: dict[str, _Parent] = {}
+        self.keyed: list[_Keyed] = []
         self.structural: list[tuple] = []
         self.structural_issues: list[tuple] = []
 
@@ -250,14 +270,15 @@ class _Compiler:
                  f"Missing required columns: {missing}", "red")
             )
             return
-        listed = ", ".join(f"""case when {c} is null then "'{c}'" end""" for c in group.columns)
+        names = [ident(c) for c in group.columns]
+        listed = ", ".join(f"case when {n} is null then {quoted(repr(c))} end" for n, c in zip(names, group.columns))
         text = f"concat('Missing required values in columns: [', array_join(array({listed}), ', '), ']')"
-        present = " + ".join(f"count({c})" for c in group.columns)
+        present = " + ".join(f"count({n})" for n in names)
         cells = f"count(*) * {len(group.columns)}"
         self.counted.append(
             _Counted("Completeness", group.check_id, group.description, cells, f"{cells} - ({present})")
         )
-        any_empty = _any(f"{c} is null" for c in group.columns)
+        any_empty = _any(f"{n} is null" for n in names)
         self._issue("Completeness", group.check_id, any_empty, "MISSING_REQUIRED_VALUE", text)
 
     def _missing(self, columns: Sequence[str]) -> list[str]:
@@ -287,7 +308,7 @@ class _Compiler:
         if self._missing(needed(options)) or not self._add_parent_dates(options):
             self._structural(dimension, check.check_id, check.description, 0, 0)
             return
-        self._row_check(dimension, check, *build(options), check.check_id.upper())
+        self._row_check(dimension, check, *build(_as_idents(options)), check.check_id.upper())
 
     def _add_parent_dates(self, options: Mapping) -> bool:
         if "parent" not in options:
@@ -296,7 +317,7 @@ class _Compiler:
         if parent is None or missing_columns(parent, (options["key"], options["parent_date"])):
             return False
         # Earliest and latest date decide for all parents that share a key.
-        day = F.to_date(options["parent_date"])
+        day = F.to_date(F.col(ident(options["parent_date"])))
         dates = parent.groupBy(options["key"]).agg(F.min(day).alias("_parent_min"), F.max(day).alias("_parent_max"))
         self.df = self.df.join(dates, options["key"], "left")
         return True
@@ -306,11 +327,10 @@ class _Compiler:
         if not key or self._missing(key):
             self._structural("Uniqueness", check_id, description, 0, 0)
             return
-        complete = _all(f"{k} is not null" for k in key)
+        complete = _all(f"{ident(k)} is not null" for k in key)
         self.counted.append(_Counted("Uniqueness", check_id, description, f"count_if({complete})", None))
         text = quoted(f"Key {list(key)} is duplicated among complete key values.")
-        value = f"case when {complete} then array({', '.join(f'cast({k} as string)' for k in key)}) end"
-        self.unique.append(_Keyed(check_id, "DUPLICATED_KEY", text, value))
+        self.keyed.append(_Keyed(check_id, "Uniqueness", "DUPLICATED_KEY", text, tuple(map(ident, key)), complete))
 
     def _reference(self, ref: Reference) -> None:
         check_id = f"fk_{self.table}_{ref.column}_to_{ref.parent}_{ref.parent_column}"
@@ -330,15 +350,13 @@ class _Compiler:
             return
         child = ref.column
         form = comparable_form(self.types[child], parent.schema[ref.parent_column].dataType)
-        name = f"{ref.parent}.{ref.parent_column} as {form}"
-        keys = parent.where(f"{ref.parent_column} is not null").selectExpr(
-            f"{quoted(name)} as parent", f"array({comparable(ref.parent_column, form)}) as key"
+        keys = without_nan(parent).where(f"{ident(ref.parent_column)} is not null").selectExpr(f"{typed(ref.parent_column, form)} as _k")
+        self.counted.append(_Counted("Referential Integrity", check_id, description, f"count({ident(child)})", None))
+        absent = quoted(f" does not exist in {ref.parent}.{ref.parent_column}.")
+        text = f"concat({quoted(f'{child}=')}, cast({ident(child)} as string), {absent})"
+        self.keyed.append(
+            _Keyed(check_id, "Referential Integrity", "BROKEN_FOREIGN_KEY", text, (typed(child, form),), f"{ident(child)} is not null", keys)
         )
-        self.parents[name] = _Parent(name, keys)
-        self.counted.append(_Counted("Referential Integrity", check_id, description, f"count({child})", None))
-        text = f"concat('{child}=', cast({child} as string), ' does not exist in {ref.parent}.{ref.parent_column}.')"
-        value = f"case when {child} is not null then array({comparable(child, form)}) end"
-        self.references.append(_Keyed(check_id, "BROKEN_FOREIGN_KEY", text, value, name))
 
     def counts(self) -> DataFrame | None:
         if not self.counted:
@@ -362,14 +380,34 @@ class _Compiler:
     def row_issues(self) -> DataFrame | None:
         return self._flat(self.found) if self.found else None
 
-    def keyed(self, checks: Sequence[_Keyed]) -> DataFrame | None:
-        """One row per row and check that has a key."""
+    def keyed_issues(self) -> DataFrame | None:
+        """Issues of all keyed checks of the table.
+
+        Each check first finds its failing keys, grouped in their own types before
+        any row is widened; one pass over the rows then meets all failing keys.
+        """
+        if not self.keyed:
+            return None
+        rid = sql_row_identifier(self.plain, self.rules.primary_key)
+        keys = {i: [f"_k{i}_{j}" for j in range(len(c.keys))] for i, c in enumerate(self.keyed)}
+        named = {i: [f"{e} as {n}" for e, n in zip(c.keys, keys[i])] for i, c in enumerate(self.keyed)}
+        rows = self.df.selectExpr(
+            f"{rid} as row_identifier", *[n for names in named.values() for n in names],
+            *[f"case when {c.applies} then {c.text} end as _t{i}" for i, c in enumerate(self.keyed)],
+        )
+        for i, c in enumerate(self.keyed):
+            counted = self.df.where(c.applies).selectExpr(*named[i]).groupBy(*keys[i]).agg(F.count("*").alias("_n"))
+            if c.parent is None:
+                bad = counted.where("_n > 1")
+            else:
+                bad = counted.join(c.parent.withColumnRenamed("_k", keys[i][0]), keys[i], "left_anti")
+            rows = rows.join(bad.select(*keys[i], F.lit(True).alias(f"_bad{i}")), keys[i], "left")
         entries = [
-            f"case when ({c.key}) is not null then named_struct('check_id', {quoted(c.check_id)}, 'issue_code', "
-            f"{quoted(c.code)}, 'issue_description', {c.text}, 'parent', {quoted(c.parent)}, 'key', {c.key}) end"
-            for c in checks
+            f"case when _bad{i} then named_struct('dimension', {quoted(c.dimension)}, 'check_id', {quoted(c.check_id)}, "
+            f"'issue_code', {quoted(c.code)}, 'issue_description', _t{i}) end" for i, c in enumerate(self.keyed)
         ]
-        return self._flat(entries) if entries else None
+        flat = rows.selectExpr("row_identifier", f"inline(array_compact(array({', '.join(entries)})))")
+        return flat.withColumns({"table_name": F.lit(self.table), "severity": F.lit("red")}).select(*ISSUE_COLUMNS)
 
 
 def comparable_form(child: T.DataType, parent: T.DataType) -> str:
@@ -379,7 +417,8 @@ def comparable_form(child: T.DataType, parent: T.DataType) -> str:
     return "text" if isinstance(child, T.StringType) else "value"
 
 
-def comparable(column: str, form: str) -> str:
+def comparable(name: str, form: str) -> str:
+    column = ident(name)
     if form == "text":
         return sql_strip(column)
     if form == "value":
@@ -395,13 +434,13 @@ def comparable(column: str, form: str) -> str:
 def parent_values(parent: DataFrame, column: str, child_type: T.DataType) -> tuple[DataFrame, str]:
     """Distinct parent keys as `_key`, and the form in which a child has to be compared."""
     form = comparable_form(child_type, parent.schema[column].dataType)
-    values = parent.where(f"{column} is not null").selectExpr(f"{typed(column, form)} as _key").distinct()
+    values = without_nan(parent).where(f"{ident(column)} is not null").selectExpr(f"{typed(column, form)} as _key").distinct()
     return values, form
 
 
 def typed(column: str, form: str) -> str:
     """As `comparable`, but equal types keep their type (cheaper to join on)."""
-    return column if form == "value" else comparable(column, form)
+    return ident(column) if form == "value" else comparable(column, form)
 
 
 @dataclass(frozen=True)
@@ -418,23 +457,6 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame | None:
     return out
 
 
-_EXACT = ["table_name", "check_id", "key"]
-
-
-def _duplicates(keyed: DataFrame) -> DataFrame:
-    """Keys that several rows of a table share, with their number."""
-    return keyed.groupBy(*_EXACT).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
-
-
-def _orphans(keyed: DataFrame, parents: DataFrame) -> DataFrame:
-    """Key values of children without a parent, with the number of rows that hold them.
-
-    Counted before the join: a value held by a third of the rows is one row here.
-    """
-    values = keyed.groupBy(*_EXACT, "parent").agg(F.count("*").alias("_n"))
-    return values.join(parents, ["parent", "key"], "left_anti").select(*_EXACT, "_n")
-
-
 def assess(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -462,19 +484,12 @@ def assess(
     def gather(frames: Iterable[DataFrame | None]) -> DataFrame | None:
         return _union(f for f in frames if f is not None)
 
-    keys = gather(c.keyed(c.unique) for c in compiled)
-    references = gather(c.keyed(c.references) for c in compiled)
-    bad = []  # (keyed rows, the failing keys among them, dimension)
-    if keys is not None:
-        bad.append((keys, _duplicates(keys), "Uniqueness"))
-    if references is not None:
-        parents = _union({n: p.keys for c in compiled for n, p in c.parents.items()}.values())
-        bad.append((references, _orphans(references, parents), "Referential Integrity"))
-
+    keyed = gather(c.keyed_issues() for c in compiled)
     counts = gather(c.counts() for c in compiled)
-    if counts is not None and bad:
-        failed = _union(b.select("table_name", "check_id", "_n") for _, b, _ in bad)
-        failed = failed.groupBy("table_name", "check_id").agg(F.sum("_n").alias("_failed"))
+    if keyed is not None:
+        # Every failing row is one issue, so the issues count the failures too.
+        keyed = stage(keyed)
+        failed = keyed.groupBy("table_name", "check_id").agg(F.count("*").alias("_failed"))
         # One row per check of the catalogue.
         counts = counts.join(F.broadcast(failed), ["table_name", "check_id"], "left").withColumn(
             "failed_count", F.coalesce("failed_count", "_failed", F.lit(0))
@@ -495,9 +510,8 @@ def assess(
     by_score = gather(c.row_issues() for c in compiled)
     if by_score is not None:
         parts.append(_with_severity(by_score, results))
-    for rows, failing, dimension in bad:
-        found = rows.join(failing.select(*_EXACT), _EXACT, "left_semi")
-        parts.append(found.withColumns({"dimension": F.lit(dimension), "severity": F.lit("red")}).select(*ISSUE_COLUMNS))
+    if keyed is not None:
+        parts.append(keyed)
     schema = ", ".join(f"{c} string" for c in ISSUE_COLUMNS)
     if structural_issues or not parts:
         parts.append(spark.createDataFrame(structural_issues, schema))
@@ -552,3 +566,10 @@ def scorecard(
 
 def reference_issues(issues: DataFrame) -> DataFrame:
     return issues.where(F.col("dimension") == "Referential Integrity")
+
+
+def write_issues(issues: DataFrame, folder: str) -> None:
+    """All issues with their stable columns, one folder per table, and the broken references apart."""
+    stable = issues.select(*ISSUE_COLUMNS)
+    write_by_value(stable, "table_name", f"{folder}/issues")
+    reference_issues(stable).write.mode("overwrite").parquet(f"{folder}/referential_integrity_issues")

@@ -31,6 +31,16 @@ def durations_to_ms(df: DataFrame, text_columns: Sequence[str] = ()) -> DataFram
     return df.select(*[column(f) for f in df.schema.fields])
 
 
+def unreadable_durations(df: DataFrame, text_columns: Sequence[str]) -> DataFrame:
+    """How many texts of each column are no duration (one row per column)."""
+    counts = [
+        F.count_if((F.length(F.col(c).cast("string")) > 0) & duration_text_to_ms(F.col(c)).isNull()).alias(f"n{i}")
+        for i, c in enumerate(text_columns)
+    ]
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("unreadable")) for i, c in enumerate(text_columns)]
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
 def union_first_wins(
     batches: Sequence[DataFrame], key: str, renames: Mapping[str, str], order: Sequence[str] = ()
 ) -> DataFrame:

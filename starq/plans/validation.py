@@ -6,11 +6,11 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starq import schemas as s
 from starq.operators.joins import missing_columns
-from starq.plans.quality import parent_values, typed
+from starq.plans.quality import comparable, comparable_form, ident
 from starq.plans.warehouse import CONTEXT_DIMENSIONS, LAP_CONTEXT, RESULT_CONTEXT
 
 # --- constraints ---------------------------------------------------------------------------------------------------
@@ -67,38 +67,63 @@ def star_constraints() -> list[Constraint]:
     return out
 
 
-def violations(c: Constraint, tables: Mapping[str, DataFrame]) -> DataFrame | None:
-    """One row with the number of rows that break the constraint; None where it does not apply."""
-    df = tables.get(c.table)
-    if df is None or missing_columns(df, c.columns):
-        return None
-    if c.kind == "check":
-        # As in SQL, an unknown result does not violate a check.
-        counted = df.agg(F.count_if(~F.coalesce(c.holds(), F.lit(True))).alias("violations"))
-    elif c.kind in ("primary_key", "unique"):
-        complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in c.columns])
-        per_key = df.groupBy(*c.columns).agg(F.count("*").alias("_n")).withColumn("_complete", complete)
-        bad = F.col("_complete") & (F.col("_n") > 1)
-        if c.kind == "primary_key":
-            bad |= ~F.col("_complete")
-        counted = per_key.agg(F.coalesce(F.sum(F.when(bad, F.col("_n"))), F.lit(0)).alias("violations"))
-    else:
-        parent = tables.get(c.parent)
-        if parent is None or c.parent_column not in parent.columns:
-            return None
-        child = c.columns[0]
-        known, form = parent_values(parent, c.parent_column, df.schema[child].dataType)
-        values = df.where(F.col(child).isNotNull()).groupBy(child).agg(F.count("*").alias("_n"))
-        orphans = values.withColumn("_key", F.expr(typed(child, form))).join(known, "_key", "left_anti")
-        counted = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"))
-    return counted.select(
-        F.lit(c.name).alias("constraint_name"), F.lit(c.kind).alias("constraint_type"),
-        F.lit(c.table).alias("table_name"), "violations",
+def _row_checks(table: str, df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
+    """One pass over a table for all its checks. As in SQL, an unknown result does not violate one."""
+    counts = [F.count_if(~F.coalesce(c.holds(), F.lit(True))).alias(f"n{i}") for i, c in enumerate(constraints)]
+    entries = [_counted(c, F.col(f"n{i}")) for i, c in enumerate(constraints)]
+    return df.agg(*counts).select(F.inline(F.array(*entries)))
+
+
+def _unique_key(df: DataFrame, c: Constraint) -> DataFrame:
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in c.columns])
+    per_key = df.groupBy(*c.columns).agg(F.count("*").alias("_n")).withColumn("_complete", complete)
+    bad = F.col("_complete") & (F.col("_n") > 1)
+    if c.kind == "primary_key":
+        bad |= ~F.col("_complete")
+    counted = per_key.agg(F.coalesce(F.sum(F.when(bad, F.col("_n"))), F.lit(0)).alias("violations"))
+    return counted.select(F.inline(F.array(_counted(c, F.col("violations")))))
+
+
+def _references(table: str, df: DataFrame, constraints: Sequence[Constraint], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One pass over a table for all its references. Their values are counted before the shuffle."""
+    entries, parents = [], []
+    for i, c in enumerate(constraints):
+        child, parent = c.columns[0], tables[c.parent]
+        form = comparable_form(df.schema[child].dataType, parent.schema[c.parent_column].dataType)
+        entries.append(f"case when {ident(child)} is not null then named_struct('_i', {i}, '_key', {comparable(child, form)}) end")
+        parents.append(
+            parent.where(F.col(c.parent_column).isNotNull()).selectExpr(f"{i} as _i", f"{comparable(c.parent_column, form)} as _key")
+        )
+    values = df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))").groupBy("_i", "_key").agg(F.count("*").alias("_n"))
+    orphans = values.join(reduce(DataFrame.unionByName, parents), ["_i", "_key"], "left_anti")
+    per_reference = orphans.groupBy("_i").agg(F.sum("_n").alias("_n"))
+    found = per_reference.agg(F.map_from_entries(F.collect_list(F.struct("_i", "_n"))).alias("_found"))
+    rows = [_counted(c, F.coalesce(F.try_element_at("_found", F.lit(i)), F.lit(0))) for i, c in enumerate(constraints)]
+    return found.select(F.inline(F.array(*rows)))
+
+
+def _counted(c: Constraint, n: Column) -> Column:
+    return F.struct(
+        F.lit(c.name).alias("constraint_name"), F.lit(c.kind).alias("constraint_type"), F.lit(c.table).alias("table_name"),
+        n.cast("bigint").alias("violations"),
     )
 
 
 def verify(tables: Mapping[str, DataFrame], constraints: Sequence[Constraint]) -> DataFrame:
-    frames = [f for f in (violations(c, tables) for c in constraints) if f is not None]
+    """Rows that break each constraint; constraints whose tables or columns are absent do not apply.
+
+    A table is read once for its checks, once for its references, and once per key.
+    """
+    frames = []
+    for table, df in tables.items():
+        own = [c for c in constraints if c.table == table and not missing_columns(df, c.columns)]
+        checks = [c for c in own if c.kind == "check"]
+        references = [
+            c for c in own if c.kind == "foreign_key" and c.parent in tables and c.parent_column in tables[c.parent].columns
+        ]
+        frames += [_row_checks(table, df, checks)] if checks else []
+        frames += [_references(table, df, references, tables)] if references else []
+        frames += [_unique_key(df, c) for c in own if c.kind in ("primary_key", "unique")]
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -111,6 +136,7 @@ def fail_on_violation(report: DataFrame) -> DataFrame:
 # --- validation of the star ----------------------------------------------------------------------------------------
 
 REPORT = "severity string, table_name string, check_name string, message string, affected_rows bigint"
+REPORT_COLUMNS = ("severity", "table_name", "check_name", "message", "affected_rows")
 OK_ROW = ("OK", "all", "all_checks", "No validation issues found.", 0)
 
 # Allowed classes.
@@ -144,73 +170,124 @@ CIRCUIT_ATTRIBUTES = (
 FORBIDDEN_FACT_COLUMNS = ("session_id", "circuit_id", "season_year", "lap_id", "result_id")
 
 
-def _row(severity: str, table: str, check: str, message: str) -> list[Column]:
-    return [
-        F.lit(severity).alias("severity"), F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-        F.lit(message).alias("message"),
-    ]
-
+@dataclass(frozen=True)
+class Rule:
+    """Counts the rows of a table that break it: by an aggregate, or as rows whose key occurs twice."""
 
-def _reported(counted: DataFrame, table: str, check: str, message: str) -> DataFrame:
-    """A report row when the single count `affected_rows` is above zero."""
-    return counted.where(F.col("affected_rows") > 0).select(*_row("ERROR", table, check, message), "affected_rows")
+    table: str
+    check: str
+    message: str
+    count: Column | None = None
+    key: tuple[str, ...] = ()
 
 
-def _known(spark: SparkSession, severity: str, table: str, check: str, message: str, rows: int | None = None) -> DataFrame:
-    return spark.createDataFrame([(severity, table, check, message, rows)], REPORT)
+# Rules, and findings that names and columns alone tell (rows of REPORT).
+Plan = tuple[list[Rule], list[tuple]]
 
 
-def duplicate_rows(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-    present = [k for k in key if k in df.columns]
+def duplicate_rules(df: DataFrame, table: str, key: Sequence[str]) -> Plan:
+    present = tuple(k for k in key if k in df.columns)
     if not present:
-        return _known(df.sparkSession, "ERROR", table, "duplicate_key", "No key columns available for duplicate check.")
-    per_key = df.groupBy(*present).agg(F.count("*").alias("_n"))
-    counted = per_key.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("affected_rows"))
-    return _reported(counted, table, "duplicate_key", f"Duplicated values found for key columns: {present}")
+        return [], [("ERROR", table, "duplicate_key", "No key columns available for duplicate check.", None)]
+    return [Rule(table, "duplicate_key", f"Duplicated values found for key columns: {list(present)}", key=present)], []
 
 
-def missing_keys(df: DataFrame, table: str, keys: Sequence[str]) -> list[DataFrame]:
-    """One pass over the table for all its keys."""
-    out = [
-        _known(df.sparkSession, "ERROR", table, "missing_key_column", f"Column {k} is missing.")
-        for k in keys if k not in df.columns
+def missing_key_rules(df: DataFrame, table: str, keys: Sequence[str]) -> Plan:
+    rules = [
+        Rule(table, "missing_dimension_key", f"Column {k} contains missing values.", F.count_if(F.col(k).isNull()))
+        for k in keys if k in df.columns
+    ]
+    return rules, [
+        ("ERROR", table, "missing_key_column", f"Column {k} is missing.", None) for k in keys if k not in df.columns
     ]
-    present = [k for k in keys if k in df.columns]
-    if present:
-        entries = [
-            F.struct(
-                *_row("ERROR", table, "missing_dimension_key", f"Column {k} contains missing values."),
-                F.col(f"n_{k}").alias("affected_rows"),
-            )
-            for k in present
-        ]
-        counts = df.agg(*[F.count_if(F.col(k).isNull()).alias(f"n_{k}") for k in present])
-        out.append(counts.select(F.inline(F.array(*entries))).where(F.col("affected_rows") > 0))
-    return out
 
 
-def outside_domain(df: DataFrame, table: str, column: str, allowed: Sequence[str], allow_null: bool = False) -> DataFrame:
+def domain_rules(df: DataFrame, table: str, column: str, allowed: Sequence[str], allow_null: bool = False) -> Plan:
     if column not in df.columns:
-        return _known(df.sparkSession, "WARNING", table, "missing_domain_column", f"Column {column} is missing.")
+        return [], [("WARNING", table, "missing_domain_column", f"Column {column} is missing.", None)]
     known = F.coalesce(F.col(column).isin(*allowed), F.lit(allow_null))
-    counted = df.agg(F.count_if(~known).alias("affected_rows"))
-    return _reported(counted, table, "invalid_domain", f"Column {column} contains values outside {sorted(allowed)}.")
+    text = f"Column {column} contains values outside {sorted(allowed)}."
+    return [Rule(table, "invalid_domain", text, F.count_if(~known))], []
 
 
-def more_rows_than_source(source: DataFrame, output: DataFrame, source_name: str, name: str) -> DataFrame:
-    zero = F.lit(0).cast("bigint")
-    counts = source.agg(F.count("*").alias("_in"), zero.alias("_out")).unionByName(
-        output.agg(zero.alias("_in"), F.count("*").alias("_out"))
-    )
-    both = counts.agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
-    message = F.concat(
-        F.lit(f"Output has more rows than source {source_name}: "), F.col("_out").cast("string"), F.lit(" > "),
-        F.col("_in").cast("string"), F.lit("."),
+def forbidden_rules(df: DataFrame, table: str) -> Plan:
+    present = [n for n in FORBIDDEN_FACT_COLUMNS if n in df.columns]
+    text = f"Forbidden columns found in fact table: {present}"
+    return [Rule(table, "forbidden_fact_columns", text, F.count(F.lit(1)))] if present else [], []
+
+
+def gap_rules() -> Plan:
+    wrong = F.coalesce(F.upper("session_type") == "Q", F.lit(False)) & F.col("gap_to_leader_ms").isNotNull()
+    text = "gap_to_leader_ms must be NULL for Qualifying results."
+    return [Rule("fact_session_result", "qualifying_gap_must_be_null", text, F.count_if(wrong))], []
+
+
+_SIZE = "SIZE"  # marks the measured number of rows of a table
+
+
+def _finding(severity: str, table: str, check: str, message: str | Column, rows: Column | int | None) -> Column:
+    text = message if isinstance(message, Column) else F.lit(message)
+    count = rows if isinstance(rows, Column) else F.lit(rows)
+    return F.struct(
+        F.lit(severity).alias("severity"), F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
+        text.alias("message"), count.cast("bigint").alias("affected_rows"),
     )
-    return both.where(F.col("_out") > F.col("_in")).select(
-        F.lit("ERROR").alias("severity"), F.lit(name).alias("table_name"), F.lit("row_count").alias("check_name"),
-        message.alias("message"), (F.col("_out") - F.col("_in")).alias("affected_rows"),
+
+
+def findings(
+    tables: Mapping[str, DataFrame], plans: Sequence[Plan], larger: Sequence[tuple[str, str]] = ()
+) -> DataFrame:
+    """What rules find, and pairs (source, output) of tables whose output is the larger one.
+
+    Every table is read once for all its counts and once per key; the measurements,
+    one row per rule, meet in a single row.
+    """
+    rules = [r for plan, _ in plans for r in plan]
+    sized = {t for pair in larger for t in pair}
+    spark = next(iter(tables.values())).sparkSession
+    frames = []
+    for table, df in tables.items():
+        counted = [r for r in rules if r.table == table and not r.key]
+        aggregates = [r.count.alias(f"n{i}") for i, r in enumerate(counted)]
+        entries = [_finding("ERROR", table, r.check, r.message, F.col(f"n{i}")) for i, r in enumerate(counted)]
+        if table in sized:
+            aggregates.append(F.count(F.lit(1)).alias("size"))
+            entries.append(_finding(_SIZE, table, "", "", F.col("size")))
+        if entries:
+            frames.append(df.agg(*aggregates).select(F.inline(F.array(*entries))))
+        for r in (r for r in rules if r.table == table and r.key):
+            per_key = df.groupBy(*r.key).agg(F.count("*").alias("_n"))
+            bad = per_key.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("bad"))
+            frames.append(bad.select(F.inline(F.array(_finding("ERROR", table, r.check, r.message, F.col("bad"))))))
+    known = [_finding(*row) for _, rows in plans for row in rows]
+    frames = frames or [spark.range(1).select(F.inline(F.array(_finding("ERROR", "", "", "", 0))))]
+    measured = reduce(DataFrame.unionByName, frames).agg(F.collect_list(F.struct("*")).alias("m"))
+    sizes = F.map_from_entries(
+        F.transform(F.filter("m", lambda x: x["severity"] == _SIZE), lambda x: F.struct(x["table_name"], x["affected_rows"]))
     )
+    measured = measured.withColumn("sizes", sizes)
+    grown = []
+    for source, output in larger:
+        n_in, n_out = F.element_at("sizes", F.lit(source)), F.element_at("sizes", F.lit(output))
+        text = F.concat(
+            F.lit(f"Output has more rows than source {source}: "), n_out.cast("string"), F.lit(" > "), n_in.cast("string"), F.lit("."),
+        )
+        grown.append(F.when(n_out > n_in, _finding("ERROR", output, "row_count", text, n_out - n_in)))
+    broken = F.filter("m", lambda x: (x["severity"] != _SIZE) & (x["affected_rows"] > 0))
+    parts = [broken, *([F.array(*known)] if known else []), *([F.array_compact(F.array(*grown))] if grown else [])]
+    return measured.select(F.inline(F.concat(*parts)))
+
+
+def duplicate_rows(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
+    return findings({table: df}, [duplicate_rules(df, table, key)])
+
+
+def missing_keys(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    return findings({table: df}, [missing_key_rules(df, table, keys)])
+
+
+def more_rows_than_source(source: DataFrame, output: DataFrame, source_name: str, name: str) -> DataFrame:
+    return findings({source_name: source, name: output}, [], [(source_name, name)])
 
 
 def schema_findings(tables: Mapping[str, DataFrame]) -> list[tuple]:
@@ -232,53 +309,32 @@ def schema_findings(tables: Mapping[str, DataFrame]) -> list[tuple]:
     return rows
 
 
-def forbidden_columns(df: DataFrame, table: str) -> DataFrame | None:
-    present = [n for n in FORBIDDEN_FACT_COLUMNS if n in df.columns]
-    if not present:
-        return None
-    return df.agg(F.count("*").alias("affected_rows")).select(
-        *_row("ERROR", table, "forbidden_fact_columns", f"Forbidden columns found in fact table: {present}"),
-        "affected_rows",
-    )
-
-
-def qualifying_gaps(results: DataFrame) -> DataFrame:
-    wrong = F.coalesce(F.upper("session_type") == "Q", F.lit(False)) & F.col("gap_to_leader_ms").isNotNull()
-    return _reported(
-        results.agg(F.count_if(wrong).alias("affected_rows")), "fact_session_result", "qualifying_gap_must_be_null",
-        "gap_to_leader_ms must be NULL for Qualifying results.",
-    )
-
-
 def validate(
     sources: Mapping[str, DataFrame], star: Mapping[str, DataFrame], strict: bool = False
 ) -> DataFrame:
     """All findings; a single OK row when there are none. strict raises on errors."""
-    spark = next(iter(star.values())).sparkSession
-    frames = [spark.createDataFrame(schema_findings(star), REPORT)]
+    plans: list[Plan] = [([], schema_findings(star))]
     for table, key in {**FACT_KEYS, **DIMENSION_KEYS}.items():
         if table in star:
-            frames.append(duplicate_rows(star[table], table, [key]))
+            plans.append(duplicate_rules(star[table], table, [key]))
     for table, key in DIMENSION_KEYS.items():
         if table in star:
-            frames += missing_keys(star[table], table, [key])
+            plans.append(missing_key_rules(star[table], table, [key]))
     for fact, context in FACT_CONTEXT.items():
-        frames += missing_keys(star[fact], fact, [DIMENSION_KEYS[d] for d in (*SHARED, *context)])
-        forbidden = forbidden_columns(star[fact], fact)
-        frames += [forbidden] if forbidden is not None else []
-    frames.append(qualifying_gaps(star["fact_session_result"]))
-    frames += [outside_domain(star[t], t, column, allowed) for t, column, allowed in DOMAINS if t in star]
-    for source, fact in (("lap", "fact_lap_performance"), ("result", "fact_session_result")):
-        frames.append(more_rows_than_source(sources[source], star[fact], source, fact))
-    return finish_report(reduce(DataFrame.unionByName, frames), strict)
-
-
-def finish_report(findings: DataFrame, strict: bool = False) -> DataFrame:
-    severity, table, check, message, rows = OK_ROW
-    ok = findings.agg(F.count("*").alias("_n")).where(F.col("_n") == 0)
-    report = findings.unionByName(
-        ok.select(*_row(severity, table, check, message), F.lit(rows).cast("bigint").alias("affected_rows"))
-    )
+        plans.append(missing_key_rules(star[fact], fact, [DIMENSION_KEYS[d] for d in (*SHARED, *context)]))
+        plans.append(forbidden_rules(star[fact], fact))
+    plans.append(gap_rules())
+    plans += [domain_rules(star[t], t, column, allowed) for t, column, allowed in DOMAINS if t in star]
+    larger = [("lap", "fact_lap_performance"), ("result", "fact_session_result")]
+    read = {**star, **{source: sources[source] for source, _ in larger}}
+    return finish_report(findings(read, plans, larger), strict)
+
+
+def finish_report(found: DataFrame, strict: bool = False) -> DataFrame:
+    """The findings, read once, or the OK row."""
+    gathered = found.agg(F.collect_list(F.struct(*REPORT_COLUMNS)).alias("m"))
+    ok = F.array(_finding(*OK_ROW))
+    report = gathered.select(F.inline(F.when(F.size("m") == 0, ok).otherwise(F.col("m"))))
     if strict:
         error = F.raise_error(F.concat(F.lit("validation failed: "), F.col("table_name"), F.lit(": "), F.col("message")))
         report = report.where(F.when(F.col("severity") == "ERROR", error.cast("boolean")).otherwise(F.lit(True)))
