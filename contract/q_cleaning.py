@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from contract.registry import query, stages
 from contract.sql_cleaning import COLUMNS, FLAGS, with_cleaned, with_cleaning
-from contract.sql_quality import with_quality
+from contract.sql_quality import cleaned_quality, scorecard_sql, with_quality
 from contract.views import base, table, tables, with_views
 from starq.functions import scalars
 from starq.plans import cleaning, quality, validation
-from starq.plans.rules import RULES
+from starq.plans.rules import RULES, Check
 
 ALL = ", ".join(COLUMNS)
 
@@ -96,6 +97,49 @@ def _(spark, sf):
         "table_name", "row_identifier", "target_column", "quality_flag_column", "check_id", "reason")
 
 
+# A lap table of 82 columns under 85 checks, and issues of checks that no catalogue knows.
+_WIDE = 60
+
+
+@query("cl_wide_sets", with_views("lap", """
+l AS (SELECT lap_id, lap_id % 97 = 0 AS foreign_key, lap_id % 89 = 0 AS catalogue_key, lap_id % 83 = 0 AS renamed FROM v_lap),
+n AS (SELECT *, list_sort(list_distinct(['c' || lap_id % 60, 'c' || (lap_id * 7 + 3) % 60])) AS names FROM l)
+SELECT 'lap_id=' || lap_id AS row_identifier, 'ADD_FLAG' AS cleaning_action, array_to_string(names, '|') AS target_column, NULL AS check_id, NULL AS issue_code,
+       'EXPLAINED_NULL|SUSPICIOUS_NULL' AS missing_class FROM n WHERE NOT (foreign_key OR catalogue_key OR renamed)
+UNION ALL SELECT 'lap_id=' || lap_id, 'DROP_ROW', NULL, CASE WHEN catalogue_key THEN 'fk_lap_session_id_to_session_session_id' WHEN foreign_key THEN 'another_key' ELSE 'x_required_columns' END,
+       CASE WHEN catalogue_key THEN 'BROKEN_FOREIGN_KEY' WHEN foreign_key THEN 'DUPLICATED_KEY' ELSE 'SOME_CODE' END, NULL FROM n WHERE foreign_key OR catalogue_key OR renamed"""))
+def _(spark, sf):
+    lap = table(spark, sf, "lap").withColumns({f"c{i}": F.lit(i) for i in range(_WIDE)})
+    more = tuple(Check(f"wide_{i}", "range", (f"c{i}",), "wide", {"min": 0}) for i in range(_WIDE))
+    rules = {"lap": replace(RULES["lap"], validity=(*RULES["lap"].validity, *more))}
+    rid, pick = F.concat(F.lit("lap_id="), F.col("lap_id")), F.col("lap_id")
+
+    def issue(divisor, check, code):
+        return lap.where(pick % divisor == 0).select(
+            F.lit("lap").alias("table_name"), rid.alias("row_identifier"), F.lit(check).alias("check_id"), F.lit(code).alias("issue_code"))
+
+    def flag(position, kind):
+        return lap.select(
+            F.lit("lap").alias("table_name"), rid.alias("row_identifier"), F.concat(F.lit("c"), position % _WIDE).alias("column_name"),
+            F.lit(kind).alias("missing_class"), F.lit("SECTOR_INFORMATION").alias("missing_information_area"))
+
+    issues = issue(97, "another_key", "DUPLICATED_KEY").unionByName(issue(83, "x_required_columns", "SOME_CODE")).unionByName(
+        issue(89, "fk_lap_session_id_to_session_session_id", "BROKEN_FOREIGN_KEY")).unionByName(issue(7, "no_decision", "SOME_CODE"))
+    flags = flag(pick, "SUSPICIOUS_NULL").unionByName(flag(pick * 7 + 3, "EXPLAINED_NULL"))
+    resolved = cleaning.resolve_table("lap", lap, issues, flags, rules=rules)
+    return cleaning.Cleaning({"lap": resolved}).actions().where("cleaning_action in ('ADD_FLAG', 'DROP_ROW')").select(
+        "row_identifier", "cleaning_action", "target_column", "check_id", "issue_code", "missing_class")
+
+
+@query("cl_unmatched_issues", with_views("lap", """
+SELECT 'lap' AS table_name, 'lap_id=' || lap_id AS row_identifier, 'no_decision' AS check_id FROM v_lap WHERE lap_id % 7 = 0"""))
+def _(spark, sf):
+    rows = table(spark, sf, "lap").where("lap_id % 7 = 0").selectExpr("'lap' as table_name", "concat('lap_id=', lap_id) as row_identifier")
+    named = [rows.selectExpr("*", f"'{c}' as check_id", f"'{k}' as issue_code") for c, k in (
+        ("no_decision", "SOME_CODE"), ("another_key", "DUPLICATED_KEY"), ("lap_time_positive", "INVALID_VALUE"), ("x_required_columns", "SOME_CODE"))]
+    return cleaning.unmatched_issues(reduce(DataFrame.unionByName, named), ["lap"]).drop("issue_code")
+
+
 @query("cl_missing_driven", with_cleaning(f"\nSELECT {ALL} FROM actions WHERE source = 'missing_values'"))
 def _(spark, sf):
     return stages(spark, sf).cleaning().actions().where("source = 'missing_values'")
@@ -134,9 +178,16 @@ def _(spark, sf):
     return rejected.where("row_data_json like '{%}'").drop("row_data_json")
 
 
-@query("cl_rejected_json")
+@query("cl_rejected_json", with_cleaning("""
+SELECT d.table_name, d.row_identifier, CAST(l.session_id AS VARCHAR) AS session_id, l.driver_id, CAST(l.lap_number AS VARCHAR) AS lap_number, l.driver_id IS NULL AS null_kept
+FROM drops d JOIN v_lap l ON d.table_name = 'lap' AND d.row_identifier = 'lap_id=' || l.lap_id
+UNION ALL SELECT d.table_name, d.row_identifier, CAST(r.session_id AS VARCHAR), r.driver_id, NULL, r.driver_id IS NULL
+FROM drops d JOIN v_result r ON d.table_name = 'result' AND d.row_identifier = 'result_id=' || r.result_id"""))
 def _(spark, sf):
-    return stages(spark, sf).cleaning().rejected()
+    """The rejected rows' JSON, parsed again."""
+    rejected = stages(spark, sf).cleaning().rejected().where("table_name in ('lap', 'result')")
+    fields = [F.get_json_object("row_data_json", f"$.{c}").alias(c) for c in ("session_id", "driver_id", "lap_number")]
+    return rejected.select("table_name", "row_identifier", *fields, F.col("row_data_json").contains('"driver_id":null').alias("null_kept"))
 
 
 _LAP_COLUMNS = ("lap_id, session_id, driver_id, lap_number, lap_time_ms, sector1_time_ms, sector2_time_ms, sector3_time_ms, speed_i1, speed_i2, speed_fl, "
@@ -172,7 +223,9 @@ def _(spark, sf):
     return cleaning.summary_by_table(actions).unionByName(cleaning.summary_by_decision(actions), allowMissingColumns=True)
 
 
-@query("cl_before_after")
+@query("cl_before_after", with_cleaned("," + scorecard_sql() + "," + cleaned_quality() + """
+SELECT table_name, b.issue_count AS issue_count_before, a.issue_count AS issue_count_after, b.overall_score AS overall_score_before, a.overall_score AS overall_score_after
+FROM scorecard b FULL JOIN after_scorecard a USING (table_name)"""))
 def _(spark, sf):
     st = stages(spark, sf)
     after = quality.assess(spark, st.cleaning().tables())

@@ -226,9 +226,11 @@ def cleaned_definitions() -> str:
 
     age = "2021 - year(date_of_birth) >= 15 AND 2022 - year(date_of_birth) <= 60"
     return f""",
-c_season AS (SELECT season_year FROM alive_season),
+c_season AS (SELECT season_year, CASE WHEN in_order THEN season_start_date END AS season_start_date, CASE WHEN in_order THEN season_end_date END AS season_end_date,
+    {low('number_of_events')}, {_value('season', 'champion_driver')} AS champion_driver, {_value('season', 'champion_team')} AS champion_team
+  FROM (SELECT *, season_start_date <= season_end_date AND year(season_start_date) = season_year AND year(season_end_date) = season_year AS in_order FROM alive_season)),
 c_circuit AS (SELECT circuit_id, circuit_name, country, trim(location) AS location, seasons_present, {', '.join(f"{canonical('circuit', c)} AS {c}" for t, c in DOMAINS if t == 'circuit')} FROM alive_circuit),
-c_driver AS (SELECT driver_id, CASE WHEN regexp_matches(abbreviation, '^[A-Z]{{3}}$') THEN abbreviation END AS abbreviation, first_name, last_name, nationality,
+c_driver AS (SELECT driver_id, CASE WHEN regexp_matches(abbreviation, '^[A-Z]{{3}}$') THEN abbreviation END AS abbreviation, first_name, last_name, nationality, CASE WHEN regexp_matches(driver_url, '^https?://') THEN driver_url END AS driver_url,
     CASE WHEN {age} THEN date_of_birth END AS date_of_birth, CASE WHEN permanent_number BETWEEN 1 AND 99 THEN permanent_number END AS permanent_number FROM alive_driver),
 c_team AS (SELECT team_id, team_name, nationality, CASE WHEN regexp_matches(team_url, '^https?://') THEN team_url END AS team_url FROM alive_team),
 c_grand_prix AS (SELECT grand_prix_id, season_year, round_number, event_name, official_event_name, country, location, CASE WHEN year(event_date) = season_year THEN event_date END AS event_date,

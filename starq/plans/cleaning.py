@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from starq import schemas as s
 from starq.functions.scalars import canonical_value, number, parse_bool_or_false, strip
 from starq.plans.quality import (
-    comparable, parent_values, quoted, row_identifier, sql_map, sql_number, sql_row_identifier, sql_strip, sure, typed,
+    comparable, ident, parent_values, quoted, row_identifier, sql_map, sql_number, sql_row_identifier, sql_strip, sure, typed,
+    without_nan,
 )
 from starq.plans.rules import QUALIFYING_PROGRESSION, RULES, TableRules
 
@@ -29,8 +30,8 @@ ACTION_FIELDS = (
 # What differs from row to row; the rest of an entry is one of the table's notes. Names
 # of columns and metrics stay bit sets until the log is written out.
 ROW_FIELDS = {
-    "explained": "bigint", "suspicious": "bigint", "metrics": "bigint", "score": "int", "old_value": "string",
-    "new_value": "string",
+    "explained": "array<bigint>", "suspicious": "array<bigint>", "metrics": "array<bigint>", "score": "int",
+    "old_value": "string", "new_value": "string",
 }
 DQA, MISSING, OUTLIER = "general_dqa", "missing_values", "outlier_detection"
 
@@ -71,6 +72,8 @@ DROP_CHECKS = (
     "result_position_positive", "lap_number_positive", "lap_time_positive", "weather_time_non_negative",
     "track_status_time_non_negative", "track_status_code_domain", "primary_key_unique",
 )
+# Issue codes that drop the row, whatever the check is called.
+DROP_CODES = ("BROKEN_FOREIGN_KEY", "DUPLICATED_KEY")
 DROP_REASON = "The DQA issue makes the row structurally unusable or unreliable for the cleaned schema."
 
 # Repairs by table and check, with their logged reasons.
@@ -166,11 +169,29 @@ def check_order(table: str, rules: Mapping[str, TableRules] = RULES) -> dict[str
     if table == "result":
         ids.setdefault(QUALIFYING_PROGRESSION.check_id, QUALIFYING_PROGRESSION.check_id.upper())
     ids.update({f"fk_{table}_{f.column}_to_{f.parent}_{f.parent_column}": "BROKEN_FOREIGN_KEY" for f in r.references})
-    if len(ids) > 63:
-        raise ValueError(f"more than 63 checks of {table} do not fit the bit set of failed checks")
     return ids
 
 
+def drops_unknown(check_id: Column, code: Column) -> Column:
+    """Whether an issue drops its row although the catalogue does not know the check."""
+    named = check_id.isin(*DROP_CHECKS)
+    for suffix in DROP_SUFFIXES:
+        named |= check_id.endswith(suffix)
+    for prefix in DROP_PREFIXES:
+        named |= check_id.startswith(prefix)
+    return F.coalesce(named, F.lit(False)) | F.coalesce(code.isin(*DROP_CODES), F.lit(False))
+
+
+def unmatched_issues(issues: DataFrame, tables: Sequence[str], rules: Mapping[str, TableRules] = RULES) -> DataFrame:
+    """Issues that no decision answers: checks outside the catalogue that do not drop the row either."""
+    known = [(t, c) for t in tables for c in check_order(t, rules)]
+    # One row per check of the catalogue.
+    catalogue = F.broadcast(issues.sparkSession.createDataFrame(known, "_table string, _check string"))
+    check_id = strip(F.col("check_id"))
+    rest = issues.join(catalogue, (strip(F.col("table_name")) == F.col("_table")) & (check_id == F.col("_check")), "left_anti")
+    return rest.where(~drops_unknown(check_id, strip(F.col("issue_code"))))
+
+
 # --- SQL text of log entries ---------------------------------------------------------------------------------------
 
 
@@ -242,38 +263,56 @@ def own_row_id(types: Mapping[str, T.DataType], key: str) -> str:
     plain = sql_row_identifier(list(types), [key] if key in types else [])
     if key not in types or isinstance(types[key], T.IntegralType):
         return plain
-    return f"case when {key} is not null then concat('{key}=', {comparable(key, 'canonical')}) else {plain} end"
+    return f"case when {ident(key)} is not null then concat({quoted(f'{key}=')}, {comparable(key, 'canonical')}) else {plain} end"
 
 
 # --- marks: what the assessments say about a row -------------------------------------------------------------------
 #
 # One row of bit sets per row id, gathered by plain hash aggregates: bit i of
 # `_issues` stands for the i-th check of the catalogue, bit i of an area's sets
-# for the i-th column of the table.
+# for the i-th column of the table. A set is an array of words, as many as the
+# names need.
+
+_WORD = 62
 
 
-def _bit(position: int) -> str:
-    return f"shiftleft(1L, {position})"
+def bit_set(column: str, names: Sequence[str], here: str = "true") -> str:
+    """Aggregate: the set of the names that a column holds; unknown names do not count."""
+    words = []
+    for start in range(0, max(len(names), 1), _WORD):
+        cases = " ".join(f"when {quoted(n)} then {1 << i}L" for i, n in enumerate(names[start : start + _WORD]))
+        words.append(f"bit_or(case when {here} then (case {column} {cases} else 0L end) else 0L end)" if cases else "bit_or(0L)")
+    return f"array({', '.join(words)})"
 
 
 def has_bit(bits: str, position: int) -> str:
-    return f"({bits} & {_bit(position)}) <> 0"
+    return f"(get({bits}, {position // _WORD}) & {1 << position % _WORD}L) <> 0"
 
 
-def _position(column: str, names: Sequence[str]) -> str:
-    """The bit of a name, 0 for unknown names."""
-    cases = " ".join(f"when {quoted(n)} then {_bit(i)}" for i, n in enumerate(names))
-    return f"(case {column} {cases} else 0L end)"
+def any_bit(*sets: str) -> str:
+    return "(" + " or ".join(f"exists({bits}, w -> w <> 0)" for bits in sets) + ")"
+
+
+def both_sets(a: str, b: str) -> str:
+    return f"zip_with({a}, {b}, (p, q) -> p | q)"
 
 
 def issue_marks(issues: DataFrame, table: str, checks: Sequence[str]) -> DataFrame:
-    """`_issues`: the failed checks of each row id."""
+    """`_issues`: the failed checks of each row id. `_unknown`: the first issue of a check
+    outside the catalogue that drops the row all the same."""
+    unknown = ~F.col("check_id").isin(*checks) & drops_unknown(F.col("check_id"), F.col("issue_code"))
     return (
         issues.where(strip(F.col("table_name")) == table)
-        .select(canonical_row_id(F.col("row_identifier")).alias("_rid"), strip(F.col("check_id")).alias("check_id"))
+        .select(
+            canonical_row_id(F.col("row_identifier")).alias("_rid"), strip(F.col("check_id")).alias("check_id"),
+            strip(F.col("issue_code")).alias("issue_code"),
+        )
         .where(F.col("_rid").isNotNull())
         .groupBy("_rid")
-        .agg(F.expr(f"bit_or({_position('check_id', checks)})").alias("_issues"))
+        .agg(
+            F.expr(bit_set("check_id", checks)).alias("_issues"),
+            F.min(F.when(unknown, F.struct("check_id", "issue_code"))).alias("_unknown"),
+        )
     )
 
 
@@ -288,7 +327,7 @@ def missing_marks(flags: DataFrame, table: str, columns: Sequence[str]) -> DataF
     for i, a in enumerate(missing_areas(table)):
         for prefix, kind in (("_x", "EXPLAINED_NULL"), ("_s", "SUSPICIOUS_NULL")):
             here = f"_area = {quoted(a)} and _class = {quoted(kind)}"
-            sets.append(F.expr(f"bit_or(case when {here} then {_position('_column', columns)} else 0L end)").alias(f"{prefix}{i}"))
+            sets.append(F.expr(bit_set("_column", columns, here)).alias(f"{prefix}{i}"))
     return slim.where(F.col("_rid").isNotNull()).groupBy("_rid").agg(*sets)
 
 
@@ -309,8 +348,7 @@ def outlier_marks(flags: DataFrame) -> DataFrame:
     for i, metrics in enumerate(_OUTLIER_AREAS.values()):
         listed = ", ".join(quoted(m) for m in metrics)
         here = f"_metric in ({listed})"
-        bits = f"bit_or(case when {here} then {_position('_metric', s.OUTLIER_METRICS)} else 0L end)"
-        marks.append(F.expr(bits).alias(f"_o{i}"))
+        marks.append(F.expr(bit_set("_metric", s.OUTLIER_METRICS, here)).alias(f"_o{i}"))
         marks.append(F.expr(f"max(case when {here} then _agreement end)").alias(f"_a{i}"))
     return slim.groupBy("_rid").agg(*marks)
 
@@ -326,8 +364,9 @@ def listed_names(bits: str, names: Sequence[str]) -> str:
 
 @dataclass(frozen=True)
 class Resolved:
-    """A table with its decisions: cleaned columns, `_rid`, `_actions` (changes) and
-    `_drop` (note of the first drop, or NULL). `notes` hold what entries have in common."""
+    """A table with its decisions: cleaned columns, `_rid`, `_actions` (changes), `_drop`
+    (note of the first drop, or NULL) and `_unknown` (check and code of a drop whose check
+    is not in the catalogue). `notes` hold what entries have in common."""
 
     frame: DataFrame
     notes: tuple[Mapping[str, str], ...]
@@ -375,7 +414,7 @@ class _Resolver:
 
     def text(self, c: str) -> None:
         # The tidied column is the trimmed text, or NULL where that is empty.
-        old, new = f"_old_{c}", f"coalesce({c}, '')"
+        old, new = ident(f"_old_{c}"), f"coalesce({ident(c)}, '')"
         trim = self.note(
             source="general_cleaning", target_column=c, check_id="CR_COMMON_1", issue_code="LEADING_OR_TRAILING_SPACES",
             cleaning_action="STANDARDIZE", reason="Trimmed leading or trailing spaces from a textual value.",
@@ -386,7 +425,7 @@ class _Resolver:
         )
         self.log.texts += [
             when(f"{new} <> {old}", _entry(trim, {"old_value": old, "new_value": new})),
-            when(f"{old} is not null and {c} is null", _entry(empty, {"old_value": "''"})),
+            when(f"{old} is not null and {ident(c)} is null", _entry(empty, {"old_value": "''"})),
         ]
 
     def flag(self, condition: str, area: str | None, row: Mapping[str, str] = {}, **fields: str) -> None:
@@ -402,20 +441,20 @@ class _Resolver:
         self.log.drops.append((condition, self.note(cleaning_action="DROP_ROW", **fields)))
 
     def set_null(self, condition: str, column: str, reason: str, area: str | None, **fields: str) -> None:
-        hit = f"({condition} and {column} is not null)"
+        hit = f"({condition} and {ident(column)} is not null)"
         self.replaced.setdefault(column, []).append((hit, f"cast(null as {self.types[column].simpleString()})"))
         note = self.note(target_column=column, cleaning_action="SET_NULL", reason=reason, **fields)
-        entry = _entry(note, {"old_value": as_log_text(column, self.types[column])})
+        entry = _entry(note, {"old_value": as_log_text(ident(column), self.types[column])})
         self.log.values.setdefault(column, []).append(when(hit, entry))
         affected = f"{area} is affected after setting an invalid value to NULL."
         self.flag(hit, area, target_column=column, reason=affected, **fields)
 
     def standardize(self, condition: str, column: str, value: str, reason: str, **fields: str) -> None:
         # Domain values are never numeric, so equal text is the whole comparison.
-        hit = f"({condition} and {value} is not null and not ({column} <=> {value}))"
+        hit = f"({condition} and {value} is not null and not ({ident(column)} <=> {value}))"
         self.replaced.setdefault(column, []).append((hit, value))
         note = self.note(target_column=column, cleaning_action="STANDARDIZE", reason=reason, **fields)
-        self.log.values.setdefault(column, []).append(when(hit, _entry(note, {"old_value": column, "new_value": value})))
+        self.log.values.setdefault(column, []).append(when(hit, _entry(note, {"old_value": ident(column), "new_value": value})))
 
     def issue(self, position: int, check_id: str, code: str, columns: Sequence[str]) -> None:
         marked = self.prepare(sure(has_bit("_issues", position)))
@@ -432,14 +471,14 @@ class _Resolver:
                 self.set_null(marked, c, d.reason, d.area, **fields)
         elif d.kind == "null_invalid":
             for c in d.columns:
-                low = f"not {sure(f'{sql_number(c)} >= {d.minimum}')}"
+                low = f"not {sure(f'{sql_number(ident(c))} >= {d.minimum}')}"
                 self.set_null(f"({marked} and {low})", c, d.reason, d.area, **fields)
         elif d.kind == "domain":
             self._domain(d, marked, fields)
         elif d.kind == "code_text":
             code_column, text_column = d.columns
             value = self.prepare(
-                f"try_element_at({sql_map(s.TRACK_STATUS_MESSAGES)}, try_cast({sql_number(code_column)} as int))"
+                f"try_element_at({sql_map(s.TRACK_STATUS_MESSAGES)}, try_cast({sql_number(ident(code_column))} as int))"
             )
             self.standardize(
                 marked, text_column, value, "Track status message reconstructed from the numerical status code.", **fields
@@ -452,18 +491,23 @@ class _Resolver:
     def _domain(self, d: Decision, marked: str, fields: Mapping[str, str]) -> None:
         c = d.columns[0]
         known = sql_map({"".join(x for x in v.lower() if x.isalnum()): v for v in d.allowed})
-        value = self.prepare(f"try_element_at({known}, regexp_replace(lower({c}), '[^a-z0-9]', ''))")
+        value = self.prepare(f"try_element_at({known}, regexp_replace(lower({ident(c)}), '[^a-z0-9]', ''))")
         self.standardize(marked, c, value, f"Standardized {c} to a known domain value.", **fields)
-        unknown = f"({marked} and {c} is not null and {value} is null)"
+        unknown = f"({marked} and {ident(c)} is not null and {value} is null)"
         if d.unknown == "drop":
             self.drop(unknown, reason=f"Unknown {c} value cannot be mapped to the allowed domain.", **fields)
         else:
             reason = f"Unknown {c} value was set to NULL because it cannot be mapped deterministically."
             self.set_null(unknown, c, reason, d.area, **fields)
 
+    def unknown(self) -> None:
+        """Check and code of these drops stand in `_unknown`."""
+        self.drop("_unknown is not null", source=DQA, reason=DROP_REASON)
+        self.notes[-1]["unknown"] = "yes"
+
     def missing(self) -> None:
         area = s.DROP_AREA[self.table]
-        gone = self.prepare(sure("(_x0 | _s0) <> 0"))
+        gone = self.prepare(sure(any_bit("_x0", "_s0")))
         what = "lap time" if self.table == "lap" else "classification"
         alive = self.prepare(f"({self.log.first_drop()}) is null and not {gone}", late=True)
         self.drop(
@@ -473,7 +517,7 @@ class _Resolver:
         for i, a in enumerate(missing_areas(self.table)):
             explained, suspicious = f"_x{i}", f"_s{i}"
             self.flag(
-                f"{alive} and {sure(f'({explained} | {suspicious}) <> 0')}", a,
+                f"{alive} and {sure(any_bit(explained, suspicious))}", a,
                 {"explained": explained, "suspicious": suspicious}, source=MISSING,
                 reason=f"Focused missing value output indicates that {a} is incomplete or unreliable.",
             )
@@ -487,7 +531,7 @@ class _Resolver:
         )
         for i, a in enumerate(_OUTLIER_AREAS):
             self.flag(
-                f"{alive} and {sure(f'_o{i} <> 0')}", a, {"metrics": f"_o{i}", "score": f"_a{i}"}, source=OUTLIER,
+                f"{alive} and {sure(any_bit(f'_o{i}'))}", a, {"metrics": f"_o{i}", "score": f"_a{i}"}, source=OUTLIER,
                 reason=f"Outlier detection indicates that {a} may be unreliable.",
             )
 
@@ -496,12 +540,13 @@ class _Resolver:
             active = " or ".join(sure(condition) for condition, _ in self.log.flags[c])
             return f"({c} or {active}) as {c}"
         if c not in self.replaced:
-            return c
+            return ident(c)
         cases = " ".join(f"when {condition} then {value}" for condition, value in self.replaced[c])
-        return f"case {cases} else {c} end as {c}"
+        return f"case {cases} else {ident(c)} end as {ident(c)}"
 
 
 _NO_ENTRY = f"cast(null as {_ENTRY_TYPE})"
+_UNKNOWN_TYPE = "struct<check_id:string,issue_code:string>"
 
 
 def resolve_table(
@@ -516,6 +561,7 @@ def resolve_table(
     key = s.PRIMARY_KEY.get(table, "")
     types = {f.name: f.dataType for f in df.schema.fields}
     columns = list(types)
+    df = without_nan(df)
     frame = df.withColumn("_rid", F.expr(own_row_id(types, key)))
     checks = check_order(table, rules)
     if issues is not None:
@@ -530,8 +576,8 @@ def resolve_table(
     flags = list(s.AREA_FLAGS.get(table, {}).values())
     tidy = with_quality_flags(
         frame.selectExpr(
-            *[f"nullif({sql_strip(c)}, '') as {c}" if c in texts else c for c in columns],
-            *[f"{c} as _old_{c}" for c in texts], *marks,
+            *[f"nullif({sql_strip(ident(c))}, '') as {ident(c)}" if c in texts else ident(c) for c in columns],
+            *[f"{ident(c)} as {ident(f'_old_{c}')}" for c in texts], *marks,
         ),
         table,
     )
@@ -543,6 +589,7 @@ def resolve_table(
     if "_issues" in marks:
         for position, (check_id, code) in enumerate(checks.items()):
             r.issue(position, check_id, code, columns)
+        r.unknown()
     if "_x0" in marks:
         r.missing()
     if "_strong" in marks:
@@ -554,7 +601,7 @@ def resolve_table(
         *[r.settled(c) for c in [*columns, *[f for f in flags if f not in columns]]],
         "_name as _rid",
         f"array_compact(array({', '.join(r.log.all_actions() or [_NO_ENTRY])})) as _actions",
-        f"{r.log.first_drop()} as _drop",
+        f"{r.log.first_drop()} as _drop", "_unknown" if "_unknown" in marks else f"cast(null as {_UNKNOWN_TYPE}) as _unknown",
     )
     return Resolved(frame, tuple(r.notes))
 
@@ -585,7 +632,7 @@ def cascade(
             hit = f"_has_{column}"
             known = known.select(F.col("_key").alias(f"_key_{column}"), F.lit(True).alias(hit))
             df = df.withColumn(f"_key_{column}", F.expr(typed(column, form))).join(known, f"_key_{column}", "left")
-            cases.append(f"when {column} is not null and {hit} is null then {len(notes)}")
+            cases.append(f"when {ident(column)} is not null and {ident(hit)} is null then {len(notes)}")
             notes.append({
                 "source": DQA, "table_name": table, "cleaning_action": "DROP_ROW",
                 "check_id": f"post_cleaning_fk_{table}_{column}_to_{parent}_{parent_column}",
@@ -601,7 +648,7 @@ def cascade(
 
 # --- results -------------------------------------------------------------------------------------------------------
 
-_TECHNICAL = ("_rid", "_actions", "_drop")
+_TECHNICAL = ("_rid", "_actions", "_drop", "_unknown")
 
 
 @dataclass(frozen=True)
@@ -623,13 +670,15 @@ class Cleaning:
             if not r.notes:
                 continue
             dropped = f"case when _drop is not null then {_entry('_drop', {})} end"
-            entries = r.frame.selectExpr("_rid", f"inline(array_compact(concat(_actions, array({dropped}))))")
+            entries = r.frame.selectExpr("_rid", "_unknown", f"inline(array_compact(concat(_actions, array({dropped}))))")
             noted = entries.selectExpr("*", f"element_at({_notes_sql(r.notes)}, note + 1) as _note")
             names = [c for c in r.frame.columns if c not in _TECHNICAL]
-            classes = [when(f"{bits} <> 0", quoted(f"{bits.upper()}_NULL")) for bits in ("explained", "suspicious")]
+            classes = [when(any_bit(bits), quoted(f"{bits.upper()}_NULL")) for bits in ("explained", "suspicious")]
+            outside = ", ".join(str(i) for i, n in enumerate(r.notes) if "unknown" in n) or "-1"
             per_row = {
+                **{f: f"case when note in ({outside}) then _unknown.{f} else _note.{f} end" for f in ("check_id", "issue_code")},
                 "row_identifier": "_rid",
-                "target_column": f"coalesce(_note.target_column, {listed_names('(explained | suspicious)', names)})",
+                "target_column": f"coalesce(_note.target_column, {listed_names(both_sets('explained', 'suspicious'), names)})",
                 "missing_class": f"nullif(concat_ws('|', {', '.join(classes)}), '')",
                 "outlier_metric": f"coalesce(_note.outlier_metric, {listed_names('metrics', s.OUTLIER_METRICS)})",
                 "outlier_consensus_score": "coalesce(score, cast(_note.outlier_consensus_score as int))",
