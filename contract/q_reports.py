@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contract.registry import query, stages
+from contract.registry import query, shared_folder, stages
 from contract.sql_missing import AREAS, missing_definitions, missing_summary_definition, outlier_definitions, with_missing, with_outliers
 from contract.sql_quality import scorecard_sql, with_quality
 from contract.sql_warehouse import with_star
+from contract.views import tables
+from starq import batch
 from starq.plans import reporting as r
 from starq.plans import starqueries as b
+from starq.session import configure, fresh_path
+from starq.sources.tables import refresh_files
 
 
 def _with_card(body: str) -> str:
@@ -187,8 +191,34 @@ def _(spark, sf):
         ("strong_consensus_by_metric", "metric", "num_strong_consensus_flags"), ("sample_strong_consensus_outliers", ("metric", "row_identifier"), "value")]))
 
 
-@query("sum_document")
+_DOCUMENT = {
+    "general_dqa": {"num_tables_assessed": "SELECT count(*) FROM scorecard", "average_overall_score": "SELECT round(avg(overall_score), 6) FROM scorecard",
+                    "num_checks": "SELECT count(*) FROM checks", "num_issues": "SELECT count(*) FROM issues"},
+    "focused_missing_values": {"total_missing_values": "SELECT sum(missing_count) FROM missing_summary", "num_missing_row_flags": "SELECT count(*) FROM missing",
+                               "total_suspicious_nulls": "SELECT sum(suspicious_null_count) FROM missing_summary"},
+    "focused_outlier_detection": {"total_tested_values": "SELECT sum(tested_values) FROM outlier_summary", "num_outlier_row_flags": "SELECT count(*) FROM outliers",
+                                  "strong_consensus_flag_count": "SELECT count(*) FROM outliers WHERE consensus_score = 2"},
+}
+_LISTS = {
+    "general_dqa": {"scorecard_by_table": "SELECT count(*) FROM scorecard", "issues_by_table": "SELECT count(DISTINCT table_name) FROM issues"},
+    "focused_missing_values": {"missing_by_severity": "SELECT count(DISTINCT severity) FROM missing"},
+    "focused_outlier_detection": {"outliers_by_metric": "SELECT count(DISTINCT metric) FROM outlier_summary"},
+}
+
+
+@query("sum_document", with_quality(f",{scorecard_sql()},{missing_definitions()},{missing_summary_definition()},{outlier_definitions()}\n" + " UNION ALL ".join(
+    f"SELECT '{part}' AS part, '{name}' AS name, CAST(({sql}) AS DOUBLE) AS number"
+    for found in (_DOCUMENT, _LISTS) for part, names in found.items() for name, sql in names.items())))
 def _(spark, sf):
+    """Fields of the JSON document, parsed again."""
+    document = _document(spark, sf)
+    totals = [(p, n, F.get_json_object("document", f"$.{p}.totals[0].{n}")) for p, names in _DOCUMENT.items() for n in names]
+    lists = [(p, n, F.json_array_length(F.get_json_object("document", f"$.{p}.{n}"))) for p, names in _LISTS.items() for n in names]
+    rows = [F.struct(F.lit(p).alias("part"), F.lit(n).alias("name"), v.cast("double").alias("number")) for p, n, v in (*totals, *lists)]
+    return document.select(F.inline(F.array(*rows)))
+
+
+def _document(spark, sf):
     st = stages(spark, sf)
     a, o = st.assessment(), st.outliers()
     return r.report_document({
@@ -321,3 +351,24 @@ WHERE session_type = 'R' AND NOT rain_flag AND compound IN ('SOFT', 'MEDIUM', 'H
 def _(spark, sf):
     laps, _, dims = _star(spark, sf)
     return b.analysis_scope(laps, dims["dim_lap_weather_context"], dims["dim_tyre_context"], ["t1", "t2", "t3"]).select(*laps.columns)
+
+
+# --- the whole batch -----------------------------------------------------------------------------------------------
+
+_OUTPUTS = {
+    "quality/check_results": "checks", "quality/issues": "issues", "missing/flags": "missing", "outliers/flags": "outliers",
+    "outliers/summary": "outlier_summary", "cleaning/actions": "actions", "cleaning/rejected": "drops", "clean/lap": "c_lap", "clean/session": "c_session",
+    "star/fact_lap_performance": "fact_lap_performance", "star/fact_session_result": "fact_session_result", "star/dim_tyre_context": "dim_tyre_context",
+    "star/dim_lap_data_quality": "dim_lap_data_quality",
+}
+
+
+@query("batch_run", with_star("\n" + " UNION ALL ".join(f"SELECT '{name}' AS output, count(*) AS row_count FROM {source}" for name, source in _OUTPUTS.items())
+       + " UNION ALL SELECT 'report', 1 UNION ALL SELECT 'star/validation', 1"))
+def _(spark, sf):
+    """A raw layer is written, the batch runs over it, and every output is read back."""
+    shared_folder(spark)
+    source, target = fresh_path(configure(spark), "batch-source"), fresh_path(spark, "batch-target")
+    refresh_files(spark, tables(spark, sf), source)
+    sizes = batch.sizes(spark, batch.run(spark, source, target))
+    return sizes.where(F.col("output").isin(*_OUTPUTS, "report", "star/validation"))

@@ -56,6 +56,17 @@ def _(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+# A layer that was written to the catalog, read back from there by logical names.
+@query("scan_catalog_database", """
+SELECT 'supplier' AS table_name, count(*) AS row_count FROM supplier UNION ALL SELECT 'part', count(*) FROM part""")
+def _(spark, sf):
+    database = f"starq_{uuid.uuid4().hex}"
+    io.refresh_layer(spark, {n: base(spark, sf, n) for n in ("supplier", "part")}, database, _path(spark, "layer"))
+    found = io.read_layer(spark, None, ["supplier", "part", "no_such_table"], database=database)
+    counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in found.items()]
+    return counts[0].unionByName(counts[1])
+
+
 @query("sink_csv_roundtrip", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
 def _(spark, sf):
     path = _path(spark, "csv")
@@ -121,6 +132,22 @@ def _(spark, sf):
     return re.durations_to_ms(lap.selectExpr("lap_id", text, span), ["duration"])
 
 
+@query("duration_negative", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 4 THEN NULL WHEN o_orderkey % 5 = 3 THEN -(o_orderkey % 24 * 3600000 + 1500)
+  ELSE -(o_orderkey % 3 + 1) * 86400000 + o_orderkey % 24 * 3600000 + o_orderkey % 60 * 60000 + 59500 END AS duration_ms FROM orders""")
+def _(spark, sf):
+    clock = "lpad(cast(o_orderkey % 24 as string), 2, '0')"
+    text = (f"case when o_orderkey % 5 = 4 then 'soon' when o_orderkey % 5 = 3 then concat('-', {clock}, ':00:01.5') else "
+            f"concat('-', o_orderkey % 3 + 1, ' days +', {clock}, ':', lpad(cast(o_orderkey % 60 as string), 2, '0'), ':59.5') end as duration")
+    return re.durations_to_ms(base(spark, sf, "orders").selectExpr("o_orderkey", text), ["duration"])
+
+
+@query("duration_unreadable", "SELECT 'duration' AS column_name, count(*) FILTER (WHERE o_orderkey % 5 = 4) AS unreadable FROM orders")
+def _(spark, sf):
+    text = "case when o_orderkey % 5 = 4 then 'soon' when o_orderkey % 5 = 3 then '' when o_orderkey % 5 < 2 then '1 days 00:00:01' end as duration"
+    return re.unreadable_durations(base(spark, sf, "orders").selectExpr(text), ["duration"])
+
+
 @query("match_key", """
 SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN '' ELSE lower(p_name) END AS match_key FROM part""")
 def _(spark, sf):
@@ -214,6 +241,13 @@ def _(spark, sf):
     return re.continued_numbers(base(spark, sf, "events").select("event_id", "event_type"), "event_id", "row_key", start=101)
 
 
+# More than 300 rows are cut into slices, as large tables are.
+@query("surrogate_hot", """
+SELECT event_id, event_type, 100 + row_number() OVER (ORDER BY event_id) AS row_key FROM events""")
+def _(spark, sf):
+    return re.continued_numbers(base(spark, sf, "events").select("event_id", "event_type"), "event_id", "row_key", start=101, limit=300)
+
+
 @query("ingest_audit", """
 WITH r AS (SELECT user_id, CASE WHEN value < 0.5 THEN 'value ' || event_type || ' too small' END AS err FROM events),
 s AS (SELECT user_id, count(*) AS row_count, min(err) AS error FROM r GROUP BY 1),

@@ -54,6 +54,33 @@ def materialize(df, label: str = "stage"):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Staging:
+    """Owns the folders of staged results and removes them at the end.
+
+        with Staging(spark) as staging:
+            ... plan(..., stage=staging.keep) ...   # and write what is to stay
+    """
+
+    def __init__(self, spark: SparkSession, label: str = "staging"):
+        self.spark, self.folder, self.count = spark, fresh_path(spark, label), 0
+
+    def keep(self, df):
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *problem) -> None:
+        self.close()
+
+
 def stage(df, label: str = "stage"):
     """Keep a result that several plans read: in the shared folder where the
     cluster names one, else in the executors' storage."""

@@ -20,12 +20,14 @@ def clean_header(name: str) -> str:
     return re.sub(r"\s+", " ", name.strip())
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def if_there(read):
+    """What `read` gives, or None where its path does not exist. Nothing is listed twice."""
     try:
-        spark.read.format("binaryFile").load(path).schema
-        return True
-    except AnalysisException:
-        return False
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND"):
+            return None
+        raise
 
 
 def read_csv(
@@ -37,23 +39,24 @@ def read_csv(
     inferred; without one all columns are text). An absent optional file gives
     an empty frame.
     """
-    if not path_exists(spark, path):
+    reader = spark.read.option("header", True).option("multiLine", False).option("escape", '"')
+    if schema is not None:
+        reader = reader.schema(schema).option("enforceSchema", True)
+    df = if_there(lambda: reader.csv(path))
+    if df is None:
         if required:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema or T.StructType([]))
-    reader = spark.read.option("header", True).option("multiLine", False).option("escape", '"')
-    if schema is not None:
-        names = [clean_header(f.name) for f in schema.fields]
-        return reader.schema(schema).option("enforceSchema", True).csv(path).toDF(*names)
-    df = reader.csv(path)
     return df.toDF(*[clean_header(n) for n in df.columns])
 
 
 def first_existing(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
     """The first of several optional CSV sources that exists, else an empty frame."""
     for path in paths:
-        if path_exists(spark, path):
+        try:
             return read_csv(spark, path, schema)
+        except FileNotFoundError:
+            continue
     return spark.createDataFrame([], schema)
 
 
@@ -90,24 +93,32 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_layer(
-    spark: SparkSession, folder: str, names: Iterable[str], required: bool = False
+    spark: SparkSession, folder: str | None, names: Iterable[str], required: bool = False, database: str | None = None
 ) -> dict[str, DataFrame]:
-    """The tables of a Parquet layer by logical name, trying older names as well.
+    """The tables of a layer by logical name, trying older names as well.
 
-    Tables that are not there are left out, or all named in one error.
+    A layer is a folder of Parquet tables or, with `database`, the tables of a
+    catalog database (as `refresh_layer` leaves them). Tables that are not there are
+    left out, or all named in one error.
     """
+
+    def places(alias: str):
+        if database is not None:
+            yield lambda: spark.table(f"`{database}`.`{alias}`")
+        else:
+            for path in (f"{folder.rstrip('/')}/{alias}", f"{folder.rstrip('/')}/{alias}.parquet"):
+                yield lambda path=path: spark.read.parquet(path)
+
     found, missing = {}, []
     for name in names:
-        for alias in TABLE_ALIASES.get(name, (name,)):
-            path = f"{folder.rstrip('/')}/{alias}"
-            candidate = next((p for p in (path, f"{path}.parquet") if path_exists(spark, p)), None)
-            if candidate:
-                found[name] = spark.read.parquet(candidate)
-                break
-        else:
+        tried = (if_there(read) for alias in TABLE_ALIASES.get(name, (name,)) for read in places(alias))
+        df = next((df for df in tried if df is not None), None)
+        if df is None:
             missing.append(name)
+        else:
+            found[name] = df
     if required and missing:
-        raise FileNotFoundError(f"tables not found below {folder}: {missing}")
+        raise FileNotFoundError(f"tables not found in {database or folder}: {missing}")
     return found
 
 
@@ -119,10 +130,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_partitioned_csv(df: DataFrame, column: str, path: str) -> None:
     """One folder per value of a column, header in every file.
 
-    Rows are not gathered per value: a frequent value is written by as many
-    tasks as hold it.
+    Rows are gathered by value first, in portions of about equal size: rare values
+    share a task, a frequent one is split over several, so that the number of files
+    follows the size of the data and not the number of tasks.
     """
-    df.write.mode("overwrite").option("header", True).option("escape", '"').partitionBy(column).csv(path)
+    df.hint("rebalance", F.col(column)).write.mode("overwrite").option("header", True).option("escape", '"').partitionBy(column).csv(path)
 
 
 def append(df: DataFrame, path: str, schema: T.StructType) -> None:
@@ -150,3 +162,13 @@ def refresh_files(spark: SparkSession, tables: Mapping[str, DataFrame], folder:
     """Replace the Parquet files of the given tables below a folder."""
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+
+
+def write_by_value(df: DataFrame, column: str, path: str) -> None:
+    """A Parquet table with one folder per value, files bounded by size (see `write_partitioned_csv`)."""
+    df.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(path)
+
+
+def write_text(document: DataFrame, path: str) -> None:
+    """A document of few lines (a JSON report, say) as one text file."""
+    document.coalesce(1).write.mode("overwrite").text(path)
