@@ -56,8 +56,8 @@ class Decision:
     minimum: float | None = None
 
 
-def _null(columns: str, reason: str, area: str | None = None) -> Decision:
-    return Decision("null", tuple(columns.split()), reason, area)
+def _null(columns: str | tuple[str, ...], reason: str, area: str | None = None) -> Decision:
+    return Decision("null", (columns,) if isinstance(columns, str) else columns, reason, area)
 
 
 def _domain(column: str, allowed: Sequence[str], unknown: str = "drop", area: str | None = None) -> Decision:
@@ -80,7 +80,7 @@ DROP_REASON = "The DQA issue makes the row structurally unusable or unreliable f
 _RACE, _SECTOR, _SPEED, _TYRE = (
     "RACE_CONTEXT_INFORMATION", "SECTOR_INFORMATION", "SPEED_INFORMATION", "TYRE_INFORMATION",
 )
-_SEASON_DATES = _null("season_start_date season_end_date", "Inconsistent season dates set to NULL.")
+_SEASON_DATES = _null(("season_start_date", "season_end_date"), "Inconsistent season dates set to NULL.")
 _STATUS_TEXT = Decision("code_text", ("status", "message"))
 DECISIONS: dict[str, dict[str, Decision]] = {
     "season": {
@@ -392,7 +392,10 @@ class _Log:
 
 
 class _Resolver:
-    """Collects what happens to the rows of one table, in the order it is applied."""
+    """Collects what happens to the rows of one table, in the order it is applied.
+
+    Fixed values: the reasons in this class and in `cascade`.
+    """
 
     def __init__(self, table: str, types: Mapping[str, T.DataType]):
         self.table, self.types = table, types

@@ -48,9 +48,9 @@ class TableRules:
     references: tuple[Reference, ...] = ()
 
 
-def _range(check_id: str, columns: str, description: str, low=None, high=None) -> Check:
+def _range(check_id: str, columns: str | tuple[str, ...], description: str, low=None, high=None) -> Check:
     limits = {k: v for k, v in (("min", low), ("max", high)) if v is not None}
-    return Check(check_id, "range", tuple(columns.split()), description, limits)
+    return Check(check_id, "range", (columns,) if isinstance(columns, str) else columns, description, limits)
 
 
 def _domain(check_id: str, column: str, description: str, allowed: Sequence) -> Check:
@@ -170,9 +170,9 @@ RULES: dict[str, TableRules] = {
         validity=(
             _range("lap_number_positive", "lap_number", "lap_number must be greater than zero.", 1),
             _range("lap_time_positive", "lap_time_ms", "lap_time_ms must be positive when present.", 1),
-            _range("lap_sector_times_positive", "sector1_time_ms sector2_time_ms sector3_time_ms",
+            _range("lap_sector_times_positive", ("sector1_time_ms", "sector2_time_ms", "sector3_time_ms"),
                    "Sector times must be positive when present.", 1),
-            _range("lap_speeds_positive", "speed_i1 speed_i2 speed_fl speed_st",
+            _range("lap_speeds_positive", ("speed_i1", "speed_i2", "speed_fl", "speed_st"),
                    "Speed attributes must be positive when present.", 1),
             _range("stint_positive", "stint", "stint must be positive when present.", 1),
             _range("tyre_life_positive", "tyre_life", "tyre_life must be positive when present.", 1),

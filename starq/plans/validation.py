@@ -137,6 +137,7 @@ def fail_on_violation(report: DataFrame) -> DataFrame:
 
 REPORT = "severity string, table_name string, check_name string, message string, affected_rows bigint"
 REPORT_COLUMNS = ("severity", "table_name", "check_name", "message", "affected_rows")
+# The report's columns and its row when all is well.
 OK_ROW = ("OK", "all", "all_checks", "No validation issues found.", 0)
 
 # Allowed classes.
@@ -163,6 +164,7 @@ DOMAINS = (
     ("dim_result_weather_context", "avg_track_temp_class", _LEVELS),
     ("dim_result_weather_context", "avg_wind_speed_class", _LEVELS),
 )
+# What the flattened dimension must hold, and what facts must not.
 CIRCUIT_ATTRIBUTES = (
     "circuit_name", "country", "location", "global_circuit_category", "sector1_category", "sector2_category",
     "sector3_category",
@@ -181,7 +183,8 @@ class Rule:
     key: tuple[str, ...] = ()
 
 
-# Rules, and findings that names and columns alone tell (rows of REPORT).
+# Rules, and findings that names and columns alone tell (rows of REPORT). Fixed values:
+# check names and messages below.
 Plan = tuple[list[Rule], list[tuple]]
 
 

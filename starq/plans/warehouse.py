@@ -36,6 +36,7 @@ DIM_SESSION = (
     "session_id", "grand_prix_id", "season_year", "round_number", "session_type", "session_name", "session_date",
 )
 # dimension -> (key, attributes)
+# Key and attributes of each context dimension.
 CONTEXT_DIMENSIONS = {
     "dim_tyre_context": ("tyre_context_key", ("compound", "starting_tyre_set_status", "tyre_life_class")),
     "dim_lap_weather_context": (
@@ -51,6 +52,7 @@ CONTEXT_DIMENSIONS = {
 }
 LAP_CONTEXT = ("dim_tyre_context", "dim_lap_weather_context", "dim_lap_data_quality")
 RESULT_CONTEXT = ("dim_result_outcome", "dim_result_weather_context", "dim_result_data_quality")
+# Columns of the facts.
 FACT_LAP = (
     "driver_id", "team_id", "grand_prix_id", "tyre_context_key", "lap_weather_context_key", "lap_data_quality_key",
     "session_type", "lap_type", "lap_number", "track_status_category", "lap_time_ms", "sector1_time_ms",

@@ -4,64 +4,62 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "long": T.LongType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-}
+LONG, DOUBLE, STRING, BOOLEAN, TIMESTAMP = (
+    T.LongType(), T.DoubleType(), T.StringType(), T.BooleanType(), T.TimestampType(),
+)
 
 
-def _struct(spec: str) -> T.StructType:
-    fields = []
-    for group in spec.split(";"):
-        names, type_name = group.rsplit(":", 1)
-        fields += [T.StructField(n, _TYPES[type_name.strip()], True) for n in names.split()]
-    return T.StructType(fields)
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 # Column names and types of the ten reconciled tables.
 SCHEMAS: dict[str, T.StructType] = {
-    "season": _struct(
-        "season_year: long; season_start_date season_end_date: timestamp; number_of_events: long;"
-        " champion_driver champion_team: string"
+    "season": _table(
+        season_year=LONG, season_start_date=TIMESTAMP, season_end_date=TIMESTAMP, number_of_events=LONG,
+        champion_driver=STRING, champion_team=STRING,
+    ),
+    "circuit": _table(
+        circuit_id=STRING, circuit_name=STRING, country=STRING, location=STRING, seasons_present=STRING,
+        global_circuit_category=STRING, sector1_category=STRING, sector2_category=STRING, sector3_category=STRING,
+    ),
+    "driver": _table(
+        driver_id=STRING, permanent_number=DOUBLE, abbreviation=STRING, first_name=STRING, last_name=STRING,
+        date_of_birth=TIMESTAMP, nationality=STRING, driver_url=STRING,
     ),
-    "circuit": _struct(
-        "circuit_id circuit_name country location seasons_present global_circuit_category"
-        " sector1_category sector2_category sector3_category: string"
+    "team": _table(
+        team_id=STRING, team_name=STRING, nationality=STRING, team_url=STRING,
     ),
-    "driver": _struct(
-        "driver_id: string; permanent_number: double; abbreviation first_name last_name: string;"
-        " date_of_birth: timestamp; nationality driver_url: string"
+    "grand_prix": _table(
+        grand_prix_id=LONG, season_year=LONG, round_number=LONG, event_name=STRING, official_event_name=STRING,
+        country=STRING, location=STRING, event_date=TIMESTAMP, event_format=STRING, f1_api_support=BOOLEAN,
+        circuit_id=STRING,
     ),
-    "team": _struct("team_id team_name nationality team_url: string"),
-    "grand_prix": _struct(
-        "grand_prix_id season_year round_number: long; event_name official_event_name country location: string;"
-        " event_date: timestamp; event_format: string; f1_api_support: boolean; circuit_id: string"
+    "session": _table(
+        session_id=LONG, grand_prix_id=LONG, session_type=STRING, session_name=STRING, session_date=TIMESTAMP,
     ),
-    "session": _struct(
-        "session_id grand_prix_id: long; session_type session_name: string; session_date: timestamp"
+    "result": _table(
+        result_id=LONG, session_id=LONG, driver_id=STRING, team_id=STRING, position=DOUBLE,
+        classified_position=STRING, grid_position=DOUBLE, q1_ms=LONG, q2_ms=LONG, q3_ms=LONG, time_ms=LONG,
+        status=STRING, points=DOUBLE, laps=DOUBLE,
     ),
-    "result": _struct(
-        "result_id session_id: long; driver_id team_id: string; position: double; classified_position: string;"
-        " grid_position: double; q1_ms q2_ms q3_ms time_ms: long; status: string; points laps: double"
+    "lap": _table(
+        lap_id=LONG, time_ms=LONG, driver=STRING, driver_number=LONG, lap_time_ms=LONG, lap_number=DOUBLE,
+        stint=DOUBLE, pit_out_time_ms=LONG, pit_in_time_ms=LONG, sector1_time_ms=LONG, sector2_time_ms=LONG,
+        sector3_time_ms=LONG, sector1_session_time_ms=LONG, sector2_session_time_ms=LONG,
+        sector3_session_time_ms=LONG, speed_i1=DOUBLE, speed_i2=DOUBLE, speed_fl=DOUBLE, speed_st=DOUBLE,
+        is_personal_best=BOOLEAN, compound=STRING, tyre_life=DOUBLE, fresh_tyre=BOOLEAN, team=STRING,
+        lap_start_time_ms=LONG, lap_start_date=TIMESTAMP, track_status=STRING, position=DOUBLE, deleted=BOOLEAN,
+        deleted_reason=STRING, fast_f1_generated=BOOLEAN, is_accurate=BOOLEAN, session_id=LONG, driver_id=STRING,
+        team_id=STRING,
     ),
-    "lap": _struct(
-        "lap_id time_ms: long; driver: string; driver_number lap_time_ms: long; lap_number stint: double;"
-        " pit_out_time_ms pit_in_time_ms sector1_time_ms sector2_time_ms sector3_time_ms"
-        " sector1_session_time_ms sector2_session_time_ms sector3_session_time_ms: long;"
-        " speed_i1 speed_i2 speed_fl speed_st: double; is_personal_best: boolean; compound: string;"
-        " tyre_life: double; fresh_tyre: boolean; team: string; lap_start_time_ms: long;"
-        " lap_start_date: timestamp; track_status: string; position: double; deleted: boolean;"
-        " deleted_reason: string; fast_f1_generated is_accurate: boolean; session_id: long;"
-        " driver_id team_id: string"
+    "weather": _table(
+        weather_id=LONG, time_ms=LONG, air_temp=DOUBLE, humidity=DOUBLE, pressure=DOUBLE, rainfall=BOOLEAN,
+        track_temp=DOUBLE, wind_direction=DOUBLE, wind_speed=DOUBLE, session_id=LONG,
     ),
-    "weather": _struct(
-        "weather_id time_ms: long; air_temp humidity pressure: double; rainfall: boolean;"
-        " track_temp wind_direction wind_speed: double; session_id: long"
+    "track_status": _table(
+        track_status_id=LONG, time_ms=LONG, status=STRING, message=STRING, session_id=LONG,
     ),
-    "track_status": _struct("track_status_id time_ms: long; status message: string; session_id: long"),
 }
 
 # Parents come before children, so one walk settles every cascade.
@@ -69,6 +67,7 @@ TABLE_ORDER = (
     "season", "circuit", "driver", "team", "grand_prix", "session", "result", "lap", "weather", "track_status",
 )
 
+# Fixed values.
 PRIMARY_KEY = {
     "season": "season_year",
     "circuit": "circuit_id",
@@ -82,6 +81,7 @@ PRIMARY_KEY = {
     "track_status": "track_status_id",
 }
 
+# Fixed values.
 NATURAL_KEYS = {
     "grand_prix": ("season_year", "round_number"),
     "session": ("grand_prix_id", "session_type"),
@@ -92,6 +92,7 @@ NATURAL_KEYS = {
 }
 
 # child table -> ((child column, parent table, parent column), ...)
+# Fixed values.
 FOREIGN_KEYS = {
     "grand_prix": (("season_year", "season", "season_year"), ("circuit_id", "circuit", "circuit_id")),
     "session": (("grand_prix_id", "grand_prix", "grand_prix_id"),),
@@ -150,6 +151,7 @@ SECTOR_METRICS = ("sector1_time_ms", "sector2_time_ms", "sector3_time_ms")
 SPEED_METRICS = ("speed_i1", "speed_i2", "speed_fl", "speed_st")
 OUTLIER_METRICS = ("lap_time_ms", *SECTOR_METRICS, *SPEED_METRICS)
 
+# Fixed values.
 QUALITY_DIMENSIONS = (
     "Completeness", "Uniqueness", "Validity", "Consistency", "Accuracy/Plausibility", "Timeliness",
     "Referential Integrity",
