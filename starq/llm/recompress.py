@@ -263,10 +263,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "repeats")
     texts = plain_documents(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     whole = scratch.write(texts.mapInArrow(_whole, "doc_id long, n_words long, sha string"), "whole")
-    first = whole.where(F.col("n_words") >= WINDOW).groupBy("sha", "n_words").agg(F.min("doc_id").alias("rep"))
+    first = whole.where(F.col("n_words") >= WINDOW).groupBy("sha", "n_words").agg(
+        F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")
+    ).where("last > rep")
+    first = scratch.write(first, "first")
     copies = scratch.write(
-        whole.join(first, ["sha", "n_words"]).where("doc_id > rep").select("doc_id", "sha").distinct(), "copies"
+        whole.join(first, ["sha", "n_words"]).where("doc_id > rep").select("doc_id", "sha"), "copies"
     )
+    scratch.drop("first")
 
     # Anchors that occur at least twice.
     named = texts.where("doc_id IS NOT NULL").mapInArrow(_anchors, ANCHORS)
@@ -276,12 +280,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .join(copies.select(F.col("doc_id").alias("doc")), "doc", "left_anti").select("key", "doc", "at"), "shared",
     )
     # Again without the copies, and summed before it is shuffled.
-    still = shared.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    # A table of its own, so that a key with many rows can be split where it is joined.
+    still = scratch.write(shared.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "still")
     marks = scratch.write(
         shared.join(still, "key").groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("at").alias("marks"), F.count(F.lit(1)).alias("n")),
         "marks",
     )
-    scratch.drop("shared")
+    scratch.drop("shared", "still")
 
     # Equal windows: all but the earliest go.
     suspects = only(texts, marks).select("doc_id", "text", "marks").mapInArrow(_windows, WINDOWS)
@@ -298,7 +303,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         _strip, "doc_id long, n_removed long, sha string, kept string"
     ).distinct()
     empty = hashlib.sha256(b"").hexdigest()
-    copied, same = copies.select("doc_id", "sha", F.lit(True).alias("copied")), ["doc_id", "sha"]
+    copied, same = copies.distinct().withColumn("copied", F.lit(True)), ["doc_id", "sha"]
     return whole.join(copied, same, "left").join(stripped, same, "left").select(
         "doc_id", "n_words", F.when(F.col("copied"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(F.col("copied"), F.lit(empty)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"),
