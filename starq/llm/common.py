@@ -22,6 +22,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings, a shared folder, and this package on every executor."""
     configure(spark)
+    # Texts differ in length a thousandfold: bound what goes to Python at once in bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     context = spark.sparkContext
     if not shared_dir(spark):
         if not context.master.startswith("local"):

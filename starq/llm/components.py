@@ -21,7 +21,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         others = around.join(least, "node").select(F.col("other").alias("u"), F.col("least").alias("v"))
         hung = others.union(least.select("node", "least"))
-    return hung.where("u <> v").distinct()
+    # The small star that follows sees repeated edges as one.
+    return hung.where("u <> v") if large else hung.where("u <> v").distinct()
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
