@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 
 from starq.llm.common import plain_documents
 
-#: Pieces, and token pairs, remembered per worker; beyond it the memory starts anew.
-REMEMBERED = 800_000
-PREFIXES = 600_000
+#: Pieces, prefixes and token pairs remembered per worker; beyond it that memory starts anew.
+REMEMBERED = 700_000
+PREFIXES, PAIRS = 300_000, 300_000
 #: Bytes up to which a piece and its prefixes are remembered.
 SHORT = 64
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -87,7 +87,7 @@ class Vocabulary:
         """Whether the two tokens' bytes encode as these two tokens."""
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             a, b = self.bytes_of[left], self.bytes_of[right]
             known = self.pairs[left, right] = self._keeps(a + b, len(a))
