@@ -16,6 +16,8 @@ table makes no block; a damaged segment raises on reading.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starq.llm import words
 from starq.llm.common import Scratch, plain_documents
 
 U64 = np.uint64
@@ -33,13 +36,13 @@ BITS, LOW = 18, 1 << 31
 LANES, STEPS = 64, 256
 BLOCK_IDS = 1 << 20
 END_ID = 1
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_200_000
 CHUNK_KEYS = ("part", "block", "start", "n_ids", "doc_ids", "lengths")
 CODED = ("segments", "steps", "states", "offsets", "checksums", "words")
 _KEYS = "part int, block int, start long, n_ids long, doc_ids array<long>, lengths array<long>, "
-CHUNK = _KEYS + "ids binary"
+CHUNK = _KEYS + "ids binary, counts binary"
 BLOCK = _KEYS + "segments int, steps int, states binary, offsets binary, checksums binary, words binary"
 
 
@@ -77,11 +80,11 @@ class Table:
         grid[: len(ids)] = ids
         grid = grid.reshape(segments, steps, LANES)
         state = np.full((segments, LANES), LOW, U64)
-        words, owners = [], []
+        given, owners = [], []
         for t in range(steps - 1, -1, -1):
             f, c = self.frequency[grid[:, t]], self.below[grid[:, t]]
             full = state >= f << U64(63 - BITS)
-            words.append(state[full].astype(np.uint32))
+            given.append(state[full].astype(np.uint32))
             owners.append(np.nonzero(full)[0])
             state = np.where(full, state >> U64(32), state)
             quotient = state // f
@@ -93,7 +96,7 @@ class Table:
             "segments": segments, "steps": steps, "states": state.tobytes(),
             "offsets": np.concatenate([[0], ends]).astype("<i8").tobytes(),
             "checksums": np.array([zlib.crc32(g.astype("<u4")) for g in grid], "<u4").tobytes(),
-            "words": np.concatenate(words[::-1])[order].astype("<u4").tobytes(),
+            "words": np.concatenate(given[::-1])[order].astype("<u4").tobytes(),
         }
 
     def decode(self, block: dict, first: int = 0, last: int | None = None) -> np.ndarray:
@@ -102,7 +105,7 @@ class Table:
         states = np.frombuffer(block["states"], "<u8").reshape(block["segments"], LANES)[first:last].astype(U64)
         offsets = np.frombuffer(block["offsets"], "<i8")[first:][: len(states)].copy()
         checksums = np.frombuffer(block["checksums"], "<u4")[first:last]
-        words = np.frombuffer(block["words"], "<u4")
+        taken_from = np.frombuffer(block["words"], "<u4")
         grid = np.empty((len(states), steps, LANES), np.uint32)
         state = states
         for t in range(steps):
@@ -112,7 +115,7 @@ class Table:
             hungry = state < U64(LOW)
             taken = np.cumsum(hungry, axis=1)
             at = (offsets[:, None] + taken - 1)[hungry]
-            state[hungry] = (state[hungry] << U64(32)) | words[at].astype(U64)
+            state[hungry] = (state[hungry] << U64(32)) | taken_from[at].astype(U64)
             offsets += taken[:, -1]
         for i, part in enumerate(grid):
             if zlib.crc32(part.astype("<u4")) != checksums[i] or (state[i] != U64(LOW)).any():
@@ -123,60 +126,103 @@ class Table:
 # Token ids -------------------------------------------------------------------
 
 
+def _visible_bytes() -> dict[int, str]:
+    """How byte-level tokenizers write bytes: visible ones as they are, the others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+# Small Latin letters, then signs: the tokenizer cuts between the two and changes neither, so that
+# its model takes the letters directly.
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
+_VISIBLE = _visible_bytes()
+
+
 class WordTokenizer:
     """Ids of a tokenizer that never joins words: white space separates and has no ids itself.
 
-    New words are encoded many at a time, with a special token between them that no
-    text can contain: words that spell a control string go one by one.
+    New words other than plain letters are encoded many at a time, with a special token
+    between them that no text can contain: words that spell a control string go one by one.
     """
 
     BETWEEN, AT_ONCE = "<|startoftext|>", 100
+    #: Runs of joined words per call: the library's results are far larger than the ids.
+    RUNS = 40
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.joint, self.single = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.single.encode_special_tokens = True  # their strings in a text are text
+        self.joint = Tokenizer.from_file(path)
         self.between, self.size = self.joint.token_to_id(self.BETWEEN), self.joint.get_vocab_size()
         self.known: dict[bytes, bytes] = {}
 
-    def _encode(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w]
+    def _encode(self, new: list[bytes]) -> None:
+        plain = [w for w in new if b"<|" not in w]
         runs = [plain[i : i + self.AT_ONCE] for i in range(0, len(plain), self.AT_ONCE)]
-        found = self.joint.encode_batch_fast([self.BETWEEN.join(map(bytes.decode, r)) for r in runs], add_special_tokens=False)
-        for run, encoding in zip(runs, found):
-            ids = np.array(encoding.ids, "<u2")
-            raw, cuts = ids.tobytes(), (2 * np.flatnonzero(ids == self.between)).tolist()
-            for word, begin, end in zip(run, [0, *(c + 2 for c in cuts)], [*cuts, len(raw)]):
-                self.known[word] = raw[begin:end]
-        for word in words:
+        for at in range(0, len(runs), self.RUNS):
+            some = runs[at : at + self.RUNS]
+            found = self.joint.encode_batch_fast([self.BETWEEN.join(map(bytes.decode, r)) for r in some], add_special_tokens=False)
+            for run, encoding in zip(some, found):
+                ids = np.array(encoding.ids, "<u2")
+                raw, cuts = ids.tobytes(), (2 * np.flatnonzero(ids == self.between)).tolist()
+                for word, begin, end in zip(run, [0, *(c + 2 for c in cuts)], [*cuts, len(raw)]):
+                    self.known[word] = raw[begin:end]
+        self.joint.encode_special_tokens = True  # control strings in a text are text
+        for word in new:
             if b"<|" in word:
-                self.known[word] = np.array(self.single.encode(word.decode(), add_special_tokens=False).ids, "<u2").tobytes()
+                self.known[word] = np.array(self.joint.encode(word.decode(), add_special_tokens=False).ids, "<u2").tobytes()
+        self.joint.encode_special_tokens = False
 
-    def learn(self, words: set[bytes]) -> None:
-        known = self.known
-        if len(known) + len(words) > REMEMBERED:
+    def learn(self, new: set[bytes]) -> None:
+        known, model, pack = self.known, self.joint.model.tokenize, struct.pack
+        if len(known) + len(new) > REMEMBERED:
             known.clear()
-        # A comma or stop after a letter is a piece of its own.
-        parts = {w: (w[:-1], w[-1:]) for w in words if w[-1] in b".," and w[-2:-1].isalpha()}
-        cores = {core for core, _ in parts.values()}
-        self._encode([w for w in (words - parts.keys()) | cores | {b".", b","} if w not in known])
-        for word, (core, tail) in parts.items():
-            known[word] = known[core] + known[tail]
-
-    def ids(self, texts: list[list[bytes]]) -> list[bytes]:
-        """Little-endian 16-bit ids of texts given as lower-case words."""
-        get = self.known.get
-        found = [list(map(get, words)) for words in texts]
-        new = [[i for i, ids in enumerate(f) if ids is None] for f in found]
-        missing = {words[i] for words, places in zip(texts, new) for i in places}
+        plain, other = [], []
+        for word in new:
+            found = _PLAIN.fullmatch(word)
+            if found:
+                plain.append((word, *found.groups()))
+            else:
+                other.append(word)
+        self._encode([*other, *{tail for _, _, tail in plain if tail and tail not in known}])
+        for word, letters, tail in plain:
+            ids = known.get(letters)
+            if ids is None:
+                found = [t.id for t in model(letters.decode("latin-1").translate(_VISIBLE))]
+                ids = known[letters] = pack(f"<{len(found)}H", *found)
+            if tail:
+                known[word] = ids + known[tail]
+
+    def ids(self, scan: words.Scan) -> tuple[np.ndarray, np.ndarray]:
+        """16-bit ids of a scan's documents, the end id after each, and how many each has.
+
+        Equal words of a slice are looked up once.
+        """
+        hashes = scan.word_hashes(lower=True)
+        order = np.argsort(hashes)
+        new = np.ones(len(order), bool)
+        new[1:] = hashes[order[1:]] != hashes[order[:-1]]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        first = order[new]
+        raw = scan.data.tobytes().lower()
+        distinct = [raw[s:e] for s, e in zip(scan.starts[first].tolist(), scan.ends[first].tolist())]
+        found = list(map(self.known.get, distinct))
+        missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            self.learn(missing)
-            for words, places, f in zip(texts, new, found):
-                for i in places:
-                    f[i] = get(words[i])
-        return list(map(b"".join, found))
+            self.learn({distinct[i] for i in missing})
+            for i in missing:
+                found[i] = self.known[distinct[i]]
+        flat = np.frombuffer(b"".join(found), "<u2")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        begin = (np.cumsum(size) - size)[which]
+        size = size[which]
+        ids = flat[np.repeat(begin, size) + words.ranges(size)]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ends = total[scan.bounds[1:]]
+        return np.insert(ids, ends, END_ID), np.diff(ends, prepend=0) + 1
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -190,45 +236,35 @@ def tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[list[bytes]]]]:
-    """doc_ids and words of runs of documents, bounded in bytes."""
-    for batch in batches:
-        ids, held, size = [], [], 0
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            raw = text.as_py().encode()
-            ids.append(doc)
-            held.append(raw.lower().split())  # A-Z: the tokenizer has lower case only
-            size += len(raw)
-            if size >= SLICE_BYTES:
-                yield ids, held
-                ids, held, size = [], [], 0
-        if ids:
-            yield ids, held
-
-
 def _tokenise(path: str):
-    """Chunks of whole documents, in the order of the sorted part."""
+    """Chunks of whole documents, in the order of the sorted part, each with its count of every id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, part = tokenizer(path), TaskContext.get().partitionId()
-        end = np.array([END_ID], "<u2").tobytes()
         schema = pa.schema([
             ("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()),
-            ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary()),
+            ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary()), ("counts", pa.binary()),
         ])
-        block, start, docs, held, size = 0, 0, [], [], 0
-        closed = lambda: pa.RecordBatch.from_pylist([{
-            "part": part, "block": block, "start": start, "n_ids": size, "doc_ids": docs, "lengths": [len(h) // 2 for h in held],
-            "ids": b"".join(held),
-        }], schema)
-        for ids, texts in _slices(batches):
-            for doc, found in zip(ids, tool.ids(texts)):
-                docs.append(doc)
-                held.append(found + end)
-                size += len(found) // 2 + 1
+        block, start, docs, lengths, held, size = 0, 0, [], [], [], 0
+
+        def closed():
+            ids = np.concatenate(held)
+            return pa.RecordBatch.from_pylist([{
+                "part": part, "block": block, "start": start, "n_ids": size, "doc_ids": docs, "lengths": np.concatenate(lengths).tolist(),
+                "ids": ids.tobytes(), "counts": np.bincount(ids, minlength=1 << 16).astype("<u4").tobytes(),
+            }], schema)
+
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            for scan in words.scans(batch.column("text"), SLICE_BYTES):
+                found, each = tool.ids(scan)
+                docs += ids[scan.first : scan.first + scan.docs]
+                lengths.append(each)
+                held.append(found)
+                size += len(found)
                 if size >= BLOCK_IDS:
                     yield closed()
-                    block, start, docs, held, size = block + 1, start + size, [], [], 0
+                    block, start, docs, lengths, held, size = block + 1, start + size, [], [], [], 0
         if docs:
             yield closed()
 
@@ -238,8 +274,8 @@ def _tokenise(path: str):
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for ids in batch.column("ids"):
-            counts += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=1 << 16)
+        for found in batch.column("counts"):
+            counts += np.frombuffer(found.as_buffer(), "<u4")
     present = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(present, pa.int32()), pa.array(counts[present])], ["id", "n"])
 
@@ -263,9 +299,9 @@ def write(docs: DataFrame, tokenizer_path: str, path: str) -> None:
     scratch = Scratch(docs.sparkSession, "rans")
     texts = plain_documents(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    chunks = scratch.write(ordered.mapInArrow(_tokenise(tokenizer_path), CHUNK), "ids", compression="zstd")
+    chunks = scratch.write(ordered.mapInArrow(_tokenise(tokenizer_path), CHUNK), "ids")
     # At most one row per symbol reaches the driver.
-    counted = chunks.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counted = chunks.select("counts").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(1 << 16, np.int64)
     for row in counted:
         counts[row["id"]] = row["n"]
@@ -274,7 +310,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str) -> None:
         [(BITS, LANES, frequencies.astype("<i4").tobytes())], "bits int, lanes int, frequencies binary"
     )
     header.coalesce(1).write.parquet(f"{path}/header")
-    chunks.mapInArrow(_encode(frequencies), BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    chunks.drop("counts").mapInArrow(_encode(frequencies), BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     scratch.drop("ids")
 
 
@@ -282,18 +318,18 @@ def _decode(frequencies: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(frequencies)
         for batch in batches:
+            fields = {c: batch.column(c) for c in (*CHUNK_KEYS, *CODED, "before")}
             for i in range(batch.num_rows):
-                block = batch.slice(i, 1).to_pylist()[0]
-                ids = table.decode(block)[: block["n_ids"]].astype("<u4")
-                lengths = np.array(block["lengths"], np.int64)
+                block = {c: fields[c][i].as_py() for c in ("segments", "steps")}
+                block |= {c: fields[c][i].as_buffer() for c in ("states", "offsets", "checksums", "words")}
+                ids = table.decode(block)[: fields["n_ids"][i].as_py()].astype("<u4", copy=False)
+                lengths = np.asarray(fields["lengths"][i].values, np.int64)
                 ends = np.cumsum(lengths)
-                crcs = [zlib.crc32(ids[e - n : e]) for e, n in zip(ends, lengths)]
+                first = fields["before"][i].as_py() + fields["start"][i].as_py()
+                crcs = [zlib.crc32(ids[e - n : e]) for e, n in zip(ends.tolist(), lengths.tolist())]
+                columns = fields["doc_ids"][i].values, first + ends - lengths, lengths, np.array(crcs, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(block["doc_ids"], pa.int64()), pa.array(block["before"] + block["start"] + ends - lengths, pa.int64()),
-                        pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()),
-                    ],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"]
                 )
 
     return run
