@@ -4,7 +4,10 @@ Detected entities are replaced by keyed surrogates of the same type and format:
 letters stay letters, digits digits, capitals capitals; cards keep their leading
 digit and whether their check digit is right, addresses their private range,
 e-mail users of one domain share a surrogate domain, names follow the title's
-gender and the script. An entity has one canonical form (case and punctuation
+gender and the script (each given name its own, initials and particles in place).
+An entity is matched to its end: secrets of any length, digits or not, from eight
+characters on; names of any number of words; domains as long as DNS allows (127
+parts of 63 characters). An entity has one canonical form (case and punctuation
 aside), so all its spellings get the same surrogate. A surrogate that is an entity
 of the corpus, or that two entities share, is drawn anew until none is left.
 
@@ -26,13 +29,15 @@ from pyspark.sql import functions as F
 from starq.llm.common import Scratch
 
 MOST_ROUNDS = 40
-#: From this draw on, names and addresses may grow by a few characters.
+#: From this draw on, names, secrets and e-mail addresses may grow by a few characters.
 GROW_FROM = 4
 
 # What an entity may not follow: a letter, digit or joining character.
 _GATE = r"(?<![0-9A-Za-z_@\x{80}-\x{10FFFF}-])"
 _STOP = r"(?![0-9A-Za-z])"
 _SECRET = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}["']?"""
+# A secret ends with its last letter or digit; what is matched is never given back.
+_VALUE = r"(?>[0-9A-Za-z+/_.!#$%^*~=@-]{7,}[0-9A-Za-z])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 # Titles by gender, and given names by gender and script.
@@ -52,17 +57,26 @@ SYLLABLES = {
     "cyrillic": ("бар", "вер", "гор", "дан", "зор", "кал", "лен", "мир", "нов", "пет", "рад", "сав", "тим", "хол", "чер", "яр"),
 }
 _TITLE = "(?:" + "|".join(t for side in TITLES.values() for t in side) + ")"
+# What may stand before a name in small letters.
+PARTICLES = (
+    "von", "vom", "van", "der", "den", "zu", "zur", "zum", "de", "del", "della", "di", "da", "do", "dos", "das", "du", "des",
+    "la", "las", "le", "los", "y", "e", "bin", "ibn", "al", "el", "ter", "ten",
+)
+_PARTICLES = "(?:(?:" + "|".join(PARTICLES) + ") )*+"
+_WORD = _PARTICLES + r"\p{Lu}[\p{L}\p{M}'’-]*[\p{L}\p{M}]"
+# Given names and initials come in any number; the last word is no initial.
+_NAME = r"(?:\p{Lu}\. ?)*+" + _WORD + r"(?: (?:\p{Lu}\. ?)*+" + _WORD + ")*+"
 
 PATTERN = _GATE + "(?:" + "|".join((
-    r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![0-9A-Za-z-])",
-    _SECRET + r"(?=[A-Za-z+/_.-]{0,128}\d)[0-9A-Za-z+/_.-]{7,512}[0-9A-Za-z]",
+    r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,63}+(?![0-9A-Za-z-])",
+    _SECRET + _VALUE,
     r"(?:AKIA|ASIA)[0-9A-Z]{16}" + _STOP,
     r"[3-6]\d{15}" + _STOP, r"[3-6]\d{3} \d{4} \d{4} \d{4}" + _STOP, r"[3-6]\d{3}-\d{4}-\d{4}-\d{4}" + _STOP,
     r"\d{3}-\d{2}-\d{4}" + _STOP,
     r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]\d{2,4}){2,4}" + _STOP,
     r"\(\d{3}\) ?\d{3}[ .-]\d{4}" + _STOP, r"\d{3}[.-]\d{3}[.-]\d{4}" + _STOP,
     r"(?<!\.)(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![0-9A-Za-z]|\.\d)",
-    _TITLE + r"\.? \p{Lu}[\p{L}'-]{1,40}(?: \p{Lu}[\p{L}'-]{1,40})?",
+    _TITLE + r"\.? " + _NAME,
 )) + ")"
 
 
@@ -74,7 +88,7 @@ def _kind(e: Column) -> Column:
         F.when(e.rlike("^" + _SECRET), "secret").when(e.contains("@"), "email").when(e.rlike("^A[KS]IA[0-9A-Z]{16}$"), "key")
         .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(e.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ip")
         .when(e.rlike(r"^[3-6]\d{3}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}$"), "card")
-        .when(e.rlike("^" + _TITLE + r"\.? \p{Lu}"), F.concat_ws(":", F.lit("name"), gender, cyrillic)).otherwise("phone")
+        .when(e.rlike("^" + _TITLE + r"\.? \p{L}"), F.concat_ws(":", F.lit("name"), gender, cyrillic)).otherwise("phone")
     )
 
 
@@ -89,7 +103,7 @@ def _lead(kind: Column, e: Column) -> Column:
 def _canonical(kind: Column, body: Column) -> Column:
     digits = F.regexp_replace(body, r"\D", "")
     return (
-        F.when(kind == "email", F.lower(body)).when(kind.startswith("name"), F.lower(body))
+        F.when(kind == "email", F.lower(body)).when(kind.startswith("name"), F.lower(F.regexp_replace(body, r"(\p{Lu}\.)(?=\p{Lu})", "$1 ")))
         .when(kind == "phone", F.regexp_replace(digits, r"^1(?=\d{10}$)", "")).when(kind.isin("card", "ssn"), digits).otherwise(body)
     )
 
@@ -191,7 +205,7 @@ def _ssn(seed: Column) -> Column:
 
 
 def _name(kind: Column, c: Column, key: str, attempt: Column) -> Column:
-    """A given name of the gender where there are two words; a surname that follows the surname alone."""
+    """Given names of the gender for all words but the last; a surname that follows the surname alone."""
     named = F.split(c, " ")
     own, extra = F.when(attempt > 0, c).otherwise(""), attempt.cast("string")
 
@@ -202,8 +216,13 @@ def _name(kind: Column, c: Column, key: str, attempt: Column) -> Column:
         parts = F.transform(F.sequence(F.lit(1), 2 + F.floor(attempt / GROW_FROM).cast("int")), lambda i: pick(SYLLABLES[script], family, i))
         ending = {"latin": "", "cyrillic": "ова" if gender == "f" else "ов"}[script]
         surname = F.concat(F.initcap(F.concat_ws("", parts)), F.lit(ending))
-        given = pick(GIVEN[gender, script], _seed(key, "given", F.element_at(named, 1), own, extra), 0)
-        return F.when(F.size(named) > 1, F.concat_ws(" ", given, surname)).otherwise(surname)
+
+        def given(word: Column, i: Column) -> Column:
+            name = pick(GIVEN[gender, script], _seed(key, "given", word, own, extra), 0)
+            initial = F.concat(F.substring(name, 1, 1), F.lit("."))
+            return F.when(word.isin(*PARTICLES), word).when(word.endswith("."), initial).otherwise(name)
+
+        return F.concat_ws(" ", F.transform(F.slice(named, F.lit(1), F.size(named) - 1), given), surname)
 
     choices = [(F.lit(f"name:{g}:{s}"), of(g, s)) for g, s in GIVEN]
     return reduce(lambda rest, choice: F.when(kind == choice[0], choice[1]).otherwise(rest), choices, F.lit(None).cast("string"))
@@ -217,7 +236,7 @@ def _surrogate(key: str) -> Column:
     return (
         F.when(kind == "email", _email(c, key, attempt)).when(kind == "card", _card(c, seed)).when(kind == "phone", _phone(c, seed))
         .when(kind == "ip", _ip(c, seed)).when(kind == "ssn", _ssn(seed)).when(kind.startswith("name"), _name(kind, c, key, attempt))
-        .otherwise(_same_class(c, seed, letters))
+        .when(kind == "secret", F.concat(_same_class(c, seed, letters), _extra(seed, attempt))).otherwise(_same_class(c, seed, letters))
     )
 
 

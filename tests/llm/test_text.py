@@ -217,6 +217,25 @@ def test_surrogates(session, odd, none):
     assert pii.replace_entities(docs, "other").where("doc_id = 5").first().text != got[5].text
 
 
+def test_entities_end_where_they_end(session):
+    rng = random.Random(5)
+    letters = "".join(rng.choice("ghijklmnopqrstuvwxyz") for _ in range(900))
+    rows = [
+        (1, f"token={letters[:500]}7{letters[:399]}."), (2, f"secret: {letters}"), (3, "password=Passw0rd99!secretTail77, then"), (4, "a@" + "b." * 20 + "com."),
+        (5, "Mr John Ronald Tolkien wrote"), (6, "Mrs. J. R. R. Marlow-Tolkien; Frau Anna von der Leyen. Mr Tolkien"), (7, "Mr " + "Abcdefghij" * 6 + " Klm said"),
+    ]
+    got = {r.doc_id: r.text for r in pii.replace_entities(session.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for row, length in ((1, 900), (2, 900)):
+        name, body = re.fullmatch(r"(token=|secret: )([a-z0-9]+)\.?", got[row]).groups()
+        old = re.fullmatch(r"(?:token=|secret: )([a-z0-9]+)\.?", rows[row - 1][1])[1]
+        assert len(body) == length and sum(a == b for a, b in zip(body[-300:], old[-300:])) < 60
+    assert re.fullmatch(r"password=[A-Za-z0-9]{10}!\w{12}, then", got[3]) and "Tail77" not in got[3]
+    assert got[4].endswith(".com.") and "b." not in got[4][2:10]
+    assert re.fullmatch(r"Mr (\w+) (\w+) (\w+) wrote", got[5]) and not re.search("John|Ronald|Tolkien", got[5])
+    assert re.fullmatch(r"Mrs\. \w\. \w\. \w\. \w+; Frau \w+ von der \w+\. Mr (\w+)", got[6]) and not re.search("Marlow|Leyen|Anna ", got[6])
+    assert got[5].split()[3] == got[6].split()[-1] and not re.search("Abcdef|Klm", got[7])
+
+
 @has_tables
 def test_whole_tables(session):
     rows = known(session.read.parquet(f"{SF_DIR}/documents.parquet"))
