@@ -7,7 +7,9 @@ e-mail users of one domain share a surrogate domain, names follow the title's
 gender and the script (each given name its own, initials and particles in place).
 An entity is matched to its end: secrets of any length, digits or not, from eight
 characters on; names of any number of words; domains as long as DNS allows (127
-parts of 63 characters). An entity has one canonical form (case and punctuation
+parts of 63 characters). It may follow anything but a letter or digit, and letters of scripts without spaces
+too; secrets may follow letters, so names of secrets may have any prefix or quotes.
+An entity has one canonical form (case and punctuation
 aside), so all its spellings get the same surrogate. A surrogate that is an entity
 of the corpus, or that two entities share, is drawn anew until none is left.
 
@@ -32,10 +34,22 @@ MOST_ROUNDS = 40
 #: From this draw on, names, secrets and e-mail addresses may grow by a few characters.
 GROW_FROM = 4
 
-# What an entity may not follow: a letter, digit or joining character.
-_GATE = r"(?<![0-9A-Za-z_@\x{80}-\x{10FFFF}-])"
+# Letters of scripts that write words without spaces (South-East Asian, Chinese, Japanese, Korean): an entity may follow them.
+_SPACELESS = (
+    r"\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1100}-\x{11FF}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}"
+    r"\x{AC00}-\x{D7FF}\x{F900}-\x{FAFF}\x{FF66}-\x{FFDC}\x{20000}-\x{3FFFF}"
+)
+_LETTER = r"0-9A-Za-z[\x{80}-\x{10FFFF}&&[\p{L}\p{M}\p{N}]&&[^" + _SPACELESS + "]]"
+# What an entity may not follow: another letter, a mark or a digit.
+_GATE = "(?<![" + _LETTER + "])"
+_USER = "[._%+" + _LETTER + "-]"
+# A space within an entity, breaking or not, and what parts the digits of phone numbers.
+_GAP = r"[ \x{A0}\x{2009}\x{202F}]"
+_SEP = r"[ \x{A0}\x{2009}\x{202F}.\x{2010}\x{2011}-]"
 _STOP = r"(?![0-9A-Za-z])"
-_SECRET = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}["']?"""
+_QUOTE = r"""(?:\\*+["'`\x{AB}\x{BB}\x{2018}-\x{201F}]\p{Z}?)?+"""
+# Names of secrets end like this, whatever stands before; they may be quoted.
+_SECRET = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)" + _QUOTE + r"[\s\p{Z}]{0,3}+[=:\x{FF1A}\x{FF1D}][\s\p{Z}]{0,3}+" + _QUOTE
 # A secret ends with its last letter or digit; what is matched is never given back.
 _VALUE = r"(?>[0-9A-Za-z+/_.!#$%^*~=@-]{7,}[0-9A-Za-z])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -62,22 +76,30 @@ PARTICLES = (
     "von", "vom", "van", "der", "den", "zu", "zur", "zum", "de", "del", "della", "di", "da", "do", "dos", "das", "du", "des",
     "la", "las", "le", "los", "y", "e", "bin", "ibn", "al", "el", "ter", "ten",
 )
-_PARTICLES = "(?:(?:" + "|".join(PARTICLES) + ") )*+"
+_PARTICLES = "(?:(?:" + "|".join(PARTICLES) + ")" + _GAP + ")*+"
 _WORD = _PARTICLES + r"\p{Lu}[\p{L}\p{M}'’-]*[\p{L}\p{M}]"
 # Given names and initials come in any number; the last word is no initial.
-_NAME = r"(?:\p{Lu}\. ?)*+" + _WORD + r"(?: (?:\p{Lu}\. ?)*+" + _WORD + ")*+"
+_INITIALS = r"(?:\p{Lu}\." + _GAP + "?)*+"
+_NAME = _INITIALS + _WORD + "(?:" + _GAP + _INITIALS + _WORD + ")*+"
 
-PATTERN = _GATE + "(?:" + "|".join((
-    r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,63}+(?![0-9A-Za-z-])",
-    _SECRET + _VALUE,
+_GATED = (
     r"(?:AKIA|ASIA)[0-9A-Z]{16}" + _STOP,
-    r"[3-6]\d{15}" + _STOP, r"[3-6]\d{3} \d{4} \d{4} \d{4}" + _STOP, r"[3-6]\d{3}-\d{4}-\d{4}-\d{4}" + _STOP,
+    r"[3-6]\d{15}" + _STOP, r"[3-6]\d{3}(?:" + _GAP + r"\d{4}){3}" + _STOP, r"[3-6]\d{3}-\d{4}-\d{4}-\d{4}" + _STOP,
     r"\d{3}-\d{2}-\d{4}" + _STOP,
-    r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]\d{2,4}){2,4}" + _STOP,
-    r"\(\d{3}\) ?\d{3}[ .-]\d{4}" + _STOP, r"\d{3}[.-]\d{3}[.-]\d{4}" + _STOP,
+    r"\+\d{1,3}" + _SEP + r"?(?:\(\d{1,4}\)|\d{1,4})(?:" + _SEP + r"\d{2,4}){2,4}" + _STOP,
+    # In one piece, or with a gap after the country and the area: no decimal points.
+    r"\+\d{1,3}(?:-|" + _GAP + r")?(?:\(\d{1,5}\)|\d{1,5})(?:-|" + _GAP + r")?\d{5,10}" + _STOP,
+    r"\(\d{3}\)" + _GAP + r"?\d{3}" + _SEP + r"\d{4}" + _STOP, r"\d{3}[.-]\d{3}[.-]\d{4}" + _STOP,
     r"(?<!\.)(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![0-9A-Za-z]|\.\d)",
-    _TITLE + r"\.? " + _NAME,
-)) + ")"
+    _TITLE + r"\.?" + _GAP + _NAME,
+)
+# What the gated ones begin with, so that most places are passed at once.
+_BEGIN = "(?=[0-9+(A" + "".join(sorted({t[0] for side in TITLES.values() for t in side})) + "])"
+
+PATTERN = (
+    "(?:(?<!" + _USER + ")" + _USER + r"++@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,63}+(?![0-9A-Za-z-])"
+    + "|(?=[PpSsTtAa])" + _SECRET + _VALUE + "|" + _BEGIN + _GATE + "(?:" + "|".join(_GATED) + "))"
+)
 
 
 def _kind(e: Column) -> Column:
@@ -87,8 +109,8 @@ def _kind(e: Column) -> Column:
     return (
         F.when(e.rlike("^" + _SECRET), "secret").when(e.contains("@"), "email").when(e.rlike("^A[KS]IA[0-9A-Z]{16}$"), "key")
         .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(e.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ip")
-        .when(e.rlike(r"^[3-6]\d{3}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}$"), "card")
-        .when(e.rlike("^" + _TITLE + r"\.? \p{L}"), F.concat_ws(":", F.lit("name"), gender, cyrillic)).otherwise("phone")
+        .when(e.rlike(r"^[3-6]\d{3}(?:(?:-|" + _GAP + r")?\d{4}){3}$"), "card")
+        .when(e.rlike("^" + _TITLE + r"\.?" + _GAP), F.concat_ws(":", F.lit("name"), gender, cyrillic)).otherwise("phone")
     )
 
 
@@ -96,14 +118,16 @@ def _lead(kind: Column, e: Column) -> Column:
     """What stays in front of the replaced part."""
     return (
         F.when(kind == "secret", F.regexp_extract(e, "^(" + _SECRET + ")", 1)).when(kind == "key", F.substring(e, 1, 4))
-        .when(kind.startswith("name"), F.regexp_extract(e, "^(" + _TITLE + r"\.? )", 1)).otherwise("")
+        .when(kind.startswith("name"), F.regexp_extract(e, "^(" + _TITLE + r"\.?" + _GAP + ")", 1))
+        .when(kind == "email", F.regexp_extract(e, "^([._%+-]*)[^@]", 1)).otherwise("")
     )
 
 
 def _canonical(kind: Column, body: Column) -> Column:
     digits = F.regexp_replace(body, r"\D", "")
+    words = F.regexp_replace(F.regexp_replace(body, _GAP, " "), r"(\p{Lu}\.)(?=\p{Lu})", "$1 ")
     return (
-        F.when(kind == "email", F.lower(body)).when(kind.startswith("name"), F.lower(F.regexp_replace(body, r"(\p{Lu}\.)(?=\p{Lu})", "$1 ")))
+        F.when(kind == "email", F.lower(body)).when(kind.startswith("name"), F.lower(words))
         .when(kind == "phone", F.regexp_replace(digits, r"^1(?=\d{10}$)", "")).when(kind.isin("card", "ssn"), digits).otherwise(body)
     )
 
@@ -137,7 +161,8 @@ def _same_class(text: Column, seed: Column, letters: int | Column = 26) -> Colum
         pick = lambda alphabet: F.substring(F.lit(alphabet), _draw_up_to(seed, i, letters) + 1, F.lit(1))
         return (
             F.when(c.between("0", "9"), _draw(seed, i, 10).cast("string")).when(c.between("a", "z"), pick("abcdefghijklmnopqrstuvwxyz"))
-            .when(c.between("A", "Z"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(c)
+            .when(c.between("A", "Z"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+            .when(c.rlike(r"\p{L}"), pick("abcdefghijklmnopqrstuvwxyz")).otherwise(c)
         )
 
     return _joined(text, one)
@@ -241,7 +266,7 @@ def _surrogate(key: str) -> Column:
 
 
 def _poured(kind: Column, body: Column, s: Column) -> Column:
-    """The surrogate in the spelling of the occurrence: its punctuation and capitals."""
+    """The surrogate in the spelling of the occurrence: its punctuation, gaps and capitals."""
     cased = _joined(body, lambda i: F.when(_at(body, i).between("A", "Z"), F.upper(_at(s, i))).otherwise(_at(s, i)))
 
     def digit(i):
@@ -249,9 +274,11 @@ def _poured(kind: Column, body: Column, s: Column) -> Column:
         known = _at(body, i).between("0", "9") & (from_right <= F.length(s))
         return F.when(known, _at(s, F.length(s) - from_right + 1)).otherwise(_at(body, i))
 
+    words, gaps = F.split(F.when(body == F.upper(body), F.upper(s)).otherwise(s), " "), F.regexp_extract_all(body, F.lit(_GAP), F.lit(0))
+    spaced = F.concat_ws("", F.flatten(F.zip_with(words, gaps, lambda w, g: F.array(w, F.coalesce(g, F.lit(""))))))
     return (
         F.when((kind == "email") & (F.length(body) == F.length(s)), cased).when(kind.isin("phone", "card", "ssn"), _joined(body, digit))
-        .when(kind.startswith("name") & (body == F.upper(body)), F.upper(s)).otherwise(s)
+        .when(kind.startswith("name"), F.when(F.size(gaps) == F.size(words) - 1, spaced).otherwise(F.concat_ws(" ", words))).otherwise(s)
     )
 
 

@@ -236,6 +236,28 @@ def test_entities_end_where_they_end(session):
     assert got[5].split()[3] == got[6].split()[-1] and not re.search("Abcdef|Klm", got[7])
 
 
+# Text, and what must not be left of it.
+FOLLOWING = [
+    ("Tél. : +33 1 23 45 67 89, «anna@site.fr» ou « 4111 1111 1111 1111 »", "23 45|anna|1111"), ("écrire à jérôme@site.fr, Monsieur Jean Valjean", "jérôme|Valjean"),
+    ("“anna@site.com” called +14155552671 or +1 4155552671; it’s—123-45-6789", "anna|4155552671|6789"), ("DB_PASSWORD=hunter2hunter2 access_token=abcd1234efgh x-api-key: zyxw9876vuts", "hunter2|1234|9876"),
+    ('{"password": "s3cretvalue9", \\"authToken\\": \\"qwerty123456\\"} id_4111111111111111', "s3cretvalue9|qwerty|1111"), ("Ruf „Frau Müller“ an: +49301234567, –10.1.2.3-10.1.2.4", "Müller|1234567|1[.]2[.][34]"),
+    ("¿Señora García? ¡anna@sitio.es! «+34912345678»", "García|anna|912345"), ("电话+8613812345678，邮箱anna@site.cn，卡4111111111111111", "3812345|anna|1111"), ("メールanna@site.jpまで、カード4111-1111-1111-1111。", "anna|1111"),
+    ("Mr " + "Abcdef " * 20_000, "Abcdef"),
+]
+
+
+def test_entities_after_any_sign(session):
+    rows = [(i, text) for i, (text, _) in enumerate(FOLLOWING)]
+    kept = [(100, "x4111111111111111 é4111111111111111 +3.1415926 7+10.1.2.3.4 token: short"), (101, "a-" * 150_000), (102, "_" * 300_000)]
+    got = {r.doc_id: r.text for r in pii.replace_entities(session.createDataFrame(rows + kept, "doc_id long, text string"), "key").collect()}
+    for i, (text, gone) in enumerate(FOLLOWING):
+        assert re.search(gone, text) and not re.search(gone, got[i]), got[i][:200]
+        assert i == 9 or re.sub(r"\w", "", got[i]) == re.sub(r"\w", "", text), got[i]
+    assert "电话+" in got[7] and "邮箱" in got[7] and "カード" in got[8]
+    for i, text in kept:
+        assert got[i] == text
+
+
 @has_tables
 def test_whole_tables(session):
     rows = known(session.read.parquet(f"{SF_DIR}/documents.parquet"))
