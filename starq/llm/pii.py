@@ -12,6 +12,8 @@ too; secrets may follow letters, so names of secrets may have any prefix or quot
 An entity has one canonical form (case and punctuation
 aside), so all its spellings get the same surrogate. A surrogate that is an entity
 of the corpus, or that two entities share, is drawn anew until none is left.
+Where a range of addresses is too full for that (192.168 has 65,536), late draws
+come from 10.0.0.0/8, and then from IPv6 ranges kept for private use and documents.
 
 Shuffled are distinct entities and the documents that hold any; others pass.
 
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 from starq.llm.common import Scratch
 
 MOST_ROUNDS = 40
-#: From this draw on, names, secrets and e-mail addresses may grow by a few characters.
+#: From this draw on, names, secrets and e-mail addresses may grow by a few characters,
+#: and IP addresses leave their range, from twice as many on IPv4 (see _ip).
 GROW_FROM = 4
 
 # Letters of scripts that write words without spaces (South-East Asian, Chinese, Japanese, Korean): an entity may follow them.
@@ -212,10 +215,19 @@ def _phone(c: Column, seed: Column) -> Column:
     return _joined(c, one)
 
 
-def _ip(c: Column, seed: Column) -> Column:
+def _ip(c: Column, seed: Column, attempt: Column) -> Column:
+    """In the range of c; late draws in 10.0.0.0/8, still later ones in IPv6 ranges that no one can use up.
+
+    Those are fd00::/8 for private addresses (unique local) and 2001:db8::/32 for others (documentation).
+    """
     octet = lambda i: _draw(seed, i, 256).cast("string")
+    private = c.rlike(r"^(10|127|192\.168|172\.(1[6-9]|2\d|3[01]))\.")
+    words = lambda n: F.concat_ws(":", *(F.substring(seed, 1 + 4 * i, 4) for i in range(n)))
+    wide = F.when(private, F.concat(F.lit("fd"), F.substring(seed, 61, 2), F.lit(":"), words(7))).otherwise(F.concat(F.lit("2001:db8:"), words(6)))
     return (
-        F.when(c.rlike(r"^(10|127)\."), F.concat_ws(".", F.substring_index(c, ".", 1), octet(2), octet(3), octet(4)))
+        F.when(attempt >= 2 * GROW_FROM, wide)
+        .when(private & (attempt >= GROW_FROM), F.concat_ws(".", F.lit("10"), octet(2), octet(3), octet(4)))
+        .when(c.rlike(r"^(10|127)\."), F.concat_ws(".", F.substring_index(c, ".", 1), octet(2), octet(3), octet(4)))
         .when(c.startswith("192.168."), F.concat_ws(".", F.lit("192.168"), octet(3), octet(4)))
         .when(c.rlike(r"^172\.(1[6-9]|2\d|3[01])\."), F.concat_ws(".", F.lit("172"), (16 + _draw(seed, 2, 16)).cast("string"), octet(3), octet(4)))
         .otherwise(F.concat_ws(".", (11 + _draw(seed, 1, 89)).cast("string"), octet(2), octet(3), octet(4)))
@@ -260,7 +272,7 @@ def _surrogate(key: str) -> Column:
     letters = F.when(c.rlike("^[0-9a-f]+$") | c.rlike("^[0-9A-F]+$"), 6).otherwise(26)
     return (
         F.when(kind == "email", _email(c, key, attempt)).when(kind == "card", _card(c, seed)).when(kind == "phone", _phone(c, seed))
-        .when(kind == "ip", _ip(c, seed)).when(kind == "ssn", _ssn(seed)).when(kind.startswith("name"), _name(kind, c, key, attempt))
+        .when(kind == "ip", _ip(c, seed, attempt)).when(kind == "ssn", _ssn(seed)).when(kind.startswith("name"), _name(kind, c, key, attempt))
         .when(kind == "secret", F.concat(_same_class(c, seed, letters), _extra(seed, attempt))).otherwise(_same_class(c, seed, letters))
     )
 

@@ -258,6 +258,15 @@ def test_entities_after_any_sign(session):
         assert got[i] == text
 
 
+def test_a_full_range_of_addresses(session):
+    """Every address of 192.168 is a real one: none is left there to draw."""
+    real = session.range(65_536).selectExpr("'ip' AS kind", "concat('192.168.', id div 256, '.', id % 256) AS canon")
+    got = pii.mapping(real.union(session.createDataFrame([("ip", "10.0.0.1"), ("ip", "8.8.8.8")], "kind string, canon string")), "key", Scratch(session, "full")).collect()
+    drawn, asked = {r.surrogate for r in got}, {r.canon for r in got}
+    assert len(got) == len(drawn) == len(asked) == 65_538 and not drawn & asked
+    assert all(re.match(r"10\.|fd", r.surrogate) for r in got if r.canon != "8.8.8.8")
+
+
 @has_tables
 def test_whole_tables(session):
     rows = known(session.read.parquet(f"{SF_DIR}/documents.parquet"))
