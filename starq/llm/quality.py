@@ -3,7 +3,8 @@
 A document's strength is linear in its RATIOS; a labelled-good document is
 preferred to a labelled-poor one with the probability sigmoid(strength difference).
 The weights minimise the logistic loss on feature differences of preference
-pairs. The cut is a quantile of the strengths of all labelled training rows.
+pairs. The cut is a quantile of the strengths of all training rows of either label,
+over their whole range, so it does not matter how many rows are poor.
 
 Defined results: null, empty or blank texts have zero counts and are scored like
 any other; equal texts score the same; a table without both labels among its
@@ -31,8 +32,8 @@ FIT_ROWS = 20_000
 #: Preference pairs drawn for each row of the larger label.
 PARTNERS = 4
 RIDGE = 1e-3
-#: Quantiles of the training strengths that are tried as the cut.
-QUANTILES = tuple(q / 400 for q in range(1, 240))
+#: Quantiles of each label's training strengths that are tried as the cut, from the least strength on.
+QUANTILES = tuple(q / 400 for q in range(400))
 SCHEMA = "doc_id long, strength double"
 
 
@@ -84,15 +85,15 @@ def _scorer(ranking: Ranking):
 
 
 def best_cut(strengths: DataFrame) -> float | None:
-    """The quantile of all training strengths with the best balanced accuracy.
+    """The quantile of either label's training strengths with the best balanced accuracy.
 
     strengths(strength, quality). Sketch quantiles, then one count per quantile:
     what returns to the driver is bounded by QUANTILES.
     """
-    found = strengths.agg(F.percentile_approx("strength", list(QUANTILES), 100_000)).first()[0]
+    found = strengths.groupBy("quality").agg(F.percentile_approx("strength", list(QUANTILES), 100_000).alias("cuts")).collect()
     if not found:
         return None
-    cuts = sorted(set(found))
+    cuts = sorted({c for r in found for c in r["cuts"]})
     below = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("strength")))
     tally = np.zeros((2, len(cuts) + 1))
     for place, quality, n in strengths.groupBy(below.alias("place"), "quality").count().collect():

@@ -85,6 +85,17 @@ def test_pairs_rank_what_they_prefer():
     assert weights[1] > 5 * abs(weights[0]) and quality.fit_pairs(x, np.ones(600)) is None
 
 
+@pytest.mark.parametrize("poor", [0.002, 0.2, 0.5, 0.7, 0.9, 0.998])
+def test_cut_for_any_share_of_poor_rows(session, poor):
+    """Well separated labels: the cut parts them, whichever is the rarer."""
+    rng = np.random.default_rng(6)
+    quality_ = (rng.random(20_000) >= poor).astype(int)
+    strength = rng.normal(0, 1, 20_000) + 8 * quality_
+    rows = session.createDataFrame(pd.DataFrame({"strength": strength, "quality": quality_}))
+    kept = strength >= quality.best_cut(rows)
+    assert kept[quality_ == 0].mean() < 0.01 and kept[quality_ == 1].mean() > 0.99
+
+
 @has_tables
 def test_held_out_accuracy(session):
     sf_dir = os.path.join(os.path.dirname(SF_DIR), "sf0.01")
