@@ -6,14 +6,15 @@ of every such quotation is untouched. So all documents are searched for exact
 pieces, and around every hit the edit distance of the whole item is computed with
 Myers' bit-parallel recurrence, one bit per item word.
 
-Words are runs of letters and digits of the case-folded text, so punctuation,
-white space and case cost nothing.
+Words are runs of letters, marks and digits of the case-folded text, so punctuation,
+white space and case cost nothing, ASCII or not. In scripts that write words without
+spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every character is a word.
 
 The items are a stated query set: they are searched in blocks of bounded size,
 each over all documents, without a shuffle of texts.
 
 Defined results: null and empty texts and items match nothing; items of fewer than
-LEAST_WORDS words cannot tell a quotation from common speech and match nothing;
+five words have a budget of 0 and match word for word, wherever these words stand;
 equal items with different ids are reported each; repeated rows of a document are
 reported once; a null doc_id or item_id is reported as null; empty tables give no
 rows; columns other than those used never matter.
@@ -21,6 +22,7 @@ rows; columns other than those used never matter.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,6 @@ from starq.llm.common import plain_documents, prepare
 from starq.llm.words import U64, Scan
 
 ERROR_RATE = 0.2
-LEAST_WORDS = 5
 #: Items whose pieces go to the tasks at once.
 ITEMS_AT_ONCE = 50_000
 FOUND = "doc_id long, item_id long, distance int, budget int, first_word long, item_words int"
@@ -43,8 +44,33 @@ _APART = np.ones(256, bool)
 _APART[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
 
 
+# Code points of scripts that write words without spaces.
+_SPACELESS = (
+    (0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),
+    (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+)
+
+
+class _Folded(dict):
+    """What a character becomes: itself, a word of its own, a space, or nothing (soft hyphens, joiners). Filled as met."""
+
+    def __missing__(self, code: int) -> str:
+        char, kind = chr(code), unicodedata.category(chr(code))
+        if code < 128:
+            out = char
+        elif kind[0] in "LMN":
+            out = f" {char} " if any(low <= code <= high for low, high in _SPACELESS) else char
+        else:
+            out = "" if kind == "Cf" and code != 0x200B else " "
+        self[code] = out
+        return out
+
+
+_FOLDED = _Folded()
+
+
 def fold(texts: list[str]) -> pa.Array:
-    return pa.array([t.casefold() for t in texts], pa.large_string())
+    return pa.array([t if t.isascii() else t.translate(_FOLDED) for t in (t.casefold() for t in texts)], pa.large_string())
 
 
 def scan_all(texts: list[str]) -> Iterator[Scan]:
@@ -95,7 +121,7 @@ class Pieces:
             hashes = scan.word_hashes()
             for d in range(scan.docs):
                 item = hashes[scan.bounds[d] : scan.bounds[d + 1]]
-                if len(item) >= LEAST_WORDS:
+                if len(item):
                     k = int(len(item) * ERROR_RATE)
                     for begin, end in cuts(len(item), k):
                         code = int(words.grams(item[begin:end], end - begin)[0])
@@ -139,6 +165,8 @@ class Pieces:
         reach: dict[tuple[int, int], int] = {}
         for i in order.tolist():
             pair = d, n = int(docs[i]), int(items[i])
+            if pair in best and best[pair][0] == 0:
+                continue
             k, m = self.budgets[n], len(self.items[n])
             low = max(int(begins[i]) - k, int(scan.bounds[d]), reach.get(pair, 0) - m - k)
             high = min(int(begins[i]) + m + k, int(scan.bounds[d + 1]))

@@ -188,6 +188,19 @@ def test_quotations(session, odd, none):
     assert decontaminate.quotations(odd, table.limit(0)).count() == 0
 
 
+def test_quotations_in_any_script(session):
+    items = [
+        (1, "one two three four five six seven eight nine ten"), (2, "床前明月光，疑是地上霜"), (3, "short item"), (4, "吾輩は猫である。名前はまだ無い。"),
+        (5, "สวัสดีชาวโลกทุกคน"), (6, "Ünïcode « wörds » don’t cost – anything"),
+    ]
+    docs = [
+        (1, "so: one\u00a0two\u2003three—four—five…six\u3000seven„eight“nine\u202ften."), (2, "他说床前明月光疑是地上霜很美"), (3, "a Short, item!"), (4, "夏目漱石「吾輩は猫である 名前はまだ無い」"),
+        (5, "กขสวัสดีชาวโลกทุกคนกข"), (6, "x ünïcode wörds; don't cost any\u00adthing"), (7, "short, no item; 床前月"), (8, "他说床前明月亮疑是地上霜"),
+    ]
+    got = decontaminate.quotations(session.createDataFrame(docs, "doc_id long, text string"), session.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.distance for r in got} == {**{(i, i): 0 for i in range(1, 7)}, (8, 2): 1}
+
+
 def test_surrogates(session, odd, none):
     rows = [
         (1, "Bob.Smith@Mail.Example.com, bob.smith@mail.example.com, +1 (499) 555-6503 or (499) 555-6503; 499-555-6503."),
