@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
 
-from starq.llm import anomaly, bpe, chat, decontaminate, jaccard, pii, quality, rans, recompress, sharding
+from starq.llm import (
+    anomaly, bpe, chat, decontaminate, jaccard, pii, quality, rans, recompress, repair, sharding, topk, trie,
+)
 from starq.llm.common import Scratch, prepare, read
 from starq.session import fresh_path
 
@@ -95,3 +97,53 @@ PII_KEY = "contract-key"
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.replace_entities(docs, PII_KEY, count_as="n_entities")
+
+
+def rebuilt(turns: DataFrame, shared: int = 100, heads: int = 6) -> DataFrame:
+    """Sequences whose first turns are those of the conversation their hundred begins with."""
+    own = trie.sequences(turns)
+    taken = F.crc32(F.col("conv_id").cast("string")) % heads
+    begin = own.where(F.col("conv_id") % shared == 0).select(
+        F.col("conv_id").alias("base"), F.slice("turns", 1, heads - 1).alias("head")
+    )
+    rest = own.select(
+        "conv_id", (F.col("conv_id") - F.col("conv_id") % shared).alias("base"), taken.cast("int").alias("taken"), "turns"
+    )
+    head = F.coalesce(F.slice("head", F.lit(1), F.col("taken")), F.slice("turns", 1, 0))
+    tail = F.slice("turns", F.col("taken") + 1, F.greatest(F.size("turns") - F.col("taken"), F.lit(0)))
+    return rest.join(begin, "base", "left").select("conv_id", F.concat(head, tail).alias("turns"))
+
+
+@query("op11_prefix_trie")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(rebuilt(read(spark, sf_dir, "conversations")))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with planted faults: dropped, emptied, cut off, repeated or of the wrong role."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    marked = turns.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), fate.alias("fate"))
+    changed = marked.where("fate <> 0").select(
+        "conv_id", "turn", F.when(F.col("fate") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fate") == 1, F.lit("")).when(F.col("fate") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("fate") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))).alias("copies"),
+    )
+    return changed.select("conv_id", "turn", "role", "text", F.explode("copies")).drop("col")
+
+
+@query("op12_structure_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    scratch = Scratch(spark, "repair")
+    broken = damaged(turns)
+    audited = scratch.write(repair.audits(broken, turns), "audits")
+    digests = repair.digests(repair.repaired(broken, audited))
+    return audited.join(digests, "conv_id", "left").withColumn(
+        "repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256))
+    )
+
+
+@query("op13_block_topk")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top(read(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
