@@ -170,6 +170,11 @@ class _Best:
         self.floor = None if score is None else (score, -vec_id)
 
     def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
+        if self.floor is not None:
+            # What does not beat the k-th candidate elsewhere is not among the best.
+            score, least_id = self.floor
+            over = (scores > score) | ((scores == score) & (-ids > least_id))
+            ids, scores = ids[over], scores[over]
         if len(self.ids) == self.k:
             near = scores >= self.scores[-1]
             ids, scores = ids[near], scores[near]
@@ -247,15 +252,11 @@ def _search(batches: Iterator[pa.RecordBatch], k: int, dims: int) -> Iterator[pa
                 q = np.array([np.frombuffer(columns["v"][i], np.int64) for i in range(at, to)]).reshape(to - at, dims)
                 best = [_Best(k, columns["floor"][i], columns["floor_id"][i]) for i in range(at, to)]
                 chunk.search(q, columns["row"][at:to], best)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(x, t) for x, t in zip(
-                            (columns["row"][at:to], columns["query_id"][at:to], columns["v"][at:to], columns["chunk"][at:to],
-                             [b.ids for b in best], [b.scores for b in best]), _FOUND.types,
-                        )
-                    ],
-                    schema=_FOUND,
-                )
+                # A pair that adds nothing is of no further use; without a floor it names the query's first chunk.
+                hits = [i for i, b in zip(range(at, to), best) if b.floor is None or len(b.ids)]
+                parts = [[columns[c][i] for i in hits] for c in ("row", "query_id", "v", "chunk")]
+                parts += [[getattr(best[i - at], c) for i in hits] for c in ("ids", "scores")]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(parts, _FOUND.types)], schema=_FOUND)
             at = to
 
 
