@@ -14,6 +14,7 @@ from contract.views import base, table, tables, with_views
 from starq.functions import scalars
 from starq.plans import cleaning, quality, validation
 from starq.plans.rules import RULES, Check
+from starq.session import stage
 
 ALL = ", ".join(COLUMNS)
 
@@ -172,6 +173,42 @@ def _(spark, sf):
     return reduce(DataFrame.unionByName, counts)
 
 
+# References that no walk in one order settles: parts to parts, customers to orders and orders to customers.
+_CYCLE = {"part": (("p_parent", "part", "p_partkey"),), "customer": (("c_order", "orders", "o_orderkey"),), "orders": (("o_custkey", "customer", "c_custkey"),)}
+
+
+@query("cl_cascade_cycle", """
+WITH RECURSIVE f AS (SELECT o_custkey, min(o_orderkey) AS o_first FROM orders GROUP BY 1),
+links AS (
+  SELECT 'part' AS t, p_partkey AS k, 'part' AS pt, p_partkey // 2 AS pk FROM part WHERE p_partkey > 1
+  UNION ALL SELECT 'orders', o_orderkey, 'customer', o_custkey FROM orders
+  UNION ALL SELECT 'customer', c_custkey, 'orders', o_first FROM customer JOIN f ON f.o_custkey = c_custkey + 1 WHERE c_custkey % 6 <> 0),
+gone AS (
+  SELECT 'part' AS t, p_partkey AS k FROM part WHERE p_partkey % 97 = 5 UNION ALL
+  SELECT 'customer', c_custkey FROM customer WHERE c_custkey % 29 = 4
+  UNION SELECT l.t, l.k FROM gone g JOIN links l ON l.pt = g.t AND l.pk = g.k)
+SELECT 'part' AS table_name, count(*) AS rows_after, CAST(sum(p_partkey) AS BIGINT) AS key_sum FROM part WHERE p_partkey NOT IN (SELECT k FROM gone WHERE t = 'part')
+UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_custkey NOT IN (SELECT k FROM gone WHERE t = 'customer')
+UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderkey NOT IN (SELECT k FROM gone WHERE t = 'orders')""")
+def _(spark, sf):
+    orders, customer = base(spark, sf, "orders"), base(spark, sf, "customer")
+    first = orders.groupBy((F.col("o_custkey") - 1).alias("c_custkey")).agg(F.min("o_orderkey").alias("o_first"))
+    frames = {
+        "part": base(spark, sf, "part").selectExpr("p_partkey", "case when p_partkey > 1 then cast(floor(p_partkey / 2) as bigint) end as p_parent",
+                                                   "case when p_partkey % 97 = 5 then 0 end as _drop"),
+        "customer": customer.join(first, "c_custkey", "left").selectExpr(
+            "c_custkey", "case when c_custkey % 6 <> 0 then o_first end as c_order", "case when c_custkey % 29 = 4 then 0 end as _drop"),
+        "orders": orders.selectExpr("o_orderkey", "o_custkey", "cast(null as int) as _drop"),
+    }
+    planted = {t: cleaning.Resolved(df.withColumn("_rid", F.lit(t)), ({"reason": "planted"},)) for t, df in frames.items()}
+    out = cleaning.cascade(planted, _CYCLE, ("part", "customer", "orders"), stage)
+    key = {"part": "p_partkey", "customer": "c_custkey", "orders": "o_orderkey"}
+    sums = [
+        r.frame.where("_drop is null").agg(F.count("*").alias("rows_after"), F.sum(key[t]).alias("key_sum")).select(F.lit(t).alias("table_name"), "rows_after", "key_sum")
+        for t, r in out.items()]
+    return reduce(DataFrame.unionByName, sums)
+
+
 @query("cl_rejected", with_cleaning("\nSELECT table_name, row_identifier, reason AS reasons FROM drops"))
 def _(spark, sf):
     rejected = stages(spark, sf).cleaning().rejected()

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from contract.registry import query, shared_folder
 from contract.views import base, table, with_views
 from starq.functions import scalars
+from starq.operators.registry import KeyRegistry
 from starq.plans import reengineering as re
 from starq.session import configure, fresh_path
-from starq.sources import tables as io
+from starq.sources import ingest as landing, tables as io
+from starq.sources.versions import Layer
 
 
 def _path(spark, label):
@@ -262,6 +265,98 @@ def _(spark, sf):
     return re.ingest_audit(events, ["user_id"], error, expected)
 
 
+# Units of compressed files, of which one is cut off, some hold records or rows that are wrong, and one never came.
+@query("ingest_audit_faults", """
+WITH c AS (SELECT c_custkey, c_mktsegment AS unit, CASE WHEN c_mktsegment = 'FURNITURE' AND c_custkey % 10 = 7 THEN 'n/a' ELSE CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) END AS balance
+           FROM customer),
+e AS (SELECT unit, c_custkey, CASE WHEN balance = 'n/a' THEN 'malformed record: ' || c_custkey || ',n/a'
+             WHEN unit = 'HOUSEHOLD' AND CAST(balance AS BIGINT) < 0 THEN 'balance below 0' END AS error FROM c WHERE unit <> 'MACHINERY'),
+a AS (SELECT unit, count(*) AS row_count, min(error) AS error, CAST(sum(c_custkey) AS BIGINT) AS keys FROM e GROUP BY 1)
+SELECT unit, row_count, CASE WHEN error IS NULL THEN 'OK' ELSE 'FAILED' END AS status, error,
+       CASE WHEN error IS NULL THEN keys END AS loaded_key_sum FROM a
+UNION ALL SELECT 'MACHINERY', 0, 'FAILED', 'damaged file: EOFError', NULL
+UNION ALL SELECT 'NOWHERE', 0, 'STARTED', NULL, NULL""")
+def _(spark, sf):
+    path = _path(spark, "landing")
+    c = base(spark, sf, "customer")
+    balance = "case when c_mktsegment = 'FURNITURE' and c_custkey % 10 = 7 then 'n/a' else cast(floor(c_acctbal) as string) end as balance"
+    written = c.selectExpr("c_custkey", balance, "c_mktsegment as unit").coalesce(1).write.option("header", True).option("compression", "gzip")
+    written.partitionBy("unit").csv(path)
+    _cut_off(spark, f"{path}/unit=MACHINERY")
+    expected = c.selectExpr("c_mktsegment as unit").distinct().unionByName(spark.range(1).selectExpr("'NOWHERE' as unit"))
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("balance", T.LongType())])
+    rule = F.expr("case when unit = 'HOUSEHOLD' and balance < 0 then 'balance below 0' end")
+    found = landing.ingest(spark, path, schema, expected=expected, error=rule)
+    loaded = found.rows.groupBy("unit").agg(F.sum("c_custkey").alias("loaded_key_sum"))
+    return found.audit.join(loaded, "unit", "left").select("unit", "row_count", "status", "error", "loaded_key_sum")
+
+
+def _cut_off(spark, folder):
+    """Leaves the first half of every file of a small landing folder, as a broken transfer would."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(hadoop(folder)):
+        stream = fs.open(status.getPath())
+        content = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        stream.close()
+        out = fs.create(status.getPath(), True)
+        out.write(bytearray(content[: len(content) // 2]))
+        out.close()
+
+
+# Keys of text, NULL among them. The second run meets all keys of the first and new ones, and is repeated.
+@query("surrogate_two_runs", """
+WITH k AS (SELECT c_custkey, CASE WHEN c_custkey % 50 <> 0 THEN c_name END AS name, c_nationkey < 10 AS early FROM customer),
+d AS (SELECT name, NOT bool_or(early) AS late FROM k GROUP BY 1),
+n AS (SELECT name, row_number() OVER (ORDER BY late, name NULLS FIRST) AS id FROM d)
+SELECT k.c_custkey, n.id AS customer_id FROM k JOIN n ON k.name IS NOT DISTINCT FROM n.name""")
+def _(spark, sf):
+    customers = base(spark, sf, "customer").selectExpr("c_custkey", "c_nationkey", "case when c_custkey % 50 <> 0 then c_name end as name")
+    registry = KeyRegistry(spark, _path(spark, "keys"), ["name"])
+    registry.register(customers.where("c_nationkey < 10"), "run 1")
+    for _ in range(2):
+        registry.register(customers, "run 2")
+    return registry.look_up(customers.select("c_custkey", "name"), "customer_id").drop("name")
+
+
+# A refresh that fails at its second table leaves both tables as they were; the next one replaces the layer.
+@query("sink_refresh_atomic", """
+SELECT 'after failure' AS moment, 'part' AS table_name, count(*) AS row_count FROM part
+UNION ALL SELECT 'after failure', 'supplier', count(*) FROM supplier
+UNION ALL SELECT 'after refresh', 'supplier', count(*) FROM supplier WHERE s_suppkey % 2 = 0
+UNION ALL SELECT 'after refresh', 'nation', count(*) FROM nation""")
+def _(spark, sf):
+    layer = Layer(spark, _path(spark, "layer"))
+    supplier, part, nation = (base(spark, sf, t) for t in ("supplier", "part", "nation"))
+    layer.refresh({"supplier": supplier, "part": part})
+    try:
+        layer.refresh({"supplier": supplier.limit(1), "part": part.withColumn("p_size", F.raise_error(F.lit("broken source")).cast("int"))})
+    except Exception as error:
+        if "broken source" not in str(error):
+            raise
+    frames = [(moment, name, df) for moment, tables in (("after failure", layer.tables()),) for name, df in tables.items()]
+    layer.refresh({"supplier": supplier.where("s_suppkey % 2 = 0"), "nation": nation})
+    frames += [("after refresh", name, df) for name, df in layer.tables().items()]
+    counts = [
+        df.agg(F.count("*").alias("row_count")).select(F.lit(moment).alias("moment"), F.lit(name).alias("table_name"), "row_count")
+        for moment, name, df in frames
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+# Two batches, the first of them sent twice.
+@query("sink_append_twice", """
+SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_comment_code FROM orders""")
+def _(spark, sf):
+    layer = Layer(spark, _path(spark, "batches"))
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_totalprice", T.DoubleType()),
+                           T.StructField("o_comment_code", T.StringType())])
+    orders = base(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    for batch, rows in (("odd", "o_orderkey % 2 = 1"), ("even", "o_orderkey % 2 = 0"), ("odd", "o_orderkey % 2 = 1")):
+        layer.append(batch, {"orders": orders.where(rows)}, {"orders": schema})
+    return layer.read("orders")
+
+
 @query("parse_dates", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS order_date, 'n/a' AS note FROM orders""")
 def _(spark, sf):

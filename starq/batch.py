@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
@@ -11,6 +12,7 @@ from starq.plans import cleaning, missing, outliers, quality, reporting, validat
 from starq.plans.rules import RULES, TableRules
 from starq.session import Staging, configure
 from starq.sources.tables import read_layer, refresh_files, write_text
+from starq.sources.versions import Layer
 
 
 def run(
@@ -21,7 +23,10 @@ def run(
     rules: Mapping[str, TableRules] = RULES,
     strict: bool = False,
 ) -> dict[str, str]:
-    """Reads a layer (a folder, or a catalog database), writes every output below target.
+    """Reads a layer (a folder, or a catalog database), writes every output of the run to a new folder below target.
+
+    The outputs become the latest ones (`latest`) when all of them are written, by one
+    manifest: a run that fails leaves those of the run before.
 
     Order: assess, judge missing values, detect outliers, clean, verify the cleaned
     layer, build the star, validate it. `strict` fails on broken constraints and on
@@ -30,9 +35,11 @@ def run(
     """
     configure(spark)
     written: dict[str, str] = {}
+    layer = Layer(spark, target)
+    target = f"{layer.folder}/runs/{uuid.uuid4().hex}"
 
     def write(name: str, df: DataFrame) -> None:
-        written[name] = f"{target.rstrip('/')}/{name}"
+        written[name] = f"{target}/{name}"
         df.write.mode("overwrite").parquet(written[name])
 
     with Staging(spark, "batch") as staging:
@@ -83,11 +90,18 @@ def run(
             "focused_missing_values": reporting.missing_sections(summary, flags),
             "focused_outlier_detection": reporting.outlier_sections(found.summary, found.flags),
         })
-        written["report"] = f"{target.rstrip('/')}/report"
+        written["report"] = f"{target}/report"
         write_text(document, written["report"])
+        layer.adopt({n: f for n, f in written.items() if n != "report"}, {"report": written["report"]})
     return written
 
 
+def latest(spark: SparkSession, target: str) -> dict[str, str]:
+    """The folder of each output of the last run that came to its end."""
+    manifest = Layer(spark, target).manifest()
+    return {name: manifest.folders(name)[0] for name in manifest.tables} | manifest.files
+
+
 def sizes(spark: SparkSession, written: Mapping[str, str]) -> DataFrame:
     """Rows of every output of a run, read back."""
     frames = [

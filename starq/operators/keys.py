@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starq.operators.slicing import LIMIT, plan_slices, with_slice
+from starq.session import stage as keep_staged
 
 # Rows a set may have to be numbered by one task.
 SMALL_SET = 1_000_000
@@ -37,39 +38,42 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, order: str, name: str, start: int = 1, limit: int = LIMIT
+    df: DataFrame, order: str | Sequence[str | Column], name: str, start: int = 1, limit: int | None = None,
+    stage: Callable[[DataFrame], DataFrame] = keep_staged,
 ) -> DataFrame:
-    """Consecutive numbers in the order of a unique numeric column.
+    """Consecutive numbers in the order of some columns of any type, NULL first.
 
-    The column's range is cut into slices, every slice is numbered on its own
-    and shifted by the sizes of the slices before it. No window spans the table.
+    Spark deals the rows out by ranges of the order, as many as it has shuffle partitions
+    or as give each about `limit` rows; rows that tie are told apart by a hash, so ties
+    (or NULLs) fill several ranges. Places in a range are stored with the rows, in one
+    pass; sizes of the ranges before shift them. Ranges are sorted, which spills, but no
+    window spans more than one row per range and no sample is gathered by one task.
     """
-    tagged = df.withColumn("_all", F.lit(0))
-    slices = plan_slices(tagged, ["_all"], order, limit)
-    if slices.hot is None:
-        # Proven above: no more rows than one slice may hold.
-        sliced = tagged.withColumn("_slice", F.lit(0))
-    else:
-        sliced = with_slice(tagged, slices, order)
-    # One row per slice, that is per `limit` rows.
-    sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(Window.partitionBy("_slice").orderBy(F.col(order).asc_nulls_first()))
-    return (
-        sliced.withColumn("_number", inside)
-        .join(F.broadcast(shifts), "_slice")
-        .select((F.col("_shift") + F.col("_number") + F.lit(start - 1)).cast("bigint").alias(name), *df.columns)
+    order = [order] if isinstance(order, (str, Column)) else list(order)
+    ordered = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
+    ties = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+    ranges = [max(math.ceil(df.count() / limit), 1)] if limit else []
+    dealt = df.repartitionByRange(*ranges, *ordered, ties).sortWithinPartitions(*ordered, ties)
+    # The upper bits tell the range, the lower ones the place in it.
+    placed = stage(dealt.withColumn("_at", F.monotonically_increasing_id()))
+    place = F.col("_at").bitwiseAND((1 << 33) - 1)
+    placed = placed.withColumn("_range", F.shiftright("_at", 33))
+    # One row per range.
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    return placed.join(F.broadcast(shifts), "_range").select(
+        (F.col("_shift") + place + F.lit(start)).cast("bigint").alias(name), *[F.col(f"`{c}`") for c in df.columns]
     )
 
 
-def number_small(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Numbers 1..n for a set that is small by construction (distinct categories).
-
-    One task numbers them, so the query fails where the set turns out not to be small.
-    """
-    everything = Window.partitionBy(F.lit(0)).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    number = F.row_number().over(everything)
-    message = F.lit(f"{name}: more than {SMALL_SET} rows; use number_rows")
-    checked = F.when(number <= SMALL_SET, number).otherwise(F.raise_error(message).cast("int"))
-    return df.select(checked.cast("bigint").alias(name), *df.columns)
+def number_set(
+    df: DataFrame, order: Sequence[str], name: str, stage: Callable[[DataFrame], DataFrame] = keep_staged
+) -> DataFrame:
+    """Numbers 1..n for a set of distinct rows, NULL last: in one task while it is small, over ranges beyond."""
+    ordered = [F.col(c).asc_nulls_last() for c in order]
+    df = stage(df)
+    if df.count() > SMALL_SET:
+        return number_rows(df, ordered, name, stage=stage)
+    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*ordered))
+    return df.select(number.cast("bigint").alias(name), *df.columns)

@@ -8,9 +8,10 @@ smallest values of the group, the last slice the largest.
 The plan is made once, up front, and kept as plain numbers. Every later use (and
 every retried task) therefore cuts at the same points. LIMIT is a number of rows,
 not a share, so a slice fits one task at any size of the data; the plan holds one
-number per LIMIT rows, a few megabytes for a million million rows. Cut points
-come from a sample of PER_SLICE rows per slice, drawn by Spark; results never
-depend on where the cuts fall.
+number per LIMIT rows, a few megabytes for a million million rows. Cut points come
+from quantile sketches of fixed size, which tasks make of their own rows and Spark
+merges: no rows are gathered or sorted for them. Results never depend on where the
+cuts fall.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # Rows that a group, or a slice of one, may bring to a task.
 LIMIT = 1_000_000
-# Sampled rows per slice: slices keep within about a fifth of their planned size.
-PER_SLICE = 100
+# Cut points a sketch is asked for, and its accuracy: ranks are off by a tenth of a slice at most.
+FANOUT, ACCURACY = 1024, 10_000
 
 
 @dataclass(frozen=True)
@@ -53,15 +54,21 @@ def plan_slices(df: DataFrame, keys: Sequence[str], value: str, limit: int = LIM
     spark = df.sparkSession
     key_fields = [slim.schema[k] for k in keys]
     groups = spark.createDataFrame(large, T.StructType([*key_fields, T.StructField("_rows", T.LongType())]))
-    # Every PER_SLICE-th of the sampled values of a group is a cut point.
-    rate = min(1.0, PER_SLICE / limit)
-    sampled = slim.join(F.broadcast(groups), list(keys)).where(F.rand(11) < rate)
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_v"))
-    every = max(1, round(rate * limit))
-    cuts = (
-        sampled.withColumn("_place", place).where(F.col("_place") % every == 0)
-        .groupBy(*keys, "_rows").agg(F.array_sort(F.collect_list("_v")).alias("_q")).collect()
-    )
+    hot = slim.join(F.broadcast(groups), list(keys))
+    # Slices beyond FANOUT: first into FANOUT parts, then every part by itself.
+    huge = math.ceil(max(r["_rows"] for r in large) / limit) > FANOUT
+    first = _sketched(hot, [*keys, "_rows"], F.ceil(F.col("_rows") / F.lit(limit)))
+    if huge:
+        coarse = F.broadcast(first.where(F.col("_rows") / limit > FANOUT).select(*keys, F.col("_q").alias("_part_cuts")))
+        part = F.size(F.filter("_part_cuts", lambda x: x < F.col("_v")))
+        parts = hot.join(coarse, list(keys)).withColumn("_part", part)
+        inner = _sketched(parts, [*keys, "_rows", "_part"], F.ceil(F.col("_rows") / F.lit(limit * FANOUT)))
+        inner = inner.groupBy(*keys, "_rows").agg(F.flatten(F.collect_list("_q")).alias("_q"))
+        ends = first.where(F.col("_rows") / limit > FANOUT).select(*keys, "_rows", "_q")
+        first = first.where(F.col("_rows") / limit <= FANOUT).unionByName(
+            ends.unionByName(inner).groupBy(*keys, "_rows").agg(F.flatten(F.collect_list("_q")).alias("_q"))
+        )
+    cuts = first.select(*keys, "_rows", F.array_sort("_q").alias("_q")).where(F.size("_q") > 0).collect()
     rows = []
     for r in cuts:
         q = r["_q"]
@@ -83,6 +90,18 @@ def plan_slices(df: DataFrame, keys: Sequence[str], value: str, limit: int = LIM
     return Slices(keys, spark.createDataFrame(rows, schema))
 
 
+def _sketched(rows: DataFrame, keys: Sequence[str], slices: Column) -> DataFrame:
+    """keys and `_q`: cut points that part each group's _v into so many slices, FANOUT at most."""
+    shares = F.array(*[F.lit(i / FANOUT) for i in range(1, FANOUT)])
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx("_v", shares, ACCURACY).alias("_all"))
+    wanted = F.least(slices, F.lit(FANOUT)).cast("int")
+    step = F.transform(
+        F.when(wanted > 1, F.sequence(F.lit(1), wanted - 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: F.get("_all", F.round(i * FANOUT / wanted).cast("int") - 1),
+    )
+    return sketch.select(*keys, step.alias("_q"))
+
+
 def _cuts_passed(v: Column, or_equal: bool) -> Column:
     """How many cut points lie below v, looking first at chunks, then inside one."""
 

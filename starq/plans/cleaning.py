@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from starq import schemas as s
 from starq.functions.scalars import canonical_value, number, parse_bool_or_false, strip
 from starq.plans.quality import (
-    comparable, ident, parent_values, quoted, row_identifier, sql_map, sql_number, sql_row_identifier, sql_strip, sure, typed,
+    comparable, comparable_form, ident, parent_values, quoted, row_identifier, sql_map, sql_number, sql_row_identifier, sql_strip, sure, typed,
     without_nan,
 )
 from starq.plans.rules import QUALIFYING_PROGRESSION, RULES, TableRules
+from starq.session import stage as keep_staged
 
 ACTION_FIELDS = (
     "source", "table_name", "row_identifier", "target_column", "quality_flag_column", "check_id", "issue_code",
@@ -612,43 +613,161 @@ def resolve_table(
 # --- cascade -------------------------------------------------------------------------------------------------------
 
 
+def _edges(resolved: Mapping[str, Resolved], references: Mapping[str, Sequence[tuple[str, str, str]]], order: Sequence[str]) -> list[_Edge]:
+    """References both of whose ends are there, children in the order of the walk."""
+    walk = [t for t in order if t in resolved] + [t for t in resolved if t not in order]
+    place = {t: i for i, t in enumerate(walk)}
+    return [
+        _Edge(table, column, parent, parent_column, place[parent] >= place[table])
+        for table in walk
+        for column, parent, parent_column in references.get(table, ())
+        if parent in resolved and column in resolved[table].frame.columns and parent_column in resolved[parent].frame.columns
+    ]
+
+
+@dataclass(frozen=True)
+class _Edge:
+    table: str
+    column: str
+    parent: str
+    parent_column: str
+    # The parent stands at or after the child in the walk: its drops come too late for it.
+    backward: bool
+
+    def note(self) -> dict:
+        reference = f"{self.table}_{self.column}_to_{self.parent}_{self.parent_column}"
+        return {
+            "source": DQA, "table_name": self.table, "cleaning_action": "DROP_ROW", "check_id": f"post_cleaning_fk_{reference}",
+            "issue_code": "BROKEN_FOREIGN_KEY_AFTER_CLEANING",
+            "reason": f"Row removed because {self.table}.{self.column} no longer references a valid "
+            f"{self.parent}.{self.parent_column} after previous cleaning actions.",
+        }
+
+
 def cascade(
     resolved: Mapping[str, Resolved],
     references: Mapping[str, Sequence[tuple[str, str, str]]] = s.FOREIGN_KEYS,
     order: Sequence[str] = s.TABLE_ORDER,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    keep: Callable[[DataFrame], DataFrame] = keep_staged,
 ) -> dict[str, Resolved]:
-    """Drop rows whose parent is absent or dropped.
+    """Drop rows whose parent is absent or dropped, until nothing changes.
 
-    The reference graph has no cycles and `order` lists parents first, so one
-    join per edge reaches the fixpoint.
+    One walk in `order` (parents first) settles references to earlier tables. Where a
+    table refers to itself or to a later one, rounds follow: only keys that the last
+    round took away are joined to the children, until none is left. Rows that hold one
+    another in a cycle stay. A row lists the reference that broke first.
     """
+    edges = _edges(resolved, references, order)
     out: dict[str, Resolved] = {}
+    notes = {t: list(r.notes) for t, r in resolved.items()}
+    place = {}
     for table in [t for t in order if t in resolved] + [t for t in resolved if t not in order]:
-        df, notes = resolved[table].frame, list(resolved[table].notes)
+        df = resolved[table].frame
         plain, cases = df.columns, []
-        for column, parent, parent_column in references.get(table, ()):
-            if parent not in out or column not in df.columns or parent_column not in out[parent].frame.columns:
-                continue
-            alive = out[parent].frame.where(F.col("_drop").isNull())
-            known, form = parent_values(alive, parent_column, df.schema[column].dataType)
-            hit = f"_has_{column}"
-            known = known.select(F.col("_key").alias(f"_key_{column}"), F.lit(True).alias(hit))
-            df = df.withColumn(f"_key_{column}", F.expr(typed(column, form))).join(known, f"_key_{column}", "left")
-            cases.append(f"when {ident(column)} is not null and {ident(hit)} is null then {len(notes)}")
-            notes.append({
-                "source": DQA, "table_name": table, "cleaning_action": "DROP_ROW",
-                "check_id": f"post_cleaning_fk_{table}_{column}_to_{parent}_{parent_column}",
-                "issue_code": "BROKEN_FOREIGN_KEY_AFTER_CLEANING",
-                "reason": f"Row removed because {table}.{column} no longer references a valid "
-                f"{parent}.{parent_column} after previous cleaning actions.",
-            })
+        for e in [e for e in edges if e.table == table]:
+            alive = out.get(e.parent, resolved[e.parent]).frame.where(F.col("_drop").isNull())
+            known, form = parent_values(alive, e.parent_column, df.schema[e.column].dataType)
+            hit = f"_has_{e.column}"
+            known = known.select(F.col("_key").alias(f"_key_{e.column}"), F.lit(True).alias(hit))
+            df = df.withColumn(f"_key_{e.column}", F.expr(typed(e.column, form))).join(known, f"_key_{e.column}", "left")
+            place[e] = len(notes[table])
+            cases.append(f"when {ident(e.column)} is not null and {ident(hit)} is null then {place[e]}")
+            notes[table].append(e.note())
         if cases:
             df = df.withColumn("_drop", F.expr(f"coalesce(_drop, case {' '.join(cases)} end)")).select(*plain)
-        out[table] = Resolved(stage(df), tuple(notes))
+        out[table] = Resolved(stage(df), tuple(notes[table]))
+    if any(e.backward for e in edges):
+        for e, lost in _lost_keys(resolved, out, edges, keep).items():
+            frame = out[e.table].frame
+            plain = frame.columns
+            child = frame.schema[e.column].dataType
+            form = comparable_form(child, out[e.parent].frame.schema[e.parent_column].dataType)
+            lost = lost.select(F.col("_key").alias("_lost_key"), F.col("_round").alias("_lost_round"))
+            joined = frame.withColumn("_lost_key", F.expr(typed(e.column, form))).join(lost, "_lost_key", "left")
+            first = joined["_round"] if "_round" in plain else F.lit(None).cast("int")
+            earlier = F.col("_lost_round").isNotNull() & (first.isNull() | (F.col("_lost_round") < first))
+            fresh = F.col("_drop").isNull() | first.isNotNull()
+            settled = joined.withColumns({
+                "_drop": F.when(fresh & earlier, F.lit(place[e])).otherwise(F.col("_drop")),
+                "_round": F.when(fresh & earlier, F.col("_lost_round")).otherwise(first),
+            })
+            out[e.table] = Resolved(settled.select(*[c for c in plain if c != "_round"], "_round"), out[e.table].notes)
+        out = {t: Resolved(stage(r.frame.drop("_round")), r.notes) if "_round" in r.frame.columns else r for t, r in out.items()}
     return out
 
 
+def _lost_keys(
+    before: Mapping[str, Resolved], walked: Mapping[str, Resolved], edges: Sequence[_Edge], keep: Callable[[DataFrame], DataFrame]
+) -> dict[_Edge, DataFrame]:
+    """Per reference the parent keys (_key) that go after the walk, with the round in which they do.
+
+    Works on the keys of surviving rows alone. A key is lost when its last row is.
+    """
+    forms = {
+        e: comparable_form(walked[e.table].frame.schema[e.column].dataType, walked[e.parent].frame.schema[e.parent_column].dataType)
+        for e in edges
+    }
+    number = {e: i for i, e in enumerate(edges)}
+    slim = {}
+    for table in {e.table for e in edges}:
+        own = [f"{typed(e.column, forms[e])} as _ref{number[e]}" for e in edges if e.table == table]
+        keys = [f"{typed(e.parent_column, forms[e])} as _own{number[e]}" for e in edges if e.parent == table]
+        if keys:
+            slim[table] = keep(without_nan(walked[table].frame.where("_drop is null")).selectExpr(*own, *keys).distinct())
+
+    def alive(table: str, lost: Mapping[_Edge, list[DataFrame]], rows: DataFrame) -> DataFrame:
+        for e in edges:
+            if e.table == table:
+                for keys in lost.get(e, ()):
+                    rows = rows.join(keys.select(F.col("_key").alias(f"_ref{number[e]}")), f"_ref{number[e]}", "left_anti")
+        return rows
+
+    def gone(e: _Edge, candidates: DataFrame, lost: Mapping[_Edge, list[DataFrame]]) -> DataFrame:
+        """Candidates that no surviving row of the parent holds any more."""
+        rows = walked[e.parent].frame.where("_drop is null") if e.parent not in slim else None
+        own = f"_own{number[e]}"
+        if rows is not None:
+            holders = without_nan(rows).selectExpr(f"{typed(e.parent_column, forms[e])} as _key")
+        else:
+            matching = slim[e.parent].join(candidates.select(F.col("_key").alias(own)), own, "left_semi")
+            holders = alive(e.parent, lost, matching).select(F.col(own).alias("_key"))
+        return candidates.join(holders, "_key", "left_anti")
+
+    # The walk's own drops that came too late for a child.
+    delta: dict[_Edge, DataFrame] = {}
+    lost: dict[_Edge, list[DataFrame]] = {}
+    for e in edges:
+        if e.backward:
+            dropped = without_nan(walked[e.parent].frame.where("_drop is not null"))
+            keys = dropped.selectExpr(f"{typed(e.parent_column, forms[e])} as _key").where("_key is not null").distinct()
+            delta[e] = keep(gone(e, keys, {}))
+    turn = 0
+    while True:
+        delta = {e: keys for e, keys in delta.items() if not keys.isEmpty()}
+        if not delta:
+            break
+        turn += 1
+        for e, keys in delta.items():
+            lost.setdefault(e, []).append(keys.withColumn("_round", F.lit(turn)))
+            if len(lost[e]) > 8:  # short plans however many rounds there are
+                lost[e] = [keep(reduce(DataFrame.unionByName, lost[e]))]
+        after: dict[_Edge, DataFrame] = {}
+        for table in {e.table for e in delta} & set(slim):
+            hits = [
+                slim[table].join(keys.select(F.col("_key").alias(f"_ref{number[e]}")), f"_ref{number[e]}", "left_semi").select(slim[table].columns)
+                for e, keys in delta.items() if e.table == table
+            ]
+            hit = reduce(DataFrame.unionByName, hits)
+            for e in [e for e in edges if e.parent == table]:
+                candidates = hit.select(F.col(f"_own{number[e]}").alias("_key")).where("_key is not null").distinct()
+                for known in lost.get(e, ()):
+                    candidates = candidates.join(known.select("_key"), "_key", "left_anti")
+                after[e] = keep(gone(e, candidates, lost))
+        delta = after
+    return {e: reduce(DataFrame.unionByName, frames) for e, frames in lost.items()}
+
+
 # --- results -------------------------------------------------------------------------------------------------------
 
 _TECHNICAL = ("_rid", "_actions", "_drop", "_unknown")

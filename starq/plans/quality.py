@@ -1,14 +1,17 @@
 """Data-quality assessment: rules compiled to DataFrame plans.
 
-Per table: one aggregate answers every row-level check, one pass over the rows
-emits their issues, and one more those of keys and references. Keys are grouped in
-their own types, so a key that fills a third of a table is one row after the map side.
+Per table: one aggregate answers every row-level check and one pass over the rows
+emits their issues. All keys and references are tagged with their check, named by 128
+bits of hash and shuffled once, whatever their tables; a key that fills a third of a
+table is one row after the map side. The failing keys alone give the counts; the rows
+that hold them are looked up when the issues are asked for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -213,7 +216,14 @@ class _Keyed:
     text: str
     keys: tuple[str, ...]  # SQL of the compared values, in their own types
     applies: str
-    parent: DataFrame | None = None  # its keys, as `_k`
+    parent: _ParentKey | None = None
+
+
+@dataclass(frozen=True)
+class _ParentKey:
+    table: str
+    key: str  # SQL of the values a child is compared with
+    applies: str
 
 
 class _Compiler:
@@ -350,7 +360,7 @@ class _Compiler:
             return
         child = ref.column
         form = comparable_form(self.types[child], parent.schema[ref.parent_column].dataType)
-        keys = without_nan(parent).where(f"{ident(ref.parent_column)} is not null").selectExpr(f"{typed(ref.parent_column, form)} as _k")
+        keys = _ParentKey(ref.parent, typed(ref.parent_column, form), f"{ident(ref.parent_column)} is not null")
         self.counted.append(_Counted("Referential Integrity", check_id, description, f"count({ident(child)})", None))
         absent = quoted(f" does not exist in {ref.parent}.{ref.parent_column}.")
         text = f"concat({quoted(f'{child}=')}, cast({ident(child)} as string), {absent})"
@@ -380,34 +390,46 @@ class _Compiler:
     def row_issues(self) -> DataFrame | None:
         return self._flat(self.found) if self.found else None
 
-    def keyed_issues(self) -> DataFrame | None:
-        """Issues of all keyed checks of the table.
-
-        Each check first finds its failing keys, grouped in their own types before
-        any row is widened; one pass over the rows then meets all failing keys.
-        """
-        if not self.keyed:
-            return None
-        rid = sql_row_identifier(self.plain, self.rules.primary_key)
-        keys = {i: [f"_k{i}_{j}" for j in range(len(c.keys))] for i, c in enumerate(self.keyed)}
-        named = {i: [f"{e} as {n}" for e, n in zip(c.keys, keys[i])] for i, c in enumerate(self.keyed)}
-        rows = self.df.selectExpr(
-            f"{rid} as row_identifier", *[n for names in named.values() for n in names],
-            *[f"case when {c.applies} then {c.text} end as _t{i}" for i, c in enumerate(self.keyed)],
-        )
-        for i, c in enumerate(self.keyed):
-            counted = self.df.where(c.applies).selectExpr(*named[i]).groupBy(*keys[i]).agg(F.count("*").alias("_n"))
-            if c.parent is None:
-                bad = counted.where("_n > 1")
-            else:
-                bad = counted.join(c.parent.withColumnRenamed("_k", keys[i][0]), keys[i], "left_anti")
-            rows = rows.join(bad.select(*keys[i], F.lit(True).alias(f"_bad{i}")), keys[i], "left")
-        entries = [
-            f"case when _bad{i} then named_struct('dimension', {quoted(c.dimension)}, 'check_id', {quoted(c.check_id)}, "
-            f"'issue_code', {quoted(c.code)}, 'issue_description', _t{i}) end" for i, c in enumerate(self.keyed)
-        ]
-        flat = rows.selectExpr("row_identifier", f"inline(array_compact(array({', '.join(entries)})))")
-        return flat.withColumns({"table_name": F.lit(self.table), "severity": F.lit("red")}).select(*ISSUE_COLUMNS)
+    def tagged(self, checks: Mapping[int, _Keyed]) -> str:
+        """SQL that makes of a row one (check, key) entry per keyed check that applies to it."""
+        return _tagged({i: (c.applies, c.keys) for i, c in checks.items()})
+
+    def keyed_issues(self, checks: Mapping[int, _Keyed], failing: DataFrame) -> DataFrame:
+        """Issues of the rows that hold a failing key; only these are widened."""
+        rows = self.df.selectExpr("*", self.tagged(checks)).join(failing, ["_check", "_h1", "_h2"])
+        case = lambda part: "case _check " + " ".join(f"when {i} then {part(c)}" for i, c in checks.items()) + " end"
+        return rows.selectExpr(
+            f"{quoted(self.table)} as table_name", f"{sql_row_identifier(self.plain, self.rules.primary_key)} as row_identifier",
+            f"{case(lambda c: quoted(c.dimension))} as dimension", f"{case(lambda c: quoted(c.check_id))} as check_id",
+            f"{case(lambda c: quoted(c.code))} as issue_code", f"{case(lambda c: c.text)} as issue_description", "'red' as severity",
+        ).select(*ISSUE_COLUMNS)
+
+
+def _tagged(entries: Mapping[int, tuple[str, Sequence[str]]]) -> str:
+    """Entries (condition, key parts) by check. Keys are compared by 128 bits of hash, so that all checks share a shuffle."""
+    parts = [
+        f"case when {applies} then named_struct('_check', {i}, '_h1', xxhash64(1, {', '.join(keys)}), '_h2', xxhash64(2, {', '.join(keys)})) end"
+        for i, (applies, keys) in entries.items()
+    ]
+    return f"inline(array_compact(array({', '.join(parts)})))"
+
+
+def _failing_keys(compiled: Sequence[_Compiler], checks: Mapping[int, tuple[_Compiler, _Keyed]]) -> DataFrame:
+    """_check, _h1, _h2, _rows of every key that fails: one scan of each table, one shuffle of keys for all checks."""
+    frames, parents = [], {}
+    for compiler in compiled:
+        own = {i: check for i, (c, check) in checks.items() if c is compiler}
+        if own:
+            frames.append(compiler.df.selectExpr(compiler.tagged(own)).withColumn("_child", F.lit(1)))
+    for i, (compiler, check) in checks.items():
+        if check.parent is not None:
+            parents.setdefault(check.parent.table, {})[i] = (check.parent.applies, (check.parent.key,))
+            tables = compiler.tables
+    for parent, entries in parents.items():
+        frames.append(without_nan(tables[parent]).selectExpr(_tagged(entries)).withColumn("_child", F.lit(0)))
+    references = ", ".join(str(i) for i, (_, c) in checks.items() if c.parent is not None) or "-1"
+    keys = _union(frames).groupBy("_check", "_h1", "_h2").agg(F.sum("_child").alias("_rows"), F.min("_child").alias("_known"))
+    return keys.where(f"_rows > 0 and case when _check in ({references}) then _known = 1 else _rows > 1 end").drop("_known")
 
 
 def comparable_form(child: T.DataType, parent: T.DataType) -> str:
@@ -443,11 +465,19 @@ def typed(column: str, form: str) -> str:
     return ident(column) if form == "value" else comparable(column, form)
 
 
-@dataclass(frozen=True)
 class Assessment:
-    check_results: DataFrame
-    issues: DataFrame
-    scorecard: DataFrame
+    """Results of a rule catalogue. Issues and scorecard are planned when they are asked for."""
+
+    def __init__(self, check_results: DataFrame, issues: Callable[[], DataFrame], dimensions: Sequence[str]):
+        self.check_results, self._issues, self._dimensions = check_results, issues, dimensions
+
+    @cached_property
+    def issues(self) -> DataFrame:
+        return self._issues()
+
+    @cached_property
+    def scorecard(self) -> DataFrame:
+        return scorecard(self.check_results, self.issues, self._dimensions)
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame | None:
@@ -484,13 +514,13 @@ def assess(
     def gather(frames: Iterable[DataFrame | None]) -> DataFrame | None:
         return _union(f for f in frames if f is not None)
 
-    keyed = gather(c.keyed_issues() for c in compiled)
+    keyed = {i: pair for i, pair in enumerate((c, check) for c in compiled for check in c.keyed)}
     counts = gather(c.counts() for c in compiled)
-    if keyed is not None:
-        # Every failing row is one issue, so the issues count the failures too.
-        keyed = stage(keyed)
-        failed = keyed.groupBy("table_name", "check_id").agg(F.count("*").alias("_failed"))
+    if keyed:
+        failing = stage(_failing_keys(compiled, keyed))
         # One row per check of the catalogue.
+        names = spark.createDataFrame([(i, c.table, check.check_id) for i, (c, check) in keyed.items()], "_check int, table_name string, check_id string")
+        failed = failing.groupBy("_check").agg(F.sum("_rows").alias("_failed")).join(F.broadcast(names), "_check").drop("_check")
         counts = counts.join(F.broadcast(failed), ["table_name", "check_id"], "left").withColumn(
             "failed_count", F.coalesce("failed_count", "_failed", F.lit(0))
         ).drop("_failed")
@@ -506,17 +536,22 @@ def assess(
     )
     results = stage(results)
 
-    parts = []
-    by_score = gather(c.row_issues() for c in compiled)
-    if by_score is not None:
-        parts.append(_with_severity(by_score, results))
-    if keyed is not None:
-        parts.append(keyed)
-    schema = ", ".join(f"{c} string" for c in ISSUE_COLUMNS)
-    if structural_issues or not parts:
-        parts.append(spark.createDataFrame(structural_issues, schema))
-    issues = stage(_union(parts))
-    return Assessment(results, issues, scorecard(results, issues, dimensions))
+    def issues() -> DataFrame:
+        parts = []
+        by_score = gather(c.row_issues() for c in compiled)
+        if by_score is not None:
+            parts.append(_with_severity(by_score, results))
+        for compiler in compiled:
+            own = {i: check for i, (c, check) in keyed.items() if c is compiler}
+            if own:
+                # The comparison marks the failing keys as the selective side: a Bloom filter of them can reach the scan.
+                parts.append(compiler.keyed_issues(own, failing.where("_rows > 0").drop("_rows")))
+        schema = ", ".join(f"{c} string" for c in ISSUE_COLUMNS)
+        if structural_issues or not parts:
+            parts.append(spark.createDataFrame(structural_issues, schema))
+        return stage(_union(parts))
+
+    return Assessment(results, issues, dimensions)
 
 
 def _with_severity(issues: DataFrame, results: DataFrame) -> DataFrame:

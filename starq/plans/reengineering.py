@@ -90,8 +90,13 @@ def fan_out(parents: DataFrame, column: str, values: Sequence[str], **constants)
     )
 
 
-def continued_numbers(batches: DataFrame, order: str, name: str, start: int = 1, **options) -> DataFrame:
-    """Surrogate ids that run on from batch to batch; `order` grows with batch and position."""
+def continued_numbers(
+    batches: DataFrame, order: str | Sequence[str], name: str, start: int = 1, **options
+) -> DataFrame:
+    """Surrogate ids that run on from batch to batch; `order` grows with batch and position.
+
+    `operators.registry` keeps ids from run to run.
+    """
     return number_rows(batches, order, name, start, **options)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from starq.functions import scalars as c
 from starq.operators.asof import Context, asof_join
 from starq.operators.joins import enrich, require_columns
-from starq.operators.keys import first_per_key, number_rows, number_small
+from starq.operators.keys import first_per_key, number_rows, number_set
 from starq.operators.slicing import LIMIT
 from starq.schemas import AREA_FLAGS
 
@@ -141,7 +141,7 @@ def context_dimension(df: DataFrame, attributes: Sequence[str], key: str) -> Dat
     flags = [n for n in attributes if n == "rain_flag" or n.startswith("has_")]
     texts = [n for n in attributes if n not in flags]
     rows = unknown_filled(boolean_flags(df, flags), texts) if flags else unknown_filled(df, texts)
-    return number_small(rows.select(*attributes).distinct(), attributes, key)
+    return number_set(rows.select(*attributes).distinct(), attributes, key)
 
 
 def with_dimension_key(fact: DataFrame, dimension: DataFrame, attributes: Sequence[str], key: str) -> DataFrame:
