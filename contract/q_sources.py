@@ -14,7 +14,7 @@ from starq.operators.registry import KeyRegistry
 from starq.plans import reengineering as re
 from starq.session import configure, fresh_path
 from starq.sources import ingest as landing, tables as io
-from starq.sources.versions import Layer
+from starq.sources.versions import Layer, refresh_layer
 
 
 def _path(spark, label):
@@ -64,7 +64,7 @@ def _(spark, sf):
 SELECT 'supplier' AS table_name, count(*) AS row_count FROM supplier UNION ALL SELECT 'part', count(*) FROM part""")
 def _(spark, sf):
     database = f"starq_{uuid.uuid4().hex}"
-    io.refresh_layer(spark, {n: base(spark, sf, n) for n in ("supplier", "part")}, database, _path(spark, "layer"))
+    refresh_layer(spark, {n: base(spark, sf, n) for n in ("supplier", "part")}, database, _path(spark, "layer"))
     found = io.read_layer(spark, None, ["supplier", "part", "no_such_table"], database=database)
     counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in found.items()]
     return counts[0].unionByName(counts[1])
@@ -107,8 +107,8 @@ def _(spark, sf):
     database = f"starq_{uuid.uuid4().hex}"
     location = _path(spark, "layer")
     supplier, part = base(spark, sf, "supplier"), base(spark, sf, "part")
-    io.refresh_layer(spark, {"dim_supplier": part, "dim_part": supplier, "dim_old": part}, database, location)
-    stale = io.refresh_layer(spark, {"dim_supplier": supplier, "dim_part": part}, database, location)
+    refresh_layer(spark, {"dim_supplier": part, "dim_part": supplier, "dim_old": part}, database, location)
+    stale = refresh_layer(spark, {"dim_supplier": supplier, "dim_part": part}, database, location)
     left = [t.name for t in spark.catalog.listTables(database)]
     frames = [
         spark.table(f"`{database}`.`{t}`").agg(F.count("*").alias("row_count")).select(

@@ -141,23 +141,6 @@ def append(df: DataFrame, path: str, schema: T.StructType) -> None:
     conform(df, schema).write.mode("append").parquet(path)
 
 
-def refresh_layer(
-    spark: SparkSession, tables: Mapping[str, DataFrame], database: str, location: str | None = None
-) -> list[str]:
-    """Replace a layer (a catalog database) by exactly these tables.
-
-    Returns the stale tables that were dropped.
-    """
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
-    for name, df in tables.items():
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{name}`")
-    stale = sorted(t.name for t in spark.catalog.listTables(database) if t.name not in tables and not t.isTemporary)
-    for name in stale:
-        spark.sql(f"DROP TABLE `{database}`.`{name}`")
-    return stale
-
-
 def refresh_files(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> None:
     """Replace the Parquet files of the given tables below a folder."""
     for name, df in tables.items():

@@ -153,3 +153,25 @@ class Layer:
             raise Conflict(f"{self.folder}: manifest {before.number + 1} could not be created") from error
         if not done:
             raise Conflict(f"{self.folder}: manifest {before.number + 1} is there already")
+
+
+def refresh_layer(
+    spark: SparkSession, tables: Mapping[str, DataFrame], database: str, location: str | None = None
+) -> list[str]:
+    """Replace a catalog database by exactly these tables.
+
+    All data is written, as a version of a layer in the database's folder, before the
+    catalog changes: a failure leaves the old tables. The change itself touches names
+    and places only. Returns the stale tables that were dropped.
+    """
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
+    layer = Layer(spark, f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/layer")
+    layer.refresh(tables)
+    manifest = layer.manifest()
+    stale = sorted(t.name for t in spark.catalog.listTables(database) if t.name not in tables and not t.isTemporary)
+    for name in [*stale, *tables]:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    for name in tables:
+        spark.catalog.createTable(f"`{database}`.`{name}`", manifest.folders(name)[0], "parquet", manifest.schema(name))
+    return stale

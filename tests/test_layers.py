@@ -2,6 +2,7 @@
 
 import gzip
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -12,7 +13,8 @@ from starq.operators.registry import KeyRegistry
 from starq.operators.slicing import plan_slices, with_slice
 from starq.session import fresh_path
 from starq.sources.ingest import ingest, units
-from starq.sources.versions import Conflict, Layer
+from starq.sources.tables import read_layer
+from starq.sources.versions import Conflict, Layer, refresh_layer
 
 
 def local(path):
@@ -34,6 +36,16 @@ def test_a_failing_refresh_changes_nothing(spark):
         layer.read("b")
 
 
+def test_a_failing_refresh_leaves_the_catalog(spark):
+    database, place = f"starq_{uuid.uuid4().hex}", fresh_path(spark, "database")
+    assert refresh_layer(spark, {"a": spark.range(3), "b": spark.range(4)}, database, place) == []
+    with pytest.raises(Exception, match="broken"):
+        refresh_layer(spark, {"a": spark.range(9), "b": spark.range(1).select(F.raise_error(F.lit("broken")).alias("id"))}, database)
+    assert {n: df.count() for n, df in read_layer(spark, None, ["a", "b"], database=database).items()} == {"a": 3, "b": 4}
+    assert refresh_layer(spark, {"a": spark.range(2).selectExpr("cast(id as string) as id")}, database) == ["b"]
+    assert [tuple(r) for r in spark.table(f"{database}.a").orderBy("id").collect()] == [("0",), ("1",)]
+
+
 def test_two_writers_of_one_version(spark):
     path = fresh_path(spark, "layer")
     one, two = Layer(spark, path), Layer(spark, path)
