@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from starq.operators.slicing import Slices, with_slice
+from starq.operators.slicing import LIMIT, Slices, join_group_rows, plan_slices, with_slice
 
 
 def group_quantiles(
@@ -77,3 +77,35 @@ def group_quantiles(
 
     exact = picked.select(*keys, "_n", *[between(n, p) for n, p in zip(names, probs)])
     return exact.unionByName(builtin(data.join(hot_keys, keys, "left_anti")))
+
+
+def group_spread(df: DataFrame, keys: Sequence[str], value: str, slices: Slices, limit: int = LIMIT) -> DataFrame:
+    """One row per group: keys, _n, q1, median, q3 and mad (the median distance from the median), all exact.
+
+    Groups below the slicing limit are one sorted array each, from which all four are
+    read: one shuffle of the values. Hot groups are ranked, first their values, then
+    the distances; slices spread both.
+    """
+    keys = list(keys)
+    data = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+
+    def at(array: str, p: float):
+        place = F.lit(p) * (F.col("_n") - 1)
+        low = F.floor(place).cast("int")
+        here, after = F.get(array, low), F.get(array, F.least(low + 1, (F.col("_n") - 1).cast("int")))
+        return here * (1 - (place - low)) + after * (place - low)
+
+    def from_arrays(rows: DataFrame) -> DataFrame:
+        sorted_ = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.sort_array(F.collect_list("_v")).alias("_all"))
+        quartiles = sorted_.select(*keys, "_n", "_all", at("_all", 0.25).alias("q1"), at("_all", 0.5).alias("median"), at("_all", 0.75).alias("q3"))
+        apart = quartiles.withColumn("_apart", F.sort_array(F.transform("_all", lambda x: F.abs(x - F.col("median")))))
+        return apart.select(*keys, "_n", "q1", "median", "q3", at("_apart", 0.5).alias("mad"))
+
+    if slices.hot is None:
+        return from_arrays(data)
+    hot_keys = F.broadcast(slices.hot.select(*keys))
+    hot = data.join(hot_keys, keys, "left_semi")
+    stats = group_quantiles(hot, keys, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, slices)
+    apart = join_group_rows(hot, stats, slices, "_v").withColumn("_apart", F.abs(F.col("_v") - F.col("median")))
+    mads = group_quantiles(apart, keys, "_apart", {"mad": 0.5}, plan_slices(apart, keys, "_apart", limit)).drop("_n")
+    return stats.join(mads, keys).unionByName(from_arrays(data.join(hot_keys, keys, "left_anti")))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starq.functions.scalars import number, parse_bool_or_false, strip
 from starq.operators.joins import require_columns
-from starq.operators.quantiles import group_quantiles
+from starq.operators.quantiles import group_spread
 from starq.operators.slicing import LIMIT, join_group_rows, plan_slices
 from starq.plans.quality import row_identifier
 from starq.schemas import OUTLIER_METRICS
@@ -85,11 +85,8 @@ def score_groups(
     """
     keys = list(keys)
     slices = plan_slices(values, keys, value, limit)
-    stats = group_quantiles(values, keys, value, {"q1": 0.25, "q3": 0.75, "median": 0.5}, slices)
-    with_stats = join_group_rows(values, stats.withColumnRenamed("_n", "tested"), slices, value)
-    distance = with_stats.withColumn("_distance", F.abs(F.col(value) - F.col("median")))
-    mads = group_quantiles(distance, keys, "_distance", {"mad": 0.5}, slices_of(distance, keys, slices, limit))
-    scored = join_group_rows(distance, mads.drop("_n"), slices, value)
+    stats = group_spread(values, keys, value, slices, limit).withColumnRenamed("_n", "tested")
+    scored = join_group_rows(values, stats, slices, value)
 
     enough = F.col("tested") >= smallest
     spread = F.col("q3") - F.col("q1")
@@ -112,15 +109,9 @@ def score_groups(
         .withColumn("q3", F.when(F.col("iqr_lower_bound").isNotNull(), F.col("q3")))
         .withColumn("median", F.when(F.col("modified_z_score").isNotNull(), F.col("median")))
         .withColumn("mad", F.when(F.col("modified_z_score").isNotNull(), F.col("mad")))
-        .drop("_distance")
     )
 
 
-def slices_of(distance: DataFrame, keys: Sequence[str], slices, limit: int):
-    """Cut points for the distances: needed only where the values were cut, too."""
-    return slices if slices.hot is None else plan_slices(distance, keys, "_distance", limit)
-
-
 def interpretation(score: Column) -> Column:
     return F.when(score >= 2, "STRONG_CONSENSUS_OUTLIER").when(score == 1, "WEAK_ANOMALY").otherwise("NORMAL")
 
