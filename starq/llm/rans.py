@@ -142,8 +142,9 @@ _VISIBLE = _visible_bytes()
 class WordTokenizer:
     """Ids of a tokenizer that never joins words: white space separates and has no ids itself.
 
-    New words other than plain letters are encoded many at a time, with a special token
-    between them that no text can contain: words that spell a control string go one by one.
+    New words other than plain letters are encoded many at a time, with a control string
+    between them. Words that spell a control string in small letters have its id there, as
+    the library gives it; they go one by one, as do words that would spell one if lowered.
     """
 
     BETWEEN, AT_ONCE = "<|startoftext|>", 100
@@ -157,6 +158,11 @@ class WordTokenizer:
         self.joint = Tokenizer.from_file(path)
         self.between, self.size = self.joint.token_to_id(self.BETWEEN), self.joint.get_vocab_size()
         self.known: dict[bytes, bytes] = {}
+        controls = [t.content.encode() for t in self.joint.get_added_tokens_decoder().values() if t.special]
+        self.control = re.compile(b"|".join(map(re.escape, controls)))
+
+    def _one(self, word: bytes) -> bytes:
+        return np.array(self.joint.encode(word.decode(), add_special_tokens=False).ids, "<u2").tobytes()
 
     def _encode(self, new: list[bytes]) -> None:
         plain = [w for w in new if b"<|" not in w]
@@ -169,10 +175,10 @@ class WordTokenizer:
                 raw, cuts = ids.tobytes(), (2 * np.flatnonzero(ids == self.between)).tolist()
                 for word, begin, end in zip(run, [0, *(c + 2 for c in cuts)], [*cuts, len(raw)]):
                     self.known[word] = raw[begin:end]
-        self.joint.encode_special_tokens = True  # control strings in a text are text
+        self.joint.encode_special_tokens = True  # in capitals, what looks like a control string is text
         for word in new:
             if b"<|" in word:
-                self.known[word] = np.array(self.joint.encode(word.decode(), add_special_tokens=False).ids, "<u2").tobytes()
+                self.known[word] = self._one(word)
         self.joint.encode_special_tokens = False
 
     def learn(self, new: set[bytes]) -> None:
@@ -182,7 +188,9 @@ class WordTokenizer:
         plain, other = [], []
         for word in new:
             found = _PLAIN.fullmatch(word)
-            if found:
+            if word.startswith(b" "):  # holds a control string, see ids()
+                known[word] = self._one(word[1:])
+            elif found:
                 plain.append((word, *found.groups()))
             else:
                 other.append(word)
@@ -200,15 +208,24 @@ class WordTokenizer:
 
         Equal words of a slice are looked up once.
         """
-        hashes = scan.word_hashes(lower=True)
+        hashes, exact = scan.word_hashes(lower=True), scan.data.tobytes()
+        # Words with a control string keep their capitals; a space, which no word has, marks their keys.
+        marked = np.unique(np.searchsorted(scan.starts, [m.start() for m in self.control.finditer(exact)], "right") - 1)
+        if len(marked):
+            hashes[marked] = words.mix(scan.span_hashes(scan.starts[marked], scan.ends[marked]) + U64(1))
+        marked = set(marked.tolist())
         order = np.argsort(hashes)
         new = np.ones(len(order), bool)
         new[1:] = hashes[order[1:]] != hashes[order[:-1]]
         which = np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
         first = order[new]
-        raw = scan.data.tobytes().lower()
+        raw = exact.lower()
         distinct = [raw[s:e] for s, e in zip(scan.starts[first].tolist(), scan.ends[first].tolist())]
+        if marked:
+            for i, word in enumerate(first.tolist()):
+                if word in marked:
+                    distinct[i] = b" " + exact[scan.starts[word] : scan.ends[word]]
         found = list(map(self.known.get, distinct))
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
