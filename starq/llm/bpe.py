@@ -47,6 +47,8 @@ class Vocabulary:
         self.ending = {t[i:]: -1 for t in self.rank for i in range(1, len(t))} | self.rank
         self.pairs: dict[tuple[int, int], bool] = {}
         self.alone: dict[int, bool] = {}
+        #: Bytes of the longest token.
+        self.longest = max(map(len, self.rank))
         #: The last token of the encoding of each short prefix met so far, shared by all pieces.
         self.last: dict[bytes, int] = {}
 
@@ -136,9 +138,13 @@ class Prefixes:
         self.append(text)
 
     def append(self, more: bytes) -> None:
-        start, self.text = len(self.text), self.text + more
+        self.text += more
+        self._reach(len(self.text))
+
+    def _reach(self, place: int) -> None:
+        """Fills the table up to a place in the text."""
         voc, last, text = self.vocabulary, self.last, self.text
-        for end in range(start + 1, len(text) + 1):
+        for end in range(len(last), place + 1):
             begin, token = end - 1, voc.ending.get(text[end - 1 : end])
             while token is not None:
                 if token >= 0 and (voc.fits(last[begin], token) if begin else voc.stands(token)):
@@ -149,12 +155,26 @@ class Prefixes:
             else:
                 raise ValueError("a byte has no token")
 
-    def edit(self, start: int, end: int, new: bytes) -> None:
-        """Replaces bytes start to end; prefixes that end before them stay as they are."""
-        rest = new + self.text[end:]
-        self.text = self.text[:start]
+    def edit(self, start: int, end: int, new: bytes) -> int:
+        """Replaces bytes start to end; returns how many prefixes were encoded anew.
+
+        Prefixes that end before the edit stay. Behind it, a prefix's last token follows
+        from the bytes it covers and the token before it, so once as many places in a row
+        as the longest token has bytes agree with the table from before the edit, moved,
+        all later ones do: the rest of that table is reused.
+        """
+        old, shift = self.last[end + 1 :], len(new) - (end - start)
+        self.text = self.text[:start] + new + self.text[end:]
         del self.last[start + 1 :]
-        self.append(rest)
+        agreed = 0
+        for place in range(start + 1, len(self.text) + 1):
+            self._reach(place)
+            was = place - shift - end - 1
+            agreed = agreed + 1 if was >= 0 and old[was] == self.last[-1] else 0
+            if agreed >= self.vocabulary.longest:
+                self.last.extend(old[was + 1 :])
+                return place - start
+        return len(self.text) - start
 
     def tokens(self) -> list[int]:
         out, end = [], len(self.text)

@@ -139,6 +139,12 @@ def test_bpe_prefixes(library):
         a, b = sorted(rng.sample(range(len(grown.text) + 1), 2))
         grown.edit(a, b, bytes(rng.choices(b"abcdeinst", k=rng.randrange(5))) or b"q")
         assert grown.tokens() == bpe.Prefixes(voc, grown.text).tokens()
+    # Edits of a long text are encoded near their place only.
+    long = bpe.Prefixes(voc, "".join(rng.choices("etaoinshrdlu", k=20_000)).encode())
+    for _ in range(30):
+        a = rng.randrange(len(long.text))
+        assert long.edit(a, a + rng.randrange(4), bytes(rng.choices(b"abcdeinst", k=rng.randrange(1, 9)))) < 10 * voc.longest
+    assert long.last == bpe.Prefixes(voc, long.text).last
 
 
 def test_rans_blocks():
@@ -164,9 +170,20 @@ def written(session, docs):
     return rans.read_documents(session, path).collect()
 
 
+def test_control_strings_have_their_ids(session):
+    """As the library gives them: apart, glued to words, signs and marks, repeated, and in capitals."""
+    library, rng = Tokenizer.from_file(WORDS), random.Random(6)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|endof", "text|>", "a", "Don't", "'s", " ", "\n", "é", "\u0301", "7", "<|", "|>", "\xa0", "\x00", "漢"]
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", *("".join(rng.choices(parts, k=rng.randrange(1, 9))) for _ in range(400))]
+    table = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in written(session, table)}
+    for i, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids)), text
+
+
 def test_token_files_on_odd_rows(session, odd, none):
     library, start = Tokenizer.from_file(WORDS), 0
-    library.encode_special_tokens = True
     rows = written(session, odd.repartition(5))
     assert len(rows) == odd.count()
     order = lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or "")
