@@ -3,8 +3,9 @@
 Detected entities are replaced by keyed surrogates of the same type and format:
 letters stay letters, digits digits, capitals capitals; cards keep their leading
 digit and whether their check digit is right, addresses their private range,
-e-mail users of one domain share a surrogate domain, names follow the title's
-gender and the script (each given name its own, initials and particles in place).
+names follow the title's gender and the script, with particles in place. Surnames,
+given names and domains are entities of their own: each has one surrogate wherever it
+occurs, alone or in a whole name or address, and shares it with no other.
 An entity is matched to its end: secrets of any length, digits or not, from eight
 characters on; names of any number of words; domains as long as DNS allows (127
 parts of 63 characters). It may follow anything but a letter or digit, and letters of scripts without spaces
@@ -14,6 +15,8 @@ aside), so all its spellings get the same surrogate. A surrogate that is an enti
 of the corpus, or that two entities share, is drawn anew until none is left.
 Where a range of addresses is too full for that (192.168 has 65,536), late draws
 come from 10.0.0.0/8, and then from IPv6 ranges kept for private use and documents.
+Numbers and keys of fixed length that MOST_ROUNDS draws cannot part (billions of them)
+are all moved by one keyed bijection: still distinct, though one may meet a real one.
 
 Shuffled are distinct entities and the documents that hold any; others pass.
 
@@ -25,14 +28,14 @@ repeated and equal; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starq.llm.common import Scratch
 
+#: Rounds of draws; kinds that cannot grow and are still not apart are moved by a bijection instead.
 MOST_ROUNDS = 40
+FIXED_LENGTH = ("ssn", "card", "phone", "key")
 #: From this draw on, names, secrets and e-mail addresses may grow by a few characters,
 #: and IP addresses leave their range, from twice as many on IPv4 (see _ip).
 GROW_FROM = 4
@@ -181,11 +184,17 @@ def _extra(seed: Column, attempt: Column) -> Column:
 
 
 def _email(c: Column, key: str, attempt: Column) -> Column:
-    user, domain = F.substring_index(c, "@", 1), F.substring_index(c, "@", -1)
-    top = F.substring_index(domain, ".", -1)
-    site = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
+    """Another user at the same domain; the domain is replaced as an entity of its own."""
     seed = _seed(key, "email", c, attempt.cast("string"))
-    return F.concat(_same_class(user, seed), _extra(seed, attempt), F.lit("@"), _same_class(site, _seed(key, "site", site)), F.lit("."), top)
+    return F.concat(_same_class(F.substring_index(c, "@", 1), seed), _extra(seed, attempt), F.lit("@"), F.substring_index(c, "@", -1))
+
+
+def _domain(c: Column, seed: Column, attempt: Column) -> Column:
+    """Another site of the same top domain; all draws but the first are longer than the last."""
+    top = F.substring_index(c, ".", -1)
+    site = F.substring(c, F.lit(1), F.length(c) - F.length(top) - 1)
+    more = F.when(attempt > 0, F.lower(F.substring(seed, F.lit(1), attempt))).otherwise("")
+    return F.concat(_same_class(site, seed), more, F.lit("."), top)
 
 
 def _luhn(payload: Column) -> Column:
@@ -234,6 +243,24 @@ def _ip(c: Column, seed: Column, attempt: Column) -> Column:
     )
 
 
+def _rotated(kind: Column, c: Column, key: str) -> Column:
+    """Every character moved within its class by a keyed step of its place: one to one at any number of entities.
+
+    Cards keep their first digit, and how far their check digit is off.
+    """
+    seed = _seed(key, "rotation")
+
+    def one(i):
+        char = _at(c, i)
+        turn = lambda signs: F.substring(F.lit(signs), F.pmod(F.instr(F.lit(signs), char) + _draw(seed, i, len(signs) - 1), F.lit(len(signs))) + 1, F.lit(1))
+        return F.when(char.between("0", "9"), turn("0123456789")).when(char.between("A", "Z"), turn("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(char)
+
+    turned = _joined(c, one)
+    payload = F.concat(F.substring(c, 1, 1), F.substring(turned, 2, 14))
+    off = F.pmod(F.substring(c, 16, 1).cast("int") - _luhn(F.substring(c, 1, 15)), F.lit(10))
+    return F.when(kind == "card", F.concat(payload, ((_luhn(payload) + off) % 10).cast("string"))).otherwise(turned)
+
+
 def _ssn(seed: Column) -> Column:
     return F.concat(
         F.lpad((1 + _draw(seed, 1, 665)).cast("string"), 3, "0"), F.lpad((1 + _draw(seed, 2, 99)).cast("string"), 2, "0"),
@@ -241,28 +268,42 @@ def _ssn(seed: Column) -> Column:
     )
 
 
-def _name(kind: Column, c: Column, key: str, attempt: Column) -> Column:
-    """Given names of the gender for all words but the last; a surname that follows the surname alone."""
-    named = F.split(c, " ")
-    own, extra = F.when(attempt > 0, c).otherwise(""), attempt.cast("string")
+def _syllables(script: str, seed: Column, n: Column) -> Column:
+    pick = lambda i: F.element_at(F.array(*map(F.lit, SYLLABLES[script])), 1 + _draw(seed, i, len(SYLLABLES[script])))
+    return F.concat_ws("", F.transform(F.sequence(F.lit(1), n), pick))
+
+
+def _name_part(kind: Column, seed: Column, attempt: Column) -> Column:
+    """Small letters of a given name (of the list at first, then of syllables) or a surname. Every draw takes a syllable more."""
+    out = F.lit(None).cast("string")
+    for script in SYLLABLES:
+        for gender in TITLES:
+            names = GIVEN[gender, script]
+            listed = F.lower(F.element_at(F.array(*map(F.lit, names)), 1 + _draw(seed, 0, len(names))))
+            made = F.concat(_syllables(script, seed, 1 + attempt), F.lit({"latin": "a", "cyrillic": "а"}[script] if gender == "f" else ""))
+            out = F.when(kind == f"given:{gender}:{script}", F.when(attempt == 0, listed).otherwise(made)).otherwise(out)
+            ending = {"latin": "", "cyrillic": "ова" if gender == "f" else "ов"}[script]
+            family = F.concat(_syllables(script, seed, 2 + attempt), F.lit(ending))
+            out = F.when(kind == _family(F.lit(gender), F.lit(script)), family).otherwise(out)
+    return out
 
-    def of(gender: str, script: str) -> Column:
-        pick = lambda words, seed, i: F.element_at(F.array(*map(F.lit, words)), 1 + _draw(seed, i, len(words)))
-        family = _seed(key, "surname", F.element_at(named, -1), own, extra)
-        # Late draws take more syllables, so there is always another surname.
-        parts = F.transform(F.sequence(F.lit(1), 2 + F.floor(attempt / GROW_FROM).cast("int")), lambda i: pick(SYLLABLES[script], family, i))
-        ending = {"latin": "", "cyrillic": "ова" if gender == "f" else "ов"}[script]
-        surname = F.concat(F.initcap(F.concat_ws("", parts)), F.lit(ending))
 
-        def given(word: Column, i: Column) -> Column:
-            name = pick(GIVEN[gender, script], _seed(key, "given", word, own, extra), 0)
-            initial = F.concat(F.substring(name, 1, 1), F.lit("."))
-            return F.when(word.isin(*PARTICLES), word).when(word.endswith("."), initial).otherwise(name)
+def _family(gender: Column, script: Column) -> Column:
+    """Surnames are one kind where they do not change with the gender."""
+    return F.when(script == "cyrillic", F.concat_ws(":", F.lit("family"), gender, script)).otherwise(F.concat_ws(":", F.lit("family"), script))
 
-        return F.concat_ws(" ", F.transform(F.slice(named, F.lit(1), F.size(named) - 1), given), surname)
 
-    choices = [(F.lit(f"name:{g}:{s}"), of(g, s)) for g, s in GIVEN]
-    return reduce(lambda rest, choice: F.when(kind == choice[0], choice[1]).otherwise(rest), choices, F.lit(None).cast("string"))
+# The letters that initials are moved among, each within its alphabet.
+_ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя")
+
+
+def _initial(word: Column, key: str) -> Column:
+    """Another initial, by a keyed rotation of its alphabet: different initials stay different."""
+    letter, out = F.substring(word, 1, 1), F.substring(word, 1, 1)
+    for alphabet in _ALPHABETS:
+        place, shift = F.instr(F.lit(alphabet), letter), 1 + _draw(_seed(key, "initial", alphabet), 0, len(alphabet) - 1)
+        out = F.when(place > 0, F.substring(F.lit(alphabet), F.pmod(place - 1 + shift, F.lit(len(alphabet))) + 1, F.lit(1))).otherwise(out)
+    return F.concat(F.upper(out), F.lit("."))
 
 
 def _surrogate(key: str) -> Column:
@@ -272,7 +313,8 @@ def _surrogate(key: str) -> Column:
     letters = F.when(c.rlike("^[0-9a-f]+$") | c.rlike("^[0-9A-F]+$"), 6).otherwise(26)
     return (
         F.when(kind == "email", _email(c, key, attempt)).when(kind == "card", _card(c, seed)).when(kind == "phone", _phone(c, seed))
-        .when(kind == "ip", _ip(c, seed, attempt)).when(kind == "ssn", _ssn(seed)).when(kind.startswith("name"), _name(kind, c, key, attempt))
+        .when(kind == "ip", _ip(c, seed, attempt)).when(kind == "ssn", _ssn(seed)).when(kind == "domain", _domain(c, seed, attempt))
+        .when(kind.startswith("given") | kind.startswith("family"), _name_part(kind, seed, attempt))
         .when(kind == "secret", F.concat(_same_class(c, seed, letters), _extra(seed, attempt))).otherwise(_same_class(c, seed, letters))
     )
 
@@ -324,7 +366,55 @@ def mapping(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         again = F.col("lost") | F.coalesce("real", F.lit(False))
         redrawn = met.withColumn("attempt", F.col("attempt") + again.cast("int")).select("kind", "canon", "attempt")
         now = scratch.write(drawn(redrawn), f"draw-{turn}")
-    raise RuntimeError("no distinct surrogates found")
+    # Kinds of fixed length that are too full to draw from: all of the kind is moved by one bijection.
+    stuck = {r["kind"] for r in clash.select("kind").distinct().collect()}
+    if stuck - set(FIXED_LENGTH):
+        raise RuntimeError(f"no distinct surrogates found for {sorted(stuck - set(FIXED_LENGTH))}")
+    moved = F.when(F.col("kind").isin(*stuck), _rotated(F.col("kind"), F.col("canon"), key)).otherwise(F.col("surrogate"))
+    return now.select("kind", "canon", moved.alias("surrogate"))
+
+
+def _name_words(entities: DataFrame) -> DataFrame:
+    """kind, canon, place, word and part (the kind of the word, NULL for particles and initials) of names."""
+    names = entities.where(F.col("kind").startswith("name")).select("kind", "canon", F.split("canon", " ").alias("words"))
+    words = names.select("kind", "canon", F.size("words").alias("n"), F.posexplode("words").alias("place", "word"))
+    gender, script = F.split_part("kind", F.lit(":"), F.lit(2)), F.split_part("kind", F.lit(":"), F.lit(3))
+    part = F.when(F.col("place") == F.col("n") - 1, _family(gender, script)).when(
+        ~F.col("word").isin(*PARTICLES) & ~F.col("word").endswith("."), F.concat_ws(":", F.lit("given"), gender, script)
+    )
+    return words.select("kind", "canon", "place", "word", part.alias("part"))
+
+
+def surrogates(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """kind, canon, surrogate of distinct entities(kind, canon).
+
+    Surnames, given names and domains are entities of their own: each has one surrogate
+    wherever it occurs, and that one no other. Names and e-mail addresses are put together
+    from these, so they are as distinct as their parts.
+    """
+    entities = entities.select("kind", "canon")
+    words = scratch.write(_name_words(entities), "words")
+    whole = entities.where(~F.col("kind").startswith("name"))
+    domain = F.substring_index("canon", "@", -1)
+    parts = whole.union(words.where("part IS NOT NULL").select("part", "word").distinct()).union(
+        whole.where("kind = 'email'").select(F.lit("domain"), domain).distinct()
+    )
+    mapped = scratch.write(mapping(scratch.write(parts, "parts"), key, scratch), "mapped")
+
+    known = mapped.select(F.col("kind").alias("part"), F.col("canon").alias("word"), "surrogate")
+    new_word = (
+        F.when(F.col("surrogate").isNotNull(), F.initcap("surrogate")).when(F.col("word").endswith("."), _initial(F.col("word"), key)).otherwise(F.col("word"))
+    )
+    placed = words.where("part IS NOT NULL").join(known, ["part", "word"]).unionByName(words.where("part IS NULL"), allowMissingColumns=True)
+    names = placed.groupBy("kind", "canon").agg(
+        F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("place", new_word.alias("said")))), lambda w: w["said"])).alias("surrogate")
+    )
+    domains = mapped.where("kind = 'domain'").select(F.col("canon").alias("domain"), F.col("surrogate").alias("site"))
+    emails = mapped.where("kind = 'email'").withColumn("domain", domain).join(domains, "domain").select(
+        "kind", "canon", F.concat(F.substring_index("surrogate", "@", 1), F.lit("@"), "site").alias("surrogate")
+    )
+    alone = mapped.where(~F.col("kind").isin("email", "domain") & ~F.col("kind").startswith("given") & ~F.col("kind").startswith("family"))
+    return alone.unionByName(names).unionByName(emails)
 
 
 def replace_entities(docs: DataFrame, key: str, count_as: str | None = None) -> DataFrame:
@@ -340,8 +430,7 @@ def replace_entities(docs: DataFrame, key: str, count_as: str | None = None) ->
         .withColumn("canon", _canonical(kind, body))
     )
     entities = scratch.write(spelled.select("kind", "canon").distinct(), "entities")
-    surrogates = mapping(entities, key, scratch)
-    said = spelled.join(surrogates, ["kind", "canon"]).select(
+    said = spelled.join(surrogates(entities, key, scratch), ["kind", "canon"]).select(
         "row", "place", F.concat("lead", _poured(kind, body, F.col("surrogate"))).alias("said")
     )
     per_row = said.groupBy("row").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "said"))), lambda s: s["said"]).alias("said"))

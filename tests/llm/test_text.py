@@ -287,3 +287,49 @@ def test_whole_tables(session):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == stripped(rows)
     got = queries.op10(session, SF_DIR).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == linked(rows)
+
+
+def test_parts_of_names_and_addresses_are_one_to_one(session):
+    """5,000 surnames, alone and with given names, and 2,000 domains, all two-character .com ones among them."""
+    letters, signs = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789"
+    rng = random.Random(4)
+    families = sorted({"".join(rng.choices(letters, k=6)) for _ in range(5000)})
+    given = ["john", "mary-ann", "j.", "k.", "von", "wim"]
+    domains = [f"{a}{b}.com" for a in signs for b in signs] + [f"site{i}.example.org" for i in range(704)]
+    rows = [("name:m:latin", f) for f in families] + [("name:m:latin", f"{g} {f}") for f in families[:600] for g in given]
+    rows += [("name:f:latin", f) for f in families[:300]] + [("name:f:cyrillic", f"{g} {f}") for g in ("анна", "м.") for f in ("иванова", "петрова")]
+    rows += [("email", f"{u}@{d}") for d in domains for u in ("a", "info")] + [("ssn", "111-22-3333".replace("-", ""))]
+    got = {(r.kind, r.canon): r.surrogate for r in pii.surrogates(session.createDataFrame(rows, "kind string, canon string"), "key", Scratch(session, "parts")).collect()}
+    assert len(got) == len(rows)
+    for kind in {k for k, _ in rows}:
+        drawn = [s.lower() for (k, _), s in got.items() if k == kind]
+        assert len(set(drawn)) == len(drawn) and not set(drawn) & {c for k, c in got if k == kind}
+    family = {f: got["name:m:latin", f] for f in families}
+    assert len(set(family.values())) == len(families) and not {f.lower() for f in family.values()} & set(families)
+    first = {g: {got["name:m:latin", f"{g} {f}"].split(" ")[0] for f in families[:600]} for g in given}
+    for f in families[:600]:
+        assert {got["name:m:latin", f"{g} {f}"].split(" ")[-1] for g in given} == {family[f]}
+    assert all(got["name:f:latin", f] == family[f] for f in families[:300])
+    assert all(len(names) == 1 for names in first.values()) and len({n for names in first.values() for n in names}) == len(given)
+    assert first["von"] == {"von"} and all(len(n) == 2 and n[1] == "." for g in ("j.", "k.") for n in first[g])
+    site = {d: {got["email", f"{u}@{d}"].split("@")[1] for u in ("a", "info")} for d in domains}
+    assert all(len(s) == 1 for s in site.values())
+    assert len({s for found in site.values() for s in found}) == len(domains) and not {s for found in site.values() for s in found} & set(domains)
+    assert all(next(iter(s)).endswith(d[d.rindex("."):]) for d, s in site.items())
+
+
+def test_kinds_too_full_to_draw_from(session, monkeypatch):
+    """Half of all four-digit phones, cards of one payload and dense keys, after a single round of draws."""
+    monkeypatch.setattr(pii, "MOST_ROUNDS", 1)
+    rows = [("phone", f"{i:04d}") for i in range(5000)] + [("card", f"4{i:015d}") for i in range(600)] + [("key", f"{i:016d}") for i in range(300)]
+    rows += [("email", f"user{i}@example.org") for i in range(5)]
+    got = {(r.kind, r.canon): r.surrogate for r in pii.mapping(session.createDataFrame(rows, "kind string, canon string"), "key", Scratch(session, "full")).collect()}
+    assert len(got) == len(rows) == len({(k, s) for (k, _), s in got.items()})
+    assert all(len(s) == len(c) for (k, c), s in got.items() if k != "email")
+
+    def luhn(number):
+        digits = [int(d) * (2 if i % 2 else 1) for i, d in enumerate(reversed(number))]
+        return sum(d - 9 if d > 9 else d for d in digits) % 10 == 0
+
+    assert all(luhn(c) == luhn(s) and s[0] == c[0] for (k, c), s in got.items() if k == "card")
+    assert len({s for (k, _), s in got.items() if k == "phone"}) == 5000
