@@ -6,7 +6,7 @@ A log row is (conv_id, seq, kind, turn, role, text). In order of seq:
   edit        replaces the text of the message at `turn`; later deltas append to it
   regenerate  withdraws the messages at `turn` and after it, as logged so far
 The fold works per message, so a long conversation spreads over tasks; only the
-place of withdrawals runs along a conversation, as a spilling window.
+places of withdrawals run along a conversation, as a window over its turns' numbers.
 
 A rendered row is one turn: its piece of the formatted conversation and the span
 (code points within the piece) that counts towards the loss. Pieces in order of
@@ -37,18 +37,35 @@ DIGEST = (
 )
 
 
-def log_of_turns(conversations: DataFrame) -> DataFrame:
-    """A table of finished turns as a log: each turn is opened, then its text streams in."""
+def log_of_turns(conversations: DataFrame, drafts: bool = False) -> DataFrame:
+    """A table of finished turns as a log: each turn is opened, then its text streams in.
+
+    drafts: turns are first answered otherwise and then, by a hash of conversation and
+    turn, regenerated or edited, and streamed in two deltas; what stands in the end is the same.
+    """
     one_turn = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     turns = conversations.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("copy", F.row_number().over(one_turn))
-    event = lambda kind, step, text: F.struct(F.lit(kind).alias("kind"), F.lit(step).alias("step"), text.alias("text"))
-    events = turns.withColumn(
-        "event", F.explode(F.array(event("open", 0, F.lit("")), event("delta", 1, F.col("text"))))
-    )
-    # The steps of one message only have to be in order among themselves here.
-    return events.select("conv_id", F.col("event.step").cast("long").alias("seq"), "event.kind", "turn", "copy", "role", "event.text")
+
+    def event(kind: str, step: int, text: F.Column) -> F.Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(step).alias("step"), text.alias("text"))
+
+    empty, text = F.lit(""), F.col("text")
+    events = F.array(event("open", 0, empty), event("delta", 1, text))
+    if drafts:
+        half = (F.length(text) / 2).cast("int")
+        first, rest = F.substring(text, F.lit(1), half), F.expr("substring(text, cast(length(text) / 2 as int) + 1)")
+        again = F.array(
+            event("open", 0, empty), event("delta", 1, F.lit("a draft")), event("regenerate", 2, empty),
+            event("open", 3, empty), event("delta", 4, first), event("delta", 5, rest),
+        )
+        edited = F.array(event("open", 0, F.lit("a draft")), event("edit", 3, first), event("delta", 4, rest))
+        fate = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))
+        events = F.when(fate == 0, again).when(fate == 1, edited).otherwise(events)
+    # Later turns are logged later: a regeneration withdraws what was logged so far at its turn and after it.
+    seq = F.coalesce(F.col("turn").cast("long"), F.lit(-1)) * 8 + F.col("event.step")
+    return turns.withColumn("event", F.explode(events)).select("conv_id", seq.alias("seq"), "event.kind", "turn", "copy", "role", "event.text")
 
 
 def fold(log: DataFrame) -> DataFrame:
@@ -56,11 +73,18 @@ def fold(log: DataFrame) -> DataFrame:
     if "copy" not in log.columns:
         log = log.withColumn("copy", F.lit(1))
     events = log.select(*LOG).withColumn("text", F.coalesce("text", F.lit("")))
+    # Where each turn was withdrawn last: one slim row a turn, of conversations with regenerations only.
+    turns = events.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("again"))
+    some = turns.where("again IS NOT NULL").select(F.col("conv_id").alias("some")).distinct()
+    turns = turns.join(some, F.col("conv_id").eqNullSafe(F.col("some")), "left_semi")
     so_far = Window.partitionBy("conv_id").orderBy("turn").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    withdrawn = F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).over(so_far)
+    withdrawn = turns.select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), F.max("again").over(so_far).alias("withdrawn")).where(
+        "withdrawn IS NOT NULL"
+    )
     standing = (
-        events.withColumn("withdrawn", withdrawn)
-        .where((F.col("kind") != "regenerate") & (F.col("withdrawn").isNull() | (F.col("seq") > F.col("withdrawn"))))
+        events.where("kind <> 'regenerate'")
+        .join(withdrawn, F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn")), "left")
+        .where("withdrawn IS NULL OR seq > withdrawn")
     )
     messages = standing.groupBy("conv_id", "turn", "copy").agg(
         F.max(F.when(F.col("kind") == "open", F.struct("seq", "role"))).alias("opened"),
