@@ -73,30 +73,26 @@ def fold(log: DataFrame) -> DataFrame:
     if "copy" not in log.columns:
         log = log.withColumn("copy", F.lit(1))
     events = log.select(*LOG).withColumn("text", F.coalesce("text", F.lit("")))
-    # Where each turn was withdrawn last: one slim row a turn, of conversations with regenerations only.
-    turns = events.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("again"))
-    some = turns.where("again IS NOT NULL").select(F.col("conv_id").alias("some")).distinct()
-    turns = turns.join(some, F.col("conv_id").eqNullSafe(F.col("some")), "left_semi")
+    # Where each message was withdrawn last: slim rows, of conversations with regenerations only.
+    message = ["conv_id", "turn", "copy"]
+    slim = events.groupBy(*message).agg(F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("again"))
+    some = slim.where("again IS NOT NULL").select(F.col("conv_id").alias("some")).distinct()
+    slim = slim.join(some, F.col("conv_id").eqNullSafe(F.col("some")), "left_semi")
     so_far = Window.partitionBy("conv_id").orderBy("turn").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    withdrawn = turns.select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), F.max("again").over(so_far).alias("withdrawn")).where(
-        "withdrawn IS NOT NULL"
+    marks = slim.select(*message, F.lit("withdrawn").alias("kind"), F.max("again").over(so_far).alias("seq")).where("seq IS NOT NULL")
+    # They meet the texts where these are gathered anyway.
+    rows = events.where("kind <> 'regenerate'").unionByName(marks, allowMissingColumns=True)
+    step = F.when(F.col("kind") != "withdrawn", F.struct("seq", "text", "kind", "role"))
+    gathered = rows.groupBy(*message).agg(
+        F.max(F.when(F.col("kind") == "withdrawn", F.col("seq"))).alias("withdrawn"), F.sort_array(F.collect_list(step)).alias("steps")
     )
-    standing = (
-        events.where("kind <> 'regenerate'")
-        .join(withdrawn, F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn")), "left")
-        .where("withdrawn IS NULL OR seq > withdrawn")
-    )
-    messages = standing.groupBy("conv_id", "turn", "copy").agg(
-        F.max(F.when(F.col("kind") == "open", F.struct("seq", "role"))).alias("opened"),
-        F.max(F.when(F.col("kind") != "delta", F.col("seq"))).alias("base"),
-        F.sort_array(F.collect_list(F.struct("seq", "text"))).alias("steps"),
-    ).where("opened IS NOT NULL")
+    standing = F.filter("steps", lambda s: F.col("withdrawn").isNull() | (s["seq"] > F.col("withdrawn")))
+    opened = F.array_max(F.transform(F.filter("steps", lambda s: s["kind"] == "open"), lambda s: F.struct(s["seq"].alias("seq"), s["role"].alias("role"))))
+    messages = gathered.select(*message, standing.alias("steps")).withColumn("opened", opened).where("opened IS NOT NULL")
     # The latest full text, and the deltas after it.
-    base = F.greatest("base", "opened.seq")
-    kept = F.transform(F.filter("steps", lambda s: s["seq"] >= base), lambda s: s["text"])
-    return messages.select(
-        "conv_id", "turn", "copy", F.coalesce("opened.role", F.lit("")).alias("role"), F.concat_ws("", kept).alias("text")
-    )
+    base = F.array_max(F.transform(F.filter("steps", lambda s: s["kind"] != "delta"), lambda s: s["seq"]))
+    kept = F.transform(F.filter("steps", lambda s: s["seq"] >= F.col("base")), lambda s: s["text"])
+    return messages.withColumn("base", base).select(*message, F.coalesce("opened.role", F.lit("")).alias("role"), F.concat_ws("", kept).alias("text"))
 
 
 def _escape(c: F.Column) -> F.Column:
