@@ -76,7 +76,8 @@ def test_chat_query(session):
 
 
 def interleaved(rows, shards, seed=0):
-    order = lambda r: (hashlib.md5(f"{seed}:{'null' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] or 0, zlib.crc32((r[1] or "").encode()), len((r[1] or "").encode()))
+    seeded = lambda x: hashlib.md5(f"{seed}:{x}".encode()).hexdigest()
+    order = lambda r: (seeded(r[1] or ""), seeded("null" if r[0] is None else r[0]))
     by_source = collections.defaultdict(list)
     for r in rows:
         by_source[r[2]].append(r)
@@ -103,12 +104,38 @@ def test_shards(session, odd, none):
     assert sharding.interleave(none).count() == 0
 
 
+def test_equal_texts_mostly_share_a_shard(session):
+    """Pairs of copies within and across sources; one text has a third of all rows."""
+    rows = [(i, f"t{i % 900}", f"s{i % 2}") for i in range(1800)] + [(i, "copy", "s0") for i in range(1800, 2700)]
+    got = sharding.interleave(session.createDataFrame(rows, "doc_id long, text string, source string").repartition(5), 10).collect()
+    counts = collections.Counter(r.shard for r in got)
+    assert set(counts.values()) == {270}
+    shards = collections.defaultdict(set)
+    for r in got:
+        shards[r.text_crc32].add(r.shard)
+    split = [s for s in shards.values() if len(s) > 1]
+    assert len(shards) == 901 and len(split) <= 30
+
+
+def test_ties_and_copies_fill_all_ranges(session):
+    """Neither rows that tie at one fraction nor copies of one text meet in one task."""
+    ties = session.range(4000).selectExpr("0.5D as fraction", "cast(id as string) as source", "id as doc_id", "id as _row")
+    copies = session.range(4000).selectExpr("'hot' as source", "md5('same') as _text", "md5(cast(id as string)) as _id", "id as _row")
+    for df, order in ((ties, ["fraction", "source", "doc_id", "_row"]), (copies, ["source", "_text", "_id", "_row"])):
+        dealt = sharding._dealt(df, order, 8).groupBy("_range").count().collect()
+        assert sum(r["count"] for r in dealt) == 4000 and max(r["count"] for r in dealt) <= 1500
+
+
 def test_written_shards(session):
     docs = session.createDataFrame([(i, f"t{i}", "s") for i in range(50)], "doc_id long, text string, source string")
     placed, path = sharding.interleave(docs, 4), fresh_path(session, "shards")
     sharding.write_shards(docs, placed, path)
     back = session.read.parquet(path)
     assert back.count() == 50 and back.select("shard").distinct().count() == 4
+    in_files = back.selectExpr("shard", "slot", "input_file_name() as file", "monotonically_increasing_id() as at").collect()
+    for shard in range(4):
+        slots = [r.slot for r in sorted((r for r in in_files if r.shard == shard), key=lambda r: (r.file, r.at))]
+        assert slots == sorted(slots) and len(set(slots)) == len(slots) >= 12
 
 
 def test_bpe_on_odd_rows(odd, none, library):
