@@ -11,6 +11,7 @@ from contract.registry import query, stages
 from contract.views import base, sql_views, table, with_views
 from starq.functions import scalars as c
 from starq.operators.asof import Context, asof_join
+from starq.operators.domains import junk_keys
 from starq.operators.joins import enrich
 from starq.plans import validation, warehouse
 
@@ -217,6 +218,18 @@ def _(spark, sf):
     return warehouse.with_dimension_key(rows, dim, attributes, "mix_key").groupBy("mix_key").agg(F.count("*").alias("n_lines"))
 
 
+@query("map_dim_key_bitmap", f"""
+WITH m AS ({_MIX}), d AS (SELECT row_number() OVER (ORDER BY returned, status, has_many) AS mix_key, * FROM (SELECT DISTINCT * FROM m))
+SELECT mix_key, returned, status, has_many, count(*) AS n_lines FROM m JOIN d USING (returned, status, has_many) GROUP BY 1, 2, 3, 4""")
+def _(spark, sf):
+    """Keys as ranks in the bitmap of the domains' product; the dimension is read off the same bitmap."""
+    attributes = ["returned", "status", "has_many"]
+    rows = warehouse.boolean_flags(warehouse.unknown_filled(_mix(spark, sf), ["returned", "status"]), ["has_many"])
+    junk = junk_keys(rows, {"mix": ("mix_key", attributes)})["mix"]
+    counts = rows.select(junk.key().alias("mix_key")).groupBy("mix_key").agg(F.count("*").alias("n_lines"))
+    return junk.dimension(spark).join(counts, "mix_key")
+
+
 @query("fill_unknown", with_views("lap", """
 SELECT lap_id, coalesce(compound, 'Unknown') AS compound, 'Unknown' AS lap_type, coalesce(lower(fresh_tyre) IN ('yes', 'true'), false) AS fresh_tyre, false AS has_pit FROM v_lap"""))
 def _(spark, sf):

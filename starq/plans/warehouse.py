@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starq.functions import scalars as c
 from starq.operators.asof import Context, asof_join
+from starq.operators.domains import JunkKey, junk_keys
 from starq.operators.joins import enrich, require_columns
 from starq.operators.keys import first_per_key, number_rows, number_set
 from starq.operators.slicing import LIMIT
@@ -279,26 +280,51 @@ def result_work(tables: Mapping[str, DataFrame]) -> DataFrame:
     return boolean_flags(unknown_filled(result, texts), ("rain_flag",))
 
 
-def context_dimensions(work: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {n: context_dimension(work, CONTEXT_DIMENSIONS[n][1], CONTEXT_DIMENSIONS[n][0]) for n in names}
+def context_keys(work: DataFrame, names: Sequence[str], **limits: int) -> dict[str, JunkKey]:
+    """Key expressions of the context dimensions whose domains are small: two passes for all of them."""
+    return junk_keys(work, {n: CONTEXT_DIMENSIONS[n] for n in names}, **limits)
 
 
-def _fact(work: DataFrame, dimensions: Mapping[str, DataFrame], context: Sequence[str], key: str, columns: Sequence[str]):
+def context_dimensions(
+    work: DataFrame, names: Sequence[str], keys: Mapping[str, JunkKey] | None = None
+) -> dict[str, DataFrame]:
+    """The context dimensions: read off the bitmaps of `keys`, or numbered from the distinct rows."""
+    keys = keys or {}
+    return {
+        n: keys[n].dimension(work.sparkSession) if n in keys
+        else context_dimension(work, CONTEXT_DIMENSIONS[n][1], CONTEXT_DIMENSIONS[n][0])
+        for n in names
+    }
+
+
+def _fact(
+    work: DataFrame, dimensions: Mapping[str, DataFrame], context: Sequence[str], key: str, columns: Sequence[str],
+    keys: Mapping[str, JunkKey] | None = None,
+) -> DataFrame:
+    keys = keys or {}
     for name in context:
         dimension_key, attributes = CONTEXT_DIMENSIONS[name]
-        work = with_dimension_key(work, dimensions[name], attributes, dimension_key)
+        if name in keys:
+            work = work.withColumn(dimension_key, keys[name].key())
+        else:
+            work = with_dimension_key(work, dimensions[name], attributes, dimension_key)
     work = _with_columns(work, columns)
     return work.select(
         key, *[F.col(n).try_cast("bigint").alias(n) if n in WHOLE_NUMBERS else F.col(n) for n in columns]
     )
 
 
-def lap_fact(work: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    return _fact(work, dimensions, LAP_CONTEXT, "lap_performance_key", FACT_LAP)
+def lap_fact(
+    work: DataFrame, dimensions: Mapping[str, DataFrame], keys: Mapping[str, JunkKey] | None = None
+) -> DataFrame:
+    """Dimension keys by expression where `keys` has one, else by a join."""
+    return _fact(work, dimensions, LAP_CONTEXT, "lap_performance_key", FACT_LAP, keys)
 
 
-def result_fact(work: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    return _fact(work, dimensions, RESULT_CONTEXT, "session_result_key", FACT_RESULT)
+def result_fact(
+    work: DataFrame, dimensions: Mapping[str, DataFrame], keys: Mapping[str, JunkKey] | None = None
+) -> DataFrame:
+    return _fact(work, dimensions, RESULT_CONTEXT, "session_result_key", FACT_RESULT, keys)
 
 
 @dataclass(frozen=True)
@@ -318,14 +344,17 @@ class Warehouse:
 def build(
     tables: Mapping[str, DataFrame], stage=lambda df: df, limit: int = LIMIT
 ) -> Warehouse:
-    """The whole star. `stage` may write the two work frames once (dimensions and
-    facts both read them); see `starq.session.materialize`."""
+    """The whole star. `stage` may write the two work frames once (dimensions, their keys
+    and facts all read them); see `starq.session.materialize`."""
     laps, results = stage(lap_work(tables, limit)), stage(result_work(tables))
+    lap_keys, result_keys = context_keys(laps, LAP_CONTEXT), context_keys(results, RESULT_CONTEXT)
     dimensions = {
         "dim_driver": dim_driver(tables["driver"]),
         "dim_team": dim_team(tables["team"]),
         "dim_grand_prix": dim_grand_prix(tables["grand_prix"], tables["circuit"]),
-        **context_dimensions(laps, LAP_CONTEXT),
-        **context_dimensions(results, RESULT_CONTEXT),
+        **context_dimensions(laps, LAP_CONTEXT, lap_keys),
+        **context_dimensions(results, RESULT_CONTEXT, result_keys),
     }
-    return Warehouse(dimensions, lap_fact(laps, dimensions), result_fact(results, dimensions))
+    return Warehouse(
+        dimensions, lap_fact(laps, dimensions, lap_keys), result_fact(results, dimensions, result_keys)
+    )
