@@ -8,8 +8,11 @@ over their whole range, so it does not matter how many rows are poor.
 
 Defined results: null, empty or blank texts have zero counts and are scored like
 any other; equal texts score the same; a table without both labels among its
-training rows gives every document the neutral score CUT and keeps it; columns
-other than doc_id and text never reach the model.
+training rows gives every document the neutral score CUT and keeps it; a null doc_id
+is scored, is not held out and has no label; every row of a repeated doc_id is scored
+and, where labelled, is one row of the fit and the cut; an empty table gives no rows;
+columns other than doc_id and text never reach the model. One text is held whole in a
+task, at some 46 bytes of memory a byte.
 """
 
 from __future__ import annotations
@@ -49,7 +52,7 @@ class Ranking:
 
 
 def held_out() -> F.Column:
-    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
 def fit_pairs(x: np.ndarray, label: np.ndarray, seed: int = 17) -> Ranking | None:
@@ -75,11 +78,12 @@ def fit_pairs(x: np.ndarray, label: np.ndarray, seed: int = 17) -> Ranking | Non
     return Ranking(weights, center, scale)
 
 
-def _scorer(ranking: Ranking):
+def _scorer(ranking: Ranking, keep: str):
+    """Batches of one column of the input and the strength."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = {c: batch.column(c).to_numpy() for c in stats.COUNTS}
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ranking.strength(counts))], ["doc_id", "strength"])
+            yield pa.RecordBatch.from_arrays([batch.column(keep), pa.array(ranking.strength(counts))], [keep, "strength"])
 
     return run
 
@@ -115,9 +119,7 @@ def fit(counts: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ranki
     ranking = fit_pairs(stats.ratios({c: sample[c].to_numpy() for c in stats.COUNTS}), sample["quality"].to_numpy()) if len(sample) else None
     if ranking is None:
         return None
-    strengths = train.select("doc_id", *stats.COUNTS).mapInArrow(_scorer(ranking), SCHEMA).join(
-        train.select("doc_id", "quality"), "doc_id"
-    )
+    strengths = train.select("quality", *stats.COUNTS).mapInArrow(_scorer(ranking, "quality"), "quality int, strength double")
     cut = best_cut(strengths)
     return Ranking(ranking.weights, ranking.center, ranking.scale, cut)
 
@@ -133,5 +135,5 @@ def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataF
     else:
         # The cut maps to CUT; the strengths' order is the scores' order.
         odds = F.col("strength") - F.lit(ranking.cut) + F.lit(float(np.log(CUT / (1 - CUT))) + 1e-9)
-        scored = counts.mapInArrow(_scorer(ranking), SCHEMA).select("doc_id", (1 / (1 + F.exp(-odds))).alias("score"))
+        scored = counts.mapInArrow(_scorer(ranking, "doc_id"), SCHEMA).select("doc_id", (1 / (1 + F.exp(-odds))).alias("score"))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

@@ -77,6 +77,78 @@ def test_held_out_labels_change_nothing(session, odd, labels):
     assert score(labels) == score(flipped)
 
 
+def test_repeated_and_null_ids(session, odd, labels):
+    """Every row has its score, whatever its doc_id; a label of a repeated doc_id weighs as often as it has rows."""
+    more = odd.where("doc_id IN (1, 9)")
+    rows = quality.score(odd.union(more), labels).collect()
+    assert len(rows) == odd.count() + more.count()
+    assert all(r.held_out is False for r in rows if r.doc_id is None) and all(r.score is not None for r in rows)
+    counts = stats.document_counts(plain_documents(odd.union(odd)))
+    sizes = []
+    watched = quality.best_cut
+    quality.best_cut = lambda strengths: sizes.append(strengths.count()) or watched(strengths)
+    try:
+        quality.fit(counts, labels)
+    finally:
+        quality.best_cut = watched
+    labelled = {r.doc_id for r in labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    assert sizes == [2 * sum(r.doc_id in labelled for r in odd.collect())]
+
+
+def test_weights_are_the_minimum_of_the_loss():
+    """The gradient of the logistic loss, summed pair by pair in a loop, vanishes at the fitted weights."""
+    rng = np.random.default_rng(8)
+    x, label = rng.random((90, 4)), np.arange(90) % 3 == 0
+    x[:, 2] += 0.3 * label
+    fitted = quality.fit_pairs(x, label.astype(int), seed=17)
+    z = (x - fitted.center) / fitted.scale
+    drawn, n = np.random.default_rng(17), quality.PARTNERS * 60
+    good, poor = (drawn.permutation(np.resize(np.flatnonzero(label == v), n)) for v in (1, 0))
+    gradient = [quality.RIDGE * w for w in fitted.weights]
+    for g, p in zip(good, poor):
+        ahead = sum(w * (a - b) for w, a, b in zip(fitted.weights, z[g], z[p]))
+        for k in range(4):
+            gradient[k] -= (z[g][k] - z[p][k]) / (1 + np.exp(ahead)) / n
+    assert max(map(abs, gradient)) < 1e-6
+
+
+def test_cut_is_the_best_of_all(session):
+    rng = np.random.default_rng(3)
+    for shift in (0.2, 1.5):
+        label = (rng.random(80) < 0.4).astype(int)
+        strength = rng.normal(0, 1, 80) + shift * label
+        cut = quality.best_cut(session.createDataFrame(pd.DataFrame({"strength": strength, "quality": label})))
+        gain = lambda c: (strength[label == 0] < c).mean() - (strength[label == 1] < c).mean()
+        assert gain(cut) == pytest.approx(max(gain(c) for c in strength))
+
+
+def test_paths_equal_a_walk_by_hand():
+    rng = np.random.default_rng(11)
+    x = rng.random((400, 5))
+    forest = anomaly.grow(x, trees=7)
+
+    def walk(tree, node, row):
+        k = int(forest.feature[tree, node])
+        if k < 0:
+            return forest.path[tree, node]
+        return walk(tree, 2 * node + 1 + (row[k] >= forest.split[tree, node]), row)
+
+    rows = np.concatenate([x[:50], rng.random((50, 5)) * 3 - 1])
+    want = [sum(walk(t, 0, row) for t in range(7)) / 7 for row in rows]
+    assert forest.mean_path(rows) == pytest.approx(want, abs=1e-12)
+
+
+def test_threshold_is_the_best_allowed(session):
+    rng = np.random.default_rng(12)
+    label = (rng.random(3000) < 0.8).astype(int)
+    path = np.clip(rng.normal(5 + 2 * label, 0.8), 0.1, 9.9)
+    found = anomaly.calibrate(session.createDataFrame(pd.DataFrame({"path": path, "quality": label})), 10.0)
+    lost = lambda c, v: (path[label == v] < c).mean()
+    allowed = [c for c in np.arange(1, anomaly.BINS + 1) * 10.0 / anomaly.BINS if lost(c, 1) <= anomaly.MAX_GOOD_LOSS]
+    assert lost(found, 1) <= anomaly.MAX_GOOD_LOSS
+    assert lost(found, 0) - lost(found, 1) == pytest.approx(max(lost(c, 0) - lost(c, 1) for c in allowed))
+
+
 def test_pairs_rank_what_they_prefer():
     rng = np.random.default_rng(2)
     x, label = rng.random((600, 3)), np.arange(600) % 2
