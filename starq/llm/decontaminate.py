@@ -16,8 +16,11 @@ each over all documents, without a shuffle of texts.
 Defined results: null and empty texts and items match nothing; items of fewer than
 five words have a budget of 0 and match word for word, wherever these words stand;
 equal items with different ids are reported each; repeated rows of a document are
-reported once; a null doc_id or item_id is reported as null; empty tables give no
-rows; columns other than those used never matter.
+reported once; a null doc_id or item_id is reported as null; of equally good places
+the first is reported, and of the stretches that end there the longest; empty tables
+give no rows; columns other than those used never matter. One text is held whole in a
+task, at some 46 bytes of memory a byte; a block's items are cut on the driver,
+ITEMS_AT_ONCE of them, and each block reads the documents once.
 """
 
 from __future__ import annotations
@@ -83,10 +86,11 @@ def cuts(m: int, k: int) -> list[tuple[int, int]]:
     return list(zip([0, *ends[:-1]], ends))
 
 
-def best_quotation(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """Least edit distance of the item to any stretch of the text, and the place after that stretch.
+def _distances(item: np.ndarray, text: np.ndarray, anchored: bool) -> Iterator[int]:
+    """Edit distance of the item to the stretch that ends at each word and begins where it fits best.
 
     Column by column of the distance matrix; bits tell where it steps up or down.
+    Anchored: every stretch begins with the text, so skipped words in front cost too.
     """
     m = len(item)
     full, top = (1 << m) - 1, 1 << (m - 1)
@@ -94,19 +98,35 @@ def best_quotation(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     for i, word in enumerate(item.tolist()):
         places[word] = places.get(word, 0) | 1 << i
     up, down, distance = full, 0, m
-    best, at = m, 0
-    for j, word in enumerate(text.tolist()):
+    for word in text.tolist():
         equal = places.get(word, 0)
         diagonal = (((equal & up) + up) ^ up) | equal | down
         rises, falls = down | (full & ~(diagonal | up)), up & diagonal
         distance += bool(rises & top) - bool(falls & top)
-        rises, falls = rises << 1 & full, falls << 1 & full
+        rises, falls = (rises << 1 | anchored) & full, falls << 1 & full
         up, down = falls | (full & ~(diagonal | rises)), rises & diagonal
+        yield distance
+
+
+def best_quotation(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
+    """Least edit distance of the item to any stretch of the text, and the place after the first such stretch."""
+    best, at = len(item), 0
+    for j, distance in enumerate(_distances(item, text, anchored=False)):
         if distance < best:
             best, at = distance, j + 1
     return best, at
 
 
+def length_of(item: np.ndarray, text: np.ndarray, best: int) -> int:
+    """Length of the longest stretch that ends with the text and has this distance: the recurrence read backwards."""
+    text = text[-(len(item) + best):]
+    longest = 0
+    for j, distance in enumerate(_distances(item[::-1], text[::-1], anchored=True)):
+        if distance == best:
+            longest = j + 1
+    return longest
+
+
 class Pieces:
     """All pieces of a block of items, by length, as sorted hashes with a bitmap before them."""
 
@@ -176,7 +196,8 @@ class Pieces:
             reach[pair] = high
             distance, end = best_quotation(self.items[n], hashes[low:high])
             if distance <= k and (pair not in best or distance < best[pair][0]):
-                best[pair] = distance, max(low + end - m, int(scan.bounds[d])) - int(scan.bounds[d])
+                begin = low + end - length_of(self.items[n], hashes[low : low + end], distance)
+                best[pair] = distance, begin - int(scan.bounds[d])
         for (d, n), (distance, first) in best.items():
             yield d, n, distance, first
 

@@ -161,6 +161,26 @@ def test_edit_distance():
         assert decontaminate.best_quotation(np.array(item), np.array(text, int))[0] == distance(item, text)
 
 
+def whole_distance(item, text):
+    row = list(range(len(text) + 1))
+    for i, p in enumerate(item, 1):
+        new = [i]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (p != t)))
+        row = new
+    return row[-1]
+
+
+def test_where_quotations_begin():
+    rng = random.Random(4)
+    for _ in range(200):
+        item = [rng.randrange(6) for _ in range(rng.randrange(1, 25))]
+        text = [rng.randrange(6) for _ in range(rng.randrange(5))] + [x for x in item if rng.random() > 0.1] + [rng.randrange(6)]
+        best, end = decontaminate.best_quotation(np.array(item), np.array(text, int))
+        want = max(n for n in range(end + 1) if whole_distance(item, text[end - n : end]) == best)
+        assert decontaminate.length_of(np.array(item), np.array(text[:end], int), best) == (want if end else 0)
+
+
 def test_quotations(session, odd, none):
     rng = random.Random(9)
     items = [(i, " ".join(words(rng, rng.randrange(5, 60), 900))) for i in range(40)] + [(90, None), (91, ""), (92, "too short"), (93, None)]
@@ -184,6 +204,10 @@ def test_quotations(session, odd, none):
     for at_once in (50_000, 7):
         got = decontaminate.quotations(session.createDataFrame(docs, "doc_id long, text string"), table, at_once).collect()
         assert {(r.doc_id, r.item_id): r.distance for r in got} == want and len(got) == len(want)
+    texts, parts = dict(docs), {i: (t or "").split() for i, t in items}
+    for r in got[::5]:
+        found, item = re.findall(r"[^\W_]+", texts[r.doc_id].casefold())[r.first_word :], parts[r.item_id]
+        assert r.distance in {whole_distance(item, found[:n]) for n in range(len(item) - r.budget, len(item) + r.budget + 1)}
     assert want and decontaminate.quotations(none, table).count() == 0
     assert decontaminate.quotations(odd, table.limit(0)).count() == 0
 
