@@ -11,8 +11,8 @@ encodings of pieces seen lately are kept in the worker (bounded).
 
 Defined results: null and empty texts have no tokens (digests of the empty
 string); equal texts and repeated rows have equal results; a piece that is itself
-a token is that token; very long pieces take time linear in their length; columns
-other than doc_id and text never matter.
+a token is that token; very long pieces take time linear in their length; an empty
+table gives no rows; columns other than doc_id and text never matter.
 """
 
 from __future__ import annotations

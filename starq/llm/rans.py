@@ -10,7 +10,9 @@ Both are Parquet files, so the writer commits whole tasks and any store will do.
 
 Defined results: null and empty texts hold the end id only; documents with equal
 doc_id follow one another in order of text; null doc_ids come first; an empty
-table makes no block; a damaged segment raises on reading.
+table makes no block; a damaged segment raises on reading; columns other than doc_id
+and text never reach a file. One text is held whole in a task, at some 46 bytes of
+memory a byte.
 """
 
 from __future__ import annotations
