@@ -6,9 +6,10 @@ are cut into runs of equal length, so every run holds each source in the
 corpus's proportions and the run lengths differ by one at most.
 
 The random order is that of a seeded hash of the text, then of a hash of doc_id:
-equal texts of a source have ranks in a row, and those of other sources about the
-same fractions, so that copies mostly meet in one shard (the law on row counts comes
-first, so a group at a cut, or larger than a shard, lies in several).
+equal texts of a source have ranks in a row and mostly one shard. Fractions of copies
+in sources of n rows differ by some 1 / (2 sqrt(n)), so across sources copies share a
+shard only where that is far less than a shard's width. No group is held together by
+force: the law on row counts comes first.
 
 Both orders are dealt out by Spark's range partitioner on all their columns and at
 last on a row number, so neither a source with most of the rows, nor a text with many
