@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from functools import reduce
 
@@ -14,7 +15,10 @@ from contract.views import base, table, tables, with_views
 from starq.functions import scalars
 from starq.plans import cleaning, quality, validation
 from starq.plans.rules import RULES, Check
-from starq.session import stage
+from starq.schemas import PRIMARY_KEY
+from starq.session import fresh_path, stage
+from starq.sources.buckets import bucket_layer, bucketed_tables
+from starq.sources.tables import read_layer
 
 ALL = ", ".join(COLUMNS)
 
@@ -251,6 +255,18 @@ def _(spark, sf):
     return stages(spark, sf).cleaning().actions()
 
 
+# The tables come from a catalog layer that is bucketed by key: rows with a key meet their marks in place.
+@query("cl_bucketed_marks", with_cleaning(f"\nSELECT {ALL} FROM actions"))
+def _(spark, sf):
+    st, database = stages(spark, sf), f"starq_{uuid.uuid4().hex}"
+    bucket_layer(spark, st.tables(), PRIMARY_KEY, database, fresh_path(spark, "buckets"))
+    found = read_layer(spark, None, st.tables(), required=True, database=database)
+    return cleaning.clean(
+        found, st.assessment().issues, st.missing(), st.outliers().flags, stage=stage,
+        bucketed=bucketed_tables(spark, database, PRIMARY_KEY),
+    ).actions()
+
+
 @query("cl_summaries", with_cleaning("""
 SELECT table_name, cleaning_action, NULL AS source, NULL AS check_id, NULL AS information_area, NULL AS quality_flag_column, NULL AS outlier_metric, count(*) AS action_count FROM actions GROUP BY ALL
 UNION ALL SELECT NULL, cleaning_action, source, check_id, information_area, quality_flag_column, outlier_metric, count(*) FROM actions

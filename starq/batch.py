@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starq.plans import cleaning, missing, outliers, quality, reporting, validation, warehouse
 from starq.plans.rules import RULES, TableRules
+from starq.schemas import PRIMARY_KEY
 from starq.session import Staging, configure
+from starq.sources.buckets import bucketed_tables
 from starq.sources.tables import read_layer, refresh_files, write_text
 from starq.sources.versions import Layer
 
@@ -61,7 +63,8 @@ def run(
         write("outliers/flags", found.flags)
         write("outliers/summary", found.summary)
 
-        cleaned = cleaning.clean(tables, assessed.issues, flags, found.flags, rules, stage=stage)
+        bucketed = bucketed_tables(spark, database, PRIMARY_KEY) if database is not None else ()
+        cleaned = cleaning.clean(tables, assessed.issues, flags, found.flags, rules, stage=stage, bucketed=bucketed)
         clean_tables = cleaned.tables()
         refresh_files(spark, clean_tables, f"{target}/clean")
         written |= {f"clean/{t}": f"{target}/clean/{t}" for t in clean_tables}

@@ -8,7 +8,7 @@ flag or a drop. The referential cascade then walks the tables parents first.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -267,13 +267,44 @@ def own_row_id(types: Mapping[str, T.DataType], key: str) -> str:
     return f"case when {ident(key)} is not null then concat({quoted(f'{key}=')}, {comparable(key, 'canonical')}) else {plain} end"
 
 
+@dataclass(frozen=True)
+class RowNames:
+    """How some rows of a table are named: `own` as SQL over the table, `given` as a column over the text of an id.
+
+    Rows that `given` does not name give NULL, `where` picks the rows of the table.
+    """
+
+    where: str | None
+    own: str
+    given: Callable[[Column], Column]
+
+
+def row_names(types: Mapping[str, T.DataType], key: str, by_key: bool = False) -> list[RowNames]:
+    """All rows by the text of their id. With `by_key`, rows that have a whole-number key go by
+    its value: a table bucketed by it meets its marks without a shuffle, but is scanned twice."""
+    text = own_row_id(types, key)
+    if not by_key or not isinstance(types.get(key), T.IntegralType):
+        return [RowNames(None, text, canonical_row_id)]
+
+    def value(given: Column) -> Column:
+        whole = F.regexp_extract(canonical_row_id(given), f"^{key}=(0|-?[1-9][0-9]{{0,18}})$", 1)
+        return whole.try_cast(types[key])
+
+    return [
+        RowNames(f"{ident(key)} is not null", ident(key), value),
+        RowNames(f"{ident(key)} is null", text, lambda given: F.when(canonical_row_id(given).startswith("row_index="), canonical_row_id(given))),
+    ]
+
+
 # --- marks: what the assessments say about a row -------------------------------------------------------------------
 #
-# One row of bit sets per row id, gathered by plain hash aggregates: bit i of
+# One row of bit sets per row name, gathered by plain hash aggregates: bit i of
 # `_issues` stands for the i-th check of the catalogue, bit i of an area's sets
 # for the i-th column of the table. A set is an array of words, as many as the
 # names need.
 
+_Naming = Callable[[Column], Column]
+
 _WORD = 62
 
 
@@ -298,14 +329,14 @@ def both_sets(a: str, b: str) -> str:
     return f"zip_with({a}, {b}, (p, q) -> p | q)"
 
 
-def issue_marks(issues: DataFrame, table: str, checks: Sequence[str]) -> DataFrame:
-    """`_issues`: the failed checks of each row id. `_unknown`: the first issue of a check
+def issue_marks(issues: DataFrame, table: str, checks: Sequence[str], named: _Naming = canonical_row_id) -> DataFrame:
+    """`_issues`: the failed checks of each row. `_unknown`: the first issue of a check
     outside the catalogue that drops the row all the same."""
     unknown = ~F.col("check_id").isin(*checks) & drops_unknown(F.col("check_id"), F.col("issue_code"))
     return (
         issues.where(strip(F.col("table_name")) == table)
         .select(
-            canonical_row_id(F.col("row_identifier")).alias("_rid"), strip(F.col("check_id")).alias("check_id"),
+            named(F.col("row_identifier")).alias("_rid"), strip(F.col("check_id")).alias("check_id"),
             strip(F.col("issue_code")).alias("issue_code"),
         )
         .where(F.col("_rid").isNotNull())
@@ -317,11 +348,11 @@ def issue_marks(issues: DataFrame, table: str, checks: Sequence[str]) -> DataFra
     )
 
 
-def missing_marks(flags: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+def missing_marks(flags: DataFrame, table: str, columns: Sequence[str], named: _Naming = canonical_row_id) -> DataFrame:
     """`_x<i>`, `_s<i>`: columns with an explained / a suspicious null of the i-th area."""
     area = strip(F.col("missing_information_area"))
     slim = flags.where((strip(F.col("table_name")) == table) & area.isin(*missing_areas(table))).select(
-        canonical_row_id(F.col("row_identifier")).alias("_rid"), area.alias("_area"),
+        named(F.col("row_identifier")).alias("_rid"), area.alias("_area"),
         strip(F.col("column_name")).alias("_column"), strip(F.col("missing_class")).alias("_class"),
     )
     sets = []
@@ -339,11 +370,11 @@ def missing_areas(table: str) -> list[str]:
 _OUTLIER_AREAS = {_SECTOR: s.SECTOR_METRICS, _SPEED: s.SPEED_METRICS}
 
 
-def outlier_marks(flags: DataFrame) -> DataFrame:
+def outlier_marks(flags: DataFrame, named: _Naming = canonical_row_id) -> DataFrame:
     """Strong lap time outlier, and per area the metrics (bit set) and the largest agreement."""
     metric, agreement = strip(F.col("metric")), number(F.col("consensus_score")).try_cast("int")
     slim = flags.select(
-        canonical_row_id(F.col("row_identifier")).alias("_rid"), metric.alias("_metric"), agreement.alias("_agreement")
+        named(F.col("row_identifier")).alias("_rid"), metric.alias("_metric"), agreement.alias("_agreement")
     ).where(F.col("_rid").isNotNull() & (F.col("_agreement") >= 1))
     marks = [F.expr("bool_or(_metric = 'lap_time_ms' and _agreement >= 2)").alias("_strong")]
     for i, metrics in enumerate(_OUTLIER_AREAS.values()):
@@ -560,33 +591,31 @@ def resolve_table(
     missing: DataFrame | None = None,
     outliers: DataFrame | None = None,
     rules: Mapping[str, TableRules] = RULES,
+    by_key: bool = False,
 ) -> Resolved:
-    """What the sources say about each row, settled in one pass over the table."""
+    """What the sources say about each row, settled in one pass over the table.
+
+    `by_key`: the table is bucketed by its key (see `row_names`).
+    """
     key = s.PRIMARY_KEY.get(table, "")
     types = {f.name: f.dataType for f in df.schema.fields}
     columns = list(types)
     df = without_nan(df)
-    frame = df.withColumn("_rid", F.expr(own_row_id(types, key)))
     checks = check_order(table, rules)
-    if issues is not None:
-        frame = frame.join(issue_marks(issues, table, list(checks)), "_rid", "left")
-    if missing is not None and table in s.DROP_AREA:
-        frame = frame.join(missing_marks(missing, table, columns), "_rid", "left")
-    if outliers is not None and table == "lap":
-        frame = frame.join(outlier_marks(outliers), "_rid", "left")
-    marks = [c for c in frame.columns if c not in columns and c != "_rid"]
+    parts = []
+    for rows in row_names(types, key, by_key):
+        part = (df.where(rows.where) if rows.where else df).withColumn("_rid", F.expr(rows.own))
+        if issues is not None:
+            part = part.join(issue_marks(issues, table, list(checks), rows.given), "_rid", "left")
+        if missing is not None and table in s.DROP_AREA:
+            part = part.join(missing_marks(missing, table, columns, rows.given), "_rid", "left")
+        if outliers is not None and table == "lap":
+            part = part.join(outlier_marks(outliers, rows.given), "_rid", "left")
+        parts.append(part.drop("_rid"))
+    marks = [c for c in parts[0].columns if c not in columns]
 
     texts = [c for c, t in types.items() if isinstance(t, T.StringType)]
     flags = list(s.AREA_FLAGS.get(table, {}).values())
-    tidy = with_quality_flags(
-        frame.selectExpr(
-            *[f"nullif({sql_strip(ident(c))}, '') as {ident(c)}" if c in texts else ident(c) for c in columns],
-            *[f"{ident(c)} as {ident(f'_old_{c}')}" for c in texts], *marks,
-        ),
-        table,
-    )
-    named = tidy.withColumn("_name", row_identifier(columns, [key] if key else []))
-
     r = _Resolver(table, types)
     for c in texts:
         r.text(c)
@@ -598,15 +627,28 @@ def resolve_table(
         r.missing()
     if "_strong" in marks:
         r.outliers()
-    for prepared in (r.early, r.late):
-        if prepared:
-            named = named.selectExpr("*", *[f"{e} as {n}" for e, n in prepared.items()])
-    frame = named.selectExpr(
-        *[r.settled(c) for c in [*columns, *[f for f in flags if f not in columns]]],
-        "_name as _rid",
-        f"array_compact(array({', '.join(r.log.all_actions() or [_NO_ENTRY])})) as _actions",
-        f"{r.log.first_drop()} as _drop", "_unknown" if "_unknown" in marks else f"cast(null as {_UNKNOWN_TYPE}) as _unknown",
-    )
+
+    def settle(part: DataFrame) -> DataFrame:
+        tidy = with_quality_flags(
+            part.selectExpr(
+                *[f"nullif({sql_strip(ident(c))}, '') as {ident(c)}" if c in texts else ident(c) for c in columns],
+                *[f"{ident(c)} as {ident(f'_old_{c}')}" for c in texts], *marks,
+            ),
+            table,
+        )
+        named = tidy.withColumn("_name", row_identifier(columns, [key] if key else []))
+        for prepared in (r.early, r.late):
+            if prepared:
+                named = named.selectExpr("*", *[f"{e} as {n}" for e, n in prepared.items()])
+        return named.selectExpr(
+            *[r.settled(c) for c in [*columns, *[f for f in flags if f not in columns]]],
+            "_name as _rid",
+            f"array_compact(array({', '.join(r.log.all_actions() or [_NO_ENTRY])})) as _actions",
+            f"{r.log.first_drop()} as _drop", "_unknown" if "_unknown" in marks else f"cast(null as {_UNKNOWN_TYPE}) as _unknown",
+        )
+
+    # Joined at the end: an optimizer that sees through a union would copy every decision into it.
+    frame = reduce(DataFrame.unionByName, map(settle, parts))
     return Resolved(frame, tuple(r.notes))
 
 
@@ -837,11 +879,13 @@ def clean(
     outliers: DataFrame | None = None,
     rules: Mapping[str, TableRules] = RULES,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    bucketed: Collection[str] = (),
 ) -> Cleaning:
     """Clean all tables. `stage` (see `starq.session.stage`) may keep each resolved
-    table, so that log, rejected rows and cleaned tables do not resolve it again."""
+    table, so that log, rejected rows and cleaned tables do not resolve it again.
+    `bucketed` names the tables that are bucketed by their primary key."""
     resolved = {
-        t: resolve_table(t, df, issues, missing, outliers, rules) for t, df in tables.items()
+        t: resolve_table(t, df, issues, missing, outliers, rules, t in bucketed) for t, df in tables.items()
     }
     return Cleaning(cascade(resolved, stage=stage))
 
