@@ -2,8 +2,8 @@
 
 Each attribute has a small domain of sorted values. A combination's place is its
 mixed-radix number over those domains, so places ascend as the combinations do. One
-pass over the fact marks which places occur, as 64-bit words; a combination's key is
-the number of marked places up to its own. So the fact gets its keys by an expression,
+pass over the fact gathers which places occur, kept as 64-bit words; a combination's key
+is the number of marked places up to its own, looked up by place. So the fact gets its keys by an expression,
 without a join, and the dimension is read off the bitmap, without a sort.
 
 Sizes are checked, not assumed: an attribute with more than `MOST_VALUES` values, or a
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 from math import prod
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -41,20 +42,21 @@ class Domain:
         return [prod(len(v) for v in self.values[i + 1:]) for i in range(len(self.values))]
 
     def place(self) -> Column:
-        """The combination's number from 0; NULL where a value is NULL or outside its domain."""
+        """The combination's number from 0; NULL where a value is NULL or outside its domain.
+
+        Every attribute occurs once in the expression, however costly what stands behind it is.
+        """
         out = F.lit(0).cast("bigint")
         for name, values, stride in zip(self.attributes, self.values, self.strides):
             at = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(name))
-            out = out + F.nullif(at, F.lit(0)) * F.lit(stride) - F.lit(stride)
+            # Position 0 stands for an absent value.
+            out = out + F.get(_longs([None, *range(0, len(values) * stride, stride)]), at.cast("int"))
         return out
 
-    def marks(self) -> list[Column]:
-        """Aggregates, one per word: the places that occur in it."""
-        place = self.place()
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(_WORD)).cast("int"))
-        word = F.shiftright(place, 6)
-        count = -(-self.places // _WORD)
-        return [F.coalesce(F.bit_or(F.when(word == w, bit)), F.lit(0).cast("bigint")) for w in range(count)]
+
+def _longs(values: Sequence[int | None]) -> Column:
+    """A constant array."""
+    return F.expr(f"array({', '.join('null' if v is None else f'{v}L' for v in values)})")
 
 
 @dataclass(frozen=True)
@@ -67,19 +69,9 @@ class JunkKey:
 
     def key(self) -> Column:
         """The key of a row's combination, from 1; NULL where the combination did not occur."""
-        before, total = [], 0
-        for word in self.words:
-            before.append(total)
-            total += (word & (1 << _WORD) - 1).bit_count()
-        long = lambda values: F.array(*[F.lit(v).cast("bigint") for v in values])
-        place = self.domain.place()
-        at = F.shiftright(place, 6).cast("int") + 1
-        within = F.pmod(place, F.lit(_WORD)).cast("int")
-        word = F.element_at(long(self.words), at)
-        upto = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), F.lit(_WORD - 1) - within)
-        occurs = F.call_function("shiftright", word, within).bitwiseAND(F.lit(1)) == 1
-        rank = F.element_at(long(before), at) + F.bit_count(word.bitwiseAND(upto))
-        return F.when(occurs, rank).cast("bigint")
+        bits = [word >> i & 1 for word in self.words for i in range(_WORD)][: self.domain.places]
+        ranks = [rank if bit else None for bit, rank in zip(bits, accumulate(bits))]
+        return F.get(_longs(ranks).cast("array<bigint>"), self.domain.place().cast("int"))
 
     def dimension(self, spark: SparkSession) -> DataFrame:
         """The key and the attributes of every combination that occurs."""
@@ -134,6 +126,14 @@ def junk_keys(
     domains = {n: d for n, d in domains.items() if d.places <= most_places}
     if not domains:
         return {}
-    row = df.agg(*[m.alias(f"{n}_{i}") for n, d in domains.items() for i, m in enumerate(d.marks())]).first()
-    found = iter(row)
-    return {n: JunkKey(usable[n][0], d, tuple(next(found) for _ in d.marks())) for n, d in domains.items()}
+    # One row: a set of `most_places` numbers at most for each dimension.
+    row = df.agg(*[F.collect_set(d.place()).alias(n) for n, d in domains.items()]).first()
+    return {n: JunkKey(usable[n][0], d, _bitmap(row[n], d.places)) for n, d in domains.items()}
+
+
+def _bitmap(places: Sequence[int], count: int) -> tuple[int, ...]:
+    """The places as bits of signed words."""
+    words = [0] * -(-count // _WORD)
+    for p in places:
+        words[p // _WORD] |= 1 << p % _WORD
+    return tuple(w - (1 << _WORD) if w >> (_WORD - 1) else w for w in words)

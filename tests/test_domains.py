@@ -76,3 +76,12 @@ def test_fact_has_the_same_keys_with_and_without_joins(spark):
     assert sorted(joined.collect()) == sorted(direct.collect())
     assert "Join" in joined._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in direct._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_costly_attributes_are_evaluated_once(spark):
+    """Nothing repeats what stands behind an attribute, however many words the bitmap has."""
+    df = spark.createDataFrame(rows(5, 500, 40), "kind string, level string, wet boolean, old boolean")
+    junk = junk_keys(df, {"d": ("key", ATTRIBUTES)})["d"]
+    assert len(junk.words) > 4
+    for expression in (str(junk.domain.place()), str(junk.key())):
+        assert [expression.count(a) for a in ATTRIBUTES] == [1] * len(ATTRIBUTES)
