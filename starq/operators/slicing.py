@@ -43,20 +43,28 @@ class Slices:
         )
 
 
-def plan_slices(df: DataFrame, keys: Sequence[str], value: str, limit: int = LIMIT) -> Slices:
-    keys = tuple(keys)
+def hot_groups(df: DataFrame, keys: Sequence[str], value: str, limit: int = LIMIT) -> DataFrame | None:
+    """keys and _rows of the groups with more than `limit` values; None when there are none."""
     slim = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna()
     # At most one row per `limit` rows of data comes back.
     large = slim.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit).collect()
     if not large:
+        return None
+    return df.sparkSession.createDataFrame(large, T.StructType([*[slim.schema[k] for k in keys], T.StructField("_rows", T.LongType())]))
+
+
+def plan_slices(df: DataFrame, keys: Sequence[str], value: str, limit: int = LIMIT) -> Slices:
+    keys = tuple(keys)
+    groups = hot_groups(df, keys, value, limit)
+    if groups is None:
         return Slices(keys, None)
 
     spark = df.sparkSession
+    slim = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna()
     key_fields = [slim.schema[k] for k in keys]
-    groups = spark.createDataFrame(large, T.StructType([*key_fields, T.StructField("_rows", T.LongType())]))
     hot = slim.join(F.broadcast(groups), list(keys))
     # Slices beyond FANOUT: first into FANOUT parts, then every part by itself.
-    huge = math.ceil(max(r["_rows"] for r in large) / limit) > FANOUT
+    huge = math.ceil(groups.agg(F.max("_rows")).first()[0] / limit) > FANOUT
     first = _sketched(hot, [*keys, "_rows"], F.ceil(F.col("_rows") / F.lit(limit)))
     if huge:
         coarse = F.broadcast(first.where(F.col("_rows") / limit > FANOUT).select(*keys, F.col("_q").alias("_part_cuts")))
@@ -136,17 +144,14 @@ def with_slice(df: DataFrame, slices: Slices, value: str, spread: Column | None
 
 
 def join_group_rows(df: DataFrame, per_group: DataFrame, slices: Slices, value: str) -> DataFrame:
-    """Left join one row per group onto its members, hot groups spread by slice.
+    """Left join one row per group onto its members.
 
-    The single row of a hot group is repeated once per slice, so its members
-    stay in as many partitions as the group has slices.
+    The rows of hot groups are broadcast, one per LIMIT rows at most, so their members
+    stay where they are.
     """
     keys = list(slices.keys)
     if slices.hot is None:
         return df.join(per_group, keys, "left")
-    copies = (
-        per_group.join(F.broadcast(slices.hot.select(*keys, "_cuts")), keys, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_cuts", F.lit(0)))))
-        .drop("_cuts")
-    )
-    return with_slice(df, slices, value).join(copies, [*keys, "_slice"], "left").drop("_slice")
+    hot_keys = F.broadcast(slices.hot.select(*keys))
+    few = F.broadcast(slices.hot.select(*keys).join(per_group, keys, "left"))
+    return df.join(few, keys).unionByName(df.join(hot_keys, keys, "left_anti").join(per_group, keys, "left"))

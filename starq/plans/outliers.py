@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starq.functions.scalars import number, parse_bool_or_false, strip
 from starq.operators.joins import require_columns
-from starq.operators.quantiles import group_spread
-from starq.operators.slicing import LIMIT, join_group_rows, plan_slices
+from starq.operators.quantiles import group_spread, hot_spread
+from starq.operators.slicing import LIMIT, Slices, hot_groups
 from starq.plans.quality import row_identifier
 from starq.schemas import OUTLIER_METRICS
+from starq.session import stage as keep_staged
 
 # Limits of the two methods and the smallest group tested.
 IQR_FACTOR = 1.5
@@ -76,7 +77,7 @@ def long_metrics(
 
 def score_groups(
     values: DataFrame, keys: Sequence[str], value: str = "value", smallest: int = SMALLEST_GROUP,
-    limit: int = LIMIT,
+    limit: int = LIMIT, stage: Callable[[DataFrame], DataFrame] = keep_staged,
 ) -> DataFrame:
     """Every value with the statistics, flags and agreement of its group.
 
@@ -84,9 +85,19 @@ def score_groups(
     spread (IQR or MAD of 0) gets no flags and no bounds of that method.
     """
     keys = list(keys)
-    slices = plan_slices(values, keys, value, limit)
-    stats = group_spread(values, keys, value, slices, limit).withColumnRenamed("_n", "tested")
-    scored = join_group_rows(values, stats, slices, value)
+    hot = hot_groups(values, keys, value, limit)
+    if hot is None:
+        stats = group_spread(values, keys, value, Slices(tuple(keys), None)).withColumnRenamed("_n", "tested")
+        scored = values.join(stats, keys, "left")
+    else:
+        # Read several times from here on.
+        values, hot_keys = stage(values), F.broadcast(hot.select(*keys))
+        rest, large = values.join(hot_keys, keys, "left_anti"), values.join(hot_keys, keys, "left_semi")
+        known = large.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+        few = hot_spread(known, keys, Slices(tuple(keys), hot)).withColumnRenamed("_n", "tested")
+        stats = group_spread(rest, keys, value, Slices(tuple(keys), None)).withColumnRenamed("_n", "tested")
+        # Rows of hot groups, one per `limit` rows at most, are broadcast: their members stay in place.
+        scored = values.join(F.broadcast(few), keys).unionByName(rest.join(stats, keys, "left"))
 
     enough = F.col("tested") >= smallest
     spread = F.col("q3") - F.col("q1")

@@ -144,6 +144,33 @@ def test_outlier_scores_do_not_depend_on_slicing(spark):
     assert rows() == rows(**SMALL)
 
 
+def test_scores_of_hot_groups_read_their_input_twice(spark):
+    """Once to find the hot groups, once for all that follows, however many slices a group would have."""
+    n, seen = 3000, spark.sparkContext.accumulator(0)
+
+    def observed(x):
+        seen.add(1)
+        return x
+
+    data = skewed(np.random.default_rng(11), n, 0).assign(value=lambda d: d["t"] / 7)
+    df = spark.createDataFrame(data).withColumn("value", F.udf(observed, "double").asNondeterministic()("value"))
+    assert score_groups(df, ["g"], limit=2).count() == n
+    assert n <= seen.value <= 2 * n
+
+
+def test_quantiles_beside_lumps_and_of_missing_ranks(spark):
+    """Most rows on two values, wanted ranks beside them, on them and at the ends; groups without keys."""
+    values = [1.0] * 400 + [2.0] * 401 + [float(x) for x in range(3, 103)] + [-5.0, 1e300]
+    df = spark.createDataFrame([(g, v) for g in ("a", None) for v in values] + [("b", None)] * 300, "g string, v double")
+    probabilities = {f"p{i}": i / 20 for i in range(21)}
+    slices = plan_slices(df, ["g"], "v", **SMALL)
+    got = {r["g"]: r for r in group_quantiles(df, ["g"], "v", probabilities, slices).collect()}
+    assert set(got) == {"a", None}
+    for row in got.values():
+        assert row["_n"] == len(values)
+        assert [row[n] for n in probabilities] == pytest.approx([np.quantile(values, p) for p in probabilities.values()])
+
+
 @pytest.mark.parametrize("limit", [10, 500, 10_000])
 def test_numbers_are_consecutive_in_order(spark, limit):
     ids = np.random.default_rng(7).permutation(3000) * 7
