@@ -67,8 +67,8 @@ class Stages:
 
     @cache
     def outliers(self) -> outliers.Outliers:
-        found = outliers.detect_from_tables(self.tables())
-        return outliers.Outliers(stage(found.flags), stage(found.summary))
+        found = outliers.detect_from_tables(self.tables(), stage=stage)
+        return outliers.Outliers(found.flags, stage(found.summary))
 
     @cache
     def cleaning(self) -> cleaning.Cleaning:

@@ -44,6 +44,11 @@ def run(
         written[name] = f"{target}/{name}"
         df.write.mode("overwrite").parquet(written[name])
 
+    def put(name: str, df: DataFrame) -> DataFrame:
+        """Written, and read from there by what follows: an output that is staged would be written twice."""
+        write(name, df)
+        return spark.read.schema(df.schema).parquet(written[name])
+
     with Staging(spark, "batch") as staging:
         stage = staging.keep
         tables = read_layer(spark, source, rules, required=True, database=database)
@@ -52,26 +57,23 @@ def run(
         write("quality/scorecard", assessed.scorecard)
         quality.write_issues(assessed.issues, f"{target}/quality")
         written |= {f"quality/{n}": f"{target}/quality/{n}" for n in ("issues", "referential_integrity_issues")}
-        write("quality/unmatched_issues", cleaning.unmatched_issues(assessed.issues, list(tables), rules))
+        # One folder per table: each table's cleaning reads its own issues only.
+        issues = spark.read.schema(assessed.issues.schema).parquet(written["quality/issues"]).select(*quality.ISSUE_COLUMNS)
+        write("quality/unmatched_issues", cleaning.unmatched_issues(issues, list(tables), rules))
 
-        flags = stage(missing.missing_flags(tables))
-        summary = stage(missing.missing_summary(flags, tables))
-        write("missing/flags", flags)
-        write("missing/summary", summary)
-        found = outliers.detect_from_tables(tables)
-        found = outliers.Outliers(stage(found.flags), stage(found.summary))
-        write("outliers/flags", found.flags)
-        write("outliers/summary", found.summary)
+        flags = put("missing/flags", missing.missing_flags(tables))
+        summary = put("missing/summary", missing.missing_summary(flags, tables))
+        found = outliers.detect_from_tables(tables, stage=lambda df: put("outliers/flags", df))
+        found = outliers.Outliers(found.flags, put("outliers/summary", found.summary))
 
         bucketed = bucketed_tables(spark, database, PRIMARY_KEY) if database is not None else ()
-        cleaned = cleaning.clean(tables, assessed.issues, flags, found.flags, rules, stage=stage, bucketed=bucketed)
+        cleaned = cleaning.clean(tables, issues, flags, found.flags, rules, stage=stage, bucketed=bucketed)
         clean_tables = cleaned.tables()
         refresh_files(spark, clean_tables, f"{target}/clean")
         written |= {f"clean/{t}": f"{target}/clean/{t}" for t in clean_tables}
         # From here on the written tables are read, not the plans behind them.
         clean_tables = read_layer(spark, f"{target}/clean", clean_tables, required=True)
-        actions = stage(cleaned.actions())
-        write("cleaning/actions", actions)
+        actions = put("cleaning/actions", cleaned.actions())
         write("cleaning/rejected", cleaned.rejected())
         write("cleaning/summary_by_table", cleaning.summary_by_table(actions))
         write("cleaning/summary_by_decision", cleaning.summary_by_decision(actions))
@@ -81,11 +83,13 @@ def run(
         write("cleaning/constraints", validation.fail_on_violation(constraints) if strict else constraints)
 
         star = warehouse.build(clean_tables, stage=stage).tables()
-        star = {name: stage(df) for name, df in star.items()}
+        # A strict run writes no star that breaks a rule.
+        star = {name: stage(df) if strict else put(f"star/{name}", df) for name, df in star.items()}
         write("star/validation", validation.validate(clean_tables, star, strict))
         write("star/constraints", validation.verify(star, validation.star_constraints()))
-        refresh_files(spark, star, f"{target}/star")
-        written |= {f"star/{t}": f"{target}/star/{t}" for t in star}
+        if strict:
+            refresh_files(spark, star, f"{target}/star")
+            written |= {f"star/{t}": f"{target}/star/{t}" for t in star}
         write("star/build_log", validation.build_log(star))
 
         document = reporting.report_document({

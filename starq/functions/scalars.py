@@ -38,9 +38,18 @@ def contains_any(text: Column, words: Sequence[str]) -> Column:
     return any_of(*[text.contains(w) for w in words])
 
 
-def strip(c: Column) -> Column:
-    """Trim every kind of white space (`trim` alone knows only blanks)."""
-    return F.btrim(c.cast("string"), F.lit(BLANKS))
+def strip(c: Column | str) -> Column:
+    """Trim every kind of white space (`trim` alone knows only blanks).
+
+    Of a column given by its name the outermost characters are looked at first: texts
+    that start and end with visible ASCII need no trimming, which costs several times as much.
+    """
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    trimmed = F.btrim(text, F.lit(BLANKS))
+    if not isinstance(c, str):
+        return trimmed
+    visible = F.ascii(text).between(33, 126) & F.ascii(F.substring(text, -1, 1)).between(33, 126)
+    return F.when(visible, text).otherwise(trimmed)
 
 
 def blank_to_null(c: Column) -> Column:

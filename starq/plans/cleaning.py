@@ -188,9 +188,9 @@ def unmatched_issues(issues: DataFrame, tables: Sequence[str], rules: Mapping[st
     known = [(t, c) for t in tables for c in check_order(t, rules)]
     # One row per check of the catalogue.
     catalogue = F.broadcast(issues.sparkSession.createDataFrame(known, "_table string, _check string"))
-    check_id = strip(F.col("check_id"))
-    rest = issues.join(catalogue, (strip(F.col("table_name")) == F.col("_table")) & (check_id == F.col("_check")), "left_anti")
-    return rest.where(~drops_unknown(check_id, strip(F.col("issue_code"))))
+    check_id = strip("check_id")
+    rest = issues.join(catalogue, (strip("table_name") == F.col("_table")) & (check_id == F.col("_check")), "left_anti")
+    return rest.where(~drops_unknown(check_id, strip("issue_code")))
 
 
 # --- SQL text of log entries ---------------------------------------------------------------------------------------
@@ -225,10 +225,6 @@ def when(condition: str, value: str) -> str:
     return f"case when {condition} then {value} end"
 
 
-def first_of(candidates: Sequence[str]) -> str:
-    return f"coalesce({', '.join(candidates)})"
-
-
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
@@ -322,7 +318,8 @@ def has_bit(bits: str, position: int) -> str:
 
 
 def any_bit(*sets: str) -> str:
-    return "(" + " or ".join(f"exists({bits}, w -> w <> 0)" for bits in sets) + ")"
+    """Words are never negative (see `_WORD`)."""
+    return "(" + " or ".join(f"array_max({bits}) > 0" for bits in sets) + ")"
 
 
 def both_sets(a: str, b: str) -> str:
@@ -334,10 +331,10 @@ def issue_marks(issues: DataFrame, table: str, checks: Sequence[str], named: _Na
     outside the catalogue that drops the row all the same."""
     unknown = ~F.col("check_id").isin(*checks) & drops_unknown(F.col("check_id"), F.col("issue_code"))
     return (
-        issues.where(strip(F.col("table_name")) == table)
+        issues.where(strip("table_name") == table)
         .select(
-            named(F.col("row_identifier")).alias("_rid"), strip(F.col("check_id")).alias("check_id"),
-            strip(F.col("issue_code")).alias("issue_code"),
+            named(F.col("row_identifier")).alias("_rid"), strip("check_id").alias("check_id"),
+            strip("issue_code").alias("issue_code"),
         )
         .where(F.col("_rid").isNotNull())
         .groupBy("_rid")
@@ -350,10 +347,10 @@ def issue_marks(issues: DataFrame, table: str, checks: Sequence[str], named: _Na
 
 def missing_marks(flags: DataFrame, table: str, columns: Sequence[str], named: _Naming = canonical_row_id) -> DataFrame:
     """`_x<i>`, `_s<i>`: columns with an explained / a suspicious null of the i-th area."""
-    area = strip(F.col("missing_information_area"))
-    slim = flags.where((strip(F.col("table_name")) == table) & area.isin(*missing_areas(table))).select(
+    area = strip("missing_information_area")
+    slim = flags.where((strip("table_name") == table) & area.isin(*missing_areas(table))).select(
         named(F.col("row_identifier")).alias("_rid"), area.alias("_area"),
-        strip(F.col("column_name")).alias("_column"), strip(F.col("missing_class")).alias("_class"),
+        strip("column_name").alias("_column"), strip("missing_class").alias("_class"),
     )
     sets = []
     for i, a in enumerate(missing_areas(table)):
@@ -372,7 +369,7 @@ _OUTLIER_AREAS = {_SECTOR: s.SECTOR_METRICS, _SPEED: s.SPEED_METRICS}
 
 def outlier_marks(flags: DataFrame, named: _Naming = canonical_row_id) -> DataFrame:
     """Strong lap time outlier, and per area the metrics (bit set) and the largest agreement."""
-    metric, agreement = strip(F.col("metric")), number(F.col("consensus_score")).try_cast("int")
+    metric, agreement = strip("metric"), number(F.col("consensus_score")).try_cast("int")
     slim = flags.select(
         named(F.col("row_identifier")).alias("_rid"), metric.alias("_metric"), agreement.alias("_agreement")
     ).where(F.col("_rid").isNotNull() & (F.col("_agreement") >= 1))
@@ -408,14 +405,15 @@ class Resolved:
 class _Log:
     """Ordered candidates as SQL text; the first that holds for a row is the one logged."""
 
-    texts: list[str] = field(default_factory=list)
-    values: dict[str, list[str]] = field(default_factory=dict)
+    texts: list[tuple[str, str]] = field(default_factory=list)
+    values: dict[str, list[tuple[str, str]]] = field(default_factory=dict)
     flags: dict[str, list[tuple[str, str]]] = field(default_factory=dict)
     drops: list[tuple[str, int]] = field(default_factory=list)
 
     def all_actions(self) -> list[str]:
-        flags = [[when(*e) for e in entries] for entries in self.flags.values()]
-        return [*self.texts, *[first_of(v) for v in (*self.values.values(), *flags)]]
+        """Arrays of one entry, or of none."""
+        candidates = [*[[t] for t in self.texts], *self.values.values(), *self.flags.values()]
+        return [f"case {' '.join(f'when {c} then array({entry})' for c, entry in entries)} else {_NO_ENTRIES} end" for entries in candidates]
 
     def first_drop(self) -> str:
         if not self.drops:
@@ -459,8 +457,8 @@ class _Resolver:
             cleaning_action="SET_NULL", reason="Converted an empty textual value into NULL.",
         )
         self.log.texts += [
-            when(f"{new} <> {old}", _entry(trim, {"old_value": old, "new_value": new})),
-            when(f"{old} is not null and {ident(c)} is null", _entry(empty, {"old_value": "''"})),
+            (f"{new} <> {old}", _entry(trim, {"old_value": old, "new_value": new})),
+            (f"{old} is not null and {ident(c)} is null", _entry(empty, {"old_value": "''"})),
         ]
 
     def flag(self, condition: str, area: str | None, row: Mapping[str, str] = {}, **fields: str) -> None:
@@ -480,7 +478,7 @@ class _Resolver:
         self.replaced.setdefault(column, []).append((hit, f"cast(null as {self.types[column].simpleString()})"))
         note = self.note(target_column=column, cleaning_action="SET_NULL", reason=reason, **fields)
         entry = _entry(note, {"old_value": as_log_text(ident(column), self.types[column])})
-        self.log.values.setdefault(column, []).append(when(hit, entry))
+        self.log.values.setdefault(column, []).append((hit, entry))
         affected = f"{area} is affected after setting an invalid value to NULL."
         self.flag(hit, area, target_column=column, reason=affected, **fields)
 
@@ -489,7 +487,7 @@ class _Resolver:
         hit = f"({condition} and {value} is not null and not ({ident(column)} <=> {value}))"
         self.replaced.setdefault(column, []).append((hit, value))
         note = self.note(target_column=column, cleaning_action="STANDARDIZE", reason=reason, **fields)
-        self.log.values.setdefault(column, []).append(when(hit, _entry(note, {"old_value": ident(column), "new_value": value})))
+        self.log.values.setdefault(column, []).append((hit, _entry(note, {"old_value": ident(column), "new_value": value})))
 
     def issue(self, position: int, check_id: str, code: str, columns: Sequence[str]) -> None:
         marked = self.prepare(sure(has_bit("_issues", position)))
@@ -580,7 +578,7 @@ class _Resolver:
         return f"case {cases} else {ident(c)} end as {ident(c)}"
 
 
-_NO_ENTRY = f"cast(null as {_ENTRY_TYPE})"
+_NO_ENTRIES = f"cast(array() as array<{_ENTRY_TYPE}>)"
 _UNKNOWN_TYPE = "struct<check_id:string,issue_code:string>"
 
 
@@ -643,7 +641,8 @@ def resolve_table(
         return named.selectExpr(
             *[r.settled(c) for c in [*columns, *[f for f in flags if f not in columns]]],
             "_name as _rid",
-            f"array_compact(array({', '.join(r.log.all_actions() or [_NO_ENTRY])})) as _actions",
+            # No lambda, so that the decisions stay in generated code.
+            f"flatten(array({', '.join(r.log.all_actions() or [_NO_ENTRIES])})) as _actions",
             f"{r.log.first_drop()} as _drop", "_unknown" if "_unknown" in marks else f"cast(null as {_UNKNOWN_TYPE}) as _unknown",
         )
 
@@ -834,7 +833,7 @@ class Cleaning:
             if not r.notes:
                 continue
             dropped = f"case when _drop is not null then {_entry('_drop', {})} end"
-            entries = r.frame.selectExpr("_rid", "_unknown", f"inline(array_compact(concat(_actions, array({dropped}))))")
+            entries = r.frame.selectExpr("_rid", "_unknown", f"inline(concat(_actions, array({dropped})))").where("note is not null")
             noted = entries.selectExpr("*", f"element_at({_notes_sql(r.notes)}, note + 1) as _note")
             names = [c for c in r.frame.columns if c not in _TECHNICAL]
             classes = [when(any_bit(bits), quoted(f"{bits.upper()}_NULL")) for bits in ("explained", "suspicious")]

@@ -57,7 +57,8 @@ def _entry(column: str, when: Column, missing_class: str, area: str, text: str)
 def _flags(df: DataFrame, table: str, key: str, entries: Sequence[Column], keep_explained: bool) -> DataFrame:
     """All flags of a row in one pass over the table."""
     df = without_nan(df)
-    flat = df.select(row_identifier(df.columns, [key]).alias("row_identifier"), F.inline(F.array_compact(F.array(*entries))))
+    flat = df.select(row_identifier(df.columns, [key]).alias("row_identifier"), F.inline(F.array(*entries)))
+    flat = flat.where(F.col("column_name").isNotNull())
     if not keep_explained:
         explained = (F.col("missing_class") == EXPLAINED) & (F.col("missing_information_area") == "NONE")
         flat = flat.where(~explained)

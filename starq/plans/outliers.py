@@ -134,23 +134,30 @@ class Outliers:
 
 
 def detect(
-    laps: DataFrame, metrics: Sequence[str] = OUTLIER_METRICS, limit: int = LIMIT
+    laps: DataFrame, metrics: Sequence[str] = OUTLIER_METRICS, limit: int = LIMIT,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Outliers:
-    """Outlier flags and the summary per session and metric of already clean laps."""
+    """Outlier flags and the summary per session and metric of already clean laps.
+
+    `stage` may keep the flags, from which the summary counts the outliers.
+    """
     rid = row_identifier(laps.columns, ["lap_id"]).alias("row_identifier")
     laps = laps.where(F.col("session_id").isNotNull())
     metrics = [m for m in metrics if m in laps.columns]
     values = long_metrics(laps, ["session_id", rid], metrics)
     scored = score_groups(values, ["session_id", "metric"], limit=limit)
-    flags = scored.where(F.col("consensus_score") > 0).withColumn("table_name", F.lit("lap")).select(*OUTLIER_COLUMNS)
-    return Outliers(flags, summarize(scored, laps.select("session_id").distinct(), metrics))
+    flags = stage(scored.where(F.col("consensus_score") > 0).withColumn("table_name", F.lit("lap")).select(*OUTLIER_COLUMNS))
+    return Outliers(flags, summarize(laps, flags, metrics))
 
 
-def summarize(scored: DataFrame, sessions: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """One row per session and metric, also where a session has no value of the metric."""
-    grid = sessions.select("session_id", F.explode(F.array(*[F.lit(m) for m in metrics])).alias("metric"))
-    counted = scored.groupBy("session_id", "metric").agg(
-        F.count("*").alias("tested_values"),
+def summarize(laps: DataFrame, flags: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """One row per session and metric, also where a session has no value of the metric.
+
+    Values are counted in the laps, outliers among the flagged values: every outlier of either method is flagged.
+    """
+    tested = laps.groupBy("session_id").agg(*[F.count(number(F.col(m))).alias(m) for m in metrics])
+    grid = tested.unpivot("session_id", metrics, "metric", "tested_values")
+    counted = flags.groupBy("session_id", "metric").agg(
         F.count_if("iqr_flag").alias("iqr_outliers"),
         F.count_if("modified_z_flag").alias("modified_z_outliers"),
         F.count_if(F.col("consensus_score") >= 2).alias("consensus_outliers"),

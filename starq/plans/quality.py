@@ -9,6 +9,8 @@ that hold them are looked up when the issues are asked for.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
@@ -59,7 +61,13 @@ def sure(condition: str) -> str:
 
 
 def sql_strip(c: str) -> str:
-    return f"btrim(cast({c} as string), {quoted(BLANKS)})"
+    """As `strip`, with its short cut where `c` is a column."""
+    text = f"cast({c} as string)"
+    trimmed = f"btrim({text}, {quoted(BLANKS)})"
+    if not re.fullmatch(r"\w+|`(?:[^`]|``)+`", c):
+        return trimmed
+    visible = f"ascii({text}) between 33 and 126 and ascii(substring({text}, -1, 1)) between 33 and 126"
+    return f"case when {visible} then {text} else {trimmed} end"
 
 
 def sql_number(c: str) -> str:
@@ -204,6 +212,7 @@ class _Counted:
     description: str
     total: str  # aggregate
     failed: str | None  # aggregate, or None when the keyed passes count it
+    issues: str | None = None  # aggregate: rows with an issue, where these are not what failed
 
 
 @dataclass(frozen=True)
@@ -274,7 +283,7 @@ class _Compiler:
         missing = self._missing(group.columns)
         if missing:
             cells = f"greatest(count(*), 1) * {len(group.columns)}"
-            self.counted.append(_Counted("Completeness", group.check_id, group.description, cells, cells))
+            self.counted.append(_Counted("Completeness", group.check_id, group.description, cells, cells, "0"))
             self.structural_issues.append(
                 (self.table, _TABLE_ROW, "Completeness", group.check_id, "MISSING_REQUIRED_COLUMN",
                  f"Missing required columns: {missing}", "red")
@@ -285,10 +294,10 @@ class _Compiler:
         text = f"concat('Missing required values in columns: [', array_join(array({listed}), ', '), ']')"
         present = " + ".join(f"count({n})" for n in names)
         cells = f"count(*) * {len(group.columns)}"
+        any_empty = _any(f"{n} is null" for n in names)
         self.counted.append(
-            _Counted("Completeness", group.check_id, group.description, cells, f"{cells} - ({present})")
+            _Counted("Completeness", group.check_id, group.description, cells, f"{cells} - ({present})", f"count_if({any_empty})")
         )
-        any_empty = _any(f"{n} is null" for n in names)
         self._issue("Completeness", group.check_id, any_empty, "MISSING_REQUIRED_VALUE", text)
 
     def _missing(self, columns: Sequence[str]) -> list[str]:
@@ -374,24 +383,26 @@ class _Compiler:
         totals = self.df.selectExpr(
             *[f"cast({c.total} as bigint) as t{i}" for i, c in enumerate(self.counted)],
             *[f"cast({c.failed or 'null'} as bigint) as f{i}" for i, c in enumerate(self.counted)],
+            *[f"cast({c.issues or c.failed or 'null'} as bigint) as n{i}" for i, c in enumerate(self.counted)],
         )
         entries = [
             f"named_struct('table_name', {quoted(self.table)}, 'dimension', {quoted(c.dimension)}, 'check_id', "
-            f"{quoted(c.check_id)}, 'check_description', {quoted(c.description)}, 'failed_count', f{i}, 'total_count', t{i})"
+            f"{quoted(c.check_id)}, 'check_description', {quoted(c.description)}, 'failed_count', f{i}, 'total_count', t{i}, '_issues', n{i})"
             for i, c in enumerate(self.counted)
         ]
         return totals.selectExpr(f"inline(array({', '.join(entries)}))")
 
     def _flat(self, entries: Sequence[str]) -> DataFrame:
         rid = sql_row_identifier(self.plain, self.rules.primary_key)
-        flat = self.df.selectExpr(f"{rid} as row_identifier", f"inline(array_compact(array({', '.join(entries)})))")
+        # Entries that do not apply go after the generator: it stays in generated code, which a lambda would end.
+        flat = self.df.selectExpr(f"{rid} as row_identifier", f"inline(array({', '.join(entries)}))").where("check_id is not null")
         return flat.selectExpr(f"{quoted(self.table)} as table_name", "*")
 
     def row_issues(self) -> DataFrame | None:
         return self._flat(self.found) if self.found else None
 
     def tagged(self, checks: Mapping[int, _Keyed]) -> str:
-        """SQL that makes of a row one (check, key) entry per keyed check that applies to it."""
+        """SQL that makes of a row one (check, key) entry per keyed check, NULL where the check does not apply."""
         return _tagged({i: (c.applies, c.keys) for i, c in checks.items()})
 
     def keyed_issues(self, checks: Mapping[int, _Keyed], failing: DataFrame) -> DataFrame:
@@ -406,12 +417,15 @@ class _Compiler:
 
 
 def _tagged(entries: Mapping[int, tuple[str, Sequence[str]]]) -> str:
-    """Entries (condition, key parts) by check. Keys are compared by 128 bits of hash, so that all checks share a shuffle."""
+    """Entries (condition, key parts) by check. Keys are compared by 128 bits of hash, so that all checks share a shuffle.
+
+    Where a condition does not hold, `_check` is NULL (see `_flat`).
+    """
     parts = [
         f"case when {applies} then named_struct('_check', {i}, '_h1', xxhash64(1, {', '.join(keys)}), '_h2', xxhash64(2, {', '.join(keys)})) end"
         for i, (applies, keys) in entries.items()
     ]
-    return f"inline(array_compact(array({', '.join(parts)})))"
+    return f"inline(array({', '.join(parts)}))"
 
 
 def _failing_keys(compiled: Sequence[_Compiler], checks: Mapping[int, tuple[_Compiler, _Keyed]]) -> DataFrame:
@@ -428,7 +442,7 @@ def _failing_keys(compiled: Sequence[_Compiler], checks: Mapping[int, tuple[_Com
     for parent, entries in parents.items():
         frames.append(without_nan(tables[parent]).selectExpr(_tagged(entries)).withColumn("_child", F.lit(0)))
     references = ", ".join(str(i) for i, (_, c) in checks.items() if c.parent is not None) or "-1"
-    keys = _union(frames).groupBy("_check", "_h1", "_h2").agg(F.sum("_child").alias("_rows"), F.min("_child").alias("_known"))
+    keys = _union(frames).where("_check is not null").groupBy("_check", "_h1", "_h2").agg(F.sum("_child").alias("_rows"), F.min("_child").alias("_known"))
     return keys.where(f"_rows > 0 and case when _check in ({references}) then _known = 1 else _rows > 1 end").drop("_known")
 
 
@@ -468,8 +482,12 @@ def typed(column: str, form: str) -> str:
 class Assessment:
     """Results of a rule catalogue. Issues and scorecard are planned when they are asked for."""
 
-    def __init__(self, check_results: DataFrame, issues: Callable[[], DataFrame], dimensions: Sequence[str]):
+    def __init__(
+        self, check_results: DataFrame, issues: Callable[[], DataFrame], dimensions: Sequence[str], issue_counts: DataFrame
+    ):
         self.check_results, self._issues, self._dimensions = check_results, issues, dimensions
+        # table_name, issue_count: counted with the checks, so that a scorecard needs no issue.
+        self.issue_counts = issue_counts
 
     @cached_property
     def issues(self) -> DataFrame:
@@ -477,7 +495,7 @@ class Assessment:
 
     @cached_property
     def scorecard(self) -> DataFrame:
-        return scorecard(self.check_results, self.issues, self._dimensions)
+        return _scorecard(self.check_results, self.issue_counts, self._dimensions)
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame | None:
@@ -523,18 +541,23 @@ def assess(
         failed = failing.groupBy("_check").agg(F.sum("_rows").alias("_failed")).join(F.broadcast(names), "_check").drop("_check")
         counts = counts.join(F.broadcast(failed), ["table_name", "check_id"], "left").withColumn(
             "failed_count", F.coalesce("failed_count", "_failed", F.lit(0))
-        ).drop("_failed")
+        ).withColumn("_issues", F.coalesce("_issues", "_failed", F.lit(0))).drop("_failed")
     if structural:
-        declared = spark.createDataFrame(structural, _COUNTS)
+        declared = spark.createDataFrame(structural, _COUNTS).withColumn("_issues", F.lit(0).cast("bigint"))
         counts = declared if counts is None else counts.unionByName(declared)
     passed = F.col("total_count") - F.col("failed_count")
     results = (
         counts.withColumn("passed_count", passed)
         .withColumn("score", score(passed, F.col("total_count")))
         .withColumn("status", score_status(F.col("score")))
-        .select(*CHECK_COLUMNS)
+        .select(*CHECK_COLUMNS, "_issues")
     )
-    results = stage(results)
+    counted = stage(results)
+    results = counted.drop("_issues")
+    # One row per table: issues that the schemas alone tell.
+    told = Counter(row[0] for row in structural_issues)
+    told = spark.createDataFrame(list(told.items()), "table_name string, _issues bigint")
+    issue_counts = counted.select("table_name", "_issues").unionByName(told).groupBy("table_name").agg(F.sum("_issues").alias("issue_count"))
 
     def issues() -> DataFrame:
         parts = []
@@ -551,7 +574,7 @@ def assess(
             parts.append(spark.createDataFrame(structural_issues, schema))
         return stage(_union(parts))
 
-    return Assessment(results, issues, dimensions)
+    return Assessment(results, issues, dimensions, issue_counts)
 
 
 def _with_severity(issues: DataFrame, results: DataFrame) -> DataFrame:
@@ -577,6 +600,12 @@ def scorecard(
     labelled `Accuracy`, which is why their column stays empty). Pass
     rename={"Accuracy": "Accuracy/Plausibility"} to include them.
     """
+    return _scorecard(results, issues.groupBy("table_name").agg(F.count("*").alias("issue_count")), dimensions, rename)
+
+
+def _scorecard(
+    results: DataFrame, issue_counts: DataFrame, dimensions: Sequence[str], rename: Mapping[str, str] = {}
+) -> DataFrame:
     scored = results.where(F.col("score").isNotNull())
     if rename:
         scored = scored.withColumn("dimension", lookup(F.col("dimension"), rename, F.col("dimension")))
@@ -589,11 +618,10 @@ def scorecard(
         total += F.coalesce(F.col(c), F.lit(0.0))
         present += F.col(c).isNotNull().cast("int")
     overall = F.when(present > 0, F.round(total / present, 6))
-    counts = issues.groupBy("table_name").agg(F.count("*").alias("issue_count"))
     return (
         means.withColumn("overall_score", overall)
         .withColumn("status", score_status(F.col("overall_score")))
-        .join(counts, "table_name", "left")
+        .join(issue_counts, "table_name", "left")
         .withColumn("issue_count", F.coalesce("issue_count", F.lit(0)))
         .select("table_name", "overall_score", "status", "issue_count", *columns)
     )

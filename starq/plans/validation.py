@@ -94,7 +94,7 @@ def _references(table: str, df: DataFrame, constraints: Sequence[Constraint], ta
         parents.append(
             parent.where(F.col(c.parent_column).isNotNull()).selectExpr(f"{i} as _i", f"{comparable(c.parent_column, form)} as _key")
         )
-    values = df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))").groupBy("_i", "_key").agg(F.count("*").alias("_n"))
+    values = df.selectExpr(f"inline(array({', '.join(entries)}))").where("_i is not null").groupBy("_i", "_key").agg(F.count("*").alias("_n"))
     orphans = values.join(reduce(DataFrame.unionByName, parents), ["_i", "_key"], "left_anti")
     per_reference = orphans.groupBy("_i").agg(F.sum("_n").alias("_n"))
     found = per_reference.agg(F.map_from_entries(F.collect_list(F.struct("_i", "_n"))).alias("_found"))

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     # even when a later operator would have liked the original partitioning.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Generated methods beyond this many bytes are never compiled by the JVM; the
+    # operators of such a stage run one by one instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
