@@ -57,14 +57,14 @@ def run(
         write("quality/scorecard", assessed.scorecard)
         quality.write_issues(assessed.issues, f"{target}/quality")
         written |= {f"quality/{n}": f"{target}/quality/{n}" for n in ("issues", "referential_integrity_issues")}
+        write("quality/unmatched_issues", cleaning.unmatched_issues(assessed.issues, list(tables), rules))
         # One folder per table: each table's cleaning reads its own issues only.
         issues = spark.read.schema(assessed.issues.schema).parquet(written["quality/issues"]).select(*quality.ISSUE_COLUMNS)
-        write("quality/unmatched_issues", cleaning.unmatched_issues(issues, list(tables), rules))
 
         flags = put("missing/flags", missing.missing_flags(tables))
         summary = put("missing/summary", missing.missing_summary(flags, tables))
-        found = outliers.detect_from_tables(tables, stage=lambda df: put("outliers/flags", df))
-        found = outliers.Outliers(found.flags, put("outliers/summary", found.summary))
+        found = outliers.detect_from_tables(tables, stage=stage)
+        found = outliers.Outliers(put("outliers/flags", found.flags), put("outliers/summary", found.summary))
 
         bucketed = bucketed_tables(spark, database, PRIMARY_KEY) if database is not None else ()
         cleaned = cleaning.clean(tables, issues, flags, found.flags, rules, stage=stage, bucketed=bucketed)

@@ -139,12 +139,13 @@ def detect(
 ) -> Outliers:
     """Outlier flags and the summary per session and metric of already clean laps.
 
-    `stage` may keep the flags, from which the summary counts the outliers.
+    `stage` may keep the laps' values, which are read for group sizes, statistics, scores
+    and summary, and the flags, from which the summary counts the outliers.
     """
     rid = row_identifier(laps.columns, ["lap_id"]).alias("row_identifier")
-    laps = laps.where(F.col("session_id").isNotNull())
     metrics = [m for m in metrics if m in laps.columns]
-    values = long_metrics(laps, ["session_id", rid], metrics)
+    laps = stage(laps.where(F.col("session_id").isNotNull()).select("session_id", rid, *metrics))
+    values = long_metrics(laps, ["session_id", "row_identifier"], metrics)
     scored = score_groups(values, ["session_id", "metric"], limit=limit)
     flags = stage(scored.where(F.col("consensus_score") > 0).withColumn("table_name", F.lit("lap")).select(*OUTLIER_COLUMNS))
     return Outliers(flags, summarize(laps, flags, metrics))
