@@ -7,7 +7,8 @@ appending bytes never changes earlier entries, and an edit changes entries from
 its place on only (`Prefixes`).
 
 Texts are cut into pieces by a pattern; each piece is encoded on its own, and the
-encodings of pieces seen lately are kept in the worker (bounded).
+encodings of pieces seen lately are kept in the worker (bounded) until it serves
+another operator.
 
 Defined results: null and empty texts have no tokens (digests of the empty
 string); equal texts and repeated rows have equal results; a piece that is itself
@@ -26,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from starq.llm.common import plain_documents
+from starq.llm.common import forget, plain_documents, remembered
 
 #: Pieces, prefixes and token pairs remembered per worker; beyond it that memory starts anew.
 REMEMBERED = 700_000
@@ -220,14 +221,9 @@ class Encoder:
         return b"".join(map(self.token.__getitem__, ids.split()))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, pattern: str) -> Encoder:
-    """One per worker and vocabulary."""
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(path, pattern)
-    return _encoders[path, pattern]
+    """One per worker and vocabulary, until the worker serves another operator."""
+    return remembered(("bpe", path, pattern), lambda: Encoder(path, pattern))
 
 
 def _encode(path: str, pattern: str, with_ids: bool):
@@ -253,6 +249,7 @@ def _encode(path: str, pattern: str, with_ids: bool):
 
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         bytes_of = Vocabulary(path).bytes_of
         for batch in batches:
             texts = [

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,25 @@ from pyspark.sql import functions as F
 from starq.session import configure, fresh_path, shared_dir
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+#: What the operator that a worker served last remembers between its tasks.
+_remembered: dict = {}
+
+
+def remembered(key, make: Callable):
+    """make(), once per worker and key, until another key or operator takes the worker."""
+    if key not in _remembered:
+        forget()
+        _remembered[key] = make()
+    return _remembered[key]
+
+
+def forget() -> None:
+    """Frees what another operator remembers here: Spark hands workers on from stage to stage.
+
+    Tasks that remember nothing call this first, so that an executor never holds an
+    earlier stage's memory beside that of the stage it runs.
+    """
+    _remembered.clear()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -52,7 +72,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label, self.paths = prepare(spark), label, {}
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+        """files: how many the table needs at most; each costs the executor time and, on some stores, a process."""
+        df = df.coalesce(files) if files else df
         path = self.paths[name] = fresh_path(self.spark, f"{self.label}-{name}")
         df.write.mode("errorifexists").parquet(path)
         return self.read(name, df)

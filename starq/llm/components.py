@@ -25,17 +25,17 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return hung.where("u <> v") if large else hung.where("u <> v").distinct()
 
 
-def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, name: str, files: int | None = None) -> DataFrame:
     """doc, comp (the least node it reaches) of every node that is not its own least.
 
     edges(u, v) of longs. Every round is a table in the shared folder; only a count
-    and a checksum come to the driver.
+    and a checksum come to the driver. files: of every table, at most.
     """
     known, turn = None, 0
-    now = scratch.write(edges.select("u", "v").where("u <> v").distinct(), f"{name}-0")
+    now = scratch.write(edges.select("u", "v").where("u <> v").distinct(), f"{name}-0", files)
     while True:
         turn += 1
-        after = scratch.write(_star(_star(now, large=True), large=False), f"{name}-{turn}")
+        after = scratch.write(_star(_star(now, large=True), large=False), f"{name}-{turn}", files)
         scratch.drop(f"{name}-{turn - 1}")
         now = after
         # Exact decimal sums of hashes: equal edge sets, whatever their order.

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starq.llm import words
-from starq.llm.common import plain_documents, prepare
+from starq.llm.common import forget, plain_documents, prepare
 from starq.llm.words import U64, Scan
 
 ERROR_RATE = 0.2
@@ -209,6 +209,7 @@ def _search(pieces: Pieces):
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             rows, held, size, first = [], [], 0, 0

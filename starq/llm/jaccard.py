@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starq.llm import words
-from starq.llm.common import Scratch, only, plain_documents
+from starq.llm.common import Scratch, forget, only, plain_documents
 from starq.llm.components import components
 from starq.llm.words import U64, Scan, mix
 
@@ -46,6 +46,8 @@ LONGEST_MATCH = 8
 CHANCE = 0.05
 #: A token is a level of rarity (64 of them; UNIT stands for one expected meeting) and a hash.
 TOKEN_BITS, UNIT = 44, 32
+#: Tables of numbers have a file for so many documents, and FILES_PER_CORE for each core at least.
+DOCS_PER_FILE, FILES_PER_CORE = 10_000, 4
 #: A list expected to be longer is dealt over salts of about that many rows.
 HOT_LIST = 20_000
 #: Longer lists may get leaders first, as long as their pairs are more than so many per posting.
@@ -96,6 +98,7 @@ def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and fingerprint of every set; then this task's part of the sketches, in blocks."""
+    forget()
     met, used = np.zeros(1 << SKETCH_BITS, np.uint32), np.zeros(1 << WORD_BITS, np.uint32)
     names = ["doc_id", "n", "sum_a", "sum_b", "block", "counts"]
     for batch in batches:
@@ -119,6 +122,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, packed in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
@@ -161,6 +165,7 @@ class Rarity:
 
 def _ranked(load: float, n_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             out = []
             for block, packed in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
@@ -211,6 +216,7 @@ def _postings(rarity: Rarity):
     """token, salt, doc, meta (n * 16 + l) of every prefix member."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hot = UNIT + int(np.ceil(np.log2(HOT_LIST)))
         for batch in batches:
             ids = np.asarray(batch.column("doc_id"), np.int64)
@@ -261,6 +267,7 @@ def _alike(batch: pa.RecordBatch) -> pa.Array:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         for part in _portions(batch):
             mask = _alike(part)
@@ -274,14 +281,14 @@ def _long_enough(a: str, b: str) -> F.Column:
 class _Join:
     """Links between representatives, from postings(token, doc, n, l)."""
 
-    def __init__(self, scratch: Scratch, texts: DataFrame, postings: DataFrame):
-        self.scratch, self.texts, self.postings = scratch, texts, postings
+    def __init__(self, scratch: Scratch, texts: DataFrame, postings: DataFrame, files: int):
+        self.scratch, self.texts, self.postings, self.files = scratch, texts, postings, files
 
     def verified(self, pairs: DataFrame, turn: int) -> tuple[DataFrame, int]:
         """Links u, v among pairs a, b, and how many pairs were looked at. Only texts of candidates are shuffled."""
-        pairs = self.scratch.write(pairs.select("a", "b"), f"pairs-{turn}")
+        pairs = self.scratch.write(pairs.select("a", "b"), f"pairs-{turn}", self.files)
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-        near = only(self.texts, self.scratch.write(wanted, f"wanted-{turn}")).select("doc_id", "text")
+        near = only(self.texts, self.scratch.write(wanted, f"wanted-{turn}", self.files)).select("doc_id", "text")
         near = self.scratch.write(near, f"near-{turn}")
         a, b = (near.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")) for side in "ab")
         links = self.scratch.write(pairs.join(a, "a").join(b, "b").mapInArrow(_verify, "u long, v long"), f"links-{turn}")
@@ -292,10 +299,10 @@ class _Join:
         """doc, comp of the representatives that are linked to a smaller one."""
         lists = self.postings.groupBy("token").agg(F.count(F.lit(1)).alias("total"), F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("l").alias("l_low"))
         # Only lists of several representatives: a document with copies has postings that nobody else shares.
-        lists = self.scratch.write(lists.where("total > 1"), "lists")
-        long = self.scratch.write(self.postings.join(lists.where(F.col("total") > LONG_LIST), "token"), "long")
+        lists = self.scratch.write(lists.where("total > 1"), "lists", self.files)
+        long = self.scratch.write(self.postings.join(lists.where(F.col("total") > LONG_LIST), "token"), "long", self.files)
         # In how many long lists a document is: it cannot share more of them with anyone.
-        counts = self.scratch.write(long.groupBy("doc").agg(F.count(F.lit(1)).alias("k")), "counts")
+        counts = self.scratch.write(long.groupBy("doc").agg(F.count(F.lit(1)).alias("k")), "counts", self.files)
         long = self.scratch.write(long.join(counts, "doc"), "entries")
         total, comp, turn, helps = self.postings.count(), None, 0, True
         while True:
@@ -316,7 +323,7 @@ class _Join:
         return self.grown(comp, found, "comp-last")
 
     def grown(self, comp: DataFrame | None, found: DataFrame, name: str) -> DataFrame:
-        return components(found if comp is None else found.union(comp.select("doc", "comp")), self.scratch, name)
+        return components(found if comp is None else found.union(comp.select("doc", "comp")), self.scratch, name, self.files)
 
     def across(self, long: DataFrame, comp: DataFrame | None, turn: int) -> tuple[DataFrame, DataFrame, int]:
         """Members of long lists outside their list's largest component, all members, and the pairs between them.
@@ -336,7 +343,7 @@ class _Join:
         mains = sizes.groupBy("token").agg(main, F.count(F.lit(1)).alias("comps")).where("comps > 1").select(
             "token", (-F.col("main.comp")).alias("main"), F.col("main.lead.doc").alias("leader"), F.col("main.lead.n").alias("leader_n"),
         )
-        rest = entries.join(self.scratch.write(mains, f"mains-{turn}"), "token").where("comp <> main")
+        rest = entries.join(self.scratch.write(mains, f"mains-{turn}", self.files), "token").where("comp <> main")
         ends = [F.greatest("n_low", F.floor(F.col("n") * PERCENT / 100)), F.least("n_high", F.ceil(F.col("n") * 100 / PERCENT))]
         fewest = F.least(*[_least_shared(F.col("n"), F.col("l"), end, F.col("l_low")) for end in ends])
         # Between the ends, rounding up can lower it by two at most.
@@ -388,9 +395,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = plain_documents(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     scanned = scratch.write(texts.mapInArrow(_sets, SETS), "sets")
     sets = scanned.where("block IS NULL").select("doc_id", "n", "sum_a", "sum_b")
+    files = max(FILES_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism, sets.count() // DOCS_PER_FILE)
     same = ["n", "sum_a", "sum_b"]
     classes = scratch.write(
-        sets.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep")), "classes"
+        sets.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep")), "classes", files
     )
     ranks = rarity(scanned.where("block IS NOT NULL").select("block", "counts"), scratch)
 
@@ -399,9 +407,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     repeated = rows.withColumn("k", F.count(F.lit(1)).over(one_list)).where("salt > 0 OR k > 1")
     postings = scratch.write(
         repeated.join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi")
-        .select("token", "doc", F.expr("meta div 16").alias("n"), F.expr("meta % 16").alias("l")), "postings",
+        .select("token", "doc", F.expr("meta div 16").alias("n"), F.expr("meta % 16").alias("l")), "postings", files,
     )
-    comp = _Join(scratch, texts, postings).run()
+    comp = _Join(scratch, texts, postings, files).run()
     scratch.keep("sets", "classes", list(scratch.paths)[-1])
 
     grouped = classes.join(comp, classes["rep"] == comp["doc"], "left").select(*same, F.coalesce("comp", "rep").alias("component"))

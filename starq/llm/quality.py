@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starq.llm import stats
-from starq.llm.common import Scratch, bounded_sample, plain_documents
+from starq.llm.common import Scratch, bounded_sample, forget, plain_documents
 
 #: Scores from here on predict label 1.
 CUT = 0.7
@@ -81,6 +81,7 @@ def fit_pairs(x: np.ndarray, label: np.ndarray, seed: int = 17) -> Ranking | Non
 def _scorer(ranking: Ranking, keep: str):
     """Batches of one column of the input and the strength."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             counts = {c: batch.column(c).to_numpy() for c in stats.COUNTS}
             yield pa.RecordBatch.from_arrays([batch.column(keep), pa.array(ranking.strength(counts))], [keep, "strength"])

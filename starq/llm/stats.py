@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from starq.llm import words
+from starq.llm.common import forget
 from starq.llm.words import U64, Scan, mix
 
 COUNTS = (
@@ -84,6 +85,7 @@ def count(scan: Scan) -> dict[str, np.ndarray]:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         ids = batch.column("doc_id")
         for scan in words.scans(batch.column("text")):
