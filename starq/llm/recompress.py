@@ -8,12 +8,21 @@ making depended on: equal stretches make equal symbols wherever they stand.
 
 Every window of WINDOW words takes, of the highest-level symbols whose stretch
 lies inside it, the leftmost of those that hash lowest. Equal windows take equal symbols, so
-only windows whose symbol is shared can repeat; those are compared word for word
-(by 96 bits of two independent hashes), and the earliest one stays.
+only windows whose symbol is shared can repeat.
+
+Windows side by side that take the same symbol are a run. Runs of the same words
+(by 96 bits of two independent hashes) are settled whole: the earliest stays, the
+others go. A symbol that always stands in the same run is done with that; no run
+holds equal windows, as these would take symbols at different places. Where a
+symbol's runs differ, the windows of one run of each kind, of two at most, are
+compared word for word (by 96 bits too), and the earliest one stays. So what is
+shuffled is a row per run, and windows of different runs only, however often
+passages are repeated.
 
 Documents with the same words as an earlier document are settled as a whole.
-Keys that repeat within one batch go to the shuffle once per batch, so that a
-passage in a third of all documents does not meet in one task.
+Runs that repeat within one batch go to the shuffle once per batch, and further runs
+of a symbol apart from its first, so that a passage in a third of all documents does
+not meet in one task.
 
 Defined results: null and blank texts have no words and keep the empty string;
 documents shorter than a window keep all; rows with the same doc_id are one
@@ -101,13 +110,13 @@ def window_hashes(hashes: np.ndarray, seed: int = 0) -> np.ndarray:
     return words.grams(hashes, WINDOW, seed)
 
 
-def anchors(scan: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """key, document, first window and number of windows: runs of windows that take the same anchor."""
+def anchors(scan: Scan) -> tuple[np.ndarray, ...]:
+    """key, two hashes of the words, document, first window and number of windows: runs of windows that take the same anchor."""
     hashes, doc = scan.word_hashes(), scan.doc_of
     inner = words.inside(scan.bounds, WINDOW)
     if not len(inner):
         none = np.zeros(0, np.int64)
-        return none.astype(U64), none, none, none
+        return none.astype(U64), none.astype(U64), none.astype(U64), none, none, none
     up, down = words._power(len(hashes))
     total = np.concatenate([np.zeros(1, U64), np.cumsum(hashes * up[: len(hashes)], dtype=U64)])
     taken, keys = np.full(len(hashes), -1), []
@@ -129,13 +138,17 @@ def anchors(scan: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     all_keys = np.concatenate(keys)
     # A window without any symbol of its own (a long run, say) is its own anchor.
     alone = taken < 0
-    key = np.where(alone, mix(window_hashes(hashes)[inner] ^ _SEED[14]), all_keys[taken])
+    windows = window_hashes(hashes)
+    key = mix(windows[inner] ^ _SEED[14])
+    key[~alone] = all_keys[taken[~alone]]
     begin = np.ones(len(inner), bool)
     begin[1:] = alone[1:] | (taken[1:] != taken[:-1]) | (np.diff(inner) != 1) | (doc[inner[1:]] != doc[inner[:-1]])
     first = np.flatnonzero(begin)
     size = np.diff(np.append(first, len(inner)))
     at = inner[first]
-    return key[first], doc[at], at - scan.bounds[doc[at]], size
+    # A run has no more windows than a window has words: its first and its last window hold all of its words.
+    a, b = (mix(h[at] * _SEED[8] + h[at + size - 1] * _SEED[9] + size.astype(U64) * _SEED[10]) for h in (windows, window_hashes(hashes, 1)))
+    return key[first], a, b, doc[at], at - scan.bounds[doc[at]], size
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,22 +166,9 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _local(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows sorted as given: whether the key occurs again in the batch, and whether this row is its first."""
-    order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys[:-1]], axis=0)
-    group = np.cumsum(new) - 1
-    many = np.bincount(group)[group] > 1 if len(order) else new
-    again, first = np.empty(len(order), bool), np.empty(len(order), bool)
-    again[order], first[order] = many, new
-    return again, first
-
-
 #: Rows a task gathers before it looks for repeats among them and sends them on.
 GATHERED = 500_000
-ANCHORS = "key long, salt int, doc long, at long"
+ANCHORS = "key long, salt int, a long, b int, doc long, at long"
 
 
 def _gathered(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[list[np.ndarray]]:
@@ -183,25 +183,43 @@ def _gathered(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[list[np.ndarr
         yield list(map(np.concatenate, zip(*held)))
 
 
-def _spread(first: np.ndarray) -> np.ndarray:
-    """Salts: none for the first row of a key, any other number for the rest."""
-    return np.where(first, 0, 1 + np.arange(len(first)) % 1_000_003).astype(np.int32)
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return new
+
+
+def _others(n: int) -> np.ndarray:
+    """Salts for rows that need not meet any other."""
+    return 1 + np.arange(n) % 1_000_003
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per run of windows. at: first window * 64 + (windows - 1) * 2 + (key known to be shared)."""
+    """One row per run of windows.
+
+    at: first window * 128 + (windows - 1) * 4 + (the key has different runs in this task) * 2 + (an earlier equal run came before in this task).
+    """
 
     def found():
         for batch in batches:
             ids = np.asarray(batch.column("doc_id"), np.int64)
             for scan in words.scans(batch.column("text")):
-                key, doc, at, size = anchors(scan)
-                yield key.view(np.int64), ids[scan.first + doc], at, size
+                key, a, b, doc, at, size = anchors(scan)
+                yield key.view(np.int64), a.view(np.int64), (b >> U64(32)).astype(np.uint32).view(np.int32), ids[scan.first + doc], at * 32 + size - 1
 
-    for key, doc, at, size in _gathered(found()):
-        again, first = _local([key, np.arange(len(key))])
-        columns = key, _spread(first | ~again), doc, at * 64 + (size - 1) * 2 + again
-        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "salt", "doc", "at"])
+    for columns in _gathered(found()):
+        # Repeated rows of a document are one row.
+        order = np.lexsort(columns[::-1])
+        order = order[_changes(*(c[order] for c in columns))]
+        key, a, b, doc, at = (c[order] for c in columns)
+        first, kept = _changes(key), _changes(key, a, b)
+        group = np.cumsum(first) - 1
+        differ = np.bincount(group, kept)[group] > 1
+        # By their words, so that equal runs meet; what is settled here meets nothing.
+        salt = np.where(kept, np.where(first, 0, 1 + a % 1_000_003), _others(len(a))).astype(np.int32)
+        columns = np.where(kept, key, 0), salt, np.where(kept, a, 0), np.where(kept, b, 0).astype(np.int32), doc, at * 4 + differ * 2 + ~kept
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "salt", "a", "b", "doc", "at"])
 
 
 WINDOWS = "a long, b int, salt int, doc long, at long"
@@ -228,28 +246,28 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     a, b = window_hashes(hashes)[place], window_hashes(hashes, 1)[place]
                     yield a.view(np.int64), (b >> U64(32)).astype(np.uint32).view(np.int32), ids[scan.first + doc], at
 
-    for a, b, doc, at in _gathered(found()):
-        order = np.lexsort((b, a, at, doc))
+    for columns in _gathered(found()):
         # Repeated rows of a document are one row.
-        new = np.ones(len(order), bool)
-        new[1:] = np.any([c[order[1:]] != c[order[:-1]] for c in (a, b, doc, at)], axis=0)
-        order = order[new]
-        a, b, doc, at = a[order], b[order], doc[order], at[order]
-        _, first = _local([a, b, np.arange(len(a))])
-        yield pa.RecordBatch.from_arrays(list(map(pa.array, (a, b, _spread(first), doc, at * 2 + ~first))), ["a", "b", "salt", "doc", "at"])
+        order = np.lexsort(columns[::-1])
+        order = order[_changes(*(c[order] for c in columns))]
+        a, b, doc, at = (c[order] for c in columns)
+        first = _changes(a, b)
+        salt = np.where(first, 0, _others(len(a))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, (a, b, salt, doc, at * 2 + ~first))), ["a", "b", "salt", "doc", "at"])
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Takes out the words of removed windows."""
+    """Takes out the words of removed windows. places: first window * 64 + (windows - 1) * 2 + any bit."""
     for batch in batches:
         rows = []
         for doc, text, places in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("places").to_pylist()):
             found = text.as_py().encode().split()
             gone = np.zeros(len(found) + 1, np.int64)
-            starts = np.array(places)
-            starts = starts[starts + WINDOW <= len(found)]
-            np.add.at(gone, starts, 1)
-            np.add.at(gone, starts + WINDOW, -1)
+            # Rows that share a doc_id share their places: one may lie beyond the shorter text, or end there.
+            starts, more = np.array(places) >> 6, np.array(places) >> 1 & 31
+            valid = starts + WINDOW <= len(found)
+            np.add.at(gone, starts[valid], 1)
+            np.add.at(gone, np.minimum(starts + more + WINDOW, len(found))[valid], -1)
             gone = np.cumsum(gone)[:-1] > 0
             kept = [w for w, g in zip(found, gone.tolist()) if not g]
             digests = (hashlib.sha256(b" ".join(w)).hexdigest() for w in (found, kept))
@@ -273,33 +291,34 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     scratch.drop("first")
 
-    # Anchors that occur at least twice.
+    # Runs of the same words: all but the earliest go. What stays is looked at closer if its anchor has other runs.
     named = texts.where("doc_id IS NOT NULL").mapInArrow(_anchors, ANCHORS)
-    count = F.count(F.lit(1)).over(Window.partitionBy("key", "salt"))
-    shared = scratch.write(
-        named.withColumn("k", count).where("k > 1 OR at % 2 = 1")
-        .join(copies.select(F.col("doc_id").alias("doc")), "doc", "left_anti").select("key", "doc", "at"), "shared",
+    keyed, alike = Window.partitionBy("key", "salt"), Window.partitionBy("key", "salt", "a", "b")
+    runs = scratch.write(
+        # One order serves both windows.
+        named.repartition("key", "salt").sortWithinPartitions("key", "salt", "a", "b").select(
+            "doc", "at", ((F.max(F.expr("at & 2")).over(keyed) > 0) | (F.max("a").over(keyed) != F.min("a").over(keyed))).alias("other"),
+            F.min(F.struct("doc", F.expr("at div 4"))).over(alike).alias("first"),
+        ).withColumn("gone", F.expr("at % 2 = 1 OR first.doc <> doc OR first.col2 <> at div 4")).where("gone OR other")
+        .join(copies.select(F.col("doc_id").alias("doc")), "doc", "left_anti")
+        # first window * 64 + (windows - 1) * 2 + gone
+        .select(F.col("doc").alias("doc_id"), F.expr("at div 4 * 2 + int(gone)").alias("at")), "runs",
     )
-    # Again without the copies, and summed before it is shuffled.
-    # A table of its own, so that a key with many rows can be split where it is joined.
-    still = scratch.write(shared.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "still")
     marks = scratch.write(
-        shared.join(still, "key").groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("at").alias("marks"), F.count(F.lit(1)).alias("n")),
-        "marks",
+        runs.where("at % 2 = 0").groupBy("doc_id").agg(F.collect_set("at").alias("marks"), F.count(F.lit(1)).alias("n")), "marks"
     )
-    scratch.drop("shared", "still")
 
     # Equal windows: all but the earliest go.
     suspects = only(texts, marks).select("doc_id", "text", "marks").mapInArrow(_windows, WINDOWS)
     earliest = F.min(F.struct("doc", F.expr("at div 2"))).over(Window.partitionBy("a", "b", "salt"))
     gone = (
         suspects.withColumn("first", earliest)
-        .where("at % 2 = 1 OR first.doc <> doc OR first.col2 <> at div 2").select(F.col("doc").alias("doc_id"), F.expr("at div 2").alias("place"))
+        .where("at % 2 = 1 OR first.doc <> doc OR first.col2 <> at div 2").select(F.col("doc").alias("doc_id"), F.expr("at div 2 * 64").alias("at"))
     )
     places = scratch.write(
-        gone.groupBy("doc_id").agg(F.collect_set("place").alias("places"), F.count(F.lit(1)).alias("n")), "places"
+        gone.unionByName(runs.where("at % 2 = 1")).groupBy("doc_id").agg(F.collect_set("at").alias("places"), F.count(F.lit(1)).alias("n")), "places"
     )
-    scratch.drop("marks")
+    scratch.drop("runs", "marks")
     stripped = only(texts, places).select("doc_id", "text", "places").mapInArrow(
         _strip, "doc_id long, n_removed long, sha string, kept string"
     ).distinct()

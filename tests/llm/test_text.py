@@ -83,6 +83,34 @@ def test_repeats_in_runs_and_overlaps(session):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == stripped(rows)
 
 
+def test_repeats_where_no_symbol_fits_a_window(session):
+    """Texts of one word, each alone in what is scanned at once: runs reach the borders, so no symbol lies inside a window."""
+    rows = [(doc, " ".join(["again"] * (20 + doc))) for doc in range(4)] + [(4, " ".join(["again"] * 21))]
+    got = recompress.remove_repeats(session.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == stripped(rows)
+    one = session.createDataFrame(rows[:1], "doc_id long, text string")
+    assert recompress.remove_repeats(one).first().n_removed == 0
+
+
+def test_near_copies_are_settled_by_runs(session, monkeypatch):
+    """30 copies of a text with other words at both ends and in the middle: windows are compared one by one near these only."""
+    rng, compared = random.Random(8), []
+    text, other = words(rng, 300, 400), words(rng, 300, 400)
+    rows = [(doc, " ".join([f"first{doc}", *text, *[f"middle{doc}"] * (doc % 2), *other, f"last{doc}"])) for doc in range(30)]
+
+    class Counted(Scratch):
+        def write(self, df, name, files=None):
+            out = super().write(df, name, files)
+            if name == "marks":
+                compared.append(out.selectExpr("explode(marks) AS m").selectExpr("sum((shiftright(m, 1) & 31) + 1) AS n").first().n)
+            return out
+
+    monkeypatch.setattr(recompress, "Scratch", Counted)
+    got = recompress.remove_repeats(session.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == stripped(rows)
+    assert compared[0] < 30 * 120
+
+
 def test_symbols_depend_on_their_stretch_only():
     rng = np.random.default_rng(5)
     inner = rng.integers(1, 6, 30).astype(np.uint64)
